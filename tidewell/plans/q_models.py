@@ -1 +1,271 @@
 """Catalogue entries for feature and model operators."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators import evaluate, features as feat, models
+from ..session import scratch
+from ..sources.tables import table
+from .catalogue import query
+
+# --- SQL fragments -----------------------------------------------------------
+
+
+def _rank_sql(expr: str, source: str) -> str:
+    """value -> 0-based rank by count desc, value asc (the oracle's frequency index)."""
+    return f"""(select value, cnt as count, row_number() over (order by cnt desc, value) - 1 as idx
+  from (select cast({expr} as varchar) as value, count(*) as cnt from {source}
+        where {expr} is not null group by 1))"""
+
+
+_QTY_INDEX = _rank_sql("l_quantity", "lineitem")
+
+
+# --- frequency index, categorical index, one-hot, assemble, impute ------------
+
+@query("frequency_index", ("M01", "A05", "W01"), sql=f"""
+select value, count, idx as "index" from {_QTY_INDEX}""")
+def frequency_index(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return feat.frequency_index(li, "l_quantity")
+
+
+def _order_categories(spark, sf_dir):
+    stages, vec = feat.categorical(["o_orderpriority", "o_orderstatus"])
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    return models.fit(stages, o).transform(o)
+
+
+@query("categorical_index", ("M01",), sql=f"""
+select o.o_orderkey, cast(p.idx as double) as priority_index, cast(s.idx as double) as status_index
+from orders o
+join {_rank_sql('o_orderpriority', 'orders')} p on p.value = o.o_orderpriority
+join {_rank_sql('o_orderstatus', 'orders')} s on s.value = o.o_orderstatus""")
+def categorical_index(spark, sf_dir):
+    t = _order_categories(spark, sf_dir)
+    return t.select("o_orderkey", F.col("o_orderpriority__idx").alias("priority_index"),
+                    F.col("o_orderstatus__idx").alias("status_index"))
+
+
+@query("one_hot_slots", ("M02",), sql=f"""
+select o.o_orderkey, cast(p.idx as integer) as priority_slot,
+  cast((select count(distinct o_orderpriority) from orders) + 1 as integer) as priority_size
+from orders o join {_rank_sql('o_orderpriority', 'orders')} p on p.value = o.o_orderpriority""")
+def one_hot_slots(spark, sf_dir):
+    t = _order_categories(spark, sf_dir)
+    arr = vector_to_array("o_orderpriority__vec")
+    return t.select("o_orderkey",
+                    (F.array_position(arr, 1.0) - 1).cast("int").alias("priority_slot"),
+                    F.size(arr).cast("int").alias("priority_size"))
+
+
+@query("assemble_vector", ("M03",), sql=f"""
+select c.c_custkey, c.c_acctbal as f0, cast(c.c_nationkey as double) as f1,
+  cast(case when s.idx = 0 then 1.0 else 0.0 end as double) as f2,
+  cast(case when s.idx = 4 then 1.0 else 0.0 end as double) as f6,
+  cast((select count(distinct c_mktsegment) from customer) + 3 as integer) as width
+from customer c join {_rank_sql('c_mktsegment', 'customer')} s on s.value = c.c_mktsegment""")
+def assemble_vector(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("double"))
+    stages, vec = feat.categorical(["c_mktsegment"])
+    stages.append(feat.assemble(["c_acctbal", "nation", *vec]))
+    out = models.fit(stages, c).transform(c)
+    arr = vector_to_array("features")
+    return out.select("c_custkey", arr[0].alias("f0"), arr[1].alias("f1"), arr[2].alias("f2"),
+                      arr[6].alias("f6"), F.size(arr).cast("int").alias("width"))
+
+
+def _holey_acctbal(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, F.lit(None))
+                    .otherwise(F.col("c_acctbal")).alias("acctbal"))
+
+
+@query("impute_mean", ("M04",), sql="""
+select c_custkey, round(coalesce(acctbal, avg(acctbal) over ()), 6) as acctbal_imputed
+from (select c_custkey, case when c_custkey % 7 = 0 then null else c_acctbal end as acctbal
+      from customer)""")
+def impute_mean(spark, sf_dir):
+    df = _holey_acctbal(spark, sf_dir)
+    stage, outs = feat.impute(["acctbal"], strategy="mean")
+    out = models.fit([stage], df).transform(df)
+    return out.select("c_custkey", F.round(outs[0], 6).alias("acctbal_imputed"))
+
+
+@query("constant_fill_stage", ("M04", "G4"), sql="""
+select c_custkey, case when c_custkey % 7 = 0 then 60.0 else c_acctbal end as acctbal_filled
+from customer""")
+def constant_fill_stage(spark, sf_dir):
+    df = _holey_acctbal(spark, sf_dir)
+    out = models.fit([feat.constant_fill({"acctbal": 60.0})], df).transform(df)
+    return out.select("c_custkey", F.col("acctbal__filled").alias("acctbal_filled"))
+
+
+# --- rank label and its inverse ---------------------------------------------
+
+@query("rank_label", ("M05",), sql=f"""
+select l.l_orderkey, l.l_linenumber, cast(i.idx as integer) as label
+from lineitem l join {_QTY_INDEX} i on i.value = cast(l.l_quantity as varchar)""")
+def rank_label(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    index = feat.frequency_index(li, "l_quantity")
+    out = feat.rank_label(li, "l_quantity", index)
+    return out.select("l_orderkey", "l_linenumber", F.col("label").cast("int").alias("label"))
+
+
+@query("unrank_prediction", ("M08", "G2"), sql=f"""
+with n as (select count(*) as n from {_QTY_INDEX})
+select l.l_orderkey, l.l_linenumber, i.value as predicted
+from lineitem l cross join n
+join {_QTY_INDEX} i
+  on i.idx = cast(trunc(greatest(0.0, least(cast(n.n - 1 as double),
+                                              l.l_discount * 600.0 - 3.0))) as bigint)""")
+def unrank_prediction(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    index = feat.frequency_index(li, "l_quantity")
+    pred = li.select("l_orderkey", "l_linenumber",
+                     (F.col("l_discount") * 600.0 - 3.0).alias("prediction"))
+    out = feat.unrank(pred, "prediction", index, "predicted")
+    return out.select("l_orderkey", "l_linenumber", "predicted")
+
+
+# --- linear models -------------------------------------------------------------
+
+def _qty_price(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                                 "l_extendedprice")
+    return li
+
+
+def _linear_value_bundle(spark, sf_dir):
+    li = _qty_price(spark, sf_dir)
+    stages = [feat.assemble(["l_quantity"]), models.linear(max_iter=10)]
+    return models.train(li, stages, "l_extendedprice", label_mode="value"), li
+
+
+_LINEAR_SQL = """
+with c as (select regr_slope(l_extendedprice, l_quantity) as b,
+                  regr_intercept(l_extendedprice, l_quantity) as a from lineitem)
+select l_orderkey, l_linenumber, round(a + b * l_quantity, 2) as prediction
+from lineitem cross join c"""
+
+
+@query("linear_predict", ("M06", "M09", "C01"), sql=_LINEAR_SQL)
+def linear_predict(spark, sf_dir):
+    bundle, li = _linear_value_bundle(spark, sf_dir)
+    out = bundle.score(li)
+    return out.select("l_orderkey", "l_linenumber", F.round("predicted", 2).alias("prediction"))
+
+
+@query("model_round_trip", ("S10", "S11"), sql=_LINEAR_SQL)
+def model_round_trip(spark, sf_dir):
+    bundle, li = _linear_value_bundle(spark, sf_dir)
+    path = scratch(spark, "model")
+    bundle.save(path)
+    loaded = models.load(spark, path)
+    out = loaded.score(li)
+    return out.select("l_orderkey", "l_linenumber", F.round("predicted", 2).alias("prediction"))
+
+
+def _linear_rank_scored(spark, sf_dir):
+    li = _qty_price(spark, sf_dir)
+    stages = [feat.assemble(["l_extendedprice"]), models.linear(max_iter=10)]
+    bundle = models.train(li, stages, "l_quantity", label_mode="rank")
+    return bundle.score(li)
+
+
+_RANK_PRED_SQL = f"""
+with idx as {_QTY_INDEX},
+n as (select count(*) as n from idx),
+lab as (select l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice,
+               cast(idx.idx as double) as label
+        from lineitem l join idx on idx.value = cast(l.l_quantity as varchar)),
+c as (select regr_slope(label, l_extendedprice) as b, regr_intercept(label, l_extendedprice) as a
+      from lab),
+p as (select lab.*, a + b * l_extendedprice as pred from lab cross join c),
+q as (select p.*, cast(idx.value as double) as predicted_quantity
+      from p cross join n
+      join idx on idx.idx = cast(trunc(greatest(0.0, least(cast(n.n - 1 as double), p.pred)))
+                                 as bigint))
+"""
+
+
+@query("linear_rank_predict", ("M05", "M06", "M08", "C01"), sql=_RANK_PRED_SQL + """
+select l_orderkey, l_linenumber, predicted_quantity from q""")
+def linear_rank_predict(spark, sf_dir):
+    out = _linear_rank_scored(spark, sf_dir)
+    return out.select("l_orderkey", "l_linenumber", F.col("predicted").alias("predicted_quantity"))
+
+
+@query("rmse_report", ("A04", "M12"), sql=_RANK_PRED_SQL + """
+select round(sqrt(avg(power(predicted_quantity - l_quantity, 2))), 6) as rmse,
+  round(avg(case when predicted_quantity = l_quantity then 1.0 else 0.0 end), 6) as match_rate,
+  count(*) as n_scored
+from q""")
+def rmse_report(spark, sf_dir):
+    out = _linear_rank_scored(spark, sf_dir)
+    return evaluate.report(out, "predicted", "l_quantity", digits=6)
+
+
+@query("match_rate", ("A06",), sql=_RANK_PRED_SQL + """
+select round(avg(case when predicted_quantity = l_quantity then 1.0 else 0.0 end), 6)
+  as match_rate, count(*) as n_rows
+from q""")
+def match_rate(spark, sf_dir):
+    out = _linear_rank_scored(spark, sf_dir)
+    return evaluate.match_rate(out, "predicted", "l_quantity", digits=6)
+
+
+@query("rmse_value", ("A04",), sql="""
+with c as (select regr_slope(l_extendedprice, l_quantity) as b,
+                  regr_intercept(l_extendedprice, l_quantity) as a from lineitem)
+select round(sqrt(avg(power(a + b * l_quantity - l_extendedprice, 2))), 4) as rmse,
+  count(*) as n_scored, cast(0 as bigint) as n_missing
+from lineitem cross join c""")
+def rmse_value(spark, sf_dir):
+    bundle, li = _linear_value_bundle(spark, sf_dir)
+    return evaluate.rmse(bundle.score(li), "predicted", "l_extendedprice", digits=4)
+
+
+@query("cross_validate_linear", ("M10", "M11"))
+def cross_validate_linear(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice",
+                                                 "l_discount")
+    li = li.withColumn("label", F.col("l_extendedprice")) \
+           .withColumn("fold", F.pmod(F.xxhash64("l_orderkey"), F.lit(3)).cast("int"))
+    est = models.linear(max_iter=10)
+    stages = [feat.assemble(["l_quantity", "l_discount"]), est]
+    _, metrics = models.cross_validate(li, stages, est, {"regParam": [0.01, 0.1]}, num_folds=3,
+                                       fold_col="fold")
+    return metrics.select("params", F.round("avg_rmse", 3).alias("avg_rmse"))
+
+
+def house_like(spark, sf_dir):
+    """orders x customer as a house-style table: text categories + numerics."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
+                                              "o_orderstatus", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_mktsegment",
+        F.when(F.col("c_custkey") % 11 == 0, F.lit(None)).otherwise(F.col("c_acctbal"))
+        .alias("c_acctbal"), F.col("c_nationkey").cast("double").alias("c_nationkey"))
+    return o.join(c, "o_custkey", "left")
+
+
+HOUSE_LIKE_CATS = ["o_orderpriority", "o_orderstatus", "c_mktsegment"]
+HOUSE_LIKE_NUMS = ["c_acctbal", "c_nationkey"]
+
+
+def gbt_stages(max_iter: int = 10):
+    cat_stages, vecs = feat.categorical(HOUSE_LIKE_CATS)
+    imp, imputed = feat.impute(HOUSE_LIKE_NUMS, strategy="mean")
+    return [*cat_stages, imp, feat.assemble([*vecs, *imputed]), models.gbt(max_iter=max_iter)]
+
+
+@query("gbt_predict", ("M02", "M03", "M04", "M07", "C02"))
+def gbt_predict(spark, sf_dir):
+    df = house_like(spark, sf_dir)
+    bundle = models.train(df, gbt_stages(), "o_totalprice", label_mode="value")
+    out = bundle.score(df)
+    return out.select("o_orderkey", F.round("predicted", 2).alias("prediction"))
