@@ -1 +1,235 @@
-"""Catalogue entries for streams, log relay, keyed upsert and flows."""
+"""Catalogue entries for streams, the log relay, the keyed upsert table and
+the scoring flows. Each runs its stream(s) to completion (available-now
+trigger) into files under the shared workspace and returns the sink read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import merge
+from ..schemas import TableSpec, struct
+from ..session import scratch
+from ..sources import files, keyed
+from ..sources.preview import stream_preview
+from ..sources.tables import table
+from ..streaming.runner import await_done, current_run_id, run_batches, stop_all
+from . import flows
+from .bindings import (BATCH_FEATURES, HISTORY_FEATURES, HISTORY_ROWS_SQL, STREAM_ROWS_SQL,
+                       history_rows, stream_rows)
+from .catalogue import query
+from .q_models import HOUSE_LIKE_CATS, HOUSE_LIKE_NUMS, house_like
+
+
+def table_stream(spark, sf_dir, name, max_files=None):
+    """A driver table as a file stream (the directory, filtered to one file)."""
+    schema = table(spark, sf_dir, name).schema
+    return files.stream_files(spark, sf_dir, schema, fmt="parquet",
+                              max_files_per_trigger=max_files,
+                              options={"pathGlobFilter": f"{name}.parquet"})
+
+
+@query("stream_scan", ("S03", "T09"), sql="""
+select event_id, user_id, upper(event_type) as event_type, coalesce(value, 0.0) * 2 as value2
+from events""")
+def stream_scan(spark, sf_dir):
+    s = table_stream(spark, sf_dir, "events")
+    t = s.select("event_id", "user_id", F.upper("event_type").alias("event_type"),
+                 (F.coalesce("value", F.lit(0.0)) * 2).alias("value2"))
+    out, ck = scratch(spark, "stream-scan"), scratch(spark, "ck")
+    q = t.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
+        .trigger(availableNow=True).start()
+    await_done(q)
+    return spark.read.parquet(out)
+
+
+@query("stream_rate_limit", ("T01", "T02"), sql="""
+select o_orderkey, o_custkey, o_totalprice from orders""")
+def stream_rate_limit(spark, sf_dir):
+    src = scratch(spark, "orders-files")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o.write.option("maxRecordsPerFile", 4000).parquet(src)
+    s = files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1)
+    out, ck = scratch(spark, "rate-out"), scratch(spark, "ck")
+
+    def write(df, epoch):
+        df.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    await_done(run_batches(s, write, ck))
+    return spark.read.parquet(out).drop("epoch")
+
+
+@query("stream_preview", ("S06", "T07", "T08"), sql="""
+select event_id, user_id, event_type from events order by event_id limit 20""")
+def stream_preview_q(spark, sf_dir):
+    s = table_stream(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    path, ck = scratch(spark, "preview"), scratch(spark, "ck")
+    q = stream_preview(s, ck, fmt="table", num_rows=20, order_by=["event_id"], path=path)
+    await_done(q)
+    stop_all(spark)
+    return spark.read.parquet(path).drop("run", "epoch")
+
+
+SCORE_SPEC = TableSpec(struct("id bigint, score double, source string"), "id", "scores")
+
+
+def _upsert_step(path, key, value, source):
+    def step(df, epoch):
+        reduced = merge.reduce_max(df.select(F.col(key).alias("id"), F.col(value).alias("score")),
+                                   "id", ["score"]).withColumn("source", F.lit(source))
+        keyed.upsert(reduced, path, SCORE_SPEC, epoch, run_id=current_run_id(df.sparkSession))
+    return step
+
+
+def _two_runs(spark, sf_dir, path, ck_events=None, ck_orders=None):
+    ck_events = ck_events or scratch(spark, "ck")
+    ck_orders = ck_orders or scratch(spark, "ck")
+    await_done(run_batches(table_stream(spark, sf_dir, "events"),
+                           _upsert_step(path, "user_id", "value", "events"), ck_events))
+    await_done(run_batches(table_stream(spark, sf_dir, "orders"),
+                           _upsert_step(path, "o_custkey", "o_totalprice", "orders"), ck_orders))
+    return ck_events, ck_orders
+
+
+_LATEST_SQL = """
+with a as (select user_id as id, max(value) as score, 'events' as source from events group by 1),
+     b as (select o_custkey as id, max(o_totalprice) as score, 'orders' as source
+           from orders group by 1)
+select * from b
+union all
+select * from a where id not in (select id from b)"""
+
+
+@query("stream_upsert_latest", ("S08", "S09", "K02", "K03", "T04", "T05", "F01"), sql=_LATEST_SQL)
+def stream_upsert_latest(spark, sf_dir):
+    path = scratch(spark, "scores")
+    _two_runs(spark, sf_dir, path)
+    return keyed.read_table(spark, path, SCORE_SPEC)
+
+
+@query("stream_restart", ("T04", "G20", "G21"), sql=_LATEST_SQL)
+def stream_restart(spark, sf_dir):
+    path = scratch(spark, "scores")
+    ck_e, ck_o = _two_runs(spark, sf_dir, path)
+    # same checkpoints again: nothing new to process, nothing rewritten
+    _two_runs(spark, sf_dir, path, ck_e, ck_o)
+    # a fresh checkpoint for the orders stream: a new run rewrites the same values
+    await_done(run_batches(table_stream(spark, sf_dir, "orders"),
+                           _upsert_step(path, "o_custkey", "o_totalprice", "orders"),
+                           scratch(spark, "ck")))
+    return keyed.read_table(spark, path, SCORE_SPEC)
+
+
+@query("compact_table", ("K02", "K03"), sql=_LATEST_SQL)
+def compact_table(spark, sf_dir):
+    path = scratch(spark, "scores")
+    await_done(run_batches(table_stream(spark, sf_dir, "events"),
+                           _upsert_step(path, "user_id", "value", "events"), scratch(spark, "ck")))
+    new_path = keyed.compact(spark, path, scratch(spark, "scores-compacted"), SCORE_SPEC)
+    # the writer switches to the compacted table and goes on
+    await_done(run_batches(table_stream(spark, sf_dir, "orders"),
+                           _upsert_step(new_path, "o_custkey", "o_totalprice", "orders"),
+                           scratch(spark, "ck")))
+    return keyed.read_table(spark, new_path, SCORE_SPEC)
+
+
+# --- scoring flows -------------------------------------------------------------------
+
+HISTORY_SPEC = TableSpec(struct("id bigint, acctbal double, nation double"), "id", "history")
+PREDICTION_SPEC = TableSpec(struct(
+    "id bigint, totalprice double, order_year double, acctbal double, nation double, "
+    "prediction double"), "id", "predictions")
+
+
+def train_tutor_like(spark, sf_dir):
+    """One-feature linear model on merged features (closed form in the oracle)."""
+    merged = merge.merge_max(stream_rows(spark, sf_dir), history_rows(spark, sf_dir), "id",
+                             BATCH_FEATURES, HISTORY_FEATURES, absent=0.0)
+    label = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 1000.0).alias("acctbal_k"))
+    return flows.train_linear(merged.join(label, "id"), ["totalprice"], "acctbal_k")
+
+
+_SCORED_SQL = f"""
+with b as (select id, max(totalprice) as totalprice, max(order_year) as order_year
+           from {STREAM_ROWS_SQL} s group by id),
+     h as (select id, coalesce(acctbal, 0.0) as acctbal, coalesce(nation, 0.0) as nation
+           from {HISTORY_ROWS_SQL} x where id in (select id from b)),
+     u as (select id, totalprice, order_year, cast(0.0 as double) as acctbal,
+                  cast(0.0 as double) as nation from b
+           union all
+           select id, cast(0.0 as double), cast(0.0 as double), acctbal, nation from h),
+     m as (select id, max(totalprice) as totalprice, max(order_year) as order_year,
+                  max(acctbal) as acctbal, max(nation) as nation from u group by id),
+     t as (select m.totalprice as x, c.c_acctbal / 1000.0 as y
+           from m join customer c on c.c_custkey = m.id),
+     f as (select regr_slope(y, x) as b, regr_intercept(y, x) as a from t)
+select id, totalprice, order_year, acctbal, nation,
+       round(a + b * coalesce(totalprice, 0.0), 4) as prediction
+from m cross join f"""
+
+
+def _rounded(df):
+    return df.withColumn("prediction", F.round("prediction", 4))
+
+
+@query("score_with_history", ("S07", "S12", "S14", "T10", "T11", "C01", "C04"), sql=_SCORED_SQL)
+def score_with_history(spark, sf_dir):
+    bundle = train_tutor_like(spark, sf_dir)
+    hist_path, out_path = scratch(spark, "history"), scratch(spark, "predictions")
+    flows.seed_history(history_rows(spark, sf_dir), hist_path, HISTORY_SPEC)
+    step = flows.MergeScore(
+        history=lambda s: keyed.read_table(s, hist_path, HISTORY_SPEC),
+        bundle=bundle, key="id", batch_features=BATCH_FEATURES,
+        history_features=HISTORY_FEATURES, table_path=out_path, spec=PREDICTION_SPEC)
+    batch = table_stream(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("totalprice"),
+        F.year("o_orderdate").cast("double").alias("order_year"))
+    await_done(flows.score_with_history(batch, step, scratch(spark, "ck")))
+    return _rounded(keyed.read_table(spark, out_path, PREDICTION_SPEC))
+
+
+@query("relay_then_score", ("S04", "S05", "T03", "T06", "C03", "P09", "P12"), sql=_SCORED_SQL)
+def relay_then_score(spark, sf_dir):
+    bundle = train_tutor_like(spark, sf_dir)
+    log_path, out_path = scratch(spark, "log"), scratch(spark, "predictions")
+    rows = table_stream(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("totalprice"),
+        F.year("o_orderdate").cast("double").alias("order_year"))
+    await_done(flows.relay_to_log(rows, log_path, scratch(spark, "ck"), fmt="json"))
+    parsed = flows.parse_log(spark, log_path,
+                             struct("id bigint, totalprice double, order_year double"))
+    step = flows.MergeScore(
+        history=lambda s: history_rows(s, sf_dir), bundle=bundle, key="id",
+        batch_features=BATCH_FEATURES, history_features=HISTORY_FEATURES,
+        table_path=out_path, spec=PREDICTION_SPEC)
+    await_done(flows.score_with_history(parsed, step, scratch(spark, "ck")))
+    return _rounded(keyed.read_table(spark, out_path, PREDICTION_SPEC))
+
+
+HOUSE_OUT_SPEC = TableSpec(struct("id bigint, prediction int"), "id", "price_predictions")
+
+
+@query("score_stream_gbt", ("C02", "C05", "P01", "P07", "P14", "T09", "G14", "G15"))
+def score_stream_gbt(spark, sf_dir):
+    train = house_like(spark, sf_dir)
+    bundle = flows.train_gbt(train, HOUSE_LIKE_CATS, HOUSE_LIKE_NUMS, "o_totalprice",
+                             fill={"c_acctbal": 60.0})
+    # the serving side receives text files: id and one numeric column as text
+    src = scratch(spark, "house-csv")
+    k = F.col("o_orderkey")
+    train.select(F.when(k % 97 == 0, F.lit(None)).otherwise(k).cast("string").alias("o_orderkey"),
+                 *HOUSE_LIKE_CATS,
+                 F.when(k % 5 == 0, F.lit("NA")).otherwise(F.col("c_acctbal").cast("string"))
+                 .alias("c_acctbal"), "c_nationkey") \
+        .write.option("header", True).option("maxRecordsPerFile", 5000).csv(src)
+    schema = struct("o_orderkey string, o_orderpriority string, o_orderstatus string, "
+                    "c_mktsegment string, c_acctbal string, c_nationkey double")
+    stream = files.stream_files(spark, src, schema, fmt="csv", max_files_per_trigger=2)
+    cleaned = flows.clean_stream(stream, {"c_acctbal": "double"}, {}, key="o_orderkey")
+    cleaned = cleaned.withColumn("o_orderkey", F.col("o_orderkey").try_cast("bigint"))
+    out_path = scratch(spark, "price-predictions")
+    step = flows.ScoreOnly(bundle, "o_orderkey", out_path, HOUSE_OUT_SPEC,
+                           output={"id": "o_orderkey", "prediction": "predicted"})
+    await_done(flows.score_stream(cleaned, step, scratch(spark, "ck")))
+    return keyed.read_table(spark, out_path, HOUSE_OUT_SPEC)
