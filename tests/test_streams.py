@@ -124,3 +124,18 @@ def test_stream_equals_batch_when_keys_do_not_repeat(spark, tmp):
     assert streamed.keys() == batch.keys()
     for k in batch:
         assert all(abs(x - y) < 1e-9 for x, y in zip(streamed[k], batch[k])), k
+
+
+def test_bucketed_lookup_prunes_and_matches_full_read(spark, tmp):
+    spec = TableSpec(struct("id bigint, v double"), "id", buckets=8)
+    path = tmp("kt")
+    keyed.upsert(spark.range(0, 500).select("id", (F.col("id") * 1.0).alias("v")), path, spec, 0, "r")
+    keyed.upsert(spark.range(0, 50).select("id", (F.col("id") * -1.0).alias("v")), path, spec, 1, "r")
+    keys = spark.createDataFrame([(3,), (42,), (499,), (10**6,)], "id int")
+    got = keyed.lookup(spark, path, spec, keys, key_count=4)
+    assert sorted(map(tuple, got.collect())) == [(3, -3.0), (42, -42.0), (499, 499.0)]
+    scan = [ln for ln in got._jdf.queryExecution().sparkPlan().toString().splitlines()
+            if "PartitionFilters" in ln and "bucket" in ln]
+    assert scan and "bucket#" in scan[0].split("PartitionFilters: ")[1].split("]")[0]
+    full = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
+    assert len(full) == 500 and full[3] == -3.0

@@ -83,7 +83,7 @@ def merge_max(batch: DataFrame, history: DataFrame, key: str,
               batch_columns: Sequence[str], history_columns: Sequence[str],
               absent=0.0, key_count: int | None = None,
               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-              reduced: DataFrame | None = None) -> DataFrame:
+              reduced: DataFrame | None = None, history_is_matched: bool = False) -> DataFrame:
     """Merge a micro-batch with stored history per key (J02 via U01).
 
     Output: one row per distinct batch key with every column of
@@ -97,6 +97,8 @@ def merge_max(batch: DataFrame, history: DataFrame, key: str,
 
     ``reduced`` may pass an already computed (and persisted) ``reduce_max`` of
     the batch; ``key_count`` its measured row count (enables the broadcast).
+    ``history_is_matched`` says ``history`` already holds only batch keys (a
+    keyed-table lookup), so no second semi join is planned.
     """
     batch_columns = list(batch_columns)
     history_columns = list(history_columns)
@@ -111,8 +113,10 @@ def merge_max(batch: DataFrame, history: DataFrame, key: str,
            (F.lit(absent) if absent is not None else F.lit(None)).cast(types[c])).alias(c)
           for c in columns])
 
-    found = lookup(history.select(key, *history_columns), reduced.select(key), key,
-                   key_count=key_count, broadcast_limit=broadcast_limit)
+    found = history.select(key, *history_columns)
+    if not history_is_matched:
+        found = lookup(found, reduced.select(key), key, key_count=key_count,
+                       broadcast_limit=broadcast_limit)
 
     def hist_col(c):
         if c not in history_columns:

@@ -72,7 +72,8 @@ def seed_history(df: DataFrame, table_path: str, spec: TableSpec, run_id: str =
 class MergeScore:
     """The per-micro-batch function of the history-enriched scorers."""
 
-    history: Callable[[SparkSession], DataFrame]   # re-read on every batch
+    # a frame factory (re-read on every batch) or a keyed table read by the batch's keys
+    history: Callable[[SparkSession], DataFrame] | keyed.KeyedHistory
     bundle: models.ModelBundle
     key: str
     batch_features: Sequence[str]
@@ -89,10 +90,16 @@ class MergeScore:
             n_keys = reduced.count()
             if n_keys == 0:           # header-only file / empty trigger
                 return
-            merged = merge.merge_max(df, self.history(spark), self.key, self.batch_features,
+            if isinstance(self.history, keyed.KeyedHistory):
+                hist = self.history.lookup(spark, reduced.select(self.key), n_keys,
+                                           self.broadcast_limit)
+                matched = True
+            else:
+                hist, matched = self.history(spark), False
+            merged = merge.merge_max(df, hist, self.key, self.batch_features,
                                      self.history_features, absent=self.absent,
                                      key_count=n_keys, broadcast_limit=self.broadcast_limit,
-                                     reduced=reduced)
+                                     reduced=reduced, history_is_matched=matched)
             scored = self.bundle.score(merged, out=self.prediction_col)
             keyed.upsert(scored, self.table_path, self.spec, epoch,
                          run_id=current_run_id(spark), dedupe_rule="none")

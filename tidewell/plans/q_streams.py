@@ -135,7 +135,8 @@ def compact_table(spark, sf_dir):
 
 # --- scoring flows -------------------------------------------------------------------
 
-HISTORY_SPEC = TableSpec(struct("id bigint, acctbal double, nation double"), "id", "history")
+HISTORY_SPEC = TableSpec(struct("id bigint, acctbal double, nation double"), "id", "history",
+                         buckets=16)
 PREDICTION_SPEC = TableSpec(struct(
     "id bigint, totalprice double, order_year double, acctbal double, nation double, "
     "prediction double"), "id", "predictions")
@@ -179,7 +180,7 @@ def score_with_history(spark, sf_dir):
     hist_path, out_path = scratch(spark, "history"), scratch(spark, "predictions")
     flows.seed_history(history_rows(spark, sf_dir), hist_path, HISTORY_SPEC)
     step = flows.MergeScore(
-        history=lambda s: keyed.read_table(s, hist_path, HISTORY_SPEC),
+        history=keyed.KeyedHistory(hist_path, HISTORY_SPEC),
         bundle=bundle, key="id", batch_features=BATCH_FEATURES,
         history_features=HISTORY_FEATURES, table_path=out_path, spec=PREDICTION_SPEC)
     batch = table_stream(spark, sf_dir, "orders").select(

@@ -100,11 +100,13 @@ class TableSpec:
     schema: T.StructType
     key: str
     name: str = "table"
+    buckets: int | None = None   # hash buckets of the stored layout (lookup pruning)
     extra: dict = field(default_factory=dict)
 
     @classmethod
-    def from_ddl(cls, ddl: str, key: str, name: str = "table") -> "TableSpec":
-        return cls(_ddl(ddl), key, name)
+    def from_ddl(cls, ddl: str, key: str, name: str = "table",
+                 buckets: int | None = None) -> "TableSpec":
+        return cls(_ddl(ddl), key, name, buckets)
 
     @property
     def columns(self) -> list[str]:

@@ -11,6 +11,14 @@ batch is written) so the current state is the row with the greatest
 Reading the current state is one aggregate: ``max_by`` with partial
 aggregation per task, so a key updated in every batch does not pile up in one
 task. ``compact`` writes that state as the base of a new table directory.
+
+``lookup`` reads the state of some keys only: the slices are semi-joined with
+the keys *before* the aggregation (Catalyst does not push a semi join below
+``max_by``), so only matching rows are shuffled. With ``spec.buckets`` set,
+every slice is also laid out as ``bucket=pmod(xxhash64(key), B)`` directories;
+a lookup lists the (at most B) buckets its keys fall in and the scan reads only
+those directories (partition pruning), so a small batch touches a small share
+of a large table.
 """
 
 from __future__ import annotations
@@ -42,6 +50,12 @@ def dedupe(df: DataFrame, spec: TableSpec, rule: str = "max") -> DataFrame:
     raise ValueError(f"unknown dedupe rule {rule!r}")
 
 
+def bucket_of(key_col, spec: TableSpec):
+    """Storage bucket of a key (key cast to the table's key type first)."""
+    k = key_col.cast(spec.schema[spec.key].dataType)
+    return F.pmod(F.xxhash64(k), F.lit(spec.buckets)).cast("int")
+
+
 def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str | None = None,
            dedupe_rule: str = "none", committed_at: int | None = None) -> None:
     """Write one batch as the (run, epoch) slice of the table.
@@ -55,7 +69,16 @@ def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str |
     stamp = committed_at if committed_at is not None else time.time_ns() // 1000
     out = out.withColumn(COMMIT_COL, F.lit(stamp).cast("long")) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
-    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/epoch={int(epoch)}")
+    _write_slice(out, f"{path.rstrip('/')}/run={run}/epoch={int(epoch)}", spec)
+
+
+def _write_slice(out: DataFrame, target: str, spec: TableSpec) -> None:
+    w = out
+    if spec.buckets:
+        w = out.withColumn("bucket", bucket_of(_q(spec.key), spec))
+        w.write.mode("overwrite").partitionBy("bucket").parquet(target)
+    else:
+        w.write.mode("overwrite").parquet(target)
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -66,7 +89,8 @@ def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame |
     schema = T.StructType(spec.schema.fields + [
         T.StructField(COMMIT_COL, T.LongType(), True),
         T.StructField("run", T.StringType(), True),
-        T.StructField("epoch", T.LongType(), True)])
+        T.StructField("epoch", T.LongType(), True)]
+        + ([T.StructField("bucket", T.IntegerType(), True)] if spec.buckets else []))
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
@@ -75,11 +99,7 @@ def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame |
         raise
 
 
-def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Current state: the latest row per key."""
-    slices = read_slices(spark, path, spec)
-    if slices is None:
-        return _empty(spark, spec)
+def _latest(slices: DataFrame, spec: TableSpec) -> DataFrame:
     order = F.struct(_q(COMMIT_COL), _q("epoch"))
     latest = slices.groupBy(spec.key).agg(
         F.max_by(F.struct(*[_q(c) for c in spec.value_columns]), order).alias("__row"))
@@ -87,14 +107,58 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
                                          for c in spec.value_columns])
 
 
+def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """Current state: the latest row per key."""
+    slices = read_slices(spark, path, spec)
+    if slices is None:
+        return _empty(spark, spec)
+    return _latest(slices, spec)
+
+
+def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame,
+           key_count: int | None = None, broadcast_limit: int = 2_000_000) -> DataFrame:
+    """Current state of the keys in ``keys`` only (J01 against a keyed table).
+
+    ``key_count`` is the caller's measured number of distinct keys; the key set
+    is broadcast only when it is known to be at most ``broadcast_limit``.
+    """
+    slices = read_slices(spark, path, spec)
+    if slices is None:
+        return _empty(spark, spec)
+    k = keys.select(_q(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
+    if spec.buckets:
+        # at most ``spec.buckets`` small ints reach the driver: a proven bound
+        touched = [r[0] for r in k.select(bucket_of(_q(spec.key), spec).alias("b"))
+                   .distinct().collect()]
+        if not touched:
+            return _empty(spark, spec)
+        slices = slices.where(F.col("bucket").isin(touched))
+    right = F.broadcast(k) if key_count is not None and key_count <= broadcast_limit else k
+    return _latest(slices.join(right, on=spec.key, how="left_semi"), spec)
+
+
+class KeyedHistory:
+    """A keyed table used as stored history: read per batch, by the batch's keys."""
+
+    def __init__(self, path: str, spec: TableSpec):
+        self.path, self.spec = path, spec
+
+    def lookup(self, spark: SparkSession, keys: DataFrame, key_count: int | None = None,
+               broadcast_limit: int = 2_000_000) -> DataFrame:
+        return lookup(spark, self.path, self.spec, keys, key_count, broadcast_limit)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.path, self.spec)
+
+
 def compact(spark: SparkSession, path: str, new_path: str, spec: TableSpec) -> str:
     """Write the current state of ``path`` as the base slice of ``new_path``
     and return ``new_path``; the writer then switches to it. Reads of the new
     table touch one slice plus the epochs written after the switch."""
     slices = read_slices(spark, path, spec)
     if slices is None:
-        _empty(spark, spec).withColumn(COMMIT_COL, F.lit(0).cast("long")) \
-            .write.mode("overwrite").parquet(f"{new_path}/run=base/epoch=0")
+        _write_slice(_empty(spark, spec).withColumn(COMMIT_COL, F.lit(0).cast("long")),
+                     f"{new_path}/run=base/epoch=0", spec)
         return new_path
     order = F.struct(_q(COMMIT_COL), _q("epoch"))
     latest = slices.groupBy(spec.key).agg(
@@ -102,5 +166,5 @@ def compact(spark: SparkSession, path: str, new_path: str, spec: TableSpec) -> s
         .alias("__row"))
     base = latest.select(_q(spec.key), *[F.col("__row").getField(c).alias(c)
                                          for c in [*spec.value_columns, COMMIT_COL]])
-    base.write.mode("overwrite").parquet(f"{new_path.rstrip('/')}/run=base/epoch=0")
+    _write_slice(base, f"{new_path.rstrip('/')}/run=base/epoch=0", spec)
     return new_path
