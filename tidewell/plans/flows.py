@@ -62,8 +62,8 @@ def train_gbt(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence
 # --- history -----------------------------------------------------------------------
 
 def seed_history(df: DataFrame, table_path: str, spec: TableSpec, run_id: str = "seed") -> None:
-    """Load stored history into a keyed table."""
-    keyed.upsert(df, table_path, spec, epoch=0, run_id=run_id, dedupe_rule="max")
+    """Load stored history into a keyed table (S14); columns the file lacks are null."""
+    keyed.upsert(df, table_path, spec, epoch=0, run_id=run_id, dedupe_rule="max", strict=False)
 
 
 # --- per-batch logic ---------------------------------------------------------------
@@ -83,9 +83,16 @@ class MergeScore:
     absent: float | None = 0.0
     prediction_col: str = "prediction"
     broadcast_limit: int = merge.DEFAULT_BROADCAST_LIMIT
+    null_key: str = "drop"           # drop | default (-> 0) | quarantine (kept aside)
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
+        if self.null_key == "quarantine":
+            clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(
+                f"{self.table_path.rstrip('/')}_quarantine/run={current_run_id(spark)}/epoch={epoch}")
+            df = clean.null_key(df, self.key, "drop")
+        else:
+            df = clean.null_key(df, self.key, self.null_key)
         with batch_scope(merge.reduce_max(df, self.key, self.batch_features)) as reduced:
             n_keys = reduced.count()
             if n_keys == 0:           # header-only file / empty trigger

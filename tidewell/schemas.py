@@ -79,7 +79,7 @@ def house_stream_schema() -> T.StructType:
 
 def house_train_casts() -> dict[str, str]:
     """Column -> type for the all-string training read (numerics and the label)."""
-    casts = {c: ("float" if c in HOUSE_FLOAT else "int") for c in HOUSE_NUMERIC if c != "LotFrontage"}
+    casts = {c: ("float" if c in HOUSE_FLOAT else "int") for c in HOUSE_NUMERIC}
     casts[HOUSE_LABEL] = "int"
     return casts
 

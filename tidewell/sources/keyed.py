@@ -57,15 +57,16 @@ def bucket_of(key_col, spec: TableSpec):
 
 
 def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str | None = None,
-           dedupe_rule: str = "none", committed_at: int | None = None) -> None:
+           dedupe_rule: str = "none", committed_at: int | None = None,
+           strict: bool = True) -> None:
     """Write one batch as the (run, epoch) slice of the table.
 
     Rows are conformed to ``spec`` (names, order, types); a null key fails the
     write, as a store with a primary key would — default or drop it first
-    (``clean.null_key``).
+    (``clean.null_key``). ``strict=False`` writes absent columns as nulls.
     """
     run = run_id or "batch"
-    out = dedupe(spec.conform(df, strict=True), spec, dedupe_rule)
+    out = dedupe(spec.conform(df, strict=strict), spec, dedupe_rule)
     stamp = committed_at if committed_at is not None else time.time_ns() // 1000
     out = out.withColumn(COMMIT_COL, F.lit(stamp).cast("long")) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
