@@ -100,3 +100,17 @@ def test_cross_validate_folds(spark):
     _, metrics = models.cross_validate(df, [feat.assemble(["x"]), est], est,
                                        {"regParam": [0.01, 0.1]}, fold_col="fold")
     assert metrics.count() == 2
+
+
+def test_gbt_save_load_identical(spark, tmp):
+    df = spark.range(0, 300).select(
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("cat"),
+        (F.col("id") % 13).cast("double").alias("num"),
+        ((F.col("id") % 13) * 3.0).alias("y"))
+    bundle = flows.train_gbt(df, ["cat"], ["num"], "y", max_iter=3, label_mode="rank")
+    path = tmp("gbt")
+    bundle.save(path)
+    loaded = models.load(spark, path)
+    a = sorted(map(tuple, bundle.score(df).select("num", "cat", "predicted").collect()))
+    b = sorted(map(tuple, loaded.score(df).select("num", "cat", "predicted").collect()))
+    assert a == b

@@ -41,6 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_LOCAL_WORKSPACES: dict[int, str] = {}
+
+
 def workspace(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
@@ -54,9 +57,15 @@ def workspace(spark: SparkSession) -> str:
             base = spark.sparkContext.getCheckpointDir()
         except Exception:  # pragma: no cover - e.g. Spark Connect
             base = None
+    if not base:
+        base = _LOCAL_WORKSPACES.get(id(spark))
     if not base:
         base = tempfile.mkdtemp(prefix="tidewell-ws-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        _LOCAL_WORKSPACES[id(spark)] = base
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # pragma: no cover - a session that refuses the setting
+            pass
         try:
             spark.sparkContext.setCheckpointDir(base)
         except Exception:  # pragma: no cover
