@@ -79,13 +79,13 @@ def assemble_vector(spark, sf_dir):
 
 def _holey_acctbal(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    return c.select("c_custkey", F.when(F.col("c_custkey") % 7 == 0, F.lit(None))
+    return c.select("c_custkey", F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None))
                     .otherwise(F.col("c_acctbal")).alias("acctbal"))
 
 
 @query("impute_mean", ("M04",), sql="""
 select c_custkey, round(coalesce(acctbal, avg(acctbal) over ()), 6) as acctbal_imputed
-from (select c_custkey, case when c_custkey % 7 = 0 then null else c_acctbal end as acctbal
+from (select c_custkey, case when c_mktsegment = 'HOUSEHOLD' then null else c_acctbal end as acctbal
       from customer)""")
 def impute_mean(spark, sf_dir):
     df = _holey_acctbal(spark, sf_dir)
@@ -95,7 +95,7 @@ def impute_mean(spark, sf_dir):
 
 
 @query("constant_fill_stage", ("M04", "G4"), sql="""
-select c_custkey, case when c_custkey % 7 = 0 then 60.0 else c_acctbal end as acctbal_filled
+select c_custkey, case when c_mktsegment = 'HOUSEHOLD' then 60.0 else c_acctbal end as acctbal_filled
 from customer""")
 def constant_fill_stage(spark, sf_dir):
     df = _holey_acctbal(spark, sf_dir)
@@ -248,7 +248,7 @@ def house_like(spark, sf_dir):
                                               "o_orderstatus", "o_totalprice")
     c = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment",
-        F.when(F.col("c_custkey") % 11 == 0, F.lit(None)).otherwise(F.col("c_acctbal"))
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.col("c_acctbal"))
         .alias("c_acctbal"), F.col("c_nationkey").cast("double").alias("c_nationkey"))
     return o.join(c, "o_custkey", "left")
 

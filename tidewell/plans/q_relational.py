@@ -98,20 +98,23 @@ def cast_bad_text_null(spark, sf_dir):
 
 
 _HOLEY_CUSTOMER_SQL = """(select c_custkey,
-  case when c_custkey % 7 = 0 then null else c_acctbal end as acctbal,
-  case when c_custkey % 5 = 0 then null else c_nationkey end as nation,
-  case when c_custkey % 3 = 0 then null else c_mktsegment end as segment
+  case when c_mktsegment = 'HOUSEHOLD' then null else c_acctbal end as acctbal,
+  case when c_acctbal < 0 then null else c_nationkey end as nation,
+  case when c_nationkey = 0 then null else c_mktsegment end as segment
 from customer)"""
 
 
 def _holey_customer(spark, sf_dir):
+    # gaps follow the data: no balance on file for households, no nation for
+    # overdrawn accounts, no segment for nation 0
     c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
     return c.select(
         "c_custkey",
-        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("acctbal"),
-        F.when(k % 5 == 0, F.lit(None)).otherwise(F.col("c_nationkey")).alias("nation"),
-        F.when(k % 3 == 0, F.lit(None)).otherwise(F.col("c_mktsegment")).alias("segment"))
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None)).otherwise(F.col("c_acctbal"))
+        .alias("acctbal"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_nationkey")).alias("nation"),
+        F.when(F.col("c_nationkey") == 0, F.lit(None)).otherwise(F.col("c_mktsegment"))
+        .alias("segment"))
 
 
 @query("fill_scalar", ("P06",), sql=f"""
@@ -130,22 +133,29 @@ def fill_by_column(spark, sf_dir):
                       by_column={"acctbal": 60.0, "segment": "UNKNOWN"})
 
 
+# pending urgent orders arrive without a customer key
+_NO_CUSTOMER = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+
+
 @query("null_key_default", ("P14",), sql="""
-select o_orderkey, coalesce(case when o_orderkey % 13 = 0 then null else o_custkey end, 0) as id
+select o_orderkey,
+  coalesce(case when o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then null
+                else o_custkey end, 0) as id
 from orders""")
 def null_key_default(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
+        F.when(_NO_CUSTOMER, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
     return clean.null_key(o, "id", mode="default", default=0)
 
 
 @query("null_key_drop", ("P14",), sql="""
-select o_orderkey, o_custkey as id from orders where o_orderkey % 13 <> 0""")
+select o_orderkey, o_custkey as id from orders
+where not (o_orderstatus = 'P' and o_orderpriority = '1-URGENT')""")
 def null_key_drop(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
+        F.when(_NO_CUSTOMER, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
     return clean.null_key(o, "id", mode="drop")
 
 

@@ -219,10 +219,11 @@ def score_stream_gbt(spark, sf_dir):
     # the serving side receives text files: id and one numeric column as text
     src = scratch(spark, "house-csv")
     k = F.col("o_orderkey")
-    train.select(F.when(k % 97 == 0, F.lit(None)).otherwise(k).cast("string").alias("o_orderkey"),
+    no_id = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+    train.select(F.when(no_id, F.lit(None)).otherwise(k).cast("string").alias("o_orderkey"),
                  *HOUSE_LIKE_CATS,
-                 F.when(k % 5 == 0, F.lit("NA")).otherwise(F.col("c_acctbal").cast("string"))
-                 .alias("c_acctbal"), "c_nationkey") \
+                 F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA"))
+                 .otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"), "c_nationkey") \
         .write.option("header", True).option("maxRecordsPerFile", 5000).csv(src)
     schema = struct("o_orderkey string, o_orderpriority string, o_orderstatus string, "
                     "c_mktsegment string, c_acctbal string, c_nationkey double")
