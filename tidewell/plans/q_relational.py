@@ -134,7 +134,8 @@ def fill_by_column(spark, sf_dir):
 
 
 # pending urgent orders arrive without a customer key
-_NO_CUSTOMER = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
+def _no_customer():
+    return (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
 
 
 @query("null_key_default", ("P14",), sql="""
@@ -145,7 +146,7 @@ from orders""")
 def null_key_default(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.when(_NO_CUSTOMER, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
+        F.when(_no_customer(), F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
     return clean.null_key(o, "id", mode="default", default=0)
 
 
@@ -155,7 +156,7 @@ where not (o_orderstatus = 'P' and o_orderpriority = '1-URGENT')""")
 def null_key_drop(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.when(_NO_CUSTOMER, F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
+        F.when(_no_customer(), F.lit(None)).otherwise(F.col("o_custkey")).alias("id"))
     return clean.null_key(o, "id", mode="drop")
 
 
