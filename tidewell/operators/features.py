@@ -102,31 +102,23 @@ def constant_fill(values: Mapping[str, float]) -> SQLTransformer:
     """Pipeline stage: null/NaN -> constant, per column, same column name.
 
     Inside the pipeline so training and serving fill the same way."""
-    keep = "*"
     repl = ", ".join(
         f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), CAST({float(v)!r} AS DOUBLE)) AS `{c}__filled`"
         for c, v in values.items())
-    return SQLTransformer(statement=f"SELECT {keep}, {repl} FROM __THIS__")
+    return SQLTransformer(statement=f"SELECT *, {repl} FROM __THIS__")
 
 
 def impute(columns: Sequence[str], strategy: str = "mean", suffix: str = "__imp") -> tuple[Imputer, list[str]]:
     """Mean/median/mode imputation stage (M04). Returns ``(stage, output_columns)``.
-
-    Spark's Imputer rejects NaN-free integer columns only for the median on
-    some versions; inputs are cast to double by ``numeric_as_double`` first.
-    """
+    The surrogate values are one small aggregate, stored in the model."""
     outs = [f"{c}{suffix}" for c in columns]
     return Imputer(inputCols=list(columns), outputCols=outs, strategy=strategy), outs
 
 
-def numeric_as_double(columns: Sequence[str], suffix: str = "") -> SQLTransformer:
-    """Pipeline stage: cast numerics to double (text that is not a number -> null)."""
-    if suffix:
-        sel = ", ".join(f"TRY_CAST(`{c}` AS DOUBLE) AS `{c}{suffix}`" for c in columns)
-        return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
-    others = "*"
-    sel = ", ".join(f"TRY_CAST(`{c}` AS DOUBLE) AS `{c}__dbl`" for c in columns)
-    return SQLTransformer(statement=f"SELECT {others}, {sel} FROM __THIS__")
+def numeric_as_double(columns: Sequence[str], suffix: str = "__dbl") -> SQLTransformer:
+    """Pipeline stage: ``{c}{suffix}`` = ``c`` as double (text that is not a number -> null)."""
+    sel = ", ".join(f"TRY_CAST(`{c}` AS DOUBLE) AS `{c}{suffix}`" for c in columns)
+    return SQLTransformer(statement=f"SELECT *, {sel} FROM __THIS__")
 
 
 def assemble(inputs: Sequence[str], output: str = "features",
