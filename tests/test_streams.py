@@ -139,3 +139,24 @@ def test_bucketed_lookup_prunes_and_matches_full_read(spark, tmp):
     assert scan and "bucket#" in scan[0].split("PartitionFilters: ")[1].split("]")[0]
     full = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
     assert len(full) == 500 and full[3] == -3.0
+
+
+def test_merge_scorer_quarantines_null_keys(spark, tmp):
+    src, out = tmp("src"), tmp("out")
+    spark.createDataFrame([(1, 2.0), (None, 5.0), (2, 3.0)], "id bigint, a double") \
+        .coalesce(1).write.parquet(src)
+    hist = spark.createDataFrame([(1, 10.0)], "id bigint, h double")
+    train = spark.range(0, 50).select(F.col("id").cast("double").alias("a"),
+                                      (F.col("id") * 2.0).alias("label"))
+    bundle = flows.train_linear(train, ["a"], "label")
+    spec = TableSpec(struct("id bigint, a double, h double, prediction double"), "id")
+    step = flows.MergeScore(history=lambda s: hist, bundle=bundle, key="id", batch_features=["a"],
+                            history_features=["h"], table_path=out, spec=spec, absent=None,
+                            null_key="quarantine")
+    stream = files.stream_files(spark, src, struct("id bigint, a double"), fmt="parquet")
+    await_done(flows.score_with_history(stream, step, tmp("ck")))
+    got = {r.id: r for r in keyed.read_table(spark, out, spec).collect()}
+    assert set(got) == {1, 2} and got[1].h == 10.0 and got[2].h is None
+    assert abs(got[1].prediction - 4.0) < 1e-6
+    aside = spark.read.parquet(f"{out}_quarantine")
+    assert aside.count() == 1 and aside.first().a == 5.0
