@@ -247,8 +247,8 @@ def encode_text(spark, sf_dir):
 
 @query("encode_json", ("P09",), sql="""
 select cast(null as varchar) as key,
-  to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type,
-                      props := props)) as value,
+  cast(to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type,
+                           props := props)) as varchar) as value,
   event_id as offset
 from events""")
 def encode_json(spark, sf_dir):
