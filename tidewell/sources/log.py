@@ -67,7 +67,13 @@ def stream_log(spark: SparkSession, source: str, format: str = "files",
             .option("startingOffsets", starting)
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        raw = r.options(**dict(options or {})).load()
+        try:
+            raw = r.options(**dict(options or {})).load()
+        except Exception as e:  # connector jar not on the classpath
+            if "kafka" in str(e).lower() and "find" in str(e).lower():
+                raise RuntimeError("format='kafka' needs the spark-sql-kafka package on the "
+                                   "cluster; use format='files' for the file-backed log") from e
+            raise
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"),
                           F.col("offset").cast("long"))
     r = spark.readStream.schema(LOG_SCHEMA).format("parquet")
