@@ -160,3 +160,14 @@ def test_merge_scorer_quarantines_null_keys(spark, tmp):
     assert abs(got[1].prediction - 4.0) < 1e-6
     aside = spark.read.parquet(f"{out}_quarantine")
     assert aside.count() == 1 and aside.first().a == 5.0
+
+
+def test_log_records_per_trigger(spark, tmp):
+    src, lg, out = tmp("src"), tmp("log"), tmp("out")
+    spark.range(0, 1000).coalesce(1).write.parquet(src)
+    stream = files.stream_files(spark, src, struct("id bigint"), fmt="parquet")
+    await_done(flows.relay_to_log(stream, lg, tmp("ck"), records_per_file=150))
+    sizes = []
+    parsed = flows.parse_log(spark, lg, struct("id bigint"), max_per_trigger=1)
+    await_done(run_batches(parsed, lambda df, e: sizes.append(df.count()), tmp("ck")))
+    assert sum(sizes) == 1000 and max(sizes) <= 150 and len(sizes) >= 7

@@ -56,6 +56,14 @@ def report(df: DataFrame, prediction: str | Column, label: str | Column,
     return df.agg(*cols)
 
 
+def split_by(df: DataFrame, holdout: Column) -> tuple[DataFrame, DataFrame]:
+    """Deterministic train/holdout split by a row condition (e.g. a time cutoff
+    or a key-hash bucket): ``(rows where it is not true, rows where it is)``.
+    Both halves are filters over the same scan; nothing is sampled."""
+    cond = F.coalesce(holdout, F.lit(False))
+    return df.where(~cond), df.where(cond)
+
+
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """First ``n`` rows (L01). With ``order_by`` this is a deterministic top-k
     (planned as TakeOrderedAndProject: per-task top-k, then a final merge)."""

@@ -59,6 +59,22 @@ def train_gbt(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence
     return models.train(train_df, stages, label, label_mode)
 
 
+def train_and_evaluate(df: DataFrame, holdout, fit_fn, label: str, digits: int | None = None):
+    """Fit on the rows outside ``holdout`` and report RMSE on both parts.
+
+    ``fit_fn(train_df) -> ModelBundle``. Returns ``(bundle, report)`` where
+    ``report`` has one row per part: ``part, rmse, n_scored``.
+    """
+    from ..operators import evaluate
+    train_df, test_df = evaluate.split_by(df, holdout)
+    bundle = fit_fn(train_df)
+    parts = []
+    for name, part in (("train", train_df), ("holdout", test_df)):
+        r = evaluate.rmse(bundle.score(part), "predicted", label, digits)
+        parts.append(r.select(F.lit(name).alias("part"), "rmse", "n_scored"))
+    return bundle, parts[0].unionByName(parts[1])
+
+
 # --- history -----------------------------------------------------------------------
 
 def seed_history(df: DataFrame, table_path: str, spec: TableSpec, run_id: str = "seed") -> None:
@@ -120,10 +136,11 @@ def score_with_history(stream: DataFrame, step: MergeScore, checkpoint: str,
 
 def relay_to_log(stream: DataFrame, log_path: str, checkpoint: str, columns=None,
                  fmt: str = "json", trigger="available_now", format: str = "files",
-                 options=None) -> StreamingQuery:
+                 options=None, records_per_file: int | None = None) -> StreamingQuery:
     """First half of C03: publish a stream's rows to the log."""
     return log.log_sink(stream, log_path, checkpoint, columns=columns, fmt=fmt,
-                        trigger=trigger, format=format, options=options)
+                        trigger=trigger, format=format, options=options,
+                        records_per_file=records_per_file)
 
 
 def parse_log(spark: SparkSession, log_path: str, schema, fmt: str = "json",

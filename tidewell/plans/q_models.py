@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, features as feat, models
+from . import flows
 from ..session import scratch
 from ..sources.tables import table
 from .catalogue import query
@@ -229,6 +230,25 @@ def rmse_value(spark, sf_dir):
     return evaluate.rmse(bundle.score(li), "predicted", "l_extendedprice", digits=4)
 
 
+@query("holdout_report", ("A04", "M12", "G17"), sql="""
+with t as (select * from lineitem where not coalesce(l_shipdate >= timestamp '2000-01-01', false)),
+     c as (select regr_slope(l_extendedprice, l_quantity) as b,
+                  regr_intercept(l_extendedprice, l_quantity) as a from t),
+     s as (select case when coalesce(l_shipdate >= timestamp '2000-01-01', false)
+                       then 'holdout' else 'train' end as part,
+                  a + b * l_quantity - l_extendedprice as err
+           from lineitem cross join c)
+select part, round(sqrt(avg(err * err)), 4) as rmse, count(*) as n_scored from s group by part""")
+def holdout_report(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                                 "l_extendedprice", "l_shipdate")
+    stages = [feat.assemble(["l_quantity"]), models.linear(max_iter=10)]
+    _, report = flows.train_and_evaluate(
+        li, F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"),
+        lambda train: models.train(train, stages, "l_extendedprice"), "l_extendedprice", digits=4)
+    return report
+
+
 @query("cross_validate_linear", ("M10", "M11"))
 def cross_validate_linear(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice",

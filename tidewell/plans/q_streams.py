@@ -59,6 +59,25 @@ def stream_rate_limit(spark, sf_dir):
     return spark.read.parquet(out).drop("epoch")
 
 
+@query("log_rate_limit", ("S04", "S05", "T02", "T03", "P13"), sql="""
+select o_orderkey, o_custkey, o_totalprice from orders""")
+def log_rate_limit(spark, sf_dir):
+    """Relay orders into the file log in files of at most 2,000 messages, then
+    read it back one file per trigger: every micro-batch holds <= 2,000 rows."""
+    log_path, out = scratch(spark, "log"), scratch(spark, "log-out")
+    o = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    await_done(flows.relay_to_log(o, log_path, scratch(spark, "ck"), records_per_file=2000))
+    parsed = flows.parse_log(spark, log_path,
+                             struct("o_orderkey bigint, o_custkey bigint, o_totalprice double"),
+                             max_per_trigger=1)
+
+    def write(df, epoch):
+        df.drop("offset").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    await_done(run_batches(parsed, write, scratch(spark, "ck")))
+    return spark.read.parquet(out).drop("epoch")
+
+
 @query("stream_preview", ("S06", "T07", "T08"), sql="""
 select event_id, user_id, event_type from events order by event_id limit 20""")
 def stream_preview_q(spark, sf_dir):

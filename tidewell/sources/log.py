@@ -33,15 +33,23 @@ def with_offsets(df: DataFrame, epoch: int) -> DataFrame:
     return df.withColumn("offset", off)
 
 
-def write_log_batch(df: DataFrame, path: str, epoch: int) -> None:
-    """Append one epoch of ``key, value`` messages to a file log."""
-    with_offsets(df.select("key", "value"), epoch) \
-        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch)}")
+def write_log_batch(df: DataFrame, path: str, epoch: int,
+                    records_per_file: int | None = None) -> None:
+    """Append one epoch of ``key, value`` messages to a file log.
+
+    ``records_per_file`` caps the messages per file, so a reader taking one
+    file per trigger takes at most that many records per micro-batch (the
+    file-log form of a records-per-trigger limit)."""
+    w = with_offsets(df.select("key", "value"), epoch).write.mode("overwrite")
+    if records_per_file:
+        w = w.option("maxRecordsPerFile", int(records_per_file))
+    w.parquet(f"{path.rstrip('/')}/epoch={int(epoch)}")
 
 
 def log_sink(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[str] | None = None,
              fmt: str = "json", key: str | None = None, trigger="available_now",
-             format: str = "files", options: Mapping[str, str] | None = None) -> StreamingQuery:
+             format: str = "files", options: Mapping[str, str] | None = None,
+             records_per_file: int | None = None) -> StreamingQuery:
     """Encode each row of ``stream`` and publish it to the log."""
     encoded = envelope.encode(stream, columns, fmt=fmt, key=key)
     if format == "kafka":
@@ -50,7 +58,8 @@ def log_sink(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[
         return w.options(**dict(options or {})).start()
     if format != "files":
         raise ValueError(f"unknown log format {format!r}")
-    return run_batches(encoded, lambda df, epoch: write_log_batch(df, target, epoch),
+    return run_batches(encoded,
+                       lambda df, epoch: write_log_batch(df, target, epoch, records_per_file),
                        checkpoint, trigger)
 
 
