@@ -110,12 +110,16 @@ class MergeScore:
         else:
             df = clean.null_key(df, self.key, self.null_key)
         with batch_scope(merge.reduce_max(df, self.key, self.batch_features)) as reduced:
-            n_keys = reduced.count()
+            if isinstance(self.history, keyed.KeyedHistory):
+                # key count and touched buckets in one job (<= B rows to the driver)
+                n_keys, buckets = self.history.profile(reduced.select(self.key))
+            else:
+                n_keys, buckets = reduced.count(), None
             if n_keys == 0:           # header-only file / empty trigger
                 return
             if isinstance(self.history, keyed.KeyedHistory):
                 hist = self.history.lookup(spark, reduced.select(self.key), n_keys,
-                                           self.broadcast_limit)
+                                           self.broadcast_limit, buckets)
                 matched = True
             else:
                 hist, matched = self.history(spark), False

@@ -116,21 +116,32 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return _latest(slices, spec)
 
 
+def key_profile(keys: DataFrame, spec: TableSpec) -> tuple[int, list[int] | None]:
+    """``(number of keys, buckets they fall in)`` in one small job.
+
+    Only per-bucket counts reach the driver: at most ``spec.buckets`` rows, a
+    proven bound. Without buckets it is a plain count."""
+    if not spec.buckets:
+        return keys.count(), None
+    rows = keys.select(bucket_of(_q(spec.key), spec).alias("b")).groupBy("b").count().collect()
+    return sum(r["count"] for r in rows), sorted(r["b"] for r in rows)
+
+
 def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame,
-           key_count: int | None = None, broadcast_limit: int = 2_000_000) -> DataFrame:
+           key_count: int | None = None, broadcast_limit: int = 2_000_000,
+           buckets: list[int] | None = None) -> DataFrame:
     """Current state of the keys in ``keys`` only (J01 against a keyed table).
 
     ``key_count`` is the caller's measured number of distinct keys; the key set
     is broadcast only when it is known to be at most ``broadcast_limit``.
+    ``buckets`` may pass the touched buckets from ``key_profile``.
     """
     slices = read_slices(spark, path, spec)
     if slices is None:
         return _empty(spark, spec)
     k = keys.select(_q(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
     if spec.buckets:
-        # at most ``spec.buckets`` small ints reach the driver: a proven bound
-        touched = [r[0] for r in k.select(bucket_of(_q(spec.key), spec).alias("b"))
-                   .distinct().collect()]
+        touched = buckets if buckets is not None else key_profile(k, spec)[1]
         if not touched:
             return _empty(spark, spec)
         slices = slices.where(F.col("bucket").isin(touched))
@@ -145,8 +156,11 @@ class KeyedHistory:
         self.path, self.spec = path, spec
 
     def lookup(self, spark: SparkSession, keys: DataFrame, key_count: int | None = None,
-               broadcast_limit: int = 2_000_000) -> DataFrame:
-        return lookup(spark, self.path, self.spec, keys, key_count, broadcast_limit)
+               broadcast_limit: int = 2_000_000, buckets: list[int] | None = None) -> DataFrame:
+        return lookup(spark, self.path, self.spec, keys, key_count, broadcast_limit, buckets)
+
+    def profile(self, keys: DataFrame) -> tuple[int, list[int] | None]:
+        return key_profile(keys, self.spec)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, self.spec)
