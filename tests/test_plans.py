@@ -39,3 +39,14 @@ def test_frequency_index_uses_no_single_partition_window_over_data(spark):
     # the only window is over one row per partition, joined back by broadcast
     assert "BroadcastHashJoin" in p
     assert idx.count() == li.select("l_quantity").distinct().count()
+
+
+def test_rank_label_broadcasts_measured_index(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    idx = feat.frequency_index(li, "l_quantity")
+    labelled = feat.rank_label(li, "l_quantity", idx)
+    p = labelled._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in p and "LeftOuter" in p
+    # above the limit the planner decides; the result is the same
+    big = feat.rank_label(li, "l_quantity", idx, broadcast_limit=0)
+    assert big.where("label is null").count() == 0 and big.count() == li.count()

@@ -97,7 +97,7 @@ def label_frame(df: DataFrame, label: str, label_mode: str = "value",
     if label_mode == "rank":
         index = feat.frequency_index(df, label)
         n = index.count()
-        return feat.rank_label(df, label, index, out=out), index, n
+        return feat.rank_label(df, label, index, out=out, n_labels=n), index, n
     raise ValueError(f"unknown label mode {label_mode!r}")
 
 
