@@ -107,3 +107,15 @@ def test_house_workflow(spark, tmp):
     assert 0 in rows                          # the null id was defaulted to 0
     assert len(rows) == 100 + 1
     assert all(v is not None and v > 0 for v in rows.values())
+
+
+def test_command_line_tutors(spark, tmp):
+    from tidewell.__main__ import main
+    tr, stream, hp, n = _tutor_csvs(spark, tmp)
+    model, hist, out = tmp("m"), tmp("h"), tmp("p")
+    assert main(["train-tutors", "--csv", tr, "--model", model, "--label-mode", "value"]) == 0
+    assert main(["seed-history", "--csv", hp, "--table", hist]) == 0
+    assert main(["serve-tutors", "--stream", f"{stream}/*", "--history", hist, "--out", out,
+                 "--model", model, "--checkpoint", tmp("ck")]) == 0
+    assert tutors.predictions(spark, out).count() == n // 2 + 1
+    assert main(["show", "--table", out, "--kind", "tutors", "--rows", "3"]) == 0
