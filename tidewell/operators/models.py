@@ -101,9 +101,17 @@ def label_frame(df: DataFrame, label: str, label_mode: str = "value",
     raise ValueError(f"unknown label mode {label_mode!r}")
 
 
-def train(df: DataFrame, stages: Sequence, label: str, label_mode: str = "value") -> ModelBundle:
-    """Fit ``stages`` on ``df`` with the label prepared per ``label_mode``."""
+def train(df: DataFrame, stages: Sequence, label: str, label_mode: str = "value",
+          partitions: int | None = None) -> ModelBundle:
+    """Fit ``stages`` on ``df`` with the label prepared per ``label_mode``.
+
+    ``partitions`` spreads the training rows round-robin over that many
+    partitions first: worth one shuffle for iterative fits (trees make dozens
+    of passes over the cached data) when the input arrives in few partitions;
+    round-robin ignores keys, so a hot key cannot skew it."""
     labelled, index, n = label_frame(df, label, label_mode)
+    if partitions:
+        labelled = labelled.repartition(int(partitions))
     return ModelBundle(fit(stages, labelled), label, label_mode, index, n)
 
 

@@ -39,7 +39,8 @@ def train_linear(train_df: DataFrame, features: Sequence[str], label: str,
 
 def train_gbt(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str,
               label_mode: str = "value", max_iter: int = 10, impute: str = "mean",
-              fill: Mapping[str, float] | None = None, seed: int = 42) -> models.ModelBundle:
+              fill: Mapping[str, float] | None = None, seed: int = 42,
+              partitions: int | None = None) -> models.ModelBundle:
     """Gradient-boosted trees on text categories + numerics.
 
     Optional constant fills (e.g. a lot-frontage default) run inside the
@@ -56,7 +57,9 @@ def train_gbt(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence
     imp, imputed = feat.impute(dbl, strategy=impute)
     stages += [imp, feat.assemble([*vecs, *imputed]),
                models.gbt(max_iter=max_iter, seed=seed)]
-    return models.train(train_df, stages, label, label_mode)
+    if partitions is None:
+        partitions = train_df.sparkSession.sparkContext.defaultParallelism
+    return models.train(train_df, stages, label, label_mode, partitions=partitions)
 
 
 def train_and_evaluate(df: DataFrame, holdout, fit_fn, label: str, digits: int | None = None):

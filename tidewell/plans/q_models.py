@@ -286,6 +286,7 @@ def gbt_stages(max_iter: int = 10):
 @query("gbt_predict", ("M02", "M03", "M04", "M07", "C02"))
 def gbt_predict(spark, sf_dir):
     df = house_like(spark, sf_dir)
-    bundle = models.train(df, gbt_stages(), "o_totalprice", label_mode="value")
+    bundle = models.train(df, gbt_stages(), "o_totalprice", label_mode="value",
+                          partitions=spark.sparkContext.defaultParallelism)
     out = bundle.score(df)
     return out.select("o_orderkey", F.round("predicted", 2).alias("prediction"))
