@@ -171,3 +171,14 @@ def test_log_records_per_trigger(spark, tmp):
     parsed = flows.parse_log(spark, lg, struct("id bigint"), max_per_trigger=1)
     await_done(run_batches(parsed, lambda df, e: sizes.append(df.count()), tmp("ck")))
     assert sum(sizes) == 1000 and max(sizes) <= 150 and len(sizes) >= 7
+
+
+def test_preview_memory_and_console(spark, tmp):
+    from tidewell.sources.preview import stream_preview
+    src = tmp("src")
+    spark.range(0, 100).coalesce(1).write.parquet(src)
+    s = files.stream_files(spark, src, struct("id bigint"), fmt="parquet")
+    q = stream_preview(s, tmp("ck"), fmt="memory", name="tidewell_preview_test")
+    await_done(q)
+    assert spark.table("tidewell_preview_test").count() == 100
+    await_done(stream_preview(s, tmp("ck"), fmt="console", num_rows=3, order_by=["id"]))
