@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import merge
 from ..schemas import TableSpec, struct
 from ..session import scratch
-from ..sources import files, keyed
+from ..sources import files, keyed, log
 from ..sources.preview import stream_preview
 from ..sources.tables import table
 from ..streaming.runner import await_done, current_run_id, run_batches, stop_all
@@ -21,6 +21,21 @@ from .catalogue import query
 from .q_models import HOUSE_LIKE_CATS, HOUSE_LIKE_NUMS, house_like
 
 
+# Micro-batches per rate-limited stream. Per-file caps are sized from the row
+# count so the number of batches stays fixed as the tables grow.
+BATCHES = 8
+
+
+def per_batch(n_rows: int, batches: int = BATCHES) -> int:
+    return max(1, -(-n_rows // batches))
+
+
+def files_per_trigger(reader_df, batches: int = BATCHES) -> int:
+    """Files per trigger so that the written files make about ``batches``
+    micro-batches (a write from many tasks yields many files)."""
+    return max(1, -(-len(reader_df.inputFiles()) // batches))
+
+
 def table_stream(spark, sf_dir, name, max_files=None):
     """A driver table as a file stream (the directory, filtered to one file)."""
     schema = table(spark, sf_dir, name).schema
@@ -48,8 +63,9 @@ select o_orderkey, o_custkey, o_totalprice from orders""")
 def stream_rate_limit(spark, sf_dir):
     src = scratch(spark, "orders-files")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    o.write.option("maxRecordsPerFile", 4000).parquet(src)
-    s = files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1)
+    o.write.option("maxRecordsPerFile", per_batch(o.count())).parquet(src)
+    s = files.stream_files(spark, src, o.schema, fmt="parquet",
+                           max_files_per_trigger=files_per_trigger(spark.read.parquet(src)))
     out, ck = scratch(spark, "rate-out"), scratch(spark, "ck")
 
     def write(df, epoch):
@@ -62,14 +78,15 @@ def stream_rate_limit(spark, sf_dir):
 @query("log_rate_limit", ("S04", "S05", "T02", "T03", "P13"), sql="""
 select o_orderkey, o_custkey, o_totalprice from orders""")
 def log_rate_limit(spark, sf_dir):
-    """Relay orders into the file log in files of at most 2,000 messages, then
-    read it back one file per trigger: every micro-batch holds <= 2,000 rows."""
+    """Relay orders into the file log in files of at most n/8 messages, then
+    read it back one file per trigger: every micro-batch holds <= n/8 rows."""
     log_path, out = scratch(spark, "log"), scratch(spark, "log-out")
+    cap = per_batch(table(spark, sf_dir, "orders").count())
     o = table_stream(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    await_done(flows.relay_to_log(o, log_path, scratch(spark, "ck"), records_per_file=2000))
+    await_done(flows.relay_to_log(o, log_path, scratch(spark, "ck"), records_per_file=cap))
     parsed = flows.parse_log(spark, log_path,
                              struct("o_orderkey bigint, o_custkey bigint, o_totalprice double"),
-                             max_per_trigger=1)
+                             max_per_trigger=files_per_trigger(log.read_log(spark, log_path)))
 
     def write(df, epoch):
         df.drop("offset").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
@@ -243,10 +260,13 @@ def score_stream_gbt(spark, sf_dir):
                  *HOUSE_LIKE_CATS,
                  F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA"))
                  .otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"), "c_nationkey") \
-        .write.option("header", True).option("maxRecordsPerFile", 5000).csv(src)
+        .write.option("header", True).option("maxRecordsPerFile", per_batch(train.count())) \
+        .csv(src)
     schema = struct("o_orderkey string, o_orderpriority string, o_orderstatus string, "
                     "c_mktsegment string, c_acctbal string, c_nationkey double")
-    stream = files.stream_files(spark, src, schema, fmt="csv", max_files_per_trigger=2)
+    stream = files.stream_files(
+        spark, src, schema, fmt="csv",
+        max_files_per_trigger=files_per_trigger(spark.read.schema(schema).csv(src)))
     cleaned = flows.clean_stream(stream, {"c_acctbal": "double"}, {}, key="o_orderkey")
     cleaned = cleaned.withColumn("o_orderkey", F.col("o_orderkey").try_cast("bigint"))
     out_path = scratch(spark, "price-predictions")
