@@ -182,3 +182,13 @@ def test_preview_memory_and_console(spark, tmp):
     await_done(q)
     assert spark.table("tidewell_preview_test").count() == 100
     await_done(stream_preview(s, tmp("ck"), fmt="console", num_rows=3, order_by=["id"]))
+
+
+def test_bucketed_slice_has_one_file_per_bucket(spark, tmp):
+    spec = TableSpec(struct("id bigint, v double"), "id", buckets=4)
+    path = tmp("kt")
+    df = spark.range(0, 2000, numPartitions=8).select("id", (F.col("id") * 1.0).alias("v"))
+    keyed.upsert(df, path, spec, 0, "r")
+    files_written = spark.read.parquet(path).inputFiles()
+    assert len(files_written) <= 4
+    assert keyed.read_table(spark, path, spec).count() == 2000

@@ -74,12 +74,16 @@ def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str |
 
 
 def _write_slice(out: DataFrame, target: str, spec: TableSpec) -> None:
-    w = out
+    """Write one slice. Bucketed slices are first grouped by bucket so each
+    bucket directory gets one file per slice, not one per task (tasks x B small
+    files otherwise). Keys are unique within a slice, so no bucket can hold a
+    hot key; AQE merges the partitions of small slices."""
     if spec.buckets:
         w = out.withColumn("bucket", bucket_of(_q(spec.key), spec))
-        w.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        w.repartition(spec.buckets, F.col("bucket")) \
+            .write.mode("overwrite").partitionBy("bucket").parquet(target)
     else:
-        w.write.mode("overwrite").parquet(target)
+        out.write.mode("overwrite").parquet(target)
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
