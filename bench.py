@@ -87,9 +87,12 @@ def main() -> None:
     warm = nation.join(region, nation.n_regionkey == region.r_regionkey) \
         .withColumn("x", F.col("n_nationkey").cast("double"))
     warm.groupBy("r_name").agg(F.max("x")).write.format("noop").mode("overwrite").save()
-    models.fit([feat.assemble(["x"]), models.linear()],
-               warm.withColumn("label", F.col("x") * 2)).transform(warm) \
+    labelled = warm.withColumn("label", F.col("x") * 2)
+    models.fit([feat.assemble(["x"]), models.linear()], labelled).transform(warm) \
         .write.format("noop").mode("overwrite").save()
+    cat_stages, vecs = feat.categorical(["r_name"])
+    models.fit([*cat_stages, feat.assemble(["x", *vecs]), models.gbt(max_iter=2)], labelled) \
+        .transform(labelled).write.format("noop").mode("overwrite").save()
     timings: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
