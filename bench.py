@@ -90,6 +90,13 @@ def main() -> None:
     labelled = warm.withColumn("label", F.col("x") * 2)
     models.fit([feat.assemble(["x"]), models.linear()], labelled).transform(warm) \
         .write.format("noop").mode("overwrite").save()
+    from tidewell.session import scratch
+    from tidewell.sources import files
+    from tidewell.streaming.runner import await_done, run_batches
+    tiny = files.stream_files(spark, sf_dir, region.schema, fmt="parquet",
+                              options={"pathGlobFilter": "region.parquet"})
+    await_done(run_batches(tiny, lambda df, e: df.groupBy("r_name").count()
+                           .write.format("noop").mode("overwrite").save(), scratch(spark, "warm")))
     cat_stages, vecs = feat.categorical(["r_name"])
     models.fit([*cat_stages, feat.assemble(["x", *vecs]), models.gbt(max_iter=2)], labelled) \
         .transform(labelled).write.format("noop").mode("overwrite").save()
