@@ -10,7 +10,6 @@ upserted as ``id, saleprice``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate, models
 from ..schemas import (HOUSE_CATEGORICAL, HOUSE_LABEL, HOUSE_NUMERIC, house_predictions_table,
