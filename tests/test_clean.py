@@ -1,6 +1,5 @@
 import math
 
-
 from tidewell.operators import clean
 from tidewell.schemas import TableSpec, struct
 

@@ -1,6 +1,5 @@
 import math
 
-
 from pyspark.sql import functions as F
 
 from tidewell.operators import evaluate, features as feat, models
