@@ -192,3 +192,26 @@ def test_bucketed_slice_has_one_file_per_bucket(spark, tmp):
     files_written = spark.read.parquet(path).inputFiles()
     assert len(files_written) <= 4
     assert keyed.read_table(spark, path, spec).count() == 2000
+
+
+def test_external_store_path_with_parquet_stand_in(spark, tmp):
+    from tidewell.sources import external
+    store, src = tmp("store"), tmp("src")
+    spec = TableSpec(struct("id bigint, a double, h double, prediction double"), "id")
+    hist_spec = TableSpec(struct("id bigint, h double"), "id")
+    spark.createDataFrame([(1, 10.0), (3, 30.0)], "id bigint, h double").write.parquet(store + "-h")
+    found = external.lookup_store(spark, "parquet", {"path": store + "-h"}, hist_spec,
+                                  spark.createDataFrame([(1,), (2,)], "id bigint"), key_count=2)
+    assert [tuple(r) for r in found.collect()] == [(1, 10.0)]
+    spark.createDataFrame([(1, 2.0), (2, 3.0)], "id bigint, a double").coalesce(1).write.parquet(src)
+    train = spark.range(0, 20).select(F.col("id").cast("double").alias("a"),
+                                      (F.col("id") * 2.0).alias("label"))
+    step = flows.MergeScore(
+        history=lambda s: external.read_store(s, "parquet", {"path": store + "-h"}, hist_spec),
+        bundle=flows.train_linear(train, ["a"], "label"), key="id", batch_features=["a"],
+        history_features=["h"], table_path="", spec=spec,
+        writer=external.store_writer("parquet", {"path": store}, spec))
+    stream = files.stream_files(spark, src, struct("id bigint, a double"), fmt="parquet")
+    await_done(flows.score_with_history(stream, step, tmp("ck")))
+    out = {r.id: r for r in spark.read.parquet(store).collect()}
+    assert set(out) == {1, 2} and out[1].h == 10.0 and abs(out[2].prediction - 6.0) < 1e-6

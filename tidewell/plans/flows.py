@@ -103,6 +103,8 @@ class MergeScore:
     prediction_col: str = "prediction"
     broadcast_limit: int = merge.DEFAULT_BROADCAST_LIMIT
     null_key: str = "drop"           # drop | default (-> 0) | quarantine (kept aside)
+    # output writer (df, epoch); default: replay-safe upsert into ``table_path``
+    writer: Callable[[DataFrame, int], None] | None = None
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
@@ -131,8 +133,11 @@ class MergeScore:
                                      key_count=n_keys, broadcast_limit=self.broadcast_limit,
                                      reduced=reduced, history_is_matched=matched)
             scored = self.bundle.score(merged, out=self.prediction_col)
-            keyed.upsert(scored, self.table_path, self.spec, epoch,
-                         run_id=current_run_id(spark), dedupe_rule="none")
+            if self.writer is not None:
+                self.writer(self.spec.conform(scored), epoch)
+            else:
+                keyed.upsert(scored, self.table_path, self.spec, epoch,
+                             run_id=current_run_id(spark), dedupe_rule="none")
 
 
 def score_with_history(stream: DataFrame, step: MergeScore, checkpoint: str,
