@@ -119,3 +119,21 @@ def test_command_line_tutors(spark, tmp):
                  "--model", model, "--checkpoint", tmp("ck")]) == 0
     assert tutors.predictions(spark, out).count() == n // 2 + 1
     assert main(["show", "--table", out, "--kind", "tutors", "--rows", "3"]) == 0
+
+
+def test_tutor_workflow_with_store_stand_in(spark, tmp):
+    # a connector-backed store, played by parquet: history read from it,
+    # predictions appended to it
+    tr, stream, hp, n = _tutor_csvs(spark, tmp)
+    model = tmp("m")
+    tutors.train(spark, tr, model, label_mode="value")
+    hist_store, out_store = tmp("hstore"), tmp("ostore")
+    tutors.history_spec().conform(
+        spark.read.option("header", True).option("sep", ";").csv(hp), strict=False) \
+        .write.parquet(hist_store)
+    for q in tutors.serve(spark, f"{stream}/*", "", "", model, tmp("ck"),
+                          history_store=("parquet", {"path": hist_store}),
+                          out_store=("parquet", {"path": out_store})):
+        await_done(q)
+    out = spark.read.parquet(out_store)
+    assert out.count() == n // 2 + 1 and out.columns[-1] == "mean_exam_points"

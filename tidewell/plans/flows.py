@@ -172,10 +172,14 @@ class ScoreOnly:
     spec: TableSpec
     output: Mapping[str, str]        # table column -> frame column
     dedupe_rule: str = "max"
+    writer: Callable[[DataFrame, int], None] | None = None
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
         scored = self.bundle.score(df)
         out = scored.select(*[F.col(f"`{src}`").alias(dst) for dst, src in self.output.items()])
+        if self.writer is not None:
+            self.writer(keyed.dedupe(self.spec.conform(out), self.spec, self.dedupe_rule), epoch)
+            return
         keyed.upsert(out, self.table_path, self.spec, epoch,
                      run_id=current_run_id(df.sparkSession), dedupe_rule=self.dedupe_rule)
 

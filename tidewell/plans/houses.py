@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import clean, evaluate, models
 from ..schemas import (HOUSE_CATEGORICAL, HOUSE_LABEL, HOUSE_NUMERIC, house_predictions_table,
                        house_stream_schema, house_train_casts)
-from ..sources import files, keyed
+from ..sources import external, files, keyed
 from . import flows
 
 # Fixed value: default lot frontage for missing values.
@@ -39,7 +39,9 @@ def train(spark: SparkSession, csv_path: str, model_path: str | None = None,
 
 def serve(spark: SparkSession, stream_dir: str, out_path: str, model_path: str, checkpoint: str,
           sep: str = ",", trigger="available_now", max_files_per_trigger: int | None = None,
-          null_key: str = "default"):
+          null_key: str = "default", out_store: tuple[str, dict] | None = None):
+    """Start the scorer. ``out_store = (format, options)`` upserts into a
+    connector-backed store instead of the keyed table at ``out_path``."""
     bundle = models.load(spark, model_path)
     stream = files.stream_files(spark, stream_dir, house_stream_schema(), sep=sep,
                                 max_files_per_trigger=max_files_per_trigger)
@@ -47,7 +49,10 @@ def serve(spark: SparkSession, stream_dir: str, out_path: str, model_path: str,
                                  {"LotFrontage": LOT_FRONTAGE_DEFAULT}, key="Id",
                                  key_mode=null_key)
     step = flows.ScoreOnly(bundle, "Id", out_path, house_predictions_table(),
-                           output={"id": "Id", "saleprice": "predicted"})
+                           output={"id": "Id", "saleprice": "predicted"},
+                           writer=external.store_writer(out_store[0], out_store[1],
+                                                        house_predictions_table())
+                           if out_store else None)
     return flows.score_stream(cleaned, step, checkpoint, trigger)
 
 

@@ -16,7 +16,7 @@ from ..operators import clean, evaluate, models
 from ..schemas import (TUTOR_FEATURES, TUTOR_HISTORY_DDL, TUTOR_LABEL, TUTOR_STREAM_DDL,
                        TUTOR_STREAM_FEATURES, TableSpec, struct, tutor_history_table,
                        tutor_predictions_table)
-from ..sources import files, keyed
+from ..sources import external, files, keyed
 from . import flows
 
 
@@ -55,9 +55,14 @@ def serve(spark: SparkSession, stream_dir: str, history_path: str, out_path: str
           model_path: str, checkpoint: str, sep: str = ";", via_log: str | None = None,
           log_checkpoint: str | None = None, trigger="available_now",
           max_files_per_trigger: int | None = None, absent: float | None = 0.0,
-          buckets: int | None = None) -> list:
+          buckets: int | None = None, history_store: tuple[str, dict] | None = None,
+          out_store: tuple[str, dict] | None = None) -> list:
     """Start the scorer (and the relay when ``via_log`` names a log); returns
-    the started queries. ``absent=0.0`` keeps the original merge rule."""
+    the started queries. ``absent=0.0`` keeps the original merge rule.
+
+    ``history_store`` / ``out_store`` = ``(format, options)`` read the history
+    from and upsert the predictions into a connector-backed store instead of
+    the keyed tables at ``history_path`` / ``out_path``."""
     bundle = models.load(spark, model_path)
     stream = files.stream_files(spark, stream_dir, struct(TUTOR_STREAM_DDL), sep=sep,
                                 max_files_per_trigger=max_files_per_trigger)
@@ -71,11 +76,18 @@ def serve(spark: SparkSession, stream_dir: str, history_path: str, out_path: str
                 await_done(q)
         stream = flows.parse_log(spark, via_log, struct(TUTOR_STREAM_DDL),
                                  max_per_trigger=max_files_per_trigger)
-    step = flows.MergeScore(history=keyed.KeyedHistory(history_path, history_spec(buckets)),
-                            bundle=bundle, key="id", batch_features=TUTOR_STREAM_FEATURES,
+    if history_store:
+        fmt, opts = history_store
+        history = (lambda s: external.read_store(s, fmt, opts, history_spec()))
+    else:
+        history = keyed.KeyedHistory(history_path, history_spec(buckets))
+    writer = external.store_writer(out_store[0], out_store[1], tutor_predictions_table()) \
+        if out_store else None
+    step = flows.MergeScore(history=history, bundle=bundle, key="id",
+                            batch_features=TUTOR_STREAM_FEATURES,
                             history_features=TUTOR_FEATURES, table_path=out_path,
                             spec=tutor_predictions_table(), absent=absent,
-                            prediction_col=TUTOR_LABEL)
+                            prediction_col=TUTOR_LABEL, writer=writer)
     started.append(flows.score_with_history(stream, step, checkpoint, trigger))
     return started
 
