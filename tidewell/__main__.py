@@ -6,6 +6,7 @@
                                      [--via-log L] [--trigger '30 seconds']
     python -m tidewell train-houses  --csv train.csv --model M
     python -m tidewell serve-houses  --stream DIR --out P --model M --checkpoint C
+                                     [--out-format FMT --out-option k=v ...]
     python -m tidewell show          --table P --kind tutors|houses [--rows 20]
 
 The session comes from ``spark-submit`` / the environment (``getOrCreate``);
@@ -22,6 +23,20 @@ import sys
 from pyspark.sql import SparkSession
 
 
+def _store_args(p: argparse.ArgumentParser, role: str) -> None:
+    p.add_argument(f"--{role}-format", default=None,
+                   help=f"connector format of a store holding the {role} table")
+    p.add_argument(f"--{role}-option", action="append", default=[], metavar="KEY=VALUE")
+
+
+def _store(args, role: str):
+    fmt = getattr(args, f"{role}_format")
+    if not fmt:
+        return None
+    opts = dict(o.split("=", 1) for o in getattr(args, f"{role}_option"))
+    return fmt, opts
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidewell")
     p.add_argument("--master", default=None)
@@ -48,6 +63,8 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--max-files", type=int, default=None)
     v.add_argument("--null-safe", action="store_true", help="keep negative stored values")
     v.add_argument("--buckets", type=int, default=None)
+    _store_args(v, "history")
+    _store_args(v, "out")
 
     h = sub.add_parser("train-houses")
     h.add_argument("--csv", required=True)
@@ -59,6 +76,7 @@ def _parser() -> argparse.ArgumentParser:
         w.add_argument(a, required=True)
     w.add_argument("--trigger", default="available_now")
     w.add_argument("--max-files", type=int, default=None)
+    _store_args(w, "out")
 
     o = sub.add_parser("show")
     o.add_argument("--table", required=True)
@@ -94,13 +112,16 @@ def main(argv: list[str] | None = None) -> int:
         finish(tutors.serve(spark, args.stream, args.history, args.out, args.model,
                             args.checkpoint, sep=args.sep, via_log=args.via_log,
                             trigger=args.trigger, max_files_per_trigger=args.max_files,
-                            absent=None if args.null_safe else 0.0, buckets=args.buckets))
+                            absent=None if args.null_safe else 0.0, buckets=args.buckets,
+                            history_store=_store(args, "history"),
+                            out_store=_store(args, "out")))
     elif args.cmd == "train-houses":
         _, report = houses.train(spark, args.csv, args.model, label_mode=args.label_mode)
         report.show(truncate=False)
     elif args.cmd == "serve-houses":
         finish([houses.serve(spark, args.stream, args.out, args.model, args.checkpoint,
-                             trigger=args.trigger, max_files_per_trigger=args.max_files)])
+                             trigger=args.trigger, max_files_per_trigger=args.max_files,
+                             out_store=_store(args, "out"))])
     elif args.cmd == "show":
         mod = tutors if args.kind == "tutors" else houses
         mod.predictions(spark, args.table).orderBy("id").show(args.rows, truncate=False)
