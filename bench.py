@@ -112,6 +112,13 @@ def main() -> None:
            "cpus": int(cpus)}
     if not sys.argv[1:]:
         out["stream_scoring"] = stream_throughput(spark, sf_dir)
+        # in-sample RMSE of the rank-label and value-label linear models on the
+        # driver's data (the original's only published number is of this kind)
+        rank = reg["rmse_report"].run(spark, sf_dir).first()
+        value = reg["rmse_value"].run(spark, sf_dir).first()
+        held = {r["part"]: r["rmse"] for r in reg["holdout_report"].run(spark, sf_dir).collect()}
+        out["quality"] = {"rank_label_rmse": rank["rmse"], "rank_label_match_rate": rank["match_rate"],
+                          "value_label_rmse": value["rmse"], "holdout_rmse": held.get("holdout")}
     print(json.dumps(out))
     spark.stop()
 
