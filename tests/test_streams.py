@@ -215,3 +215,23 @@ def test_external_store_path_with_parquet_stand_in(spark, tmp):
     await_done(flows.score_with_history(stream, step, tmp("ck")))
     out = {r.id: r for r in spark.read.parquet(store).collect()}
     assert set(out) == {1, 2} and out[1].h == 10.0 and abs(out[2].prediction - 6.0) < 1e-6
+
+
+def test_compact_in_place_bounds_reads_and_keeps_state(spark, tmp):
+    spec = TableSpec(struct("id bigint, v double"), "id", buckets=4)
+    path = tmp("kt")
+    for e in range(4):
+        keyed.upsert(spark.createDataFrame([(1, float(e)), (e + 10, 1.0)], "id bigint, v double"),
+                     path, spec, epoch=e, run_id="r")
+    before = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
+    cutoff = keyed.compact_in_place(spark, path, spec)
+    assert cutoff is not None
+    assert keyed.read_slices(spark, path, spec).count() == len(before)   # base only
+    assert {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()} == before
+    keyed.upsert(spark.createDataFrame([(1, 99.0)], "id bigint, v double"), path, spec, 4, "r")
+    keyed.upsert(spark.createDataFrame([(2, 5.0)], "id bigint, v double"), path, spec, 3, "r")  # replay
+    after = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
+    assert after[1] == 99.0 and after[2] == 5.0 and after[10] == 1.0
+    assert keyed.lookup(spark, path, spec, spark.createDataFrame([(13,)], "id bigint")).count() == 1
+    keyed.compact_in_place(spark, path, spec)                            # a second generation
+    assert {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()} == after

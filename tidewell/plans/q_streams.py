@@ -169,6 +169,28 @@ def compact_table(spark, sf_dir):
     return keyed.read_table(spark, new_path, SCORE_SPEC)
 
 
+@query("compact_in_place", ("K02", "K03"), sql=_LATEST_SQL)
+def compact_in_place(spark, sf_dir):
+    spec = TableSpec(SCORE_SPEC.schema, "id", "scores", buckets=8)
+    path = scratch(spark, "scores")
+
+    def step(key, value, source):
+        def run(df, epoch):
+            reduced = merge.reduce_max(
+                df.select(F.col(key).alias("id"), F.col(value).alias("score")), "id", ["score"]
+            ).withColumn("source", F.lit(source))
+            keyed.upsert(reduced, path, spec, epoch, run_id=current_run_id(df.sparkSession))
+        return run
+
+    await_done(run_batches(table_stream(spark, sf_dir, "events"),
+                           step("user_id", "value", "events"), scratch(spark, "ck")))
+    keyed.compact_in_place(spark, path, spec)
+    await_done(run_batches(table_stream(spark, sf_dir, "orders"),
+                           step("o_custkey", "o_totalprice", "orders"), scratch(spark, "ck")))
+    keyed.compact_in_place(spark, path, spec)
+    return keyed.read_table(spark, path, spec)
+
+
 # --- scoring flows -------------------------------------------------------------------
 
 HISTORY_SPEC = TableSpec(struct("id bigint, acctbal double, nation double"), "id", "history",

@@ -97,11 +97,32 @@ def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame |
         T.StructField("epoch", T.LongType(), True)]
         + ([T.StructField("bucket", T.IntegerType(), True)] if spec.buckets else []))
     try:
-        return spark.read.schema(schema).option("basePath", path).parquet(path)
+        slices = spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
+    cutoff = _base_cutoff(spark, path)
+    if cutoff is None:
+        return slices
+    # after an in-place compaction: the base written at the cutoff plus every
+    # slice committed after it (older slices are folded into the base)
+    return slices.where(((F.col("run") == BASE_RUN) & (F.col("epoch") == F.lit(cutoff)))
+                        | (F.col(COMMIT_COL) > F.lit(cutoff)))
+
+
+BASE_RUN = "base"
+_MARKER = "_base_cutoff"
+
+
+def _base_cutoff(spark: SparkSession, path: str) -> int | None:
+    """Cutoff of the latest in-place compaction (a one-row marker), if any."""
+    try:
+        row = spark.read.schema("cutoff long").parquet(f"{path.rstrip('/')}/{_MARKER}") \
+            .agg(F.max("cutoff")).first()
+    except AnalysisException:
+        return None
+    return row[0] if row is not None else None
 
 
 def _latest(slices: DataFrame, spec: TableSpec) -> DataFrame:
@@ -170,6 +191,34 @@ class KeyedHistory:
         return read_table(spark, self.path, self.spec)
 
 
+def compact_in_place(spark: SparkSession, path: str, spec: TableSpec) -> int | None:
+    """Fold every slice committed so far into one base slice of the same table.
+
+    The base is written to ``run=base/epoch=<cutoff>`` (rows keep their commit
+    stamps), then the cutoff is recorded in a one-row marker; from then on reads
+    aggregate the base plus slices committed after the cutoff only. Slices that
+    a running writer commits meanwhile carry later stamps and stay visible.
+    Superseded slice directories can be removed afterwards by ordinary file
+    maintenance. Returns the cutoff (None for an empty table)."""
+    slices = read_slices(spark, path, spec)
+    if slices is None:
+        return None
+    cutoff = slices.agg(F.max(COMMIT_COL)).first()[0]
+    if cutoff is None:
+        return None
+    upto = slices.where(F.col(COMMIT_COL) <= F.lit(cutoff))
+    order = F.struct(_q(COMMIT_COL), _q("epoch"))
+    latest = upto.groupBy(spec.key).agg(
+        F.max_by(F.struct(*[_q(c) for c in spec.value_columns], _q(COMMIT_COL)), order)
+        .alias("__row"))
+    base = latest.select(_q(spec.key), *[F.col("__row").getField(c).alias(c)
+                                         for c in [*spec.value_columns, COMMIT_COL]])
+    _write_slice(base, f"{path.rstrip('/')}/run={BASE_RUN}/epoch={int(cutoff)}", spec)
+    spark.createDataFrame([(int(cutoff),)], "cutoff long").coalesce(1).write.mode("append") \
+        .parquet(f"{path.rstrip('/')}/{_MARKER}")
+    return int(cutoff)
+
+
 def compact(spark: SparkSession, path: str, new_path: str, spec: TableSpec) -> str:
     """Write the current state of ``path`` as the base slice of ``new_path``
     and return ``new_path``; the writer then switches to it. Reads of the new
