@@ -235,3 +235,15 @@ def test_compact_in_place_bounds_reads_and_keeps_state(spark, tmp):
     assert keyed.lookup(spark, path, spec, spark.createDataFrame([(13,)], "id bigint")).count() == 1
     keyed.compact_in_place(spark, path, spec)                            # a second generation
     assert {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()} == after
+
+
+def test_file_log_starting_latest(spark, tmp):
+    lg, out = tmp("log"), tmp("out")
+    old = spark.createDataFrame([("a", "1")], "key string, value string")
+    log.write_log_batch(old, lg, 0)
+    stream = log.stream_log(spark, lg, starting="latest")
+    log.write_log_batch(spark.createDataFrame([("b", "2")], "key string, value string"), lg, 1)
+    q = stream.writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
+    await_done(q)
+    assert [r.value for r in spark.read.parquet(out).collect()] == ["2"]

@@ -69,7 +69,9 @@ def stream_log(spark: SparkSession, source: str, format: str = "files",
     """Streaming read of the log as ``key string, value string, offset long``.
 
     ``max_per_trigger`` caps records per batch for Kafka and files per batch for
-    the file log. The file log always starts from its beginning.
+    the file log. ``starting="latest"`` on the file log skips the epochs that
+    exist when the stream is defined (their rows are filtered by the epoch
+    partition value, so nothing old reaches the batches).
     """
     if format == "kafka":
         r = spark.readStream.format("kafka").option("subscribe", source) \
@@ -88,7 +90,17 @@ def stream_log(spark: SparkSession, source: str, format: str = "files",
     r = spark.readStream.schema(LOG_SCHEMA).format("parquet")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_per_trigger))
-    return r.options(**dict(options or {})).load(source).select("key", "value", "offset")
+    stream = r.options(**dict(options or {})).load(source)
+    if starting == "latest":
+        try:
+            last = read_log(spark, source).agg(F.max("epoch")).first()[0]
+        except Exception:  # empty or missing log: everything is new
+            last = None
+        if last is not None:
+            stream = stream.where(F.col("epoch") > F.lit(int(last)))
+    elif starting != "earliest":
+        raise ValueError("the file log supports starting='earliest' or 'latest'")
+    return stream.select("key", "value", "offset")
 
 
 def read_log(spark: SparkSession, source: str) -> DataFrame:
