@@ -81,7 +81,10 @@ def test_stream_handles_empty_file_duplicates_and_restart(spark, tmp):
     assert len(seen) == n
     _csv(spark, src, [("2", "7.0")], "c")
     await_done(run_batches(stream, step, ck))                   # only the new file
-    assert len(seen) == n + 1 and seen[-1][1] == seen[0][1]
+    assert len(seen) == n + 1 and seen[-1][1] == seen[0][1] and seen[0][1] is not None
+    # a fresh checkpoint is a new run
+    await_done(run_batches(stream, step, tmp("ck")))
+    assert seen[-1][1] not in (None, seen[0][1])
     assert {r.id: r.age for r in keyed.read_table(spark, out, spec).collect()}[2] == 7.0
 
 
