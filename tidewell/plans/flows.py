@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clean, envelope, features as feat, merge, models
 from ..schemas import TableSpec
+from ..session import parallelism
 from ..sources import keyed, log
 from ..streaming.runner import batch_scope, current_run_id, run_batches
 
@@ -58,7 +59,7 @@ def train_gbt(train_df: DataFrame, categorical: Sequence[str], numeric: Sequence
     stages += [imp, feat.assemble([*vecs, *imputed]),
                models.gbt(max_iter=max_iter, seed=seed)]
     if partitions is None:
-        partitions = train_df.sparkSession.sparkContext.defaultParallelism
+        partitions = parallelism(train_df.sparkSession)
     return models.train(train_df, stages, label, label_mode, partitions=partitions)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate, features as feat, models
 from . import flows
-from ..session import scratch
+from ..session import parallelism, scratch
 from ..sources.tables import table
 from .catalogue import query
 
@@ -287,6 +287,6 @@ def gbt_stages(max_iter: int = 10):
 def gbt_predict(spark, sf_dir):
     df = house_like(spark, sf_dir)
     bundle = models.train(df, gbt_stages(), "o_totalprice", label_mode="value",
-                          partitions=spark.sparkContext.defaultParallelism)
+                          partitions=parallelism(spark))
     out = bundle.score(df)
     return out.select("o_orderkey", F.round("predicted", 2).alias("prediction"))

@@ -73,6 +73,14 @@ def workspace(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session's tasks (for spreading iterative fits)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # pragma: no cover - no driver-side context (e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the workspace (never reused between runs)."""
     return f"{workspace(spark)}/tidewell/{name}-{uuid.uuid4().hex[:12]}"
