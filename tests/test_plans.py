@@ -50,3 +50,35 @@ def test_rank_label_broadcasts_measured_index(spark):
     # above the limit the planner decides; the result is the same
     big = feat.rank_label(li, "l_quantity", idx, broadcast_limit=0)
     assert big.where("label is null").count() == 0 and big.count() == li.count()
+
+
+def test_hot_history_key_is_split_by_aqe(spark):
+    """A key holding a third of the history rows: with the key set too large to
+    broadcast, the semi join is a sort-merge join whose skewed partition AQE
+    splits at run time (no salting needed, nothing dropped)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        hist = spark.range(0, n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"),
+            F.col("id").cast("double").alias("h"))
+        keys = spark.range(0, n, 2).select("id")
+        found = merge.lookup(hist, keys, "id")               # no measured count: no broadcast
+        assert found.count() == hist.join(keys, "id", "left_semi").count()
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
