@@ -172,6 +172,18 @@ def conform_table(spark, sf_dir):
     return clean.conform(o, spec, strict=False)
 
 
+@query("sql_text_projection", ("F03", "P03"), sql="""
+select o_orderkey, upper(o_orderpriority) as priority, o_totalprice * 2 as doubled,
+  cast(o_custkey as varchar) as cust_text
+from orders""")
+def sql_text_projection(spark, sf_dir):
+    """Columns given as SQL text by the user, in a fixed order."""
+    o = table(spark, sf_dir, "orders")
+    return clean.select_exprs(o, ["o_orderkey", "upper(o_orderpriority) AS priority",
+                                  "o_totalprice * 2 AS doubled",
+                                  "CAST(o_custkey AS STRING) AS cust_text"])
+
+
 @query("distinct_keys", ("A03",), sql="select distinct o_custkey as id from orders")
 def distinct_keys(spark, sf_dir):
     return merge.keys(stream_rows(spark, sf_dir), "id")
