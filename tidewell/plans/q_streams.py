@@ -109,11 +109,11 @@ def stream_preview_q(spark, sf_dir):
 SCORE_SPEC = TableSpec(struct("id bigint, score double, source string"), "id", "scores")
 
 
-def _upsert_step(path, key, value, source):
+def _upsert_step(path, key, value, source, spec=SCORE_SPEC):
     def step(df, epoch):
         reduced = merge.reduce_max(df.select(F.col(key).alias("id"), F.col(value).alias("score")),
                                    "id", ["score"]).withColumn("source", F.lit(source))
-        keyed.upsert(reduced, path, SCORE_SPEC, epoch, run_id=current_run_id(df.sparkSession))
+        keyed.upsert(reduced, path, spec, epoch, run_id=current_run_id(df.sparkSession))
     return step
 
 
@@ -173,20 +173,13 @@ def compact_table(spark, sf_dir):
 def compact_in_place(spark, sf_dir):
     spec = TableSpec(SCORE_SPEC.schema, "id", "scores", buckets=8)
     path = scratch(spark, "scores")
-
-    def step(key, value, source):
-        def run(df, epoch):
-            reduced = merge.reduce_max(
-                df.select(F.col(key).alias("id"), F.col(value).alias("score")), "id", ["score"]
-            ).withColumn("source", F.lit(source))
-            keyed.upsert(reduced, path, spec, epoch, run_id=current_run_id(df.sparkSession))
-        return run
-
     await_done(run_batches(table_stream(spark, sf_dir, "events"),
-                           step("user_id", "value", "events"), scratch(spark, "ck")))
+                           _upsert_step(path, "user_id", "value", "events", spec),
+                           scratch(spark, "ck")))
     keyed.compact_in_place(spark, path, spec)
     await_done(run_batches(table_stream(spark, sf_dir, "orders"),
-                           step("o_custkey", "o_totalprice", "orders"), scratch(spark, "ck")))
+                           _upsert_step(path, "o_custkey", "o_totalprice", "orders", spec),
+                           scratch(spark, "ck")))
     keyed.compact_in_place(spark, path, spec)
     return keyed.read_table(spark, path, spec)
 
