@@ -250,3 +250,15 @@ def test_file_log_starting_latest(spark, tmp):
         .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
     await_done(q)
     assert [r.value for r in spark.read.parquet(out).collect()] == ["2"]
+
+
+def test_bytes_per_trigger_bounds_batches(spark, tmp):
+    src = tmp("src")
+    spark.range(0, 40000).repartition(8).write.parquet(src)
+    one = min(f.stat().st_size for f in __import__("pathlib").Path(src.replace("file:", ""))
+              .glob("*.parquet"))
+    sizes = []
+    s = files.stream_files(spark, src, struct("id bigint"), fmt="parquet",
+                           max_bytes_per_trigger=2 * one + 1)
+    await_done(run_batches(s, lambda df, e: sizes.append(df.count()), tmp("ck")))
+    assert sum(sizes) == 40000 and len(sizes) >= 4

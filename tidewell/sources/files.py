@@ -24,17 +24,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                  max_files_per_trigger: int | None = None, sep: str = ",", header: bool = True,
-                 options: Mapping[str, str] | None = None) -> DataFrame:
+                 options: Mapping[str, str] | None = None,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of a directory of files.
 
-    ``max_files_per_trigger`` bounds each micro-batch (no default of 1: let a
-    batch take what has arrived). ``options`` passes e.g. ``pathGlobFilter``.
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound each
+    micro-batch by file count or by data volume (no default of 1: let a batch
+    take what has arrived). ``options`` passes e.g. ``pathGlobFilter``.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.options(sep=sep, header=str(header).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     if options:
         reader = reader.options(**dict(options))
     return reader.load(path)
