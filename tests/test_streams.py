@@ -262,3 +262,13 @@ def test_bytes_per_trigger_bounds_batches(spark, tmp):
                            max_bytes_per_trigger=2 * one + 1)
     await_done(run_batches(s, lambda df, e: sizes.append(df.count()), tmp("ck")))
     assert sum(sizes) == 40000 and len(sizes) >= 4
+
+
+def test_commit_stamps_strictly_increase(monkeypatch):
+    import time as _time
+    t = [2_000_000_000_000_000_000]
+    monkeypatch.setattr(_time, "time_ns", lambda: t[0])
+    a = keyed.next_stamp()
+    t[0] -= 10**12                       # the clock steps back one second
+    b = keyed.next_stamp()
+    assert b > a

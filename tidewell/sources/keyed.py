@@ -56,6 +56,17 @@ def bucket_of(key_col, spec: TableSpec):
     return F.pmod(F.xxhash64(k), F.lit(spec.buckets)).cast("int")
 
 
+_LAST_STAMP = [0]
+
+
+def next_stamp() -> int:
+    """Commit stamp in microseconds, strictly increasing within this process
+    even if the wall clock steps back between two batches."""
+    stamp = max(time.time_ns() // 1000, _LAST_STAMP[0] + 1)
+    _LAST_STAMP[0] = stamp
+    return stamp
+
+
 def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str | None = None,
            dedupe_rule: str = "none", committed_at: int | None = None,
            strict: bool = True) -> None:
@@ -67,7 +78,7 @@ def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str |
     """
     run = run_id or "batch"
     out = dedupe(spec.conform(df, strict=strict), spec, dedupe_rule)
-    stamp = committed_at if committed_at is not None else time.time_ns() // 1000
+    stamp = committed_at if committed_at is not None else next_stamp()
     out = out.withColumn(COMMIT_COL, F.lit(stamp).cast("long")) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
     _write_slice(out, f"{path.rstrip('/')}/run={run}/epoch={int(epoch)}", spec)
