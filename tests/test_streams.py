@@ -267,6 +267,7 @@ def test_bytes_per_trigger_bounds_batches(spark, tmp):
 def test_commit_stamps_strictly_increase(monkeypatch):
     import time as _time
     t = [2_000_000_000_000_000_000]
+    monkeypatch.setattr(keyed, "_LAST_STAMP", [0])       # restored after the test
     monkeypatch.setattr(_time, "time_ns", lambda: t[0])
     a = keyed.next_stamp()
     t[0] -= 10**12                       # the clock steps back one second
