@@ -137,3 +137,14 @@ def test_tutor_workflow_with_store_stand_in(spark, tmp):
         await_done(q)
     out = spark.read.parquet(out_store)
     assert out.count() == n // 2 + 1 and out.columns[-1] == "mean_exam_points"
+
+
+def test_house_workflow_rank_label(spark, tmp):
+    tr, st = _house_csvs(spark, tmp)
+    model, out = tmp("house-model"), tmp("house-pred")
+    houses.train(spark, tr, model, label_mode="rank", max_iter=2)
+    await_done(houses.serve(spark, st, out, model, tmp("ck")))
+    prices = {int(r.SalePrice) for r in spark.read.option("header", True).csv(tr)
+              .select("SalePrice").collect()}
+    got = [r.saleprice for r in houses.predictions(spark, out).collect()]
+    assert len(got) == 101 and all(p in prices for p in got)   # predictions are known labels
