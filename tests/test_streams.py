@@ -273,3 +273,13 @@ def test_commit_stamps_strictly_increase(monkeypatch):
     t[0] -= 10**12                       # the clock steps back one second
     b = keyed.next_stamp()
     assert b > a
+
+
+def test_log_reader_can_start_before_producer(spark, tmp):
+    lg, out = tmp("log"), tmp("out")
+    stream = log.stream_log(spark, lg)                  # nothing written yet
+    log.write_log_batch(spark.createDataFrame([("k", "v")], "key string, value string"), lg, 0)
+    q = stream.writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
+    await_done(q)
+    assert [r.value for r in spark.read.parquet(out).collect()] == ["v"]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,6 +64,18 @@ def log_sink(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[
                        checkpoint, trigger)
 
 
+def ensure_log(spark: SparkSession, path: str) -> None:
+    """Create an empty file log (an empty ``epoch=-1``, which no producer
+    writes) so a reader can start before the first message arrives."""
+    try:
+        read_log(spark, path).schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        spark.createDataFrame([], envelope.ENVELOPE_SCHEMA).write.mode("ignore") \
+            .parquet(f"{path.rstrip('/')}/epoch=-1")
+
+
 def stream_log(spark: SparkSession, source: str, format: str = "files",
                max_per_trigger: int | None = None, starting: str = "earliest",
                options: Mapping[str, str] | None = None) -> DataFrame:
@@ -87,7 +100,9 @@ def stream_log(spark: SparkSession, source: str, format: str = "files",
             raise
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"),
                           F.col("offset").cast("long"))
-    r = spark.readStream.schema(LOG_SCHEMA).format("parquet")
+    ensure_log(spark, source)
+    # a producer replaying an epoch rewrites its files; a reader must not fail
+    r = spark.readStream.schema(LOG_SCHEMA).format("parquet").option("ignoreMissingFiles", "true")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_per_trigger))
     stream = r.options(**dict(options or {})).load(source)
