@@ -108,13 +108,18 @@ class MergeScore:
     writer: Callable[[DataFrame, int], None] | None = None
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
-        spark = df.sparkSession
         if self.null_key == "quarantine":
-            clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(
-                f"{self.table_path.rstrip('/')}_quarantine/run={current_run_id(spark)}/epoch={epoch}")
-            df = clean.null_key(df, self.key, "drop")
+            # the batch is read twice (side table + scoring): persist it once
+            with batch_scope(df):
+                clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(
+                    f"{self.table_path.rstrip('/')}_quarantine/"
+                    f"run={current_run_id(df.sparkSession)}/epoch={epoch}")
+                self._score(clean.null_key(df, self.key, "drop"), epoch)
         else:
-            df = clean.null_key(df, self.key, self.null_key)
+            self._score(clean.null_key(df, self.key, self.null_key), epoch)
+
+    def _score(self, df: DataFrame, epoch: int) -> None:
+        spark = df.sparkSession
         with batch_scope(merge.reduce_max(df, self.key, self.batch_features)) as reduced:
             if isinstance(self.history, keyed.KeyedHistory):
                 # key count and touched buckets in one job (<= B rows to the driver)
