@@ -82,3 +82,17 @@ def test_hot_history_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_keyed_lookup_filters_before_latest_by_key(spark, tmp):
+    from tidewell.schemas import TableSpec, struct
+    from tidewell.sources import keyed
+    spec = TableSpec(struct("id bigint, v double"), "id")
+    path = tmp("kt")
+    keyed.upsert(spark.range(0, 100).select("id", F.col("id").cast("double").alias("v")),
+                 path, spec, 0, "r")
+    got = keyed.lookup(spark, path, spec, spark.createDataFrame([(5,)], "id bigint"), key_count=1)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    # tree strings list parents first: the aggregate must sit above the semi join
+    assert plan.find("SortAggregate") < plan.find("LeftSemi")
+    assert [tuple(r) for r in got.collect()] == [(5, 5.0)]
