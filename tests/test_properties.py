@@ -73,3 +73,16 @@ def test_clamp_index_rule(spark, preds, n):
             assert got[i] is None
         else:
             assert got[i] == int(max(0.0, min(float(n - 1), p)))
+
+
+@settings(**SETTINGS)
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-2**31, 2**31 - 1)),
+                               st.one_of(st.none(), st.floats(allow_nan=False,
+                                                              allow_infinity=False))),
+                     min_size=1, max_size=10))
+def test_text_envelope_round_trip_numbers(spark, rows):
+    rows = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "off long, a int, b double")
+    back = envelope.decode(envelope.encode(df, ["a", "b"], fmt="text", offset="off"),
+                           struct("a int, b double"), fmt="text")
+    assert sorted((r.offset, r.a, r.b) for r in back.collect()) == sorted(rows)
