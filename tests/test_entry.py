@@ -6,8 +6,6 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 45
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) and s for s in o.values())
-    for name in ("pipeline",):
-        assert name not in q
 
 
 def test_entry_runs_on_smallest_scale(spark):
