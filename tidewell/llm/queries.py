@@ -22,3 +22,9 @@ def register(fn):
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import minhash
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
