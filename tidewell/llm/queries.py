@@ -28,3 +28,17 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import minhash
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _license_oracle() -> str:
+    from . import licenses
+    return licenses.oracle_sql()
+
+
+ORACLES["op10_license_scan"] = _license_oracle()
