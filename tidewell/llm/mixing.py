@@ -104,7 +104,7 @@ def place(sizes: DataFrame, targets: DataFrame, spec: MixSpec) -> DataFrame:
     inner = keyed.withColumn("within", F.coalesce(F.sum("size").over(rows), F.lit(0)))
     return inner.join(base, F.col("source").eqNullSafe(F.col("b_source"))
                       & (F.col("chunk") == F.col("b_chunk"))) \
-        .select("doc_id", "digest", "src", "size", "source_size", "target",
+        .select("doc_id", "digest", "source", "src", "size", "source_size", "target",
                 (F.col("base") + F.col("within")).alias("pos"))
 
 
@@ -113,35 +113,29 @@ def draw_slots(targets: DataFrame, spec: MixSpec) -> DataFrame:
     wanted = targets.filter("source_size > 0 and target > 0") \
         .withColumn("blocks", F.ceil(F.col("source_size") / F.lit(spec.block_words)).cast("long")) \
         .withColumn("want", F.col("target") * F.col("blocks") / F.col("source_size"))
-    total = wanted.agg(F.sum("want").alias("total_want"))
-    # one row with the total; shards follow from it
-    shards = total.select(
-        "total_want",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(
-            F.lit(0), F.ceil(F.col("total_want") / spec.shard_slots).cast("long") - 1))).alias("shard"))
-    shards = shards.withColumn("slots", F.least(
-        F.lit(float(spec.shard_slots)),
-        F.col("total_want") - F.col("shard") * F.lit(float(spec.shard_slots))))
-    per_shard = shards.withColumn("j", F.lit(1)).join(
-        wanted.select("src", "blocks", "want", F.lit(1).alias("j")), "j")
+    # one row: the sources (their number is the bound) and the total; shards follow from it
+    whole = wanted.agg(F.sum("want").alias("total"), F.sort_array(F.collect_list(
+        F.struct("src", "blocks", "want"))).alias("sources")).filter("total > 0")
+    shards = whole.select("total", "sources", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.ceil(F.col("total") / spec.shard_slots).cast("long") - 1)).alias("shard"))
     seed = spec.seed
 
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("src", kind="stable")
-        shard = int(pdf["shard"].iloc[0])
-        p = (pdf["want"] / pdf["total_want"]).to_numpy()
-        n = float(pdf["slots"].iloc[0])
-        expected = n * p
-        base = np.floor(expected + 1e-9)
-        frac = np.clip(expected - base, 0.0, None)
-        rest = int(round(n - base.sum()))
-        extra = np.zeros(len(p), np.int64)
-        if rest > 0 and frac.sum() > 0:
-            extra = np.random.default_rng([seed, shard]).multinomial(rest, frac / frac.sum())
-        return pd.DataFrame({"src": pdf["src"], "shard": shard, "blocks": pdf["blocks"],
-                             "n": (base + extra).astype("int64")})
-
-    counts = per_shard.groupBy("shard").applyInPandas(draw, "src long, shard long, blocks long, n long")
+    def draw(frames):
+        for pdf in frames:
+            for shard, total, sources in zip(pdf["shard"], pdf["total"], pdf["sources"]):
+                src, blocks, want = (np.array([x[k] for x in sources]) for k in ("src", "blocks", "want"))
+                slots = min(float(spec.shard_slots), total - shard * float(spec.shard_slots))
+                expected = slots * want / total
+                base = np.floor(expected + 1e-9)
+                frac = np.clip(expected - base, 0.0, None)
+                rest = int(round(slots - base.sum()))
+                extra = np.zeros(len(src), np.int64)
+                if rest > 0 and frac.sum() > 0:
+                    extra = np.random.default_rng([seed, int(shard)]).multinomial(rest, frac / frac.sum())
+                yield pd.DataFrame({"src": src, "shard": shard, "blocks": blocks,
+                                    "n": (base + extra).astype("int64")})
+
+    counts = shards.mapInPandas(draw, "src long, shard long, blocks long, n long")
     ahead = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     spans = counts.withColumn("first", F.coalesce(F.sum("n").over(ahead), F.lit(0))) \
         .withColumn("stop", F.least(F.col("first") + F.col("n"), F.col("blocks") * spec.max_passes)) \
@@ -150,7 +144,7 @@ def draw_slots(targets: DataFrame, spec: MixSpec) -> DataFrame:
     pieces = spans.select("src", "blocks", "stop", F.explode(
         F.sequence("first", F.col("stop") - 1, F.lit(step).cast("long"))).alias("lo")) \
         .select("src", "blocks", "lo", F.least(F.col("lo") + step, "stop").alias("hi")) \
-        .repartition("src", "lo")
+        .repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "src", "lo")
     slots = pieces.select("src", "blocks", F.explode(
         F.sequence("lo", F.col("hi") - 1)).alias("slot"))
 
@@ -188,7 +182,8 @@ def mix(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     placed, slots = _blocks_and_slots(docs, spec)
     times = slots.groupBy("src", "idx").agg(F.count("*").alias("times"))
-    hit = placed.join(times, ["src", "idx"], "left")
+    # the planner takes an exploded sequence for small; it is as large as the corpus has blocks
+    hit = placed.join(times.hint("merge"), ["src", "idx"], "left")
     return hit.groupBy("src", "pos", "doc_id", "digest", "copy") \
         .agg(F.first("size").alias("size"), F.first("source_size").alias("source_size"),
              F.first("target").alias("target"),
@@ -211,3 +206,66 @@ def _blocks_and_slots(docs: DataFrame, spec: MixSpec) -> tuple[DataFrame, DataFr
         F.least(F.col("pos") + F.col("size"), (F.col("idx") + 1) * b)
         - F.greatest(F.col("pos"), F.col("idx") * b))
     return parts.withColumn("words", words), draw_slots(targets, spec)
+
+
+def mixed_texts(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
+    """The mixed corpus with the columns of ``docs``: a row per document and pass
+    that takes any of its words. ``text`` holds the words taken: the whole text
+    where all are, else the taken spans joined by spaces; ``n_chars``, if there,
+    follows it. A document the mix takes nothing of has no row."""
+    placed, slots = _blocks_and_slots(docs, spec)
+    b = F.lit(spec.block_words).cast("long")
+    lo = F.greatest(F.col("pos"), F.col("idx") * b) - F.col("pos")
+    taken = placed.filter("idx is not null").join(slots.hint("merge"), ["src", "idx"]) \
+        .groupBy("doc_id", "digest", "source", "pos", "turn") \
+        .agg(F.sort_array(F.collect_list(F.struct(lo.alias("lo"), (lo + F.col("words")).alias("hi")))).alias("s")) \
+        .select(F.col("doc_id").alias("m_id"), F.col("digest").alias("m_digest"),
+                F.col("source").alias("m_source"), F.col("s.lo").alias("m_lo"), F.col("s.hi").alias("m_hi"))
+    names = docs.columns
+    at = names.index("text")
+
+    def with_digest(batches):
+        ph = tb.PolyHash(61)
+        for batch in batches:
+            digest = np.zeros(batch.num_rows, np.int64)
+            for first, last, data, offs in tb.column_slices(batch, at):
+                digest[first:last] = ph.ranges(ph.prefix(data), offs[:-1], offs[1:]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*names, "m_key"])
+
+    def cut_texts(batches):
+        for batch in batches:
+            texts = []
+            los, his = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+            for first, last, data, offs in tb.column_slices(batch, at):
+                raw = data.tobytes()
+                starts, ends, rows = tb.word_bounds(data, offs, tb.SPACED_WORD)
+                begin = tb.runs(rows, last - first)
+                for r in range(last - first):
+                    spans = []
+                    for x, y in zip(los[first + r], his[first + r]):
+                        if spans and spans[-1][1] == x:
+                            spans[-1][1] = y
+                        else:
+                            spans.append([x, y])
+                    if spans == [[0, begin[r + 1] - begin[r]]]:
+                        texts.append(raw[offs[r]:offs[r + 1]].decode())
+                    else:
+                        k = begin[r]
+                        texts.append(" ".join(raw[starts[k + x]:ends[k + y - 1]].decode() for x, y in spans))
+            columns = [pa.array(texts, pa.string()) if n == "text"
+                       else pa.array([len(t) for t in texts]).cast(batch.column(i).type) if n == "n_chars"
+                       else batch.column(i) for i, n in enumerate(names)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = docs.schema
+    keyed = docs.mapInArrow(with_digest, _with(schema, "m_key long"))
+    one = keyed.dropDuplicates(["doc_id", "m_key", "source"])
+    joined = one.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("m_id"))
+                      & (F.col("m_key") == F.col("m_digest"))
+                      & F.col("source").eqNullSafe(F.col("m_source")))
+    return joined.select(*names, "m_lo", "m_hi").mapInArrow(cut_texts, schema)
+
+
+def _with(schema, extra: str):
+    from pyspark.sql.types import StructType
+    return StructType([*schema.fields, *StructType.fromDDL(extra).fields])
