@@ -42,3 +42,9 @@ def _license_oracle() -> str:
 
 
 ORACLES["op10_license_scan"] = _license_oracle()
+
+
+@register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
