@@ -48,3 +48,17 @@ ORACLES["op10_license_scan"] = _license_oracle()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import warc
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def _warc_oracle() -> str:
+    from . import warc
+    return warc.ORACLE
+
+
+ORACLES["op9_warc_archives"] = _warc_oracle()
