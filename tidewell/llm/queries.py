@@ -62,3 +62,9 @@ def _warc_oracle() -> str:
 
 
 ORACLES["op9_warc_archives"] = _warc_oracle()
+
+
+@register
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
