@@ -68,3 +68,9 @@ ORACLES["op9_warc_archives"] = _warc_oracle()
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_replaced")
+
+
+@register
+def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import segmentation
+    return segmentation.sample(table(spark, sf_dir, "documents"), ids=False)
