@@ -74,3 +74,9 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import segmentation
     return segmentation.sample(table(spark, sf_dir, "documents"), ids=False)
+
+
+@register
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ann
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
