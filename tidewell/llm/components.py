@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cut import cut
+from .cut import cut, merged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,16 +34,19 @@ def _state(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most_rows: int | None = None) -> DataFrame:
     """``node, component`` for every node that is not the smallest of its component.
 
     ``edges``: longs ``u`` and ``v``; loops, nulls and repeats are allowed.
+    ``most_rows``, where known, bounds their number (tasks follow it).
     """
     now = cut(edges.select("u", "v").filter("u != v")
-              .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+              .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), most_rows)
     state = _state(now)
     while state[0]:
-        now = cut(_small_star(_large_star(now)).distinct())
+        # a star turn makes at most one edge per edge and direction
+        stars = merged(_large_star(now), 2 * state[0])
+        now = cut(_small_star(stars).distinct(), 2 * state[0])
         after = _state(now)
         if after == state:
             break

@@ -7,9 +7,17 @@ from pyspark.sql import DataFrame
 from ..session import ensure_checkpoint_dir
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, most_rows: int | None = None, rows_per_task: int = 200_000) -> DataFrame:
     """``df`` computed once and read back from the checkpoint folder all executors
     share, so that several consumers neither repeat its work nor lose it with an
-    executor."""
+    executor. Where the caller knows how many rows it can have at most, tasks are
+    merged (never added) to about ``rows_per_task``: rounds over small tables then
+    leave few files."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return merged(df, most_rows, rows_per_task).checkpoint(eager=True)
+
+
+def merged(df: DataFrame, most_rows: int | None, rows_per_task: int = 200_000) -> DataFrame:
+    if most_rows is None:
+        return df
+    return df.coalesce(max(1, -(-most_rows // rows_per_task)))

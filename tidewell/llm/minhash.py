@@ -14,7 +14,7 @@
    centre, until a round finds no link.
 
 At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8^rows)^bands,
-0.999993 for 5 x 30. Links already implied by a component are not compared.
+0.99993 for 5 x 24. Links already implied by a component are not compared.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 links with nothing; a row with null doc_id has component null and is kept, and
@@ -39,7 +39,7 @@ from .cut import cut
 class MinHashSpec:
     shingle: int = 2
     similarity_pct: int = 80
-    bands: int = 30
+    bands: int = 24
     rows: int = 5
 
     @property
@@ -207,13 +207,12 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataF
     classes = cut(info.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles")
                   .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("top"),
                        F.first("keys").alias("keys")))
-    rows = classes.select("rep", F.col("n_shingles").alias("n"), "d1", "d2",
-                          F.explode("keys").alias("bucket"))
+    rows = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
     crowded = rows.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
     members = cut(rows.join(crowded, "bucket"))
-    wanted = members.select("rep", "d1", "d2").distinct()
+    n_members = members.count()
+    wanted = classes.select("rep", "d1", "d2").join(members.select("rep").distinct(), "rep", "left_semi")
     sets = cut(full_sets(docs, wanted, spec))
-    members = members.select("bucket", "rep", "n")
 
     # rows of one doc_id are one node: tie their classes together
     several = info.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id") \
@@ -235,12 +234,14 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataF
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = cut(pairs)
-        links = cut(confirm(pairs, sets, spec.similarity_pct))
+        pairs = cut(pairs, n_members)
+        n_pairs = pairs.count()
+        links = cut(confirm(pairs, sets, spec.similarity_pct), n_pairs, 20_000)
         if turn > 0 and links.isEmpty():
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        comp = components(links.unionByName(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+        forest = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        comp = components(links.unionByName(forest), n_members)
         turn += 1
 
     ids = classes.select("d1", "d2", "n_shingles", "rep") \
