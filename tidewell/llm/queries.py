@@ -80,3 +80,9 @@ def op8_sentencepiece_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import ann
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import embed_dedup
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
