@@ -86,3 +86,9 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import embed_dedup
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_dedup
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
