@@ -6,7 +6,8 @@ log-count ratios.
   1000 characters, damped for short texts by ``extra_chars``. Abuse is a matter
   of density here: harmless texts hold the odd such word, more so long ones.
 * Ratios: r = log of (smoothed share of the toxic texts' density in the slot)
-  over (that of the others); slots in fewer than ``min_texts`` texts get 0.
+  over (that of the others); slots in fewer than ``min_texts`` texts or with a
+  ratio below ``neutral`` get 0.
 * Model: logistic regression on density * r, full-batch Adam with L2, trained
   in one task on a sample of at most ``max_per_class`` labelled rows a class
   (smallest hashes of doc_id; the bound is this parameter).
@@ -35,7 +36,8 @@ from . import textbytes as tb
 class ToxicitySpec:
     bits: int = 19
     grams: tuple[int, ...] = (3, 4, 5)
-    max_per_class: int = 4000
+    max_per_class: int = 2000
+    neutral: float = 0.2
     min_texts: int = 3
     smoothing: float = 1.0
     extra_chars: int = 600
@@ -118,6 +120,8 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(
             y.extend(batch.column(0).to_pylist())
             rows.extend(np.frombuffer(v.as_buffer(), np.int32) for v in batch.column(1))
             x.extend(np.frombuffer(v.as_buffer(), np.float32) for v in batch.column(2))
+        if not y:
+            rows, x = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
         w, bias = fit_ratios(np.array(y, float), rows, x, spec)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([bias])], names=["w", "bias"])
 
@@ -133,8 +137,8 @@ def fit_ratios(y: np.ndarray, rows: list[np.ndarray], x: list[np.ndarray],
     size = 1 << spec.bits
     if not len(y) or y.min() == y.max():
         return np.zeros(size, np.float32), -np.inf
-    row = np.repeat(np.arange(len(y)), [len(r) for r in rows])
-    idx, val = np.concatenate(rows), np.concatenate(x).astype(float)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(r) for r in rows])
+    idx, val = np.concatenate(rows), np.concatenate(x)
     toxic = y[row] == 1
     a = spec.smoothing
     p = np.bincount(idx[toxic], weights=val[toxic], minlength=size) / y.sum()
@@ -142,17 +146,18 @@ def fit_ratios(y: np.ndarray, rows: list[np.ndarray], x: list[np.ndarray],
     low = a / len(y)
     r = np.log((p + low) / (q + low))
     r[np.bincount(idx, minlength=size) < spec.min_texts] = 0.0
+    r[np.abs(r) < spec.neutral] = 0.0
     keep = r[idx] != 0
-    idx, row = idx[keep], row[keep]
-    val = val[keep] * r[idx]
+    idx, row, val = idx[keep], row[keep], val[keep]
+    val = val * r[idx].astype(np.float32)
     # classes weigh alike, whatever their share of the sample
     each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     v, bias = np.zeros(size), 0.0
     m, s, mb, sb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, spec.steps + 1):
-        z = np.bincount(row, weights=v[idx] * val, minlength=len(y)) + bias
+        z = np.bincount(row, weights=v.astype(np.float32)[idx] * val, minlength=len(y)) + bias
         err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * each
-        g = np.bincount(idx, weights=err[row] * val, minlength=size) + spec.l2 * v
+        g = np.bincount(idx, weights=err.astype(np.float32)[row] * val, minlength=size) + spec.l2 * v
         gb = err.sum()
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         mb, sb = 0.9 * mb + 0.1 * gb, 0.99 * sb + 0.01 * gb * gb
