@@ -9,7 +9,7 @@ from tidewell.plans.catalogue import load_all
 from tidewell.sources.tables import TABLES
 
 REG = load_all()
-NO_ORACLE = {"cross_validate_linear", "gbt_predict", "score_stream_gbt"}
+NO_ORACLE = {"gbt_many_features"}
 
 
 def _norm(v):

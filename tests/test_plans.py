@@ -15,15 +15,15 @@ def test_reduce_has_partial_aggregation(spark):
     assert "partial_max" in p
 
 
-def test_counted_keys_are_broadcast_and_scan_is_pruned(spark):
+def test_merge_reads_the_batch_once_and_prunes_the_history(spark):
     b, h = stream_rows(spark, SF_SMALL), history_rows(spark, SF_SMALL)
-    reduced = merge.reduce_max(b, "id", BATCH_FEATURES)
-    m = merge.merge_max(b, h, "id", BATCH_FEATURES, HISTORY_FEATURES, key_count=150,
-                        broadcast_limit=1000, reduced=reduced)
+    m = merge.merge_max(b, h, "id", BATCH_FEATURES, HISTORY_FEATURES)
     p = m._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+    assert p.count("FileScan parquet") == 2
     # only the needed columns reach the customer scan
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_acctbal:double>" in p
+    # the final aggregate uses the join's partitioning: one exchange a side at most
+    assert plan_of(m).count("Exchange") <= 2
 
 
 def test_pushed_filter_reaches_scan(spark):
@@ -41,15 +41,11 @@ def test_frequency_index_uses_no_single_partition_window_over_data(spark):
     assert idx.count() == li.select("l_quantity").distinct().count()
 
 
-def test_rank_label_broadcasts_measured_index(spark):
+def test_rank_label_is_a_join_the_planner_chooses(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    idx = feat.frequency_index(li, "l_quantity")
-    labelled = feat.rank_label(li, "l_quantity", idx)
-    p = labelled._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" in p and "LeftOuter" in p
-    # above the limit the planner decides; the result is the same
-    big = feat.rank_label(li, "l_quantity", idx, broadcast_limit=0)
-    assert big.where("label is null").count() == 0 and big.count() == li.count()
+    labelled = feat.rank_label(li, "l_quantity", feat.frequency_index(li, "l_quantity"))
+    assert "LeftOuter" in labelled._jdf.queryExecution().sparkPlan().toString()
+    assert labelled.where("label is null").count() == 0 and labelled.count() == li.count()
 
 
 def test_hot_history_key_is_split_by_aqe(spark):
@@ -84,15 +80,16 @@ def test_hot_history_key_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_keyed_lookup_filters_before_latest_by_key(spark, tmp):
+def test_keyed_lookup_filters_before_a_hash_aggregate(spark, tmp):
     from tidewell.schemas import TableSpec, struct
     from tidewell.sources import keyed
     spec = TableSpec(struct("id bigint, v double"), "id")
     path = tmp("kt")
     keyed.upsert(spark.range(0, 100).select("id", F.col("id").cast("double").alias("v")),
                  path, spec, 0, "r")
-    got = keyed.lookup(spark, path, spec, spark.createDataFrame([(5,)], "id bigint"), key_count=1)
+    got = keyed.lookup(spark, path, spec, spark.createDataFrame([(5,)], "id bigint"))
     plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "LeftSemi" in plan and "SortAggregate" not in plan
     # tree strings list parents first: the aggregate must sit above the semi join
-    assert plan.find("SortAggregate") < plan.find("LeftSemi")
+    assert plan.index("HashAggregate") < plan.index("LeftSemi")
     assert [tuple(r) for r in got.collect()] == [(5, 5.0)]

@@ -4,7 +4,7 @@ from tidewell.operators import merge
 from tidewell.plans import flows
 from tidewell.schemas import TableSpec, struct
 from tidewell.sources import files, keyed, log
-from tidewell.streaming.runner import await_done, current_run_id, run_batches
+from tidewell.streaming.runner import await_done, current_run_id, run_batches, stop_queries
 
 SPEC = TableSpec(struct("id bigint, v double"), "id")
 
@@ -37,22 +37,12 @@ def test_read_missing_table_is_empty(spark, tmp):
 def test_null_key_fails_write(spark, tmp):
     df = spark.createDataFrame([(None, 1.0)], "id bigint, v double")
     try:
-        keyed.upsert(df, tmp("kt"), SPEC, epoch=0)
+        keyed.upsert(df, tmp("kt"), SPEC, epoch=0, run_id="r")
         raise AssertionError("expected failure")
     except Exception as e:
         assert "null key" in str(e)
 
 
-def test_compact_keeps_state(spark, tmp):
-    path = tmp("kt")
-    for e in range(3):
-        keyed.upsert(spark.createDataFrame([(1, float(e)), (e + 10, 1.0)], "id bigint, v double"),
-                     path, SPEC, epoch=e, run_id="r")
-    new = keyed.compact(spark, path, tmp("kt2"), SPEC)
-    keyed.upsert(spark.createDataFrame([(1, 99.0)], "id bigint, v double"), new, SPEC, 0, "r2")
-    got = {r.id: r.v for r in keyed.read_table(spark, new, SPEC).collect()}
-    assert got == {1: 99.0, 10: 1.0, 11: 1.0, 12: 1.0}
-
 
 def _csv(spark, path, rows, name):
     spark.createDataFrame(rows, "id string, age string").coalesce(1).write \
@@ -88,23 +78,6 @@ def test_stream_handles_empty_file_duplicates_and_restart(spark, tmp):
     assert {r.id: r.age for r in keyed.read_table(spark, out, spec).collect()}[2] == 7.0
 
 
-def test_log_relay_offsets_unique(spark, tmp):
-    src, lg = tmp("src"), tmp("log")
-    spark.range(0, 1000).select(F.col("id"), (F.col("id") * 0.5).alias("x")) \
-        .repartition(4).write.parquet(src)
-    stream = files.stream_files(spark, src, struct("id bigint, x double"), fmt="parquet",
-                                max_files_per_trigger=2)
-    await_done(flows.relay_to_log(stream, lg, tmp("ck")))
-    raw = log.read_log(spark, lg)
-    assert raw.count() == 1000 and raw.select("offset").distinct().count() == 1000
-    parsed = flows.parse_log(spark, lg, struct("id bigint, x double"))
-    out = tmp("parsed")
-    q = parsed.writeStream.format("parquet").option("path", out) \
-        .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
-    await_done(q)
-    back = spark.read.parquet(out)
-    assert back.count() == 1000 and back.where("x * 2 != id").count() == 0
-
 
 def test_stream_equals_batch_when_keys_do_not_repeat(spark, tmp):
     # keys are split across files without repeating: the streamed merge equals the batch merge
@@ -129,20 +102,6 @@ def test_stream_equals_batch_when_keys_do_not_repeat(spark, tmp):
         assert all(abs(x - y) < 1e-9 for x, y in zip(streamed[k], batch[k])), k
 
 
-def test_bucketed_lookup_prunes_and_matches_full_read(spark, tmp):
-    spec = TableSpec(struct("id bigint, v double"), "id", buckets=8)
-    path = tmp("kt")
-    keyed.upsert(spark.range(0, 500).select("id", (F.col("id") * 1.0).alias("v")), path, spec, 0, "r")
-    keyed.upsert(spark.range(0, 50).select("id", (F.col("id") * -1.0).alias("v")), path, spec, 1, "r")
-    keys = spark.createDataFrame([(3,), (42,), (499,), (10**6,)], "id int")
-    got = keyed.lookup(spark, path, spec, keys, key_count=4)
-    assert sorted(map(tuple, got.collect())) == [(3, -3.0), (42, -42.0), (499, 499.0)]
-    scan = [ln for ln in got._jdf.queryExecution().sparkPlan().toString().splitlines()
-            if "PartitionFilters" in ln and "bucket" in ln]
-    assert scan and "bucket#" in scan[0].split("PartitionFilters: ")[1].split("]")[0]
-    full = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
-    assert len(full) == 500 and full[3] == -3.0
-
 
 def test_merge_scorer_quarantines_null_keys(spark, tmp):
     src, out = tmp("src"), tmp("out")
@@ -154,48 +113,19 @@ def test_merge_scorer_quarantines_null_keys(spark, tmp):
     bundle = flows.train_linear(train, ["a"], "label")
     spec = TableSpec(struct("id bigint, a double, h double, prediction double"), "id")
     step = flows.MergeScore(history=lambda s: hist, bundle=bundle, key="id", batch_features=["a"],
-                            history_features=["h"], table_path=out, spec=spec, absent=None,
-                            null_key="quarantine")
+                            history_features=["h"], table_path=out, spec=spec, absent=None)
     stream = files.stream_files(spark, src, struct("id bigint, a double"), fmt="parquet")
     await_done(flows.score_with_history(stream, step, tmp("ck")))
     got = {r.id: r for r in keyed.read_table(spark, out, spec).collect()}
     assert set(got) == {1, 2} and got[1].h == 10.0 and got[2].h is None
     assert abs(got[1].prediction - 4.0) < 1e-6
+    assert step.set_aside == 1
     aside = spark.read.parquet(f"{out}_quarantine")
     assert aside.count() == 1 and aside.first().a == 5.0
 
 
-def test_log_records_per_trigger(spark, tmp):
-    src, lg, out = tmp("src"), tmp("log"), tmp("out")
-    spark.range(0, 1000).coalesce(1).write.parquet(src)
-    stream = files.stream_files(spark, src, struct("id bigint"), fmt="parquet")
-    await_done(flows.relay_to_log(stream, lg, tmp("ck"), records_per_file=150))
-    sizes = []
-    parsed = flows.parse_log(spark, lg, struct("id bigint"), max_per_trigger=1)
-    await_done(run_batches(parsed, lambda df, e: sizes.append(df.count()), tmp("ck")))
-    assert sum(sizes) == 1000 and max(sizes) <= 150 and len(sizes) >= 7
-
-
-def test_preview_memory_and_console(spark, tmp):
-    from tidewell.sources.preview import stream_preview
-    src = tmp("src")
-    spark.range(0, 100).coalesce(1).write.parquet(src)
-    s = files.stream_files(spark, src, struct("id bigint"), fmt="parquet")
-    q = stream_preview(s, tmp("ck"), fmt="memory", name="tidewell_preview_test")
-    await_done(q)
-    assert spark.table("tidewell_preview_test").count() == 100
-    await_done(stream_preview(s, tmp("ck"), fmt="console", num_rows=3, order_by=["id"]))
 
 
-def test_bucketed_slice_has_one_file_per_bucket(spark, tmp):
-    spec = TableSpec(struct("id bigint, v double"), "id", buckets=4)
-    path = tmp("kt")
-    df = spark.range(0, 2000, numPartitions=8).select("id", (F.col("id") * 1.0).alias("v"))
-    keyed.upsert(df, path, spec, 0, "r")
-    files_written = spark.read.parquet(path).inputFiles()
-    assert len(files_written) <= 4
-    assert keyed.read_table(spark, path, spec).count() == 2000
-
 
 def test_external_store_path_with_parquet_stand_in(spark, tmp):
     from tidewell.sources import external
@@ -204,7 +134,7 @@ def test_external_store_path_with_parquet_stand_in(spark, tmp):
     hist_spec = TableSpec(struct("id bigint, h double"), "id")
     spark.createDataFrame([(1, 10.0), (3, 30.0)], "id bigint, h double").write.parquet(store + "-h")
     found = external.lookup_store(spark, "parquet", {"path": store + "-h"}, hist_spec,
-                                  spark.createDataFrame([(1,), (2,)], "id bigint"), key_count=2)
+                                  spark.createDataFrame([(1,), (2,)], "id bigint"))
     assert [tuple(r) for r in found.collect()] == [(1, 10.0)]
     spark.createDataFrame([(1, 2.0), (2, 3.0)], "id bigint, a double").coalesce(1).write.parquet(src)
     train = spark.range(0, 20).select(F.col("id").cast("double").alias("a"),
@@ -220,36 +150,6 @@ def test_external_store_path_with_parquet_stand_in(spark, tmp):
     assert set(out) == {1, 2} and out[1].h == 10.0 and abs(out[2].prediction - 6.0) < 1e-6
 
 
-def test_compact_in_place_bounds_reads_and_keeps_state(spark, tmp):
-    spec = TableSpec(struct("id bigint, v double"), "id", buckets=4)
-    path = tmp("kt")
-    for e in range(4):
-        keyed.upsert(spark.createDataFrame([(1, float(e)), (e + 10, 1.0)], "id bigint, v double"),
-                     path, spec, epoch=e, run_id="r")
-    before = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
-    cutoff = keyed.compact_in_place(spark, path, spec)
-    assert cutoff is not None
-    assert keyed.read_slices(spark, path, spec).count() == len(before)   # base only
-    assert {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()} == before
-    keyed.upsert(spark.createDataFrame([(1, 99.0)], "id bigint, v double"), path, spec, 4, "r")
-    keyed.upsert(spark.createDataFrame([(2, 5.0)], "id bigint, v double"), path, spec, 3, "r")  # replay
-    after = {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()}
-    assert after[1] == 99.0 and after[2] == 5.0 and after[10] == 1.0
-    assert keyed.lookup(spark, path, spec, spark.createDataFrame([(13,)], "id bigint")).count() == 1
-    keyed.compact_in_place(spark, path, spec)                            # a second generation
-    assert {r.id: r.v for r in keyed.read_table(spark, path, spec).collect()} == after
-
-
-def test_file_log_starting_latest(spark, tmp):
-    lg, out = tmp("log"), tmp("out")
-    old = spark.createDataFrame([("a", "1")], "key string, value string")
-    log.write_log_batch(old, lg, 0)
-    stream = log.stream_log(spark, lg, starting="latest")
-    log.write_log_batch(spark.createDataFrame([("b", "2")], "key string, value string"), lg, 1)
-    q = stream.writeStream.format("parquet").option("path", out) \
-        .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
-    await_done(q)
-    assert [r.value for r in spark.read.parquet(out).collect()] == ["2"]
 
 
 def test_bytes_per_trigger_bounds_batches(spark, tmp):
@@ -264,22 +164,168 @@ def test_bytes_per_trigger_bounds_batches(spark, tmp):
     assert sum(sizes) == 40000 and len(sizes) >= 4
 
 
-def test_commit_stamps_strictly_increase(monkeypatch):
-    import time as _time
-    t = [2_000_000_000_000_000_000]
-    monkeypatch.setattr(keyed, "_LAST_STAMP", [0])       # restored after the test
-    monkeypatch.setattr(_time, "time_ns", lambda: t[0])
-    a = keyed.next_stamp()
-    t[0] -= 10**12                       # the clock steps back one second
-    b = keyed.next_stamp()
-    assert b > a
-
-
-def test_log_reader_can_start_before_producer(spark, tmp):
-    lg, out = tmp("log"), tmp("out")
-    stream = log.stream_log(spark, lg)                  # nothing written yet
-    log.write_log_batch(spark.createDataFrame([("k", "v")], "key string, value string"), lg, 0)
-    q = stream.writeStream.format("parquet").option("path", out) \
-        .option("checkpointLocation", tmp("ck")).trigger(availableNow=True).start()
-    await_done(q)
-    assert [r.value for r in spark.read.parquet(out).collect()] == ["v"]
+def _two(spark, a, b):
+    return spark.createDataFrame([(a, b)], "id bigint, v double")
+
+
+def test_latest_follows_the_order_of_writes_not_a_clock(spark, tmp):
+    path = tmp("kt")
+    keyed.upsert(_two(spark, 1, 11.0), path, SPEC, epoch=7, run_id="old-driver")
+    keyed.upsert(_two(spark, 1, 999.0), path, SPEC, epoch=0, run_id="new-driver")
+    assert keyed.read_table(spark, path, SPEC).first().v == 999.0
+    keyed.upsert(_two(spark, 1, 5.0), path, SPEC, epoch=8, run_id="old-driver")   # it goes on
+    assert keyed.read_table(spark, path, SPEC).first().v == 5.0
+    keyed.upsert(_two(spark, 1, 12.0), path, SPEC, epoch=7, run_id="old-driver")  # an old replay
+    assert keyed.read_table(spark, path, SPEC).first().v == 5.0
+
+
+def test_partial_append_keeps_the_other_columns(spark, tmp):
+    spec = TableSpec(struct("id bigint, a double, h double"), "id")
+    path = tmp("kt")
+    keyed.upsert(spark.createDataFrame([(1, 5.0, 6.0)], "id bigint, a double, h double"), path, spec, 0, "r")
+    flows.seed_history(spark.createDataFrame([(1, 9.0)], "id bigint, h double"), path, spec)
+    assert tuple(keyed.read_table(spark, path, spec).first()) == (1, 5.0, 9.0)
+    keyed.upsert(spark.createDataFrame([(1, None, 2.0)], "id bigint, a double, h double"), path, spec, 1, "r")
+    assert tuple(keyed.read_table(spark, path, spec).first()) == (1, None, 2.0)   # a null that was named
+
+
+def test_seeding_twice_keeps_both(spark, tmp):
+    path = tmp("kt")
+    flows.seed_history(_two(spark, 1, 1.0), path, SPEC)
+    flows.seed_history(_two(spark, 2, 2.0), path, SPEC)
+    assert keyed.read_table(spark, path, SPEC).count() == 2
+
+
+def test_upsert_needs_a_run_and_fitting_values(spark, tmp):
+    import pytest
+    with pytest.raises(ValueError):
+        keyed.upsert(_two(spark, 1, 1.0), tmp("kt"), SPEC, 0, run_id="")
+    with pytest.raises(RuntimeError):
+        current_run_id(spark)
+    small = TableSpec(struct("id int, v int"), "id")
+    with pytest.raises(Exception, match="cannot hold"):
+        keyed.upsert(spark.createDataFrame([(1, 3_000_000_000)], "id bigint, v bigint"), tmp("kt"), small, 0, "r")
+
+
+def test_relay_carries_every_message_and_sets_malformed_ones_aside(spark, tmp):
+    src, lg, out = tmp("src"), tmp("log"), tmp("out")
+    rows = spark.range(0, 1000).select(F.col("id"), (F.col("id") * 0.5).alias("a"))
+    rows.repartition(4).write.parquet(src)
+    stream = files.stream_files(spark, src, struct("id bigint, a double"), fmt="parquet", max_files_per_trigger=2)
+    parsed = flows.parse_log(spark, lg, struct("id bigint, a double"))      # before the first message
+    await_done(flows.relay_to_log(stream, lg, tmp("ck")))
+    sizes = []
+    await_done(run_batches(parsed, lambda df, e: sizes.append(df.count()), tmp("ck")))
+    assert sum(sizes) == 1000
+    bad = spark.createDataFrame([(None, '{"id": 5, "a": 1.0}'), (None, "{broken")], log.MESSAGE_SCHEMA)
+    bad_dir = tmp("log")
+    bad.coalesce(1).write.parquet(bad_dir)
+    train = spark.range(0, 20).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2.0).alias("label"))
+    spec = TableSpec(struct("id bigint, a double, h double, prediction double"), "id")
+    step = flows.MergeScore(history=lambda s: s.createDataFrame([], "id bigint, h double"),
+                            bundle=flows.train_linear(train, ["a"], "label"), key="id", batch_features=["a"],
+                            history_features=["h"], table_path=out, spec=spec)
+    await_done(flows.score_with_history(flows.parse_log(spark, bad_dir, struct("id bigint, a double")), step, tmp("ck")))
+    assert keyed.read_table(spark, out, spec).count() == 1 and step.set_aside == 1
+
+
+def test_live_relay_and_scorer_run_side_by_side(spark, tmp):
+    """Processing-time triggers: both queries are active together, take in what
+    arrives later, and are stopped by the caller; other queries go on."""
+    import time
+    src, lg, out = tmp("src"), tmp("log"), tmp("out")
+    schema = struct("id bigint, a double")
+    rows = spark.range(0, 40).select(F.col("id"), F.col("id").cast("double").alias("a"))
+    rows.where("id < 20").coalesce(1).write.parquet(src)
+    train = rows.withColumn("label", F.col("a") * 2)
+    spec = TableSpec(struct("id bigint, a double, h double, prediction double"), "id")
+    step = flows.MergeScore(history=lambda s: s.createDataFrame([], "id bigint, h double"),
+                            bundle=flows.train_linear(train, ["a"], "label"), key="id", batch_features=["a"],
+                            history_features=["h"], table_path=out, spec=spec)
+    other = run_batches(files.stream_files(spark, src, schema, fmt="parquet"), lambda df, e: df.count(),
+                        tmp("ck"), trigger="1 second")
+    relay = flows.relay_to_log(files.stream_files(spark, src, schema, fmt="parquet"), lg, tmp("ck"),
+                               trigger="1 second")
+    scorer = flows.score_with_history(flows.parse_log(spark, lg, schema), step, tmp("ck"), trigger="1 second")
+    try:
+        def wait_for(n):
+            end = time.time() + 90
+            while keyed.read_table(spark, out, spec).count() < n and time.time() < end:
+                assert relay.isActive and scorer.isActive
+                time.sleep(1)
+            assert keyed.read_table(spark, out, spec).count() == n
+        wait_for(20)
+        rows.where("id >= 20").coalesce(1).write.mode("append").parquet(src)
+        wait_for(40)
+        assert stop_queries([relay, scorer]) == 2
+        assert not relay.isActive and not scorer.isActive and other.isActive
+    finally:
+        stop_queries([relay, scorer, other])
+
+
+def test_table_as_a_directory_streams_all_rows(spark, tmp):
+    from tests.conftest import SF_SMALL
+    from tidewell.plans import q_streams
+    sf = tmp("sf")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(5).write.parquet(f"{sf}/events.parquet")
+    assert q_streams.stream_scan(spark, sf).count() == events.count()
+
+
+def test_waiting_has_no_limit_by_default():
+    import inspect
+    assert inspect.signature(await_done).parameters["timeout"].default is None
+
+
+def test_bundle_is_not_saved_over_the_folder_it_reads(spark, tmp):
+    import pytest
+    from tidewell.operators import features as feat, models
+    df = spark.range(0, 30).select((F.col("id") % 3).cast("string").alias("y"), F.col("id").cast("double").alias("x"))
+    path = tmp("model")
+    models.train(df, [feat.assemble(["x"]), models.linear()], "y", "rank").save(path)
+    loaded = models.load(spark, path)
+    with pytest.raises(ValueError):
+        loaded.save(path)
+    other = tmp("model")
+    loaded.save(other)
+    assert models.load(spark, path).score(df).count() == models.load(spark, other).score(df).count() == 30
+
+
+def test_training_never_lowers_the_partition_count(spark):
+    from tidewell.operators import features as feat, models
+    seen = []
+
+    class Probe:
+        def __init__(self):
+            self.stages = [feat.assemble(["x"]), models.linear()]
+
+    df = spark.range(0, 200, numPartitions=16).select(F.col("id").cast("double").alias("x"), F.col("id").alias("y"))
+    real = models.fit
+    try:
+        models.fit = lambda stages, d: (seen.append(d.rdd.getNumPartitions()), real(stages, d))[1]
+        models.train(df, Probe().stages, "y", partitions=4)
+        models.train(df.coalesce(1), Probe().stages, "y", partitions=4)
+    finally:
+        models.fit = real
+    assert seen == [16, 4]
+
+
+def test_workspace_needs_a_shared_folder_off_local_masters(spark, monkeypatch):
+    import pytest
+    from tidewell import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app-x"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.workspace(Session())

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidewell.plans import houses, tutors
 from tidewell.schemas import (HOUSE_CATEGORICAL, HOUSE_FLOAT, HOUSE_LABEL, HOUSE_STREAM_ORDER,
-                              TUTOR_FEATURES)
+                              TUTOR_FEATURES, tutor_history_table)
 from tidewell.streaming.runner import await_done
 
 
@@ -38,9 +38,9 @@ def test_tutor_workflow_rank_label_with_log(spark, tmp):
     r = report.first()
     assert r.n_scored == n and r.rmse is not None
     hist_table, out = tmp("hist"), tmp("pred")
-    tutors.seed_history(spark, hp, hist_table, buckets=4)
+    tutors.seed_history(spark, hp, hist_table)
     qs = tutors.serve(spark, f"{stream}/*", hist_table, out, model, tmp("ck"),
-                      via_log=tmp("log"), buckets=4)
+                      via_log=tmp("log"))
     for q in qs:
         await_done(q)
     pred = tutors.predictions(spark, out)
@@ -128,10 +128,10 @@ def test_tutor_workflow_with_store_stand_in(spark, tmp):
     model = tmp("m")
     tutors.train(spark, tr, model, label_mode="value")
     hist_store, out_store = tmp("hstore"), tmp("ostore")
-    tutors.history_spec().conform(
+    tutor_history_table().conform(
         spark.read.option("header", True).option("sep", ";").csv(hp), strict=False) \
         .write.parquet(hist_store)
-    for q in tutors.serve(spark, f"{stream}/*", "", "", model, tmp("ck"),
+    for q in tutors.serve(spark, f"{stream}/*", "", tmp("beside"), model, tmp("ck"),
                           history_store=("parquet", {"path": hist_store}),
                           out_store=("parquet", {"path": out_store})):
         await_done(q)

@@ -1,7 +1,7 @@
 """Command line for the two workflows.
 
     python -m tidewell train-tutors  --csv train.csv --model M [--label-mode rank]
-    python -m tidewell seed-history  --csv points.csv --table H [--sep ';'] [--buckets 1024]
+    python -m tidewell seed-history  --csv points.csv --table H [--sep ';']
     python -m tidewell serve-tutors  --stream DIR --history H --out P --model M --checkpoint C
                                      [--via-log L] [--trigger '30 seconds']
     python -m tidewell train-houses  --csv train.csv --model M
@@ -52,7 +52,6 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--csv", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--sep", default=";")
-    s.add_argument("--buckets", type=int, default=None)
 
     v = sub.add_parser("serve-tutors")
     for a in ("--stream", "--history", "--out", "--model", "--checkpoint"):
@@ -62,7 +61,6 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--trigger", default="available_now")
     v.add_argument("--max-files", type=int, default=None)
     v.add_argument("--null-safe", action="store_true", help="keep negative stored values")
-    v.add_argument("--buckets", type=int, default=None)
     _store_args(v, "history")
     _store_args(v, "out")
 
@@ -98,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
     def finish(queries):
         for q in queries:
             if args.trigger == "available_now":
-                await_done(q, timeout=None)
+                await_done(q)
             else:
                 q.awaitTermination()
 
@@ -107,12 +105,12 @@ def main(argv: list[str] | None = None) -> int:
                                  sep=args.sep)
         report.show(truncate=False)
     elif args.cmd == "seed-history":
-        tutors.seed_history(spark, args.csv, args.table, sep=args.sep, buckets=args.buckets)
+        tutors.seed_history(spark, args.csv, args.table, sep=args.sep)
     elif args.cmd == "serve-tutors":
         finish(tutors.serve(spark, args.stream, args.history, args.out, args.model,
                             args.checkpoint, sep=args.sep, via_log=args.via_log,
                             trigger=args.trigger, max_files_per_trigger=args.max_files,
-                            absent=None if args.null_safe else 0.0, buckets=args.buckets,
+                            absent=None if args.null_safe else 0.0,
                             history_store=_store(args, "history"),
                             out_store=_store(args, "out")))
     elif args.cmd == "train-houses":

@@ -1,3 +1,3 @@
 """Column-expression helpers (built-in Spark functions only, codegen friendly)."""
 
-from .columns import clamp_index, empty_to_marker, guarded_index, round_to  # noqa: F401
+from .columns import clamp_index  # noqa: F401

@@ -21,18 +21,3 @@ def clamp_index(prediction: str | Column, n_labels: int) -> Column:
     clamped = F.greatest(F.lit(0.0), F.least(F.lit(float(n_labels - 1)), p))
     return F.when(p.isNull() | F.isnan(p), F.lit(None).cast("int")).otherwise(clamped.cast("int"))
 
-
-def guarded_index(prediction: str | Column, labels: list[str]) -> Column:
-    """Prediction -> label text through a literal label array (small label sets)."""
-    idx = clamp_index(prediction, len(labels))
-    return F.get(F.array(*[F.lit(x) for x in labels]), idx)
-
-
-def empty_to_marker(c: str | Column, marker: str = "__empty__") -> Column:
-    """Empty-string category -> a marker (one-hot attributes need a non-empty name)."""
-    col = _c(c)
-    return F.when(col == "", F.lit(marker)).otherwise(col)
-
-
-def round_to(c: str | Column, digits: int) -> Column:
-    return F.round(_c(c).cast("double"), digits)

@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 
 from ..schemas import TableSpec
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-            T.DecimalType)
 
 
 def cast_columns(df: DataFrame, casts: Mapping[str, str | T.DataType], safe: bool = True) -> DataFrame:
@@ -44,16 +42,6 @@ def fill(df: DataFrame, value=None, by_column: Mapping[str, object] | None = Non
     return df.na.fill(value)
 
 
-def fill_numeric_nulls(df: DataFrame, value: float, columns: Sequence[str]) -> DataFrame:
-    """Null and NaN -> ``value`` for the given numeric columns, as an expression."""
-    out = {}
-    for c in columns:
-        col = F.col(f"`{c}`")
-        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
-            col = F.when(F.isnan(col), F.lit(None)).otherwise(col)
-        out[c] = F.coalesce(col, F.lit(value).cast(df.schema[c].dataType))
-    return df.withColumns(out)
-
 
 def null_key(df: DataFrame, key: str, mode: str = "default", default=0) -> DataFrame:
     """Deal with a null primary key before a keyed write.
@@ -77,16 +65,8 @@ def conform(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:
     return spec.conform(df, strict=strict)
 
 
-def rename_lower(df: DataFrame) -> DataFrame:
-    """Lower-case every column name (stores that fold identifiers)."""
-    return df.toDF(*[c.lower() for c in df.columns])
-
 
 def select_exprs(df: DataFrame, exprs: Sequence[str | Column]) -> DataFrame:
     """Fixed-order projection from SQL text or columns."""
     cols = [F.expr(e) if isinstance(e, str) else e for e in exprs]
     return df.select(*cols)
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]

@@ -24,9 +24,6 @@ from ..functions.columns import clamp_index
 from .ranking import global_row_number
 
 EMPTY_MARKER = "__empty__"
-# Index tables up to this many rows (measured with a count) are broadcast to
-# the rows they label; beyond it the join is left to the planner and AQE.
-INDEX_BROADCAST_LIMIT = 1_000_000
 
 
 def _q(c: str):
@@ -42,24 +39,17 @@ def frequency_index(df: DataFrame, column: str) -> DataFrame:
     return global_row_number(counts, [F.col("count").desc(), F.col("value").asc()], "index")
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
-
-
 def rank_label(df: DataFrame, column: str, index: DataFrame, out: str = "label",
-               keep_unseen: bool = True, n_labels: int | None = None,
-               broadcast_limit: int = INDEX_BROADCAST_LIMIT) -> DataFrame:
+               keep_unseen: bool = True, n_labels: int | None = None) -> DataFrame:
     """Numeric or text target -> its frequency rank as a double label.
 
     ``keep_unseen`` maps values missing from ``index`` (and nulls) to the extra
     rank ``n`` like ``handleInvalid="keep"``; otherwise they are dropped. The
-    index is broadcast when its measured size is within ``broadcast_limit``,
-    so the labelled rows are never shuffled by label (a hot label stays put).
+    planner and adaptive execution broadcast an index whose bytes are small, so
+    the labelled rows stay put; a larger one is a join whose hot labels are split.
     """
     n = n_labels if n_labels is not None else index.count()
-    idx = _maybe_broadcast(
-        index.select(F.col("value").alias("__value"), F.col("index").alias("__index")),
-        n, broadcast_limit)
+    idx = index.select(F.col("value").alias("__value"), F.col("index").alias("__index"))
     joined = df.join(idx, _q(column).cast("string") == F.col("__value"),
                      "left" if keep_unseen else "inner")
     lab = F.coalesce(F.col("__index"), F.lit(n)).cast("double")
@@ -67,8 +57,7 @@ def rank_label(df: DataFrame, column: str, index: DataFrame, out: str = "label",
 
 
 def unrank(df: DataFrame, prediction: str, index: DataFrame, out: str,
-           n_labels: int | None = None,
-           broadcast_limit: int = INDEX_BROADCAST_LIMIT) -> DataFrame:
+           n_labels: int | None = None) -> DataFrame:
     """Prediction in rank space -> original label text.
 
     Guarded: NaN/null -> null; below 0 -> first label; beyond the last rank ->
@@ -76,9 +65,7 @@ def unrank(df: DataFrame, prediction: str, index: DataFrame, out: str,
     label list on the driver).
     """
     n = n_labels if n_labels is not None else index.count()
-    idx = _maybe_broadcast(
-        index.select(F.col("index").cast("int").alias("__i"), F.col("value").alias(out)),
-        n, broadcast_limit)
+    idx = index.select(F.col("index").cast("int").alias("__i"), F.col("value").alias(out))
     with_i = df.withColumn("__i", clamp_index(prediction, n))
     return with_i.join(idx, "__i", "left").drop("__i")
 

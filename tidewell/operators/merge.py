@@ -6,13 +6,11 @@ Plan shape at scale (history large, batch small):
 * ``reduce_max`` is a two-phase hash aggregate: map-side partial max per key,
   so a key holding a third of all rows still ships one row per map task.
 * ``lookup`` is a left-semi join of history against the batch's distinct keys.
-  The keys are broadcast only when the caller proves their count is below
-  ``broadcast_limit`` (the count comes from an already persisted, reduced batch);
-  otherwise the join is left to AQE, which turns it into a broadcast join at
-  run time when the shuffled key side is small and splits skewed history keys.
-* ``merge_max`` unions the reduced batch with the matched history rows and
-  re-aggregates per key; only batch keys survive, so the second shuffle moves at
-  most two rows per batch key, never the history.
+  No hint: adaptive execution broadcasts the keys when their measured bytes are
+  within the session's threshold and splits skewed history keys otherwise.
+* ``merge_max`` reads the batch once: the reduced batch is left-joined with the
+  history and the rows of a key are folded where the join put them, so there is
+  one shuffle per side and none after the join.
 """
 
 from __future__ import annotations
@@ -23,9 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_BROADCAST_LIMIT = 2_000_000  # rows of distinct keys
-
-
 def _q(c: str):
     return F.col(f"`{c}`")
 
@@ -56,14 +51,10 @@ def keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
-def lookup(history: DataFrame, batch_keys: DataFrame, key: str, key_count: int | None = None,
-           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def lookup(history: DataFrame, batch_keys: DataFrame, key: str) -> DataFrame:
     """History rows whose key occurs in ``batch_keys`` (J01, replaces the
     collected ``key = a or key = b ...`` filter). Null keys never match."""
-    right = batch_keys.select(key)
-    if key_count is not None and key_count <= broadcast_limit:
-        right = F.broadcast(right)
-    return history.join(right, on=key, how="left_semi")
+    return history.join(batch_keys.select(key), on=key, how="left_semi")
 
 
 def _resolve_types(batch: DataFrame, history: DataFrame, columns: Sequence[str],
@@ -81,14 +72,12 @@ def _resolve_types(batch: DataFrame, history: DataFrame, columns: Sequence[str],
 
 def merge_max(batch: DataFrame, history: DataFrame, key: str,
               batch_columns: Sequence[str], history_columns: Sequence[str],
-              absent=0.0, key_count: int | None = None,
-              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-              reduced: DataFrame | None = None, history_is_matched: bool = False) -> DataFrame:
-    """Merge a micro-batch with stored history per key (J02 via U01).
+              absent=0.0, reduced: DataFrame | None = None) -> DataFrame:
+    """Merge a micro-batch with stored history per key.
 
     Output: one row per distinct batch key with every column of
     ``batch_columns`` + ``history_columns``; each is the max over the batch rows
-    and the stored row of that key.
+    and the stored rows of that key. A null key finds no history.
 
     ``absent=0.0`` is the parity mode: features a side lacks count as 0.0 and
     null/NaN stored values are filled with 0.0 before the max, so a negative
@@ -96,70 +85,30 @@ def merge_max(batch: DataFrame, history: DataFrame, key: str,
     and null values are ignored, a negative stored value survives.
 
     ``reduced`` may pass an already computed (and persisted) ``reduce_max`` of
-    the batch; ``key_count`` its measured row count (enables the broadcast).
-    ``history_is_matched`` says ``history`` already holds only batch keys (a
-    keyed-table lookup), so no second semi join is planned.
+    the batch.
     """
     batch_columns = list(batch_columns)
     history_columns = list(history_columns)
     columns = batch_columns + [c for c in history_columns if c not in batch_columns]
     types = _resolve_types(batch, history, columns, batch_columns, history_columns)
-
     if reduced is None:
         reduced = reduce_max(batch, key, batch_columns)
-    batch_side = reduced.select(
-        _q(key),
-        *[(_q(c).cast(types[c]) if c in batch_columns else
-           (F.lit(absent) if absent is not None else F.lit(None)).cast(types[c])).alias(c)
-          for c in columns])
-
-    found = history.select(key, *history_columns)
-    if not history_is_matched:
-        found = lookup(found, reduced.select(key), key, key_count=key_count,
-                       broadcast_limit=broadcast_limit)
-
-    def hist_col(c):
+
+    def nothing(c):
+        return (F.lit(absent) if absent is not None else F.lit(None)).cast(types[c])
+
+    def stored(c):
         if c not in history_columns:
-            return (F.lit(absent) if absent is not None else F.lit(None)).cast(types[c])
+            return nothing(c)
         col = _q(c).cast(types[c])
         if absent is not None:
             if isinstance(types[c], (T.FloatType, T.DoubleType)):
                 col = F.when(F.isnan(col), F.lit(None)).otherwise(col)
-            col = F.coalesce(col, F.lit(absent).cast(types[c]))
+            col = F.coalesce(col, nothing(c))
         return col
 
-    history_side = found.select(_q(key), *[hist_col(c).alias(c) for c in columns])
-    both = batch_side.unionByName(history_side)
-    return both.groupBy(key).agg(*[F.max(_q(c)).alias(c) for c in columns])
-
-
-def merge_left(batch: DataFrame, history: DataFrame, key: str,
-               batch_columns: Sequence[str], history_columns: Sequence[str],
-               absent=0.0) -> DataFrame:
-    """Same result as ``merge_max`` when history holds one row per key, written
-    as reduce + left join + ``greatest``: two shuffles (batch, history) instead
-    of three. Used by tests to cross-check ``merge_max``."""
-    batch_columns = list(batch_columns)
-    history_columns = list(history_columns)
-    columns = batch_columns + [c for c in history_columns if c not in batch_columns]
-    reduced = reduce_max(batch, key, batch_columns)
-    h = history.select(_q(key), *[_q(c).alias(f"__h_{c}") for c in history_columns],
-                       F.lit(True).alias("__found"))
-    joined = reduced.join(h, on=key, how="left")
-    out = [_q(key)]
-    for c in columns:
-        parts = []
-        if c in batch_columns:
-            parts.append(_q(c).cast("double"))
-        elif absent is not None:
-            parts.append(F.lit(absent).cast("double"))
-        if c in history_columns:
-            hc = _q(f"__h_{c}").cast("double")
-            if absent is not None:
-                hc = F.when(_q("__found"), F.coalesce(F.nanvl(hc, F.lit(None).cast("double")),
-                                                       F.lit(absent).cast("double")))
-            parts.append(hc)
-        elif absent is not None:
-            parts.append(F.when(_q("__found"), F.lit(absent).cast("double")))
-        out.append((F.greatest(*parts) if len(parts) > 1 else parts[0]).alias(c))
-    return joined.select(*out)
+    found = history.select(_q(key), *[stored(c).alias(f"__h_{c}") for c in columns])
+    joined = reduced.join(found, on=key, how="left")
+    return joined.groupBy(key).agg(*[
+        F.greatest(F.max(_q(c).cast(types[c]) if c in batch_columns else nothing(c)),
+                   F.max(_q(f"__h_{c}"))).alias(c) for c in columns])

@@ -42,10 +42,6 @@ def fit(stages: Sequence, df: DataFrame) -> PipelineModel:
     return Pipeline(stages=list(stages)).fit(df)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Apply a fitted pipeline (M09); works on batch and streaming frames."""
-    return model.transform(df)
-
 
 @dataclass
 class ModelBundle:
@@ -55,6 +51,7 @@ class ModelBundle:
     index: DataFrame | None = None     # value, count, index (rank mode)
     n_labels: int | None = None
     prediction: str = "prediction"
+    source: str | None = None          # where a loaded bundle still reads its index from
 
     def score(self, df: DataFrame, out: str = "predicted") -> DataFrame:
         """Score and map the prediction back to label space as ``out`` (double)."""
@@ -66,7 +63,10 @@ class ModelBundle:
         return scored.withColumn(out, F.col(self.prediction))
 
     def save(self, path: str) -> None:
-        """Persist the bundle (S10): overwrite semantics, like ``write().overwrite()``."""
+        """Persist the bundle (S10): overwrite semantics, like ``write().overwrite()``.
+        A loaded bundle does not go over its own folder, which it still reads."""
+        if self.source and self.source.rstrip("/") == path.rstrip("/"):
+            raise ValueError(f"{path} is where this bundle was loaded from; save it to another folder")
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = self.pipeline_spark()
         meta = {"label": self.label, "label_mode": self.label_mode, "n_labels": self.n_labels,
@@ -86,7 +86,7 @@ def load(spark: SparkSession, path: str) -> ModelBundle:
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
     index = spark.read.parquet(f"{path}/index") if meta["label_mode"] == "rank" else None
     return ModelBundle(pipeline, meta["label"], meta["label_mode"], index, meta["n_labels"],
-                       meta["prediction"])
+                       meta["prediction"], source=path)
 
 
 def label_frame(df: DataFrame, label: str, label_mode: str = "value",
@@ -106,13 +106,20 @@ def train(df: DataFrame, stages: Sequence, label: str, label_mode: str = "value"
     """Fit ``stages`` on ``df`` with the label prepared per ``label_mode``.
 
     ``partitions`` spreads the training rows round-robin over that many
-    partitions first: worth one shuffle for iterative fits (trees make dozens
-    of passes over the cached data) when the input arrives in few partitions;
-    round-robin ignores keys, so a hot key cannot skew it."""
+    partitions if they arrive in fewer: worth one shuffle for iterative fits
+    (trees make dozens of passes over the cached data); round-robin ignores keys,
+    so a hot key cannot skew it. An input with more partitions stays as it is."""
     labelled, index, n = label_frame(df, label, label_mode)
-    if partitions:
-        labelled = labelled.repartition(int(partitions))
-    return ModelBundle(fit(stages, labelled), label, label_mode, index, n)
+    if not partitions:
+        return ModelBundle(fit(stages, labelled), label, label_mode, index, n)
+    labelled = labelled.persist()  # counted and then read by the fit's passes
+    try:
+        spread = labelled
+        if labelled.rdd.getNumPartitions() < partitions:
+            spread = labelled.repartition(int(partitions))
+        return ModelBundle(fit(stages, spread), label, label_mode, index, n)
+    finally:
+        labelled.unpersist()
 
 
 def cross_validate(df: DataFrame, stages: Sequence, estimator, grid: dict, num_folds: int = 3,

@@ -1,15 +1,16 @@
 """Composite flows (C01-C05 S14 T06 T10 T11): operators wired together.
 
 Per micro-batch the scoring flows run one aggregation of the batch, one
-history lookup, one merge aggregation, the model transform and one write.
-Nothing is collected to the driver except the count of distinct batch keys,
-which decides whether the key set may be broadcast.
+history lookup by its keys, one merge, the model transform and one write.
+Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import clean, envelope, features as feat, merge, models
 from ..schemas import TableSpec
 from ..session import parallelism
-from ..sources import keyed, log
+from ..sources import external, keyed, log
 from ..streaming.runner import batch_scope, current_run_id, run_batches
 
 
@@ -81,19 +82,29 @@ def train_and_evaluate(df: DataFrame, holdout, fit_fn, label: str, digits: int |
 
 # --- history -----------------------------------------------------------------------
 
-def seed_history(df: DataFrame, table_path: str, spec: TableSpec, run_id: str = "seed") -> None:
-    """Load stored history into a keyed table (S14); columns the file lacks are null."""
-    keyed.upsert(df, table_path, spec, epoch=0, run_id=run_id, dedupe_rule="max", strict=False)
+def seed_history(df: DataFrame, table_path: str, spec: TableSpec, run_id: str | None = None) -> None:
+    """Append stored history to a keyed table (S14). Every call is an append of its
+    own, as an upsert by key: keys of earlier loads stay, and so do columns that
+    this load does not name."""
+    run = run_id or f"seed-{uuid.uuid4().hex}"
+    keyed.upsert(df, table_path, spec, epoch=0, run_id=run, dedupe_rule="max", strict=False)
 
 
 # --- per-batch logic ---------------------------------------------------------------
 
+_LOG = logging.getLogger(__name__)
+
+
 @dataclass
 class MergeScore:
-    """The per-micro-batch function of the history-enriched scorers."""
+    """The per-micro-batch function of the history-enriched scorers.
 
-    # a frame factory (re-read on every batch) or a keyed table read by the batch's keys
-    history: Callable[[SparkSession], DataFrame] | keyed.KeyedHistory
+    Rows without a key (a malformed message decodes to nulls) are set aside under
+    ``{table_path}_quarantine`` and counted in ``set_aside`` unless ``null_key`` says
+    otherwise."""
+
+    # stored history read by the batch's keys, or a frame factory re-read per batch
+    history: Callable[[SparkSession], DataFrame] | keyed.KeyedHistory | external.StoreHistory
     bundle: models.ModelBundle
     key: str
     batch_features: Sequence[str]
@@ -102,42 +113,31 @@ class MergeScore:
     spec: TableSpec
     absent: float | None = 0.0
     prediction_col: str = "prediction"
-    broadcast_limit: int = merge.DEFAULT_BROADCAST_LIMIT
-    null_key: str = "drop"           # drop | default (-> 0) | quarantine (kept aside)
+    null_key: str = "quarantine"     # quarantine (kept aside) | default (-> 0) | drop
     # output writer (df, epoch); default: replay-safe upsert into ``table_path``
     writer: Callable[[DataFrame, int], None] | None = None
+    set_aside: int = field(default=0, init=False)
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
-        if self.null_key == "quarantine":
-            # the batch is read twice (side table + scoring): persist it once
-            with batch_scope(df):
-                clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(
-                    f"{self.table_path.rstrip('/')}_quarantine/"
-                    f"run={current_run_id(df.sparkSession)}/epoch={epoch}")
-                self._score(clean.null_key(df, self.key, "drop"), epoch)
-        else:
-            self._score(clean.null_key(df, self.key, self.null_key), epoch)
-
-    def _score(self, df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
+        if self.null_key != "quarantine":
+            df = clean.null_key(df, self.key, self.null_key)
         with batch_scope(merge.reduce_max(df, self.key, self.batch_features)) as reduced:
-            if isinstance(self.history, keyed.KeyedHistory):
-                # key count and touched buckets in one job (<= B rows to the driver)
-                n_keys, buckets = self.history.profile(reduced.select(self.key))
+            if self.null_key == "quarantine":
+                # the null key is one of the groups: the batch is read again only if it is there
+                if not clean.null_key(reduced, self.key, "quarantine").isEmpty():
+                    self._set_aside(df, epoch)
+                keyed_rows = clean.null_key(reduced, self.key, "drop")
             else:
-                n_keys, buckets = reduced.count(), None
-            if n_keys == 0:           # header-only file / empty trigger
+                keyed_rows = reduced
+            if keyed_rows.isEmpty():      # header-only file / empty trigger
                 return
-            if isinstance(self.history, keyed.KeyedHistory):
-                hist = self.history.lookup(spark, reduced.select(self.key), n_keys,
-                                           self.broadcast_limit, buckets)
-                matched = True
+            if hasattr(self.history, "lookup"):
+                hist = self.history.lookup(spark, keyed_rows.select(self.key))
             else:
-                hist, matched = self.history(spark), False
+                hist = self.history(spark)
             merged = merge.merge_max(df, hist, self.key, self.batch_features,
-                                     self.history_features, absent=self.absent,
-                                     key_count=n_keys, broadcast_limit=self.broadcast_limit,
-                                     reduced=reduced, history_is_matched=matched)
+                                     self.history_features, absent=self.absent, reduced=keyed_rows)
             scored = self.bundle.score(merged, out=self.prediction_col)
             if self.writer is not None:
                 self.writer(self.spec.conform(scored), epoch)
@@ -145,6 +145,15 @@ class MergeScore:
                 keyed.upsert(scored, self.table_path, self.spec, epoch,
                              run_id=current_run_id(spark), dedupe_rule="none")
 
+    def _set_aside(self, df: DataFrame, epoch: int) -> None:
+        if not self.table_path:
+            raise ValueError("rows without a key need a table_path beside which to set them aside")
+        where = f"{self.table_path.rstrip('/')}_quarantine/run={current_run_id(df.sparkSession)}/epoch={epoch}"
+        clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(where)
+        n = df.sparkSession.read.parquet(where).count()
+        self.set_aside += n
+        _LOG.warning("epoch %s: %s rows without %s set aside in %s", epoch, n, self.key, where)
+
 
 def score_with_history(stream: DataFrame, step: MergeScore, checkpoint: str,
                        trigger="available_now") -> StreamingQuery:
@@ -154,17 +163,16 @@ def score_with_history(stream: DataFrame, step: MergeScore, checkpoint: str,
 
 def relay_to_log(stream: DataFrame, log_path: str, checkpoint: str, columns=None,
                  fmt: str = "json", trigger="available_now", format: str = "files",
-                 options=None, records_per_file: int | None = None) -> StreamingQuery:
+                 options=None) -> StreamingQuery:
     """First half of C03: publish a stream's rows to the log."""
-    return log.log_sink(stream, log_path, checkpoint, columns=columns, fmt=fmt,
-                        trigger=trigger, format=format, options=options,
-                        records_per_file=records_per_file)
+    return log.publish(stream, log_path, checkpoint, columns=columns, fmt=fmt,
+                       trigger=trigger, format=format, options=options)
 
 
 def parse_log(spark: SparkSession, log_path: str, schema, fmt: str = "json",
               max_per_trigger: int | None = None, format: str = "files") -> DataFrame:
     """Second half's source: log -> typed rows + offset."""
-    raw = log.stream_log(spark, log_path, format=format, max_per_trigger=max_per_trigger)
+    raw = log.subscribe(spark, log_path, format=format, max_per_trigger=max_per_trigger)
     return envelope.decode(raw, schema, fmt=fmt)
 
 

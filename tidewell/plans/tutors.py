@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, evaluate, models
 from ..schemas import (TUTOR_FEATURES, TUTOR_HISTORY_DDL, TUTOR_LABEL, TUTOR_STREAM_DDL,
-                       TUTOR_STREAM_FEATURES, TableSpec, struct, tutor_history_table,
+                       TUTOR_STREAM_FEATURES, struct, tutor_history_table,
                        tutor_predictions_table)
 from ..sources import external, files, keyed
 from . import flows
@@ -39,30 +39,26 @@ def train(spark: SparkSession, csv_path: str, model_path: str | None = None,
     return bundle, evaluate.report(scored, "predicted", TUTOR_LABEL)
 
 
-def history_spec(buckets: int | None = None) -> TableSpec:
-    spec = tutor_history_table()
-    return TableSpec(spec.schema, spec.key, spec.name, buckets)
-
-
-def seed_history(spark: SparkSession, csv_path: str, table_path: str, sep: str = ";",
-                 buckets: int | None = None) -> None:
-    """Stored points (8 columns) from CSV into the keyed history table."""
+def seed_history(spark: SparkSession, csv_path: str, table_path: str, sep: str = ";") -> None:
+    """Stored points (8 of the 11 columns) from CSV into the keyed history table."""
     rows = files.read_csv(spark, csv_path, schema=struct(TUTOR_HISTORY_DDL), sep=sep)
-    flows.seed_history(rows, table_path, history_spec(buckets))
+    flows.seed_history(rows, table_path, tutor_history_table())
 
 
 def serve(spark: SparkSession, stream_dir: str, history_path: str, out_path: str,
           model_path: str, checkpoint: str, sep: str = ";", via_log: str | None = None,
           log_checkpoint: str | None = None, trigger="available_now",
           max_files_per_trigger: int | None = None, absent: float | None = 0.0,
-          buckets: int | None = None, history_store: tuple[str, dict] | None = None,
-          out_store: tuple[str, dict] | None = None) -> list:
+          history_store: tuple[str, dict] | None = None,
+          out_store: tuple[str, dict] | None = None, null_key: str = "quarantine") -> list:
     """Start the scorer (and the relay when ``via_log`` names a log); returns
     the started queries. ``absent=0.0`` keeps the original merge rule.
 
     ``history_store`` / ``out_store`` = ``(format, options)`` read the history
     from and upsert the predictions into a connector-backed store instead of
-    the keyed tables at ``history_path`` / ``out_path``."""
+    the keyed tables at ``history_path`` / ``out_path``; rows without an id are set
+    aside beside ``out_path``. With a processing-time trigger relay and scorer run
+    side by side until the caller stops them (``runner.stop_queries``)."""
     bundle = models.load(spark, model_path)
     stream = files.stream_files(spark, stream_dir, struct(TUTOR_STREAM_DDL), sep=sep,
                                 max_files_per_trigger=max_files_per_trigger)
@@ -70,7 +66,7 @@ def serve(spark: SparkSession, stream_dir: str, history_path: str, out_path: str
     if via_log:
         started.append(flows.relay_to_log(stream, via_log, log_checkpoint or f"{checkpoint}-relay",
                                           fmt="json", trigger=trigger))
-        for q in started:          # in one process the relay runs first; live, both run
+        for q in started:          # available-now: the relay finishes first; live, both run
             if trigger == "available_now":
                 from ..streaming.runner import await_done
                 await_done(q)
@@ -78,16 +74,16 @@ def serve(spark: SparkSession, stream_dir: str, history_path: str, out_path: str
                                  max_per_trigger=max_files_per_trigger)
     if history_store:
         fmt, opts = history_store
-        history = (lambda s: external.read_store(s, fmt, opts, history_spec()))
+        history = external.StoreHistory(fmt, opts, tutor_history_table())
     else:
-        history = keyed.KeyedHistory(history_path, history_spec(buckets))
+        history = keyed.KeyedHistory(history_path, tutor_history_table())
     writer = external.store_writer(out_store[0], out_store[1], tutor_predictions_table()) \
         if out_store else None
     step = flows.MergeScore(history=history, bundle=bundle, key="id",
                             batch_features=TUTOR_STREAM_FEATURES,
                             history_features=TUTOR_FEATURES, table_path=out_path,
                             spec=tutor_predictions_table(), absent=absent,
-                            prediction_col=TUTOR_LABEL, writer=writer)
+                            prediction_col=TUTOR_LABEL, writer=writer, null_key=null_key)
     started.append(flows.score_with_history(stream, step, checkpoint, trigger))
     return started
 

@@ -100,12 +100,10 @@ class TableSpec:
     schema: T.StructType
     key: str
     name: str = "table"
-    buckets: int | None = None   # hash buckets of the stored layout (lookup pruning)
 
     @classmethod
-    def from_ddl(cls, ddl: str, key: str, name: str = "table",
-                 buckets: int | None = None) -> "TableSpec":
-        return cls(_ddl(ddl), key, name, buckets)
+    def from_ddl(cls, ddl: str, key: str, name: str = "table") -> "TableSpec":
+        return cls(_ddl(ddl), key, name)
 
     @property
     def columns(self) -> list[str]:
@@ -117,7 +115,8 @@ class TableSpec:
 
     def conform(self, df: DataFrame, strict: bool = True) -> DataFrame:
         """Project ``df`` onto this spec (K01). Missing columns fail when strict,
-        else they become typed nulls; casts are ``try_cast`` (bad value -> null)."""
+        else they become typed nulls. A value the column's type cannot hold fails the
+        write, as a store would refuse it; bad text is cleaned before (``clean``)."""
         by_lower = {c.lower(): c for c in df.columns}
         cols = []
         for f in self.schema.fields:
@@ -129,7 +128,11 @@ class TableSpec:
             elif df.schema[src].dataType == f.dataType:
                 cols.append(F.col(f"`{src}`").alias(f.name))
             else:
-                cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
+                given = F.col(f"`{src}`")
+                held = given.try_cast(f.dataType)
+                bad = F.raise_error(F.concat(F.lit(f"{self.name}.{f.name} cannot hold "), given.cast("string")))
+                cols.append(F.when(given.isNotNull() & held.isNull(), bad.cast(f.dataType))
+                            .otherwise(held).alias(f.name))
         return df.select(*cols)
 
 

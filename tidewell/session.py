@@ -7,6 +7,7 @@ for tests, the bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,15 +42,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-_LOCAL_WORKSPACES: dict[int, str] = {}
+_LOCAL_WORKSPACES: dict[str, str] = {}
 
 
 def workspace(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system). Only
-    when the session names none (local tests) a temporary folder is created and
-    registered as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
+    On a cluster this is ``spark.checkpoint.dir`` (a shared file system); without
+    it the call fails. Only a local master that names none (tests) gets a temporary
+    folder, registered as the checkpoint dir, so ``DataFrame.checkpoint`` works too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -58,10 +59,13 @@ def workspace(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - e.g. Spark Connect
             base = None
     if not base:
-        base = _LOCAL_WORKSPACES.get(id(spark))
+        base = _LOCAL_WORKSPACES.get(spark.sparkContext.applicationId)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         base = tempfile.mkdtemp(prefix="tidewell-ws-")
-        _LOCAL_WORKSPACES[id(spark)] = base
+        _LOCAL_WORKSPACES[spark.sparkContext.applicationId] = base
         try:
             spark.conf.set("spark.checkpoint.dir", base)
         except Exception:  # pragma: no cover - a session that refuses the setting

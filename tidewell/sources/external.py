@@ -29,15 +29,22 @@ def read_store(spark: SparkSession, fmt: str, options: Mapping[str, str],
 
 
 def lookup_store(spark: SparkSession, fmt: str, options: Mapping[str, str], spec: TableSpec,
-                 keys: DataFrame, key_count: int | None = None,
-                 broadcast_limit: int = 2_000_000) -> DataFrame:
+                 keys: DataFrame) -> DataFrame:
     """Stored rows for the given keys only."""
     k = keys.select(F.col(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
-    if key_count is not None and key_count <= broadcast_limit:
-        k = F.broadcast(k)
     return read_store(spark, fmt, options, spec).join(k, spec.key, "left_semi")
 
 
+class StoreHistory:
+    """A connector-backed store used as stored history, read by the batch's keys."""
+
+    def __init__(self, fmt: str, options: Mapping[str, str], spec: TableSpec):
+        self.fmt, self.options, self.spec = fmt, dict(options), spec
+
+    def lookup(self, spark: SparkSession, keys: DataFrame) -> DataFrame:
+        return lookup_store(spark, self.fmt, self.options, self.spec, keys)
+
+
 def append_store(df: DataFrame, fmt: str, options: Mapping[str, str], spec: TableSpec) -> None:
     """Write rows conformed to ``spec`` with ``mode("append")`` (an upsert for
     primary-key stores)."""

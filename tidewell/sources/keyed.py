@@ -1,29 +1,23 @@
 """Keyed table with replay-safe upserts.
 
-Layout: ``{path}/run={run}/epoch={epoch}/part-*.parquet``. Each micro-batch of
-a streaming query is written, with overwrite, to its own (run, epoch)
-directory: a replayed epoch rewrites exactly its own rows, a restart from the
-same checkpoint keeps the run id, a fresh checkpoint starts a new run. Every
-row carries ``_committed_at`` (driver clock, microseconds, taken when the
-batch is written) so the current state is the row with the greatest
-(``_committed_at``, ``epoch``) per key. One writer per table.
-
-Reading the current state is one aggregate: ``max_by`` with partial
-aggregation per task, so a key updated in every batch does not pile up in one
-task. ``compact`` writes that state as the base of a new table directory.
-
-``lookup`` reads the state of some keys only: the slices are semi-joined with
-the keys *before* the aggregation (Catalyst does not push a semi join below
-``max_by``), so only matching rows are shuffled. With ``spec.buckets`` set,
-every slice is also laid out as ``bucket=pmod(xxhash64(key), B)`` directories;
-a lookup lists the (at most B) buckets its keys fall in and the scan reads only
-those directories (partition pruning), so a small batch touches a small share
-of a large table.
+Layout: ``{path}/seq={n}/run={run}/epoch={epoch}/part-*.parquet``. Each micro-batch
+of a streaming query is one slice. A replayed (run, epoch) overwrites its own
+slice; a new one gets the next sequence number after all slices there are, so
+what counts as latest follows the order of the writes and no clock. A restart
+from the same checkpoint keeps the run id, a fresh checkpoint starts a new run.
+One writer per table.
+
+A slice names the columns it sets (``_set``, a bit per value column). The current
+value of a column is that of the last slice that set it, so an append of some
+columns leaves the others as they were. Reading is one aggregate of ``max_by`` per
+column, partial in every task, so a key updated in every batch is no hot spot.
+``lookup`` semi-joins the slices with the wanted keys *before* the aggregation
+(Catalyst does not push a semi join below it), so only matching rows are shuffled.
 """
 
 from __future__ import annotations
 
-import time
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +25,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TableSpec
+from .folders import matching
 
-COMMIT_COL = "_committed_at"
+SET_COL = "_set"
 
 
 def _q(c: str):
@@ -50,51 +45,37 @@ def dedupe(df: DataFrame, spec: TableSpec, rule: str = "max") -> DataFrame:
     raise ValueError(f"unknown dedupe rule {rule!r}")
 
 
-def bucket_of(key_col, spec: TableSpec):
-    """Storage bucket of a key (key cast to the table's key type first)."""
-    k = key_col.cast(spec.schema[spec.key].dataType)
-    return F.pmod(F.xxhash64(k), F.lit(spec.buckets)).cast("int")
+def _slice_path(spark: SparkSession, path: str, run: str, epoch: int) -> str:
+    """The slice of (run, epoch): its own if it was written before, else the next."""
+    last = 0
+    for found in matching(spark, f"{path}/seq=*/run=*/epoch=*"):
+        m = re.search(r"/seq=(\d+)/run=([^/]*)/epoch=(\d+)$", found)
+        if not m:
+            continue
+        if m[2] == run and int(m[3]) == epoch:
+            return found
+        last = max(last, int(m[1]))
+    return f"{path}/seq={last + 1}/run={run}/epoch={epoch}"
 
 
-_LAST_STAMP = [0]
-
-
-def next_stamp() -> int:
-    """Commit stamp in microseconds, strictly increasing within this process
-    even if the wall clock steps back between two batches."""
-    stamp = max(time.time_ns() // 1000, _LAST_STAMP[0] + 1)
-    _LAST_STAMP[0] = stamp
-    return stamp
-
-
-def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str | None = None,
-           dedupe_rule: str = "none", committed_at: int | None = None,
-           strict: bool = True) -> None:
+def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str,
+           dedupe_rule: str = "none", strict: bool = True) -> None:
     """Write one batch as the (run, epoch) slice of the table.
 
     Rows are conformed to ``spec`` (names, order, types); a null key fails the
-    write, as a store with a primary key would — default or drop it first
-    (``clean.null_key``). ``strict=False`` writes absent columns as nulls.
+    write, as a store with a primary key would — default it or set it aside first
+    (``clean.null_key``). ``strict=False`` allows absent columns, which the slice
+    then does not set.
     """
-    run = run_id or "batch"
+    if not run_id or not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"an upsert needs the id of its run, got {run_id!r}")
+    given = {c.lower() for c in df.columns}
+    mask = sum(1 << i for i, c in enumerate(spec.value_columns) if c.lower() in given)
     out = dedupe(spec.conform(df, strict=strict), spec, dedupe_rule)
-    stamp = committed_at if committed_at is not None else next_stamp()
-    out = out.withColumn(COMMIT_COL, F.lit(stamp).cast("long")) \
+    out = out.withColumn(SET_COL, F.lit(mask).cast("long")) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
-    _write_slice(out, f"{path.rstrip('/')}/run={run}/epoch={int(epoch)}", spec)
-
-
-def _write_slice(out: DataFrame, target: str, spec: TableSpec) -> None:
-    """Write one slice. Bucketed slices are first grouped by bucket so each
-    bucket directory gets one file per slice, not one per task (tasks x B small
-    files otherwise). Keys are unique within a slice, so no bucket can hold a
-    hot key; AQE merges the partitions of small slices."""
-    if spec.buckets:
-        w = out.withColumn("bucket", bucket_of(_q(spec.key), spec))
-        w.repartition(spec.buckets, F.col("bucket")) \
-            .write.mode("overwrite").partitionBy("bucket").parquet(target)
-    else:
-        out.write.mode("overwrite").parquet(target)
+    target = _slice_path(df.sparkSession, path.rstrip("/"), run_id, int(epoch))
+    out.write.mode("overwrite").parquet(target)
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -103,86 +84,39 @@ def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
     schema = T.StructType(spec.schema.fields + [
-        T.StructField(COMMIT_COL, T.LongType(), True),
+        T.StructField(SET_COL, T.LongType(), True),
+        T.StructField("seq", T.LongType(), True),
         T.StructField("run", T.StringType(), True),
-        T.StructField("epoch", T.LongType(), True)]
-        + ([T.StructField("bucket", T.IntegerType(), True)] if spec.buckets else []))
+        T.StructField("epoch", T.LongType(), True)])
     try:
-        slices = spark.read.schema(schema).option("basePath", path).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if "PATH_NOT_FOUND" in str(e):
             return None
         raise
-    cutoff = _base_cutoff(spark, path)
-    if cutoff is None:
-        return slices
-    # after an in-place compaction: the base written at the cutoff plus every
-    # slice committed after it (older slices are folded into the base)
-    return slices.where(((F.col("run") == BASE_RUN) & (F.col("epoch") == F.lit(cutoff)))
-                        | (F.col(COMMIT_COL) > F.lit(cutoff)))
-
-
-BASE_RUN = "base"
-_MARKER = "_base_cutoff"
-
-
-def _base_cutoff(spark: SparkSession, path: str) -> int | None:
-    """Cutoff of the latest in-place compaction (a one-row marker), if any."""
-    try:
-        row = spark.read.schema("cutoff long").parquet(f"{path.rstrip('/')}/{_MARKER}") \
-            .agg(F.max("cutoff")).first()
-    except AnalysisException:
-        return None
-    return row[0] if row is not None else None
 
 
 def _latest(slices: DataFrame, spec: TableSpec) -> DataFrame:
-    order = F.struct(_q(COMMIT_COL), _q("epoch"))
-    latest = slices.groupBy(spec.key).agg(
-        F.max_by(F.struct(*[_q(c) for c in spec.value_columns]), order).alias("__row"))
-    return latest.select(_q(spec.key), *[F.col("__row").getField(c).alias(c)
-                                         for c in spec.value_columns])
+    def order(i: int):
+        return F.when(F.col(SET_COL).bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.col("seq"))
+
+    return slices.groupBy(spec.key).agg(
+        *[F.max_by(_q(c), order(i)).alias(c) for i, c in enumerate(spec.value_columns)])
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Current state: the latest row per key."""
+    """Current state: the latest value per key and column."""
     slices = read_slices(spark, path, spec)
-    if slices is None:
-        return _empty(spark, spec)
-    return _latest(slices, spec)
+    return _empty(spark, spec) if slices is None else _latest(slices, spec)
 
 
-def key_profile(keys: DataFrame, spec: TableSpec) -> tuple[int, list[int] | None]:
-    """``(number of keys, buckets they fall in)`` in one small job.
-
-    Only per-bucket counts reach the driver: at most ``spec.buckets`` rows, a
-    proven bound. Without buckets it is a plain count."""
-    if not spec.buckets:
-        return keys.count(), None
-    rows = keys.select(bucket_of(_q(spec.key), spec).alias("b")).groupBy("b").count().collect()
-    return sum(r["count"] for r in rows), sorted(r["b"] for r in rows)
-
-
-def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame,
-           key_count: int | None = None, broadcast_limit: int = 2_000_000,
-           buckets: list[int] | None = None) -> DataFrame:
-    """Current state of the keys in ``keys`` only (J01 against a keyed table).
-
-    ``key_count`` is the caller's measured number of distinct keys; the key set
-    is broadcast only when it is known to be at most ``broadcast_limit``.
-    ``buckets`` may pass the touched buckets from ``key_profile``.
-    """
+def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame) -> DataFrame:
+    """Current state of the keys in ``keys`` only (J01 against a keyed table)."""
     slices = read_slices(spark, path, spec)
     if slices is None:
         return _empty(spark, spec)
     k = keys.select(_q(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
-    if spec.buckets:
-        touched = buckets if buckets is not None else key_profile(k, spec)[1]
-        if not touched:
-            return _empty(spark, spec)
-        slices = slices.where(F.col("bucket").isin(touched))
-    right = F.broadcast(k) if key_count is not None and key_count <= broadcast_limit else k
-    return _latest(slices.join(right, on=spec.key, how="left_semi"), spec)
+    return _latest(slices.join(k, on=spec.key, how="left_semi"), spec)
 
 
 class KeyedHistory:
@@ -191,59 +125,8 @@ class KeyedHistory:
     def __init__(self, path: str, spec: TableSpec):
         self.path, self.spec = path, spec
 
-    def lookup(self, spark: SparkSession, keys: DataFrame, key_count: int | None = None,
-               broadcast_limit: int = 2_000_000, buckets: list[int] | None = None) -> DataFrame:
-        return lookup(spark, self.path, self.spec, keys, key_count, broadcast_limit, buckets)
-
-    def profile(self, keys: DataFrame) -> tuple[int, list[int] | None]:
-        return key_profile(keys, self.spec)
+    def lookup(self, spark: SparkSession, keys: DataFrame) -> DataFrame:
+        return lookup(spark, self.path, self.spec, keys)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, self.spec)
-
-
-def compact_in_place(spark: SparkSession, path: str, spec: TableSpec) -> int | None:
-    """Fold every slice committed so far into one base slice of the same table.
-
-    The base is written to ``run=base/epoch=<cutoff>`` (rows keep their commit
-    stamps), then the cutoff is recorded in a one-row marker; from then on reads
-    aggregate the base plus slices committed after the cutoff only. Slices that
-    a running writer commits meanwhile carry later stamps and stay visible.
-    Superseded slice directories can be removed afterwards by ordinary file
-    maintenance. Returns the cutoff (None for an empty table)."""
-    slices = read_slices(spark, path, spec)
-    if slices is None:
-        return None
-    cutoff = slices.agg(F.max(COMMIT_COL)).first()[0]
-    if cutoff is None:
-        return None
-    upto = slices.where(F.col(COMMIT_COL) <= F.lit(cutoff))
-    order = F.struct(_q(COMMIT_COL), _q("epoch"))
-    latest = upto.groupBy(spec.key).agg(
-        F.max_by(F.struct(*[_q(c) for c in spec.value_columns], _q(COMMIT_COL)), order)
-        .alias("__row"))
-    base = latest.select(_q(spec.key), *[F.col("__row").getField(c).alias(c)
-                                         for c in [*spec.value_columns, COMMIT_COL]])
-    _write_slice(base, f"{path.rstrip('/')}/run={BASE_RUN}/epoch={int(cutoff)}", spec)
-    spark.createDataFrame([(int(cutoff),)], "cutoff long").coalesce(1).write.mode("append") \
-        .parquet(f"{path.rstrip('/')}/{_MARKER}")
-    return int(cutoff)
-
-
-def compact(spark: SparkSession, path: str, new_path: str, spec: TableSpec) -> str:
-    """Write the current state of ``path`` as the base slice of ``new_path``
-    and return ``new_path``; the writer then switches to it. Reads of the new
-    table touch one slice plus the epochs written after the switch."""
-    slices = read_slices(spark, path, spec)
-    if slices is None:
-        _write_slice(_empty(spark, spec).withColumn(COMMIT_COL, F.lit(0).cast("long")),
-                     f"{new_path}/run=base/epoch=0", spec)
-        return new_path
-    order = F.struct(_q(COMMIT_COL), _q("epoch"))
-    latest = slices.groupBy(spec.key).agg(
-        F.max_by(F.struct(*[_q(c) for c in spec.value_columns], _q(COMMIT_COL)), order)
-        .alias("__row"))
-    base = latest.select(_q(spec.key), *[F.col("__row").getField(c).alias(c)
-                                         for c in [*spec.value_columns, COMMIT_COL]])
-    _write_slice(base, f"{new_path.rstrip('/')}/run=base/epoch=0", spec)
-    return new_path

@@ -1,123 +1,65 @@
 """Message log source and sink.
 
 ``format="kafka"`` passes through to Spark's Kafka connector (needs the
-spark-sql-kafka package on the cluster; not exercised in this repo's tests).
-``format="files"`` is a log kept as parquet files on the shared file system
-with the same envelope (``key, value, offset``): each micro-batch of the
-producer is one ``epoch=N`` directory, written with overwrite so a replayed
-epoch does not duplicate messages. Offsets are unique and grow with the epoch:
-``epoch << 40 | task << 24 | row within task``.
+spark-sql-kafka package on the cluster; not exercised in this repo's tests):
+offsets, start positions and records per trigger are the connector's.
+``format="files"`` carries the same messages through Spark's own parquet stream
+sink and file stream source. The sink's commit log makes the relay exactly-once;
+files have no offsets, so ``offset`` is null there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import envelope
-from ..streaming.runner import run_batches, trigger_args
+from ..streaming.runner import trigger_args
+from .folders import ensure
 
-LOG_SCHEMA = T.StructType(envelope.ENVELOPE_SCHEMA.fields + [
-    T.StructField("epoch", T.LongType(), True)])
+MESSAGE_SCHEMA = T.StructType([f for f in envelope.ENVELOPE_SCHEMA.fields if f.name != "offset"])
 
 
-def with_offsets(df: DataFrame, epoch: int) -> DataFrame:
-    """Assign log offsets to the rows of one producer epoch."""
-    pid = F.spark_partition_id().cast("long")
-    row = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
-    off = F.shiftleft(F.lit(int(epoch)).cast("long"), 40) + F.shiftleft(pid, 24) + row
-    return df.withColumn("offset", off)
-
-
-def write_log_batch(df: DataFrame, path: str, epoch: int,
-                    records_per_file: int | None = None) -> None:
-    """Append one epoch of ``key, value`` messages to a file log.
-
-    ``records_per_file`` caps the messages per file, so a reader taking one
-    file per trigger takes at most that many records per micro-batch (the
-    file-log form of a records-per-trigger limit)."""
-    w = with_offsets(df.select("key", "value"), epoch).write.mode("overwrite")
-    if records_per_file:
-        w = w.option("maxRecordsPerFile", int(records_per_file))
-    w.parquet(f"{path.rstrip('/')}/epoch={int(epoch)}")
-
-
-def log_sink(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[str] | None = None,
-             fmt: str = "json", key: str | None = None, trigger="available_now",
-             format: str = "files", options: Mapping[str, str] | None = None,
-             records_per_file: int | None = None) -> StreamingQuery:
+def publish(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[str] | None = None,
+            fmt: str = "json", key: str | None = None, trigger="available_now",
+            format: str = "files", options: Mapping[str, str] | None = None) -> StreamingQuery:
     """Encode each row of ``stream`` and publish it to the log."""
-    encoded = envelope.encode(stream, columns, fmt=fmt, key=key)
+    w = envelope.encode(stream, columns, fmt=fmt, key=key).writeStream \
+        .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)).options(**dict(options or {}))
     if format == "kafka":
-        w = encoded.writeStream.format("kafka").option("topic", target) \
-            .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger))
-        return w.options(**dict(options or {})).start()
-    if format != "files":
-        raise ValueError(f"unknown log format {format!r}")
-    return run_batches(encoded,
-                       lambda df, epoch: write_log_batch(df, target, epoch, records_per_file),
-                       checkpoint, trigger)
+        return w.format("kafka").option("topic", target).start()
+    if format == "files":
+        return w.format("parquet").option("path", target).start()
+    raise ValueError(f"unknown log format {format!r}")
 
 
-def ensure_log(spark: SparkSession, path: str) -> None:
-    """Create an empty file log (an empty ``epoch=-1``, which no producer
-    writes) so a reader can start before the first message arrives."""
-    try:
-        read_log(spark, path).schema
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        spark.createDataFrame([], envelope.ENVELOPE_SCHEMA).write.mode("ignore") \
-            .parquet(f"{path.rstrip('/')}/epoch=-1")
-
-
-def stream_log(spark: SparkSession, source: str, format: str = "files",
-               max_per_trigger: int | None = None, starting: str = "earliest",
-               options: Mapping[str, str] | None = None) -> DataFrame:
+def subscribe(spark: SparkSession, source: str, format: str = "files",
+              max_per_trigger: int | None = None, starting: str = "earliest",
+              options: Mapping[str, str] | None = None) -> DataFrame:
     """Streaming read of the log as ``key string, value string, offset long``.
 
     ``max_per_trigger`` caps records per batch for Kafka and files per batch for
-    the file log. ``starting="latest"`` on the file log skips the epochs that
-    exist when the stream is defined (their rows are filtered by the epoch
-    partition value, so nothing old reaches the batches).
+    files; ``starting`` (Kafka only) is the connector's start position.
     """
     if format == "kafka":
         r = spark.readStream.format("kafka").option("subscribe", source) \
             .option("startingOffsets", starting)
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
-        try:
-            raw = r.options(**dict(options or {})).load()
-        except Exception as e:  # connector jar not on the classpath
-            if "kafka" in str(e).lower() and "find" in str(e).lower():
-                raise RuntimeError("format='kafka' needs the spark-sql-kafka package on the "
-                                   "cluster; use format='files' for the file-backed log") from e
-            raise
+        raw = r.options(**dict(options or {})).load()
         return raw.select(F.col("key").cast("string"), F.col("value").cast("string"),
                           F.col("offset").cast("long"))
-    ensure_log(spark, source)
-    # a producer replaying an epoch rewrites its files; a reader must not fail
-    r = spark.readStream.schema(LOG_SCHEMA).format("parquet").option("ignoreMissingFiles", "true")
+    if format != "files":
+        raise ValueError(f"unknown log format {format!r}")
+    if starting != "earliest":
+        raise ValueError("files are read from the earliest on")
+    ensure(spark, source)  # the reader may start before the relay's first message
+    r = spark.readStream.schema(MESSAGE_SCHEMA).format("parquet")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_per_trigger))
-    stream = r.options(**dict(options or {})).load(source)
-    if starting == "latest":
-        try:
-            last = read_log(spark, source).agg(F.max("epoch")).first()[0]
-        except Exception:  # empty or missing log: everything is new
-            last = None
-        if last is not None:
-            stream = stream.where(F.col("epoch") > F.lit(int(last)))
-    elif starting != "earliest":
-        raise ValueError("the file log supports starting='earliest' or 'latest'")
-    return stream.select("key", "value", "offset")
-
-
-def read_log(spark: SparkSession, source: str) -> DataFrame:
-    """Batch read of a file log (for audits and tests)."""
-    return spark.read.schema(LOG_SCHEMA).parquet(source)
+    return r.options(**dict(options or {})).load(source) \
+        .select("key", "value", F.lit(None).cast("long").alias("offset"))

@@ -1,8 +1,7 @@
 """Preview sink for streams (S06): the first rows of each micro-batch.
 
-``console`` prints them (like ``show``); ``memory`` keeps them in an in-memory
-table for tests; ``table`` writes them, per (run, epoch), under a path. Only
-``num_rows`` rows per batch leave the executors.
+``console`` prints them (like ``show``); ``table`` writes them, per (run, epoch),
+under a path. Only ``num_rows`` rows per batch leave the executors.
 """
 
 from __future__ import annotations
@@ -13,30 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.evaluate import preview
-from ..streaming.runner import current_run_id, run_batches, trigger_args
+from ..streaming.runner import current_run_id, run_batches
 
 
 def stream_preview(stream: DataFrame, checkpoint: str, fmt: str = "console", num_rows: int = 20,
                    order_by: Sequence[str] | None = None, truncate: bool = True,
                    name: str | None = None, path: str | None = None,
                    trigger="available_now") -> StreamingQuery:
-    if fmt in ("console", "memory") and not order_by:
-        w = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint) \
-            .trigger(**trigger_args(trigger))
-        if fmt == "console":
-            w = w.option("numRows", num_rows).option("truncate", str(truncate).lower())
-        if name:
-            w = w.queryName(name)
-        return w.start()
+    if fmt not in ("console", "table"):
+        raise ValueError(f"unknown preview format {fmt!r}")
 
     def show_batch(df: DataFrame, epoch: int) -> None:
         head = preview(df, num_rows, order_by)
         if fmt == "console":
             head.show(num_rows, truncate=truncate)
-        elif fmt == "table":
-            run = current_run_id(df.sparkSession) or "batch"
-            head.write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
         else:
-            raise ValueError("ordered previews support console and table output")
+            head.write.mode("overwrite").parquet(f"{path}/run={current_run_id(df.sparkSession)}/epoch={epoch}")
 
     return run_batches(stream, show_batch, checkpoint, trigger, name)

@@ -1,4 +1,4 @@
 """Structured Streaming helpers: micro-batch runner, triggers, lifecycle."""
 
 from .runner import (await_done, batch_scope, current_run_id, run_batches,  # noqa: F401
-                     stop_all, trigger_args)
+                     stop_queries, trigger_args)

@@ -8,7 +8,7 @@ Exactly-once output comes from the sink: writers key their output by
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +29,16 @@ def trigger_args(trigger) -> dict:
     return {"processingTime": str(trigger)}
 
 
-def current_run_id(spark: SparkSession) -> str | None:
+def current_run_id(spark: SparkSession) -> str:
     """Id of the streaming query running the current batch function.
 
-    Stable across restarts from one checkpoint, new for a new checkpoint.
+    Stable across restarts from one checkpoint, new for a new checkpoint. Fails
+    outside a batch function: two writers must never share an id.
     """
-    try:
-        return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-    except Exception:  # pragma: no cover
-        return None
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not run:
+        raise RuntimeError("no streaming query is running this code")
+    return run
 
 
 def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
@@ -50,8 +51,9 @@ def run_batches(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpo
     return writer.start()
 
 
-def await_done(query: StreamingQuery, timeout: float | None = 600) -> StreamingQuery:
-    """Wait for a finite (available-now) query; re-raise its failure."""
+def await_done(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
+    """Wait for a finite (available-now) query, without limit unless one is given;
+    re-raise its failure."""
     finished = query.awaitTermination(timeout) if timeout else query.awaitTermination()
     if finished is False:
         query.stop()
@@ -72,10 +74,12 @@ def batch_scope(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
         df.unpersist()
 
 
-def stop_all(spark: SparkSession) -> int:
-    """Stop every active query of the session (T08); returns how many."""
+def stop_queries(queries: Iterable[StreamingQuery]) -> int:
+    """Stop the given queries that are still active (T08); returns how many were.
+    Other queries of the session go on."""
     n = 0
-    for q in list(spark.streams.active):
-        q.stop()
-        n += 1
+    for q in queries:
+        if q.isActive:
+            q.stop()
+            n += 1
     return n
