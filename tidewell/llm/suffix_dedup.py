@@ -20,8 +20,8 @@ start anywhere else. The parse spares sorting a suffix per byte:
 Phrases and names are compared in key ranges to which every batch of documents
 sends each key once, so a key with a third of all occurrences is no hot spot. A
 first phrase shared by more than ``hot_pieces`` strings (and windows without a
-phrase) are compared as one row a window, by 128-bit fingerprints, instead of in
-one shard.
+phrase, as in text of a short period) are compared as one row a distinct window, by
+128-bit fingerprints, instead of in one shard.
 
 Defined cases: a null text is empty; texts shorter than ``length`` lose nothing;
 rows with equal doc_id and text are different places; null and repeated doc_ids
@@ -525,7 +525,7 @@ def window_ranks(strings: list[bytes], length: int) -> tuple[np.ndarray, np.ndar
 
 
 def shard_starts(pieces: DataFrame, spec: SuffixSpec) -> DataFrame:
-    """Repeated starts found in shards: doc_id, digest, pos, bits from pos on."""
+    """Repeated starts found in shards: doc_id, digest, pos, n bits from pos on."""
     total = pieces.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-total // spec.shard_bytes))
 
@@ -546,25 +546,34 @@ def shard_starts(pieces: DataFrame, spec: SuffixSpec) -> DataFrame:
 
 
 def window_starts(windows: DataFrame, spec: SuffixSpec) -> DataFrame:
-    """Repeated starts found by fingerprints, one row a window."""
+    """Repeated starts found by fingerprints, one row per piece and distinct window:
+    ``bits`` holds its further starts, as offsets from ``pos`` (n = 0)."""
     def run(batches):
         seeds = tb.PolyHash(23), tb.PolyHash(29)
         for b in batches:
             for i in range(b.num_rows):
                 data = np.frombuffer(b.column(4)[i].as_py(), np.uint8)
                 s = np.arange(len(data) - spec.length + 1)
-                f = [h.ranges(h.prefix(data), s, s + spec.length).view(np.int64) for h in seeds]
-                n = len(s)
+                f1, f2 = (h.ranges(h.prefix(data), s, s + spec.length) for h in seeds)
+                order = np.lexsort((s, f2, f1))
+                first, size = _groups(f1[order], f2[order])
+                head = order[first]
+                # text of a short period, say, has few windows at many places
+                more = [np.ascontiguousarray(order[x:x + k] - order[x], "<i4").tobytes() for x, k in zip(first, size)]
+                n = len(first)
                 yield pa.RecordBatch.from_arrays([
                     *(pa.array([b.column(k)[i].as_py()] * n, pa.int64()) for k in (0, 1)),
-                    pa.array([b.column(2)[i].as_py()] * n, pa.int32()), pa.array(s + b.column(3)[i].as_py()),
-                    pa.array(f[0]), pa.array(f[1])], names=["doc_id", "digest", "owner", "pos", "f1", "f2"])
+                    pa.array([b.column(2)[i].as_py()] * n, pa.int32()), pa.array(head + b.column(3)[i].as_py()),
+                    pa.array(f1[head].view(np.int64)), pa.array(f2[head].view(np.int64)),
+                    pa.array(more, pa.binary()), pa.array(size.astype(np.int64))],
+                    names=["doc_id", "digest", "owner", "pos", "f1", "f2", "bits", "places"])
 
     rows = windows.select("doc_id", "digest", "owner", "pos", "payload") \
-        .mapInArrow(run, "doc_id long, digest long, owner int, pos long, f1 long, f2 long")
-    twice = rows.groupBy("f1", "f2").agg(F.count("*").alias("k")).filter("k > 1").select("f1", "f2")
+        .mapInArrow(run, "doc_id long, digest long, owner int, pos long, f1 long, f2 long, bits binary, places long")
+    rows = cut(rows)
+    twice = rows.groupBy("f1", "f2").agg(F.sum("places").alias("k")).filter("k > 1").select("f1", "f2")
     return rows.filter("owner = 0").join(twice, ["f1", "f2"], "left_semi") \
-        .select("doc_id", "digest", "pos", F.lit(bytes([128])).alias("bits"), F.lit(1).cast("long").alias("n"))
+        .select("doc_id", "digest", "pos", "bits", F.lit(0).cast("long").alias("n"))
 
 
 def _finish(raw: bytes, starts: np.ndarray, length: int) -> tuple[int, int, str]:
@@ -602,6 +611,9 @@ def remove_repeats(docs: DataFrame, spec: SuffixSpec = SuffixSpec()) -> DataFram
                 raw = zstandard.decompress(b.column(2)[i].as_py())
                 starts = _bits(b.column(3)[i].as_py(), len(raw))
                 for x in b.column(4)[i].as_py() or []:
+                    if not x["n"]:
+                        starts[x["pos"] + np.frombuffer(x["bits"], "<i4")] = True
+                        continue
                     bits = np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["n"]).astype(bool)
                     starts[x["pos"]:x["pos"] + x["n"]] |= bits
                 rows.append(_finish(raw, starts, spec.length))
