@@ -45,7 +45,7 @@ def build_index(rows: DataFrame, spec: AnnSpec) -> DataFrame:
     shards = max(1, -(-total // spec.shard_rows))
     names = ["dim", "shard", "shards", *(c.split()[0] for c in INDEX_COLUMNS.split(", "))]
 
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         dim, shard = int(key[0]), int(key[1])
         pdf = pdf.sort_values(["raw", "vec_id"], kind="stable")
         raws, ids = pdf["raw"].tolist(), pdf["vec_id"].to_numpy()

@@ -163,7 +163,7 @@ def near_duplicates(df: DataFrame, spec: EmbedSpec = EmbedSpec()) -> DataFrame:
         .withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int"))
     columns = [c.split()[0] for c in INDEX_COLUMNS.split(", ")]
 
-    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep", kind="stable")
         x = matrix(pdf["raw"].tolist(), int(key[1]))
         row = index_row(x, pdf["rep"].to_numpy(), pdf["size"].to_numpy(), spec.graph, unit(x))

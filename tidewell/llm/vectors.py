@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +63,3 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def matrix(raws, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(raws), "<f8").reshape(-1, dim)
-
-
-def frame(rows: list[dict], columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns)
