@@ -84,7 +84,7 @@ def lattices():
 
 def test_samples_follow_their_chances(lattices):
     text, n = "stupid the\n漢é x", 8000
-    found = seg.sample_texts([text] * n, np.arange(n).astype(np.uint64), lattices)
+    found = seg.sample_texts([text.encode()] * n, np.arange(n).astype(np.uint64), lattices)
     first, log_prob = collections.Counter(), {}
     for own in found:
         keys = [o[0].tobytes() for o in own]
@@ -100,7 +100,7 @@ def test_samples_follow_their_chances(lattices):
 
 def test_all_segmentations_of_a_short_text_come_out():
     spec = seg.SegmentSpec(k=500)
-    own = seg.sample_texts(["the"], np.array([5], np.uint64), seg.Lattices(seg.load_pieces(spec.model), spec))[0]
+    own = seg.sample_texts([b"the"], np.array([5], np.uint64), seg.Lattices(seg.load_pieces(spec.model), spec))[0]
     assert 1 < len(own) < 500 and sum(math.exp(o[1]) for o in own) == pytest.approx(1)
     assert all(o[3] == 1.0 for o in own) and len({o[0].tobytes() for o in own}) == len(own)
 

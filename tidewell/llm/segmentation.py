@@ -28,8 +28,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-import re
 from array import array
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,7 +50,7 @@ class SegmentSpec:
     rank_shift: float = 50.0
     byte_rank: float = 1e6
     seed: int = 11
-    cached_states: int = 1_500_000
+    cached_states: int = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,9 @@ class Pieces:
     """The vocabulary as tasks carry it: normal pieces with ranks, byte pieces."""
     rank: dict[str, tuple[int, float]]
     byte_ids: list[int]
-    text: list[bytes]
+    bytes: np.ndarray       # all pieces' bytes, one behind the other
+    places: np.ndarray      # where each begins
+    sizes: np.ndarray
 
 
 def load_pieces(path: str) -> Pieces:
@@ -75,88 +77,175 @@ def load_pieces(path: str) -> Pieces:
         else:
             rank[p] = (i, -float(sp.get_score(i)))
             text.append(p.replace("▁", " ").encode())
-    return Pieces(rank, byte_ids, text)
+    sizes = np.array([len(t) for t in text])
+    return Pieces(rank, byte_ids, np.frombuffer(b"".join(text), np.uint8), np.cumsum(sizes) - sizes, sizes)
 
 
-_UNIT = re.compile("▁*[^▁\n]+|\n|▁+")
 #: odd multipliers that keep steps, words and draws apart
 _STEP, _WORD, _TURN = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7
 
 
+_MARK = "▁".encode()
+
+
 def _salt(n: int, by: int) -> np.uint64:
     return np.uint64(n * by % 2**64)
 
 
+#: chances are compared on a grid of 2 ** -_GRID, in integers, so that a sample does
+#: not depend on which nodes happen to be numbered before
+_GRID = 30
+
+
 class Lattices:
-    """Arcs of all units met so far, as flat arrays over global node numbers."""
+    """Arcs of all units met so far, as flat arrays over global node numbers.
+
+    New units are built together: the pieces that match at any character are found
+    length by length through hashes, backward sums run over all units at once."""
 
     def __init__(self, pieces: Pieces, spec: SegmentSpec) -> None:
         self.pieces, self.spec = pieces, spec
-        self.longest = max(map(len, pieces.rank))
-        t, shift = spec.temperature, spec.rank_shift + 1
-        self.weight = {p: (i, -t * math.log(r + shift)) for p, (i, r) in pieces.rank.items()}
-        self.byte_weight = -t * math.log(spec.byte_rank)
+        self.ph = tb.PolyHash(47)
+        shift = spec.rank_shift + 1
+        self.byte_weight = -spec.temperature * math.log(spec.byte_rank)
+        by_length: dict[int, list[str]] = {}
+        for p in pieces.rank:
+            by_length.setdefault(len(p), []).append(p)
+        self.tables = []  # per length: 16-bit filter, sorted hashes, piece ids, weights
+        for n, group in sorted(by_length.items()):
+            h = self._windows(self.ph.prefix(self._values("".join(group))), n)[::n]
+            order = np.argsort(h)
+            ids = np.array([pieces.rank[p][0] for p in group])
+            weight = np.array([-spec.temperature * math.log(pieces.rank[p][1] + shift) for p in group])
+            # most substrings are no piece: 16 bits of the hash tell so for nearly all of them
+            seen = np.zeros(1 << 16, bool)
+            seen[h >> np.uint64(48)] = True
+            self.tables.append((n, seen, h[order], ids[order], weight[order]))
         self.clear()
 
+    @staticmethod
+    def _values(text: str) -> np.ndarray:
+        return tb.mix64(np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1))
+
+    def _windows(self, prefix: np.ndarray, length: int) -> np.ndarray:
+        """Hash of every run of ``length`` values."""
+        h = prefix[length:] - prefix[:-length]
+        h *= self.ph._powers(len(prefix))[1][:len(h)]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(_STEP)
+        return h
+
     def clear(self) -> None:
-        self.unit: dict[str, int] = {}
-        self.first = array("q", [0])      # node -> its first arc
-        self.key = array("d")             # node + cumulative chance
-        self.id = array("i")
-        self.next = array("q")            # node after the arc, -1 at the unit's end
-        self.log = array("d")             # log chance of the arc given its node
-        self.node = array("q")
-
-    def start(self, unit: str) -> int:
-        got = self.unit.get(unit)
-        if got is None:
-            got = self.unit[unit] = self._build(unit)
-        return got
-
-    def _build(self, unit: str) -> int:
-        n, weight, longest = len(unit), self.weight, self.longest
-        # nodes 0 to n - 1 are characters, n the end, further ones lie within the bytes of a character
-        arcs: list[list[tuple[int, float, int]]] = [
-            [(w[0], w[1], j) for j in range(i + 1, min(n, i + longest) + 1)
-             if (w := weight.get(unit[i:j])) is not None] for i in range(n)] + [[]]
-        total = [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            if unit[i] not in weight:
-                raw = unit[i].encode()
-                to, ahead = i + 1, total[i + 1]
-                for b in raw[:0:-1]:
-                    arcs.append([(self.pieces.byte_ids[b], self.byte_weight, to)])
-                    ahead += self.byte_weight
-                    total.append(ahead)
-                    to = len(arcs) - 1
-                arcs[i].append((self.pieces.byte_ids[raw[0]], self.byte_weight, to))
-            terms = [w + total[j] for _, w, j in arcs[i]]
-            top = max(terms)
-            total[i] = top + math.log(sum(math.exp(x - top) for x in terms))
+        self.unit: dict[int, int] = {}    # hash of a unit's bytes -> its first node
+        self.first = array("i", [0])      # node -> its first arc
+        self.key = array("i")             # cumulative chance within the node, on the grid
+        self.id = array("H")
+        self.next = array("i")            # node after the arc, -1 at the unit's end
+        self.log = array("f")             # log chance of the arc given its node
+        self.rest = array("f")            # log chance of all other arcs
+
+    def starts(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The first node of each unit ``data[begin:end]``."""
+        h, at, inverse = np.unique(self.ph.ranges(self.ph.prefix(data), begin, end),
+                                   return_index=True, return_inverse=True)
+        keys = h.tolist()
+        new = [k for k, x in enumerate(keys) if x not in self.unit]
+        if new:
+            raw = data.tobytes()
+            self._build([raw[begin[i]:end[i]].decode().replace(" ", "▁") for i in at[new]], [keys[k] for k in new])
+        return np.fromiter(map(self.unit.__getitem__, keys), np.int64, len(keys))[inverse]
+
+    def _build(self, units: list[str], names: list[int]) -> None:
+        text = "".join(units)
+        values = self._values(text)
+        size = np.array([len(u) for u in units])
+        first = np.cumsum(size) - size
+        n = len(values)
+        end = np.repeat(first + size, size)          # per character: where its unit ends
+        prefix = self.ph.prefix(values)
+        found = []
+        left = end - np.arange(n)
+        for length, seen, hashes, ids, weights in self.tables:
+            if n < length:
+                break
+            h = self._windows(prefix, length)
+            i = np.flatnonzero(seen[h >> np.uint64(48)] & (left[:len(h)] >= length))
+            h = h[i]
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[at] == h
+            i, at = i[hit], at[hit]
+            found.append((i, i + length, ids[at], weights[at]))
+            if length == 1:
+                covered = np.zeros(n, bool)
+                covered[i] = True
+        node, to, piece, weight = (np.concatenate([f[k] for f in found]) for k in range(4))
+        after = np.where(to == end[node], -1, to)
+        # a character in no piece is a chain of its bytes: nodes behind the characters'
+        chain = []                                   # (node, piece, node after)
+        extra = n
+        heads = []
+        for i in np.flatnonzero(~covered).tolist():
+            raw = text[i].encode()
+            beyond = -1 if i + 1 == end[i] else i + 1
+            heads.append((i, i + 1, self.pieces.byte_ids[raw[0]], len(raw) * self.byte_weight,
+                          extra if len(raw) > 1 else beyond))
+            for k, b in enumerate(raw[1:], 2):
+                chain.append((extra, self.pieces.byte_ids[b], beyond if k == len(raw) else extra + 1))
+                extra += 1
+        if heads:
+            h = list(zip(*heads))
+            node, to, piece, after = (np.concatenate([x, np.array(y)]) for x, y in
+                                      ((node, h[0]), (to, h[1]), (piece, h[2]), (after, h[4])))
+            weight = np.concatenate([weight, np.array(h[3])])
+        order = np.argsort(node, kind="stable")      # found length by length: runs in order already
+        node, to, piece, weight, after = (x[order] for x in (node, to, piece, weight, after))
+        arcs = np.searchsorted(node, np.arange(n + 1))   # every character has an arc
+        back = np.zeros(n + 1)
+        ends_here = to == end[node]
+        distance = end - np.arange(n)
+        by_distance = np.argsort(distance, kind="stable")
+        bounds = np.searchsorted(distance[by_distance], np.arange(1, int(distance.max()) + 2))
+        for lo, hi in zip(bounds[:-1], bounds[1:]):      # nodes one, two, ... from their unit's end
+            nodes = by_distance[lo:hi]
+            count = arcs[nodes + 1] - arcs[nodes]
+            begin = np.cumsum(count) - count
+            which = np.arange(count.sum()) - np.repeat(begin, count) + np.repeat(arcs[nodes], count)
+            t = weight[which] + np.where(ends_here[which], 0.0, back[to[which]])
+            top = np.maximum.reduceat(t, begin)
+            back[nodes] = top + np.log(np.add.reduceat(np.exp(t - np.repeat(top, count)), begin))
+        log = np.minimum(0.0, weight + np.where(ends_here, 0.0, back[to]) - back[node])
+        count = np.diff(arcs)
+        log[arcs[:-1][count == 1]] = 0.0
+        run = np.exp(log)
+        place = np.arange(len(node)) - arcs[node]
+        for k in range(1, int(count.max(initial=1))):
+            at = np.flatnonzero(place == k)
+            run[at] += run[at - 1]
         base = len(self.first) - 1
-        number = [base + x - (x > n) for x in range(len(arcs))]
-        number[n] = -1
-        for x, own in enumerate(arcs):
-            if x == n:
-                continue
-            acc = 0.0
-            for k, (piece, w, j) in enumerate(own):
-                lp = min(0.0, w + total[j] - total[x])
-                acc += math.exp(lp)
-                self.id.append(piece)
-                self.log.append(lp if len(own) > 1 else 0.0)
-                self.next.append(number[j])
-                self.node.append(number[x])
-                self.key.append(number[x] + (1.0 if k == len(own) - 1 else min(acc, 1.0)))
-            self.first.append(len(self.id))
-        return base
+        grid = np.minimum(np.rint(run * (1 << _GRID)).astype(np.int64), 1 << _GRID)
+        grid[arcs[1:] - 1] = 1 << _GRID
+        if chain:
+            c = list(zip(*chain))
+            node, piece, after = (np.concatenate([x, np.array(y)]) for x, y in ((node, c[0]), (piece, c[1]), (after, c[2])))
+            log = np.concatenate([log, np.zeros(len(chain))])
+            grid = np.concatenate([grid, np.full(len(chain), 1 << _GRID)])
+        offset = len(self.id)
+        ends = np.searchsorted(node, np.arange(extra), side="right") + offset
+        with np.errstate(divide="ignore"):
+            rest = np.log(-np.expm1(log))
+        for target, got, kind in ((self.first, ends, np.int32), (self.key, grid, np.int32),
+                                  (self.id, piece, np.uint16), (self.log, log, np.float32),
+                                  (self.next, np.where(after < 0, -1, after + base), np.int32),
+                                  (self.rest, rest, np.float32)):
+            target.frombytes(got.astype(kind).tobytes())
+        self.unit.update(zip(names, (first + base).tolist()))
 
     def view(self):
         v = type("View", (), {})()
-        for name, kind in (("first", np.int64), ("key", np.float64), ("id", np.int32), ("next", np.int64),
-                           ("log", np.float64), ("node", np.int64)):
-            setattr(v, name, np.frombuffer(getattr(self, name), kind) if len(getattr(self, name))
-                    else np.zeros(0, kind))
+        for name, kind in (("first", np.int32), ("key", np.int32), ("id", np.uint16), ("next", np.int32),
+                           ("log", np.float32), ("rest", np.float32)):
+            held = getattr(self, name)
+            setattr(v, name, np.frombuffer(held, kind) if len(held) else np.zeros(0, kind))
         return v
 
 
@@ -167,9 +256,12 @@ def _walk(v, states: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndar
     count = np.zeros(len(states), np.int64)
     turns = []
     while len(active):
-        u = tb.uniform(tb.mix64(seeds[active] + _salt(len(turns), _STEP)))
-        arc = np.searchsorted(v.key, cur + u, side="right")
-        arc = np.clip(arc, v.first[cur], v.first[cur + 1] - 1)
+        u = (tb.mix64(seeds[active] + _salt(len(turns), _STEP)) >> np.uint64(64 - _GRID)).astype(np.int32)
+        arc = v.first[cur]
+        at = np.flatnonzero(v.key[arc] <= u)   # nodes have few arcs: step to the one that holds u
+        while len(at):
+            arc[at] += 1
+            at = at[v.key[arc[at]] <= u[at]]
         turns.append((active, arc))
         count[active] += 1
         after = v.next[arc]
@@ -196,31 +288,41 @@ class _Path:
 
     def __init__(self, v, arcs, word, top, key, turn, after):
         self.arcs, self.word, self.top = arcs, word, top
-        lp = v.log[arcs]
+        lp = v.log[arcs].astype(np.float64)
         run = np.cumsum(lp)
         self.log_prob = float(run[-1]) if len(run) else 0.0
         self.before = run - lp
-        with np.errstate(divide="ignore"):
-            mass = self.before + np.log(-np.expm1(lp))
+        mass = self.before + v.rest[arcs]
         steps = np.arange(len(arcs), dtype=np.uint64)
         u = tb.uniform(tb.mix64(key + _salt(turn + 101, _TURN) + steps * np.uint64(_STEP)))
         self.best = _truncated(mass, top, u)
         self.best[:after] = -np.inf
 
 
-def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices):
-    """Per text, a list of (ids, log_prob, gumbel, inclusion)."""
+def unit_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where units begin and end: at the first of a run of blanks, at a line feed,
+    behind it, and with every text."""
+    blank, feed = data == 0x20, data == 0x0A
+    begin = feed.copy()
+    begin[1:] |= (blank[1:] & ~blank[:-1]) | feed[:-1]
+    begin[offs[:-1][np.diff(offs) > 0]] = True
+    at = np.flatnonzero(begin)
+    return at, np.append(at[1:], len(data))
+
+
+def sample_texts(texts: list[bytes], keys: np.ndarray, lattices: Lattices):
+    """Per text (UTF-8), a list of (ids, log_prob, gumbel, inclusion)."""
     spec = lattices.spec
     if len(lattices.first) > spec.cached_states:
         lattices.clear()
-    start, word_end = [], []
-    for t in texts:
-        if t:
-            start.extend(map(lattices.start, _UNIT.findall("▁" + t.replace(" ", "▁"))))
-        word_end.append(len(start))
+    padded = [b" " + t if t else b"" for t in texts]
+    data = np.frombuffer(b"".join(padded), np.uint8)
+    offs = np.concatenate([[0], np.cumsum([len(t) for t in padded])]).astype(np.int64)
+    begin, end = unit_bounds(data, offs)
+    start = lattices.starts(data, begin, end)
+    word_end = np.searchsorted(begin, offs[1:], side="left")
     v = lattices.view()
-    start = np.array(start, np.int64)
-    ends = np.array(word_end, np.int64)
+    ends = word_end
     begins = np.concatenate([[0], ends[:-1]])
     doc = np.repeat(np.arange(len(texts)), ends - begins)
     within = np.arange(len(start)) - begins[doc]
@@ -246,10 +348,10 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices):
                 continue
             p = own[i]
             t = int(np.argmax(p.best))
-            node = v.node[p.arcs[t]]
-            lo, hi = v.first[node], v.first[node + 1]
+            node = bisect_right(lattices.first, int(p.arcs[t])) - 1
+            lo, hi = int(v.first[node]), int(v.first[node + 1])
             used = spent.setdefault((d, i, t), [int(p.arcs[t])])
-            chance = np.exp(v.log[lo:hi])
+            chance = np.exp(v.log[lo:hi].astype(np.float64))
             chance[[x - lo for x in used]] = 0.0
             u = tb.uniform(tb.mix64(keys[d:d + 1] + _salt(turn + 9001, _TURN)))[0]
             run = np.cumsum(chance)
@@ -285,9 +387,13 @@ def sample_texts(texts: list[str], keys: np.ndarray, lattices: Lattices):
     return out
 
 
-def decode_ids(ids, pieces: Pieces) -> bytes:
+def decode_ids(ids: np.ndarray, pieces: Pieces) -> bytes:
     """Text of a segmentation: pieces joined, blanks restored, the leading one dropped."""
-    raw = b"".join(map(pieces.text.__getitem__, ids.tolist()))
+    size = pieces.sizes[ids]
+    stop = np.cumsum(size)
+    total = int(stop[-1]) if len(stop) else 0
+    at = np.arange(total) + np.repeat(pieces.places[ids] - (stop - size), size)
+    raw = pieces.bytes[at].tobytes()
     return raw[1:] if raw[:1] == b" " else raw
 
 
@@ -311,11 +417,10 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
                             dtype=np.int64).view(np.uint64)
             for lo, hi, data, offs in tb.column_slices(batch, 1):
                 raw = data.tobytes()
-                parts = [raw[a:b] for a, b in zip(offs[:-1], offs[1:])]
-                found = sample_texts([p.decode() for p in parts], keys[lo:hi], lattices)
+                parts = [raw[a:b].replace(_MARK, b" ") for a, b in zip(offs[:-1], offs[1:])]
+                found = sample_texts(parts, keys[lo:hi], lattices)
                 rows = [[] for _ in range(9)]
-                for i, (part, own) in enumerate(zip(parts, found)):
-                    plain = part.replace("▁".encode(), b" ")
+                for i, (plain, own) in enumerate(zip(parts, found)):
                     for k, (piece, log_prob, gumbel, inclusion) in enumerate(own):
                         packed = piece.astype("<u2").tobytes()
                         row = (i, k + 1, len(piece), log_prob, gumbel, inclusion,

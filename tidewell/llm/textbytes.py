@@ -128,10 +128,11 @@ class PolyHash:
         return self._pow, self._ipow
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
+        """Prefix sums of bytes, or of 64-bit values standing for themselves."""
         p, _ = self._powers(len(data) + 1)
         s = np.empty(len(data) + 1, dtype=np.uint64)
         s[0] = 0
-        x = self.table[data]
+        x = self.table[data] if data.dtype == np.uint8 else data.copy()
         x *= p[:len(data)]
         np.cumsum(x, out=s[1:])
         return s
