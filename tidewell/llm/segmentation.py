@@ -302,6 +302,8 @@ class _Path:
 def unit_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where units begin and end: at the first of a run of blanks, at a line feed,
     behind it, and with every text."""
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     blank, feed = data == 0x20, data == 0x0A
     begin = feed.copy()
     begin[1:] |= (blank[1:] & ~blank[:-1]) | feed[:-1]
