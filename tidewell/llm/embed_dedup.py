@@ -198,3 +198,18 @@ def near_duplicates(df: DataFrame, spec: EmbedSpec = EmbedSpec()) -> DataFrame:
     component = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).alias("n_links"), component.alias("component_id"),
                       F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+
+
+#: All pairs of a label, components by reachability (DuckDB; small tables).
+ORACLE = """
+with recursive e as (select vec_id, label, cast(embedding as double[]) as x from embeddings
+  where label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l as (select a.vec_id as u, b.vec_id as v from e a join e b on a.label = b.label and a.vec_id <> b.vec_id
+      where len(a.x) = len(b.x) and list_cosine_similarity(a.x, b.x) >= 0.98),
+n as (select u, count(*) as n from l group by u),
+r as (select vec_id as a, vec_id as b from embeddings union select r.a, l.v from r join l on l.u = r.b),
+c as (select a, min(b) as component_id from r group by a)
+select vec_id, cast(coalesce(n.n, 0) as bigint) as n_links, component_id, vec_id = component_id as kept
+from embeddings join c on c.a = vec_id left join n on n.u = vec_id"""

@@ -260,3 +260,20 @@ def keep_one(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
     known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
     return known.dropDuplicates(["doc_id", "text"]).select(*docs.columns) \
         .unionByName(docs.filter("doc_id is null"))
+
+
+#: All pairs by their common shingles, components by reachability (DuckDB; small tables).
+ORACLE = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) > 1
+        then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) as s from w),
+g as (select doc_id, len(s) as n, unnest(s) as g from s),
+p as (select a.doc_id as u, b.doc_id as v, a.n as na, b.n as nb, count(*) as c
+      from g a join g b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+l as (select u, v from p where 100 * c >= 80 * (na + nb - c)),
+r as (select doc_id as a, doc_id as b from s union select r.a, l.v from r join l on l.u = r.b),
+c as (select a, min(b) as component_id from r group by a)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from s join c on c.a = s.doc_id"""

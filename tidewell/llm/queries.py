@@ -36,14 +36,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-def _license_oracle() -> str:
-    from . import licenses
-    return licenses.oracle_sql()
-
-
-ORACLES["op10_license_scan"] = _license_oracle()
-
-
 @register
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
@@ -56,14 +48,6 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
-def _warc_oracle() -> str:
-    from . import warc
-    return warc.ORACLE
-
-
-ORACLES["op9_warc_archives"] = _warc_oracle()
-
-
 @register
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
@@ -92,3 +76,12 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import suffix_dedup
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def _oracles() -> None:
+    from . import embed_dedup, licenses, minhash, warc
+    ORACLES.update(op3_embedding_near_dedup=embed_dedup.ORACLE, op4_minhash_near_dedup=minhash.ORACLE,
+                   op9_warc_archives=warc.ORACLE, op10_license_scan=licenses.oracle_sql())
+
+
+_oracles()
