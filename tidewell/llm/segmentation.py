@@ -50,7 +50,7 @@ class SegmentSpec:
     rank_shift: float = 50.0
     byte_rank: float = 1e6
     seed: int = 11
-    cached_states: int = 4_000_000
+    cached_states: int = 6_000_000
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ class Lattices:
         for n, group in sorted(by_length.items()):
             h = self._windows(self.ph.prefix(self._values("".join(group))), n)[::n]
             order = np.argsort(h)
-            ids = np.array([pieces.rank[p][0] for p in group])
+            ids = np.array([pieces.rank[p][0] for p in group], np.int32)
             weight = np.array([-spec.temperature * math.log(pieces.rank[p][1] + shift) for p in group])
             # most substrings are no piece: 16 bits of the hash tell so for nearly all of them
             seen = np.zeros(1 << 16, bool)
@@ -173,8 +173,8 @@ class Lattices:
             h = h[i]
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             hit = hashes[at] == h
-            i, at = i[hit], at[hit]
-            found.append((i, i + length, ids[at], weights[at]))
+            i, at = i[hit].astype(np.int32), at[hit]
+            found.append((i, i + np.int32(length), ids[at], weights[at]))
             if length == 1:
                 covered = np.zeros(n, bool)
                 covered[i] = True
@@ -312,6 +312,16 @@ def unit_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, np.append(at[1:], len(data))
 
 
+_HELD: list[Lattices] = []
+
+
+def held_lattices(pieces: Pieces, spec: SegmentSpec) -> Lattices:
+    """The worker's lattices, kept from task to task while vocabulary and spec are the same."""
+    if not _HELD or _HELD[0].spec != spec or _HELD[0].pieces.rank != pieces.rank:
+        _HELD[:] = [Lattices(pieces, spec)]
+    return _HELD[0]
+
+
 def sample_texts(texts: list[bytes], keys: np.ndarray, lattices: Lattices):
     """Per text (UTF-8), a list of (ids, log_prob, gumbel, inclusion)."""
     spec = lattices.spec
@@ -412,7 +422,7 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
     schema = _SCHEMA + (", ids binary" if ids else "")
 
     def run(batches):
-        lattices = Lattices(sent.value, spec)
+        lattices = held_lattices(sent.value, spec)
         for batch in batches:
             doc_ids = batch.column(0)
             keys = np.array([0xFFFF_FFFF_FFFF if x is None else x for x in doc_ids.to_pylist()],
