@@ -50,7 +50,7 @@ class SegmentSpec:
     rank_shift: float = 50.0
     byte_rank: float = 1e6
     seed: int = 11
-    cached_states: int = 6_000_000
+    cached_states: int = 3_000_000
 
 
 @dataclass(frozen=True)
@@ -312,16 +312,6 @@ def unit_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, np.append(at[1:], len(data))
 
 
-_HELD: list[Lattices] = []
-
-
-def held_lattices(pieces: Pieces, spec: SegmentSpec) -> Lattices:
-    """The worker's lattices, kept from task to task while vocabulary and spec are the same."""
-    if not _HELD or _HELD[0].spec != spec or _HELD[0].pieces.rank != pieces.rank:
-        _HELD[:] = [Lattices(pieces, spec)]
-    return _HELD[0]
-
-
 def sample_texts(texts: list[bytes], keys: np.ndarray, lattices: Lattices):
     """Per text (UTF-8), a list of (ids, log_prob, gumbel, inclusion)."""
     spec = lattices.spec
@@ -422,7 +412,7 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
     schema = _SCHEMA + (", ids binary" if ids else "")
 
     def run(batches):
-        lattices = held_lattices(sent.value, spec)
+        lattices = Lattices(sent.value, spec)
         for batch in batches:
             doc_ids = batch.column(0)
             keys = np.array([0xFFFF_FFFF_FFFF if x is None else x for x in doc_ids.to_pylist()],
