@@ -52,9 +52,11 @@ def test_components_match_union_find(spark):
     for a, b in edges:
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
-    assert got == {n: find(n) for n in parent if find(n) != n}
-    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+    frame = spark.createDataFrame(edges, "u long, v long")
+    for one_task in (0, 10_000):       # rounds of stars, and one task
+        got = {r.node: r.component for r in components(frame, one_task=one_task).collect()}
+        assert got == {n: find(n) for n in parent if find(n) != n}
+        assert components(spark.createDataFrame([], "u long, v long"), one_task=one_task).count() == 0
 
 
 # -- near-dedup -----------------------------------------------------------------

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .components import components
+from .components import components, unite
 from .cut import cut
 from .hnsw import Graph, GraphSpec
 from .vectors import INDEX_COLUMNS, index_row, matrix, packed, unit
@@ -46,20 +46,6 @@ class EmbedSpec:
     graph: GraphSpec = field(default_factory=GraphSpec)
 
 
-def _forest(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Unites a[i] with b[i] in ``parent`` (smaller number on top), in place."""
-    while len(a):
-        a, b = parent[a], parent[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
-        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = parent[parent]
-            if (up == parent).all():
-                break
-            parent[:] = up
-
-
 class Shard:
     def __init__(self, r, prefix: str) -> None:
         get = lambda name: getattr(r, prefix + name)
@@ -134,11 +120,11 @@ def _pair_frame(r, spec: EmbedSpec) -> pd.DataFrame:
             keep = src != dst
             lo, hi = np.minimum(src, dst)[keep], np.maximum(src, dst)[keep]
             seen.append(np.unique(lo * np.int64(a.n) + hi))
-            _forest(parent, lo, hi)
+            unite(parent, lo, hi)
         else:
             np.add.at(linked, src, b.sizes[dst])
             np.add.at(linked, dst + shift, a.sizes[src])
-            _forest(parent, src, dst + shift)
+            unite(parent, src, dst + shift)
     if same:
         # a link may be found from either end: count it once
         pairs = np.unique(np.concatenate(seen))
