@@ -341,3 +341,30 @@ def test_pseudonyms_are_a_permutation(spark):
     assert pii.pseudonymise(one).distinct().count() == 4000
     assert pii.pseudonymise(docs(spark, [])).count() == 0
     assert pii.pseudonymise(docs(spark, edge_rows())).count() == len(edge_rows())
+
+
+def test_a_link_among_texts_just_below_the_threshold_is_found(spark):
+    # 400 texts of similarity 350 / 450 with each other, two of them 358 / 442
+    base = [f"c{k}" for k in range(351)]
+    rows = [(i, " ".join(base + [f"u{i}x{k}" for k in range(50)])) for i in range(400)]
+    for a, b in ((171, 333),):
+        tail = [f"s{k}" for k in range(8)]
+        rows[a], rows[b] = ((i, " ".join(base + tail + [f"u{i}x{k}" for k in range(42)])) for i in (a, b))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {i: 171 if i == 333 else i for i in range(400)}
+
+
+def test_exact_pairs_hold_every_link(spark):
+    r = np.random.default_rng(3)
+    base, rows = np.sort(r.integers(0, 2**64, 70, dtype=np.uint64)), []
+    for k in range(60):
+        h = np.union1d(r.choice(base, r.integers(50, 70), replace=False), r.integers(0, 2**64, r.integers(0, 9), dtype=np.uint64))
+        rows.append((k, h))
+    sets = spark.createDataFrame([(k, bytearray(h.tobytes())) for k, h in rows], "rep long, set binary")
+    placed = spark.createDataFrame([(1, k, len(h), k) for k, h in rows], "bucket long, rep long, n long, comp long")
+    want = {(i, j) for i, a in rows for j, b in rows
+            if i < j and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))}
+    got = {(x.u, x.v) for x in minhash.exact_pairs(placed, sets, 80).collect()}
+    assert want and want <= got
+    assert {(x.u, x.v) for x in minhash.confirm(minhash.exact_pairs(placed, sets, 80), sets, 80)
+            .selectExpr("least(u, v) as u", "greatest(u, v) as v").collect()} == want
