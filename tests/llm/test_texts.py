@@ -368,3 +368,8 @@ def test_exact_pairs_hold_every_link(spark):
     assert want and want <= got
     assert {(x.u, x.v) for x in minhash.confirm(minhash.exact_pairs(placed, sets, 80), sets, 80)
             .selectExpr("least(u, v) as u", "greatest(u, v) as v").collect()} == want
+
+
+def test_bands_miss_few_pairs_at_the_threshold():
+    spec = minhash.MinHashSpec()
+    assert (1 - (spec.similarity_pct / 100) ** spec.rows) ** spec.bands < 1e-5

@@ -17,7 +17,7 @@
    pair that shares a bucket is lost, whatever centres it met.
 
 At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8^rows)^bands,
-0.99993 for 5 x 24. Links already implied by a component are not compared.
+0.999993 for 5 x 30. Links already implied by a component are not compared.
 
 Defined cases: a null or empty text, or one without words, has an empty set and
 links with nothing; a row with null doc_id has component null and is kept, and
@@ -42,7 +42,7 @@ from .cut import cut
 class MinHashSpec:
     shingle: int = 2
     similarity_pct: int = 80
-    bands: int = 24
+    bands: int = 30
     rows: int = 5
 
     @property
