@@ -373,3 +373,24 @@ def test_exact_pairs_hold_every_link(spark):
 def test_bands_miss_few_pairs_at_the_threshold():
     spec = minhash.MinHashSpec()
     assert (1 - (spec.similarity_pct / 100) ** spec.rows) ** spec.bands < 1e-5
+
+
+# -- the pipeline's near-dedup stage ------------------------------------------------------
+
+def test_stage_drops_by_five_words(spark):
+    from tidewell.llm import stages
+    rows = []
+    for g in range(4):
+        base = words(500 + g, 100).split()
+        for k in range(3):
+            w = list(base)
+            # one: near at five words; five, one in twenty: near at two words only
+            for j in ([], [50], range(5, 100, 20))[k]:
+                w[j] = f"zz{g}{k}"
+            rows.append((10 * g + k, " ".join(w)))
+    grams = {i: {tuple(t.split()[j:j + 5]) for j in range(96)} for i, t in rows}
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    want = [i for i, _ in rows if not any(j < i and near(grams[i], grams[j]) for j, _ in rows)]
+    assert want == [10 * g + k for g in range(4) for k in (0, 2)]
+    out = stages.one_of_each_group(spark, docs(spark, rows), "")
+    assert sorted(r.doc_id for r in out.collect()) == want

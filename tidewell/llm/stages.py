@@ -18,9 +18,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each near-duplicate group."""
+    """One document, that of the smallest doc_id, of each near-duplicate group
+    (five-word shingles; the two words of ``MinHashSpec`` are the op4 query's)."""
     from . import minhash
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, minhash.MinHashSpec(shingle=5))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
