@@ -375,6 +375,24 @@ def test_bands_miss_few_pairs_at_the_threshold():
     assert (1 - (spec.similarity_pct / 100) ** spec.rows) ** spec.bands < 1e-5
 
 
+def test_values_beside_other_numbers_are_found(spark):
+    card, iban, phone = "4111 1111 1111 1111", "BE68 5390 0754 7034", "555-123-4567"
+    at = "AT61 1904 3002 3457 3201"
+    rows = list(enumerate([card, card + " 12/27", card + " 123", "12 " + card, card + " 2027", iban, iban + " EUR",
+                           at, at + " ABC", phone, phone + " 2024", card + " USD", iban + " TOTAL", "555 123 4567 2024",
+                           "4111-1111-1111-1111-123", "1234 5678 9012 3456 123", phone + " 555-987-6543"]))
+    out = pii.pseudonymise(docs(spark, rows), count="n_replaced").collect()
+    got, n = {r.doc_id: r.text for r in out}, {r.doc_id: r.n_replaced for r in out}
+    assert got[0] != card and got[5] != iban and got[7] != at and got[9] != phone
+    assert got[1] == got[0] + " 12/27" and got[2] == got[0] + " 123" and got[3] == "12 " + got[0]
+    assert got[4] == got[0] + " 2027" and got[11] == got[0] + " USD"
+    assert got[6] == got[5] + " EUR" and got[12] == got[5] + " TOTAL" and got[8] == got[7] + " ABC"
+    assert got[10] == got[9] + " 2024" and got[13] == got[9].replace("-", " ") + " 2024"
+    assert got[14] == got[0].replace(" ", "-") + "-123" and got[15] == rows[15][1]
+    assert got[16].startswith(got[9] + " ") and "987-6543" not in got[16]
+    assert n == {i: 0 if i == 15 else 2 if i == 16 else 1 for i in range(len(rows))}
+
+
 # -- the pipeline's near-dedup stage ------------------------------------------------------
 
 def test_stage_drops_by_five_words(spark):

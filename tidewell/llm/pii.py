@@ -16,7 +16,9 @@ and gives equal values equal pseudonyms in every document and layout.
   (month first if that is a day, else day first); 73049 = 17 * 4297 days
 * email: letters and digits of the local part, by case; the domain tweaks it
 
-Anything that does not validate stays. The key is a parameter; who has it can
+A match that does not validate as a whole is searched for values within it that
+begin and end at its separators (a card before its expiry, CVV or year, an IBAN
+before a word). Anything that does not validate stays. The key is a parameter; who has it can
 undo the permutation. Short values have few images, so a one-letter mailbox may
 map to itself. Defined cases: null stays null, an empty text stays empty, repeated
 rows get equal results, extra columns pass through unchanged.
@@ -36,8 +38,19 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "ip": r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
     "card": r"(?<![0-9A-Za-z-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9A-Za-z]|-[0-9])",
+    # area, exchange and line first: a number after them is none of theirs
+    "phone": r"(?<![0-9A-Za-z])(?:(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9])|(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4})(?![0-9A-Za-z]|-[0-9])",
 }
+#: Within a match: cards written as one run, in fours, or as four, six and the rest.
+_CARD_LAYOUT = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+#: Within a match: phones of area, exchange and line, or after a plus.
+_PHONE_LAYOUT = r"^(?:\+|(?:1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}$)"
+#: Length of an IBAN by country; others are held to 15 characters and mod 97.
+IBAN_LENGTHS = {n: c.split() for n, c in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items()}
 _ANY = "|".join(f"(?:{PATTERNS[k].replace(chr(92) + '1', chr(92) + 'k<sep>').replace('([./-])', '(?<sep>[./-])')})"
                 for k in KINDS)
 _ROUNDS = 8
@@ -96,7 +109,8 @@ def _card(m: Column, key: str) -> Column:
     def valid(d):
         middle = F.slice(d, 2, F.size(d) - 2)
         body = F.concat(F.slice(d, 1, 1), _feistel(middle, _all(middle, 10), F.lit("card"), key))
-        return F.when((F.get(d, F.lit(0)) > 0) & (_luhn(d, 1) == 0), _let(body, lambda b: _write_digits(
+        phone_first = m.rlike("^[0-9]{3}[ -][0-9]{3}[ -][0-9]{4}[ -]")
+        return F.when((F.get(d, F.lit(0)) > 0) & (_luhn(d, 1) == 0) & ~phone_first, _let(body, lambda b: _write_digits(
             m, F.concat(b, F.array((10 - _luhn(b, 0)) % 10)))))
     return _let(_digits(m), valid)
 
@@ -122,7 +136,10 @@ def _iban(m: Column, key: str) -> Column:
             draft = _write_digits(m, F.concat(F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), b))
             check = 98 - _mod97(turned(chars(draft)))
             return _let(check, lambda k: _write_digits(m, F.concat(F.array(F.floor(k / 10), k % 10), b)))
-        return F.when((F.size(c) >= 15) & (_mod97(turned(c)) == 1), _let(body, finish))
+        country, right = F.substring(m, 1, 2), F.size(c) >= 15
+        for n, countries in IBAN_LENGTHS.items():
+            right = F.when(country.isin(*countries), F.size(c) == n).otherwise(right)
+        return F.when(right & (_mod97(turned(c)) == 1), _let(body, finish))
     return _let(chars(m), valid)
 
 
@@ -168,7 +185,8 @@ def _phone(m: Column, key: str) -> Column:
             out = F.transform(pairs, lambda p, j: F.when(lead(j) & (p["v"] > 1), p["w"] + 2).otherwise(p["w"]))
             return _write_digits(m, F.concat(F.slice(d, 1, code), out))
         plain = F.size(d).between(10, 15) & m.rlike("[^0-9]")
-        return F.when(plain | (m.startswith("+") & F.size(d).between(8, 15)), _let(rest, finish))
+        more = m.rlike(r"^(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4} ")
+        return F.when((plain | (m.startswith("+") & F.size(d).between(8, 15))) & ~more, _let(rest, finish))
     return _let(_digits(m), valid)
 
 
@@ -219,21 +237,57 @@ def _email(m: Column, key: str) -> Column:
 _RULES = {"email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}
 
 
+def _inner(m: Column, key: str) -> Column:
+    """Struct of a match no rule accepts as a whole, with the valid values in it
+    replaced, and their number: its groups are taken from the left, the longest run
+    of them that validates first, and what follows is searched again. Numbers without
+    check digits take no group of one that has them."""
+    groups = F.regexp_extract_all(m, F.lit("[^ .-]+|[ .-]+"), F.lit(0))
+
+    def value(c: Column, kind: str, layout: str) -> Column:
+        return F.when(c.rlike(layout) & c.rlike(f"^(?:{PATTERNS[kind]})$"), _RULES[kind](c, key))
+
+    def at(g: Column) -> Column:
+        # groups and separators take turns, so a run that ends with a group has an odd length
+        runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(g) - 1), lambda s: F.transform(
+            F.sequence(F.size(g) - s, F.lit(1), F.lit(-1)), lambda n: F.struct(
+                s.alias("s"), n.alias("n"), F.array_join(F.slice(g, s + 1, n), "").alias("c")))))
+        runs = F.filter(runs, lambda r: (r["n"] % 2 == 1) & r["c"].rlike("^[^ .-].*[^ .-]$")
+                        & F.length(r["c"]).between(10, 42))
+        made = F.filter(F.transform(runs, lambda r: F.struct(
+            r["s"].alias("s"), r["n"].alias("n"),
+            F.coalesce(value(r["c"], "iban", "^[A-Z]{2}[0-9]{2}"), value(r["c"], "card", _CARD_LAYOUT)).alias("sure"),
+            F.coalesce(value(r["c"], "ssn", "^[0-9]{3}-"), value(r["c"], "phone", _PHONE_LAYOUT)).alias("loose"))),
+            lambda r: r["sure"].isNotNull() | r["loose"].isNotNull())
+        made = _let(made, lambda all_: F.transform(F.filter(all_, lambda r: r["sure"].isNotNull() | ~F.exists(
+            all_, lambda q: q["sure"].isNotNull() & (q["s"] < r["s"] + r["n"]) & (r["s"] < q["s"] + q["n"]))),
+            lambda r: F.struct(r["s"].alias("s"), r["n"].alias("n"), F.coalesce(r["sure"], r["loose"]).alias("new"))))
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("n"))
+        return F.aggregate(made, start, lambda a, r: F.when(r["s"] >= a["pos"], F.struct(
+            F.concat(a["out"], F.array_join(F.slice(g, a["pos"] + 1, r["s"] - a["pos"]), ""), r["new"]).alias("out"),
+            (r["s"] + r["n"]).alias("pos"), (a["n"] + 1).alias("n"))).otherwise(a),
+            lambda a: F.struct(F.concat(a["out"], F.array_join(F.slice(g, a["pos"] + 1, F.size(g)), "")).alias("v"),
+                               a["n"].alias("n")))
+    return _let(groups, at)
+
+
 def replaced(text: Column, key: str) -> Column:
     """Struct of the pseudonymised text and the number of replacements."""
     def one(m: Column) -> Column:
         # the first kind whose whole pattern the match has and whose rule accepts it
-        return F.coalesce(*[F.when(m.rlike(f"^(?:{PATTERNS[k]})$"), _RULES[k](m, key)) for k in KINDS])
+        whole = F.coalesce(*[F.when(m.rlike(f"^(?:{PATTERNS[k]})$"), _RULES[k](m, key)) for k in KINDS])
+        return _let(whole, lambda w: F.when(w.isNotNull(), F.struct(w.alias("v"), F.lit(1).cast("long").alias("n")))
+                    .when(m.rlike("[0-9A-Z][ .-]") & ~m.contains("@"), _inner(m, key))
+                    .otherwise(F.struct(m.alias("v"), F.lit(0).cast("long").alias("n"))))
 
     matches = F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
-    both = _let(matches, lambda ms: F.struct(
-        ms.alias("old"), F.transform(ms, one).alias("new")))
+    both = F.transform(matches, one)
     gaps = F.split(text, _ANY, -1)
 
     def join(b: Column) -> Column:
-        filled = F.concat(F.zip_with(b["old"], b["new"], lambda o, n: F.coalesce(n, o)), F.array(F.lit("")))
+        filled = F.concat(F.transform(b, lambda x: x["v"]), F.array(F.lit("")))
         return F.struct(F.array_join(F.zip_with(gaps, filled, lambda g, v: F.concat(g, v)), "").alias("text"),
-                        F.size(F.filter(b["new"], lambda x: x.isNotNull())).cast("long").alias("n"))
+                        F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n"))
     return F.when(text.rlike("[0-9@]"), _let(both, join)) \
         .otherwise(F.struct(text.alias("text"), F.lit(0).cast("long").alias("n")))
 
