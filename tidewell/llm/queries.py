@@ -78,10 +78,23 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import url_filter
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@register
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import importance
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _oracles() -> None:
-    from . import embed_dedup, licenses, minhash, warc
+    from . import embed_dedup, importance, licenses, minhash, url_filter, warc
     ORACLES.update(op3_embedding_near_dedup=embed_dedup.ORACLE, op4_minhash_near_dedup=minhash.ORACLE,
-                   op9_warc_archives=warc.ORACLE, op10_license_scan=licenses.oracle_sql())
+                   op9_warc_archives=warc.ORACLE, op10_license_scan=licenses.oracle_sql(),
+                   op11_url_filter=url_filter.oracle_sql(), op13_importance_resampling=importance.ORACLE)
 
 
 _oracles()
