@@ -84,6 +84,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+@register
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import collocations
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @register
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import importance
@@ -91,10 +97,11 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracles() -> None:
-    from . import embed_dedup, importance, licenses, minhash, url_filter, warc
+    from . import collocations, embed_dedup, importance, licenses, minhash, url_filter, warc
     ORACLES.update(op3_embedding_near_dedup=embed_dedup.ORACLE, op4_minhash_near_dedup=minhash.ORACLE,
                    op9_warc_archives=warc.ORACLE, op10_license_scan=licenses.oracle_sql(),
-                   op11_url_filter=url_filter.oracle_sql(), op13_importance_resampling=importance.ORACLE)
+                   op11_url_filter=url_filter.oracle_sql(), op12_phrase_collocations=collocations.ORACLE,
+                   op13_importance_resampling=importance.ORACLE)
 
 
 _oracles()
