@@ -10,6 +10,7 @@ from . import flows
 from ..session import scratch
 from ..sources.tables import table
 from .catalogue import query
+from .split_sql import boosted
 
 # --- SQL fragments -----------------------------------------------------------
 
@@ -327,7 +328,46 @@ def gbt_predict(spark, sf_dir):
 
 @query("gbt_many_features", ("M07", "C02"))
 def gbt_many_features(spark, sf_dir):
-    """Trees on several categories and numbers with gaps (no closed form: rows only)."""
+    """Trees on several categories and numbers with gaps, one of them continuous: its
+    split points are drawn from a sample, so no SQL states them (rows only)."""
     df = house_like(spark, sf_dir)
     bundle = flows.train_gbt(df, HOUSE_LIKE_CATS, HOUSE_LIKE_NUMS, "o_totalprice", fill={"c_acctbal": 60.0})
     return bundle.score(df).select("o_orderkey", F.round("predicted", 2).alias("prediction"))
+
+
+def banded_houses(spark, sf_dir):
+    """The house-style table with numbers of few values, so that every value is a
+    possible split: balances in thousands (gaps: a constant) and nations (gaps: the mean)."""
+    return house_like(spark, sf_dir).withColumn("c_acctbal", F.floor(F.col("c_acctbal") / 1000).cast("double")) \
+        .withColumn("c_nationkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("c_nationkey")))
+
+
+BANDED_SQL = """select o_orderkey as id, o_orderpriority, o_orderstatus, c_mktsegment, o_totalprice,
+  case when c_mktsegment = 'AUTOMOBILE' then 60.0 else floor(c_acctbal / 1000) end as c_acctbal,
+  coalesce(case when o_orderkey % 7 <> 0 then c_nationkey end,
+           avg(case when o_orderkey % 7 <> 0 then c_nationkey end) over ()) as c_nationkey
+  from orders left join customer on c_custkey = o_custkey"""
+
+#: fixed values: the categories of the driver's tables, which its generator names
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_STATUSES = ["F", "O", "P"]
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_SLOTS = {f"{c}={v}": f"case when {c} = '{v}' then 1 else 0 end"
+          for c, values in (("o_orderpriority", _PRIORITIES), ("o_orderstatus", _STATUSES), ("c_mktsegment", _SEGMENTS))
+          for v in values}
+HOUSE_SLOTS = {**_SLOTS, "c_acctbal": "c_acctbal", "c_nationkey": "c_nationkey"}
+
+
+def banded_bundle(spark, sf_dir):
+    return flows.train_gbt(banded_houses(spark, sf_dir), HOUSE_LIKE_CATS, HOUSE_LIKE_NUMS, "o_totalprice",
+                           fill={"c_acctbal": 60.0})
+
+
+@query("gbt_split_search", ("M01", "M02", "M03", "M04", "M07", "C02"),
+       sql="with recursive " + boosted(BANDED_SQL, HOUSE_SLOTS, "o_totalprice", rounds=10, depth=5) + """
+select id as o_orderkey, round(prediction, 2) as prediction from boosted""")
+def gbt_split_search(spark, sf_dir):
+    """The house flow's trees (ten rounds of depth five) on three one-hot categories and
+    two numbers with gaps, against a split search in SQL."""
+    df = banded_houses(spark, sf_dir)
+    return banded_bundle(spark, sf_dir).score(df).select("o_orderkey", F.round("predicted", 2).alias("prediction"))
