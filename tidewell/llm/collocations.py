@@ -5,7 +5,7 @@ is counted per language. R_k is the relation of occurrences of frequent phrases
 words: place and phrase number, kept sorted by place. A place counts words through the
 texts of a block and skips one between pieces, so two occurrences are neighbours in
 one piece exactly if their places differ by one. R_k is stored with a row per block
-(some MB of whole texts), whose places and numbers are two sorted arrays.
+(some MB of whole texts), whose places (as steps) and numbers are two arrays in order.
 
 1. Words are counted; those with ``least`` occurrences are numbered and make R_1.
 2. R_k merge-joined with itself on adjacent places gives the candidates of k + 1 words:
@@ -41,13 +41,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_row_number
-from ..session import scratch
 from . import textbytes as tb
+from .cut import stored
 
 #: bytes that end a piece, and bytes of a word once they are lower case
 BREAK = tb.lut(b".,;:!?\x0a\x0b\x0c\x0d")
 WORD = ~(BREAK | tb.lut(b"\x20\x09"))
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _BLOCKS = "block long, places binary, groups binary"
 
@@ -61,13 +61,6 @@ class PhraseSpec:
     sent_groups: int = 2_000_000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read back (its size is then known)."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _words(batch: pa.RecordBatch):
     """Per block of a batch (lang, text): the distinct (lang, word) pairs met, and per
     word its pair and place."""
@@ -103,7 +96,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 def _packed(block: int, places: np.ndarray, groups: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int64()), pa.array([places.astype("<i4").tobytes()], pa.binary()),
+        [pa.array([block], pa.int64()), pa.array([np.diff(places, prepend=0).astype("<i4").tobytes()], pa.binary()),
          pa.array([groups.astype("<i8").tobytes()], pa.binary())], names=["block", "places", "groups"])
 
 
@@ -159,14 +152,16 @@ def word_occurrences(texts: DataFrame, frequent: DataFrame, sent_groups: int) ->
 def _neighbours(batch: pa.RecordBatch):
     """Per block: its number, and place, first and second group of adjacent occurrences."""
     for i in range(batch.num_rows):
-        places = np.frombuffer(batch.column(1)[i].as_buffer(), "<i4")
+        steps = np.frombuffer(batch.column(1)[i].as_buffer(), "<i4")
         groups = np.frombuffer(batch.column(2)[i].as_buffer(), "<i8")
-        at = np.flatnonzero(places[1:] == places[:-1] + 1)
-        yield batch.column(0)[i].as_py(), places[at], groups[at], groups[at + 1]
+        at = np.flatnonzero(steps[1:] == 1)
+        yield batch.column(0)[i].as_py(), np.cumsum(steps, dtype=np.int32)[at], groups[at], groups[at + 1]
+
 
+def count_neighbours(occurrences: DataFrame, n_groups: int) -> DataFrame:
+    """g, h, n: how often phrase h begins one word behind the begin of phrase g.
 
-def count_neighbours(occurrences: DataFrame) -> DataFrame:
-    """g, h, n: how often phrase h begins one word behind the begin of phrase g."""
+    Both are numbers below ``n_groups``; while their product fits a long they travel as one."""
     def run(batches):
         for batch in batches:
             for _, _, g, h in _neighbours(batch):
@@ -176,7 +171,12 @@ def count_neighbours(occurrences: DataFrame) -> DataFrame:
                     [pa.array(names[key // max(1, len(names))]), pa.array(names[key % max(1, len(names))]), pa.array(n)],
                     names=["g", "h", "n"])
 
-    return occurrences.mapInArrow(run, "g long, h long, n long").groupBy("g", "h").agg(F.sum("n").alias("n"))
+    counted = occurrences.mapInArrow(run, "g long, h long, n long")
+    if n_groups ** 2 >= 1 << 63:
+        return counted.groupBy("g", "h").agg(F.sum("n").alias("n"))
+    width = F.lit(n_groups).cast("long")
+    return counted.groupBy((F.col("g") * width + F.col("h")).alias("gh")).agg(F.sum("n").alias("n")) \
+        .select(F.expr(f"gh div {max(1, n_groups)}L").alias("g"), F.pmod("gh", F.greatest(width, F.lit(1))).alias("h"), "n")
 
 
 def extend(occurrences: DataFrame, frequent: DataFrame, sent_groups: int) -> DataFrame:
@@ -237,7 +237,7 @@ def collocations(docs: DataFrame, spec: PhraseSpec = PhraseSpec()) -> DataFrame:
                    "phrases-1")
     kept = []
     for k in range(2, spec.longest + 1):
-        pairs = count_neighbours(occurrences).filter(F.col("n") >= spec.least)
+        pairs = count_neighbours(occurrences, frequent.count()).filter(F.col("n") >= spec.least)
         frequent = stored(global_row_number(pairs, [F.col("g"), F.col("h")], "group"), f"frequent-{k}")
         longer = stored(_phrases(frequent, parts), f"phrases-{k}")
         if k > 2:

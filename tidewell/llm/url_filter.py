@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cut import cut
+from .cut import cut, stored
 
 MOST_RULES = 500
 UNIT = 1_000_000
@@ -149,9 +149,9 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, spec: TrustSpec = T
                                           kinds("block").alias("blocked")))
     edges = cut(host_edges(ruled.select("host", "html"), hosts.select("host", "pages")))
     ranks = spread(edges, hosts.select("host", "allowed", "blocked"), spec)
-    bad = hosts.join(ranks, "host") \
-        .filter(100 * (F.col("distrust") - F.col("trust")) > spec.block_pct * UNIT * F.greatest("pages", F.lit(1))) \
-        .select("host", F.lit("block").alias("spread"))
+    bad = stored(hosts.join(ranks, "host")
+                 .filter(100 * (F.col("distrust") - F.col("trust")) > spec.block_pct * UNIT * F.greatest("pages", F.lit(1)))
+                 .select("host", F.lit("block").alias("spread")), "blocked-hosts")
     return ruled.join(bad, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", "spread", F.lit("allow")).alias("verdict"))
 
