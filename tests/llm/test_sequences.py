@@ -156,3 +156,22 @@ def test_pipeline_stages_take_effect(spark, tmp):
     assert kept["pii"] == kept["minhash_dedup"] and kept["mix"] <= kept["pii"]
     assert kept["sentencepiece"] == kept["mix"] and now.filter("not decoded").count() == 0
     assert cp.run(spark, sf).count() == now.count()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own pass through; empty tables stay empty."""
+    from tidewell.llm import mixing, pii, stages, toxicity
+    names = ["tox_score", "m_key", "m_lo", "m_id", "M_hi", "__made", "made_", "n_replaced"]
+    rows = [(i, f"call 555-123-{4000 + i} " + words(i, 40), "s", *[f"{n}{i}" for n in names]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, toxic int")
+    own = lambda df: {tuple(x[n] for n in ["doc_id", *names]) for x in df.collect()}
+    spec = toxicity.ToxicitySpec(threshold=2.0)
+    for made in (toxicity.keep_clean(frame, labels, spec), mixing.mixed_texts(frame), pii.pseudonymise(frame)):
+        assert made.columns == frame.columns and own(made) == own(frame)
+    counted = pii.pseudonymise(frame, count="n_replaced")
+    assert counted.columns == [c for c in frame.columns if c != "n_replaced"] + ["n_replaced"]
+    assert {x.n_replaced for x in counted.collect()} == {1}
+    none = frame.limit(0)
+    assert toxicity.keep_clean(none, labels, spec).count() == mixing.mixed_texts(none).count() == 0
+    assert stages.pseudonymise(spark, none, "").count() == stages.segment(spark, none, "").count() == 0

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .cut import cut
+from .cut import cut, free_prefix
 
 
 @dataclass(frozen=True)
@@ -214,14 +214,15 @@ def mixed_texts(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
     where all are, else the taken spans joined by spaces; ``n_chars``, if there,
     follows it. A document the mix takes nothing of has no row."""
     placed, slots = _blocks_and_slots(docs, spec)
+    names = docs.columns
+    own = free_prefix(names, "m_")
     b = F.lit(spec.block_words).cast("long")
     lo = F.greatest(F.col("pos"), F.col("idx") * b) - F.col("pos")
     taken = placed.filter("idx is not null").join(slots.hint("merge"), ["src", "idx"]) \
         .groupBy("doc_id", "digest", "source", "pos", "turn") \
         .agg(F.sort_array(F.collect_list(F.struct(lo.alias("lo"), (lo + F.col("words")).alias("hi")))).alias("s")) \
-        .select(F.col("doc_id").alias("m_id"), F.col("digest").alias("m_digest"),
-                F.col("source").alias("m_source"), F.col("s.lo").alias("m_lo"), F.col("s.hi").alias("m_hi"))
-    names = docs.columns
+        .select(F.col("doc_id").alias(own + "id"), F.col("digest").alias(own + "digest"),
+                F.col("source").alias(own + "source"), F.col("s.lo").alias(own + "lo"), F.col("s.hi").alias(own + "hi"))
     at = names.index("text")
 
     def with_digest(batches):
@@ -230,7 +231,7 @@ def mixed_texts(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
             digest = np.zeros(batch.num_rows, np.int64)
             for first, last, data, offs in tb.column_slices(batch, at):
                 digest[first:last] = ph.ranges(ph.prefix(data), offs[:-1], offs[1:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*names, "m_key"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*names, own + "key"])
 
     def cut_texts(batches):
         for batch in batches:
@@ -258,12 +259,12 @@ def mixed_texts(docs: DataFrame, spec: MixSpec = MixSpec()) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = docs.schema
-    keyed = docs.mapInArrow(with_digest, _with(schema, "m_key long"))
-    one = keyed.dropDuplicates(["doc_id", "m_key", "source"])
-    joined = one.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col("m_id"))
-                      & (F.col("m_key") == F.col("m_digest"))
-                      & F.col("source").eqNullSafe(F.col("m_source")))
-    return joined.select(*names, "m_lo", "m_hi").mapInArrow(cut_texts, schema)
+    keyed = docs.mapInArrow(with_digest, _with(schema, own + "key long"))
+    one = keyed.dropDuplicates(["doc_id", own + "key", "source"])
+    joined = one.join(taken, F.col("doc_id").cast("long").eqNullSafe(F.col(own + "id"))
+                      & (F.col(own + "key") == F.col(own + "digest"))
+                      & F.col("source").eqNullSafe(F.col(own + "source")))
+    return joined.select(*[f"`{c}`" for c in names], own + "lo", own + "hi").mapInArrow(cut_texts, schema)
 
 
 def _with(schema, extra: str):

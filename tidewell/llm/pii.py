@@ -21,7 +21,8 @@ begin and end at its separators (a card before its expiry, CVV or year, an IBAN
 before a word). Anything that does not validate stays. The key is a parameter; who has it can
 undo the permutation. Short values have few images, so a one-letter mailbox may
 map to itself. Defined cases: null stays null, an empty text stays empty, repeated
-rows get equal results, extra columns pass through unchanged.
+rows get equal results, very long texts are taken whole, an empty table gives no rows,
+extra columns pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cut import free_prefix
+
 KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
 
 PATTERNS = {
@@ -294,11 +297,13 @@ def replaced(text: Column, key: str) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str = "tidewell", count: str | None = None) -> DataFrame:
     """``docs`` with ``text`` pseudonymised and ``n_chars``, if there, following it;
-    ``count`` names a column for the number of replacements."""
-    made = docs.withColumn("__made", replaced(F.col("text").cast("string"), key))
-    out = [F.col("__made.text").alias("text") if c == "text"
-           else F.length("__made.text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-           else F.col(f"`{c}`") for c in docs.columns]
+    ``count`` names a column for the number of replacements, last, in place of one of
+    that name if there is one."""
+    own = free_prefix(docs.columns, "made_")
+    made = docs.withColumn(own, replaced(F.col("text").cast("string"), key))
+    out = [F.col(f"{own}.text").alias("text") if c == "text"
+           else F.length(f"{own}.text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
+           else F.col(f"`{c}`") for c in docs.columns if not count or c.lower() != count.lower()]
     if count:
-        out.append(F.col("__made.n").alias(count))
+        out.append(F.col(f"{own}.n").alias(count))
     return made.select(*out)

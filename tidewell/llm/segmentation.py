@@ -50,7 +50,9 @@ class SegmentSpec:
     rank_shift: float = 50.0
     byte_rank: float = 1e6
     seed: int = 11
-    cached_states: int = 3_000_000
+    cached_bytes: int = 64 << 20     # lattices a task keeps between slices of text
+    slice_bytes: int = 512 << 10
+    build_chars: int = 1 << 16       # characters whose lattices are built at once
 
 
 @dataclass(frozen=True)
@@ -152,7 +154,11 @@ class Lattices:
         new = [k for k, x in enumerate(keys) if x not in self.unit]
         if new:
             raw = data.tobytes()
-            self._build([raw[begin[i]:end[i]].decode().replace(" ", "▁") for i in at[new]], [keys[k] for k in new])
+            units = [raw[begin[i]:end[i]].decode().replace(" ", "▁") for i in at[new]]
+            run = np.cumsum([len(u) for u in units]) // self.spec.build_chars
+            cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(units)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                self._build(units[lo:hi], [keys[k] for k in new[lo:hi]])
         return np.fromiter(map(self.unit.__getitem__, keys), np.int64, len(keys))[inverse]
 
     def _build(self, units: list[str], names: list[int]) -> None:
@@ -240,6 +246,11 @@ class Lattices:
             target.frombytes(got.astype(kind).tobytes())
         self.unit.update(zip(names, (first + base).tolist()))
 
+    def held_bytes(self) -> int:
+        """What the lattices take: the arrays and about 120 bytes a unit's name."""
+        arrays = (self.first, self.key, self.id, self.next, self.log, self.rest)
+        return sum(len(a) * a.itemsize for a in arrays) + 120 * len(self.unit)
+
     def view(self):
         v = type("View", (), {})()
         for name, kind in (("first", np.int32), ("key", np.int32), ("id", np.uint16), ("next", np.int32),
@@ -315,7 +326,7 @@ def unit_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
 def sample_texts(texts: list[bytes], keys: np.ndarray, lattices: Lattices):
     """Per text (UTF-8), a list of (ids, log_prob, gumbel, inclusion)."""
     spec = lattices.spec
-    if len(lattices.first) > spec.cached_states:
+    if lattices.held_bytes() > spec.cached_bytes:
         lattices.clear()
     padded = [b" " + t if t else b"" for t in texts]
     data = np.frombuffer(b"".join(padded), np.uint8)
@@ -417,7 +428,7 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
             doc_ids = batch.column(0)
             keys = np.array([0xFFFF_FFFF_FFFF if x is None else x for x in doc_ids.to_pylist()],
                             dtype=np.int64).view(np.uint64)
-            for lo, hi, data, offs in tb.column_slices(batch, 1):
+            for lo, hi, data, offs in tb.column_slices(batch, 1, spec.slice_bytes):
                 raw = data.tobytes()
                 parts = [raw[a:b].replace(_MARK, b" ") for a, b in zip(offs[:-1], offs[1:])]
                 found = sample_texts(parts, keys[lo:hi], lattices)
@@ -437,6 +448,8 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
                     columns.append(pa.array(rows[8], pa.binary()))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        del lattices
+        tb.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 

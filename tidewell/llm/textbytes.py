@@ -10,6 +10,7 @@ prefix sums in uint64 arithmetic, then mixed; two seeds give 128 bits.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -150,3 +151,13 @@ class PolyHash:
 def runs(rows: np.ndarray, n: int) -> np.ndarray:
     """Offsets (n + 1) of each row's entries in an array sorted by row."""
     return np.searchsorted(rows, np.arange(n + 1), side="left")
+
+
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task: workers live on
+    between tasks, and what they still hold is lost to the next stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):   # a C library without it
+        pass

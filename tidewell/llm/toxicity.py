@@ -15,9 +15,12 @@ log-count ratios.
   table, 4 * 2 ** bits bytes at any corpus size.
 
 Labels are used only from rows whose crc32(doc_id as text) mod 3 is not 1, and
-only for training. Defined cases: null and empty texts get the model's bias;
-a null doc_id is not held out; labels other than 0 and 1, null ids and ids with
-contradicting labels do not train; without both classes every score is 0.
+only for training. Defined cases: null and empty texts get the model's bias; very
+long texts are scored whole, a slice of their own; repeated rows get equal scores
+and train once a doc_id; a null doc_id is not held out; labels other than 0 and 1,
+null ids and ids with contradicting labels do not train; without both classes, as with
+empty labels, every score is 0; an empty table gives no rows; extra columns pass
+through ``keep_clean``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .cut import free_prefix
 
 
 @dataclass(frozen=True)
@@ -46,6 +50,9 @@ class ToxicitySpec:
     threshold: float = 0.7
 
 
+#: texts whose features the fit holds apart at once
+FIT_TEXTS = 250
+
 _CLEAN = np.arange(256, dtype=np.uint8)
 _CLEAN[0x41:0x5B] += 0x20
 _CLEAN[0x09:0x0E] = 0x20
@@ -123,6 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec(
         if not y:
             rows, x = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
         w, bias = fit_ratios(np.array(y, float), rows, x, spec)
+        tb.give_back()
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([bias])], names=["w", "bias"])
 
     sample = training_rows(docs, labels, spec).select("toxic", "text") \
@@ -137,40 +145,55 @@ def fit_ratios(y: np.ndarray, rows: list[np.ndarray], x: list[np.ndarray],
     size = 1 << spec.bits
     if not len(y) or y.min() == y.max():
         return np.zeros(size, np.float32), -np.inf
-    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(r) for r in rows])
-    idx, val = np.concatenate(rows), np.concatenate(x)
-    rows.clear()  # the copies are enough
-    x.clear()
-    toxic = y[row] == 1
-    a = spec.smoothing
-    p = np.bincount(idx[toxic], weights=val[toxic], minlength=size) / y.sum()
-    q = np.bincount(idx[~toxic], weights=val[~toxic], minlength=size) / (1 - y).sum()
-    low = a / len(y)
+    blocks = [slice(k, k + FIT_TEXTS) for k in range(0, len(y), FIT_TEXTS)]
+    sums, texts = [np.zeros(size), np.zeros(size)], np.zeros(size, np.int64)
+    for b in blocks:
+        row = np.repeat(y[b] == 1, [len(r) for r in rows[b]])
+        idx, val = np.concatenate(rows[b]), np.concatenate(x[b])
+        for side, own in ((0, row), (1, ~row)):
+            sums[side] += np.bincount(idx[own], weights=val[own], minlength=size)
+        texts += np.bincount(idx, minlength=size)
+    p, q = sums[0] / y.sum(), sums[1] / (1 - y).sum()
+    low = spec.smoothing / len(y)
     r = np.log((p + low) / (q + low))
-    r[np.bincount(idx, minlength=size) < spec.min_texts] = 0.0
+    r[texts < spec.min_texts] = 0.0
     r[np.abs(r) < spec.neutral] = 0.0
-    keep = r[idx] != 0
-    idx, row, val = idx[keep], row[keep], val[keep]
-    val = val * r[idx].astype(np.float32)
+    # from here on only slots with a ratio, block by block; the sample is let go on the way
+    used = np.flatnonzero(r)
+    place, size = np.full(len(r), -1, np.int32), len(used)
+    place[used] = np.arange(size, dtype=np.int32)
+    held = []
+    for b in blocks:
+        row = np.repeat(np.arange(len(rows[b]), dtype=np.int16), [len(t) for t in rows[b]])
+        idx, val = np.concatenate(rows[b]), np.concatenate(x[b])
+        rows[b], x[b] = [None] * len(rows[b]), [None] * len(x[b])
+        keep = place[idx] >= 0
+        held.append((b, place[idx[keep]], row[keep], val[keep] * r[idx[keep]].astype(np.float32)))
     # classes weigh alike, whatever their share of the sample
     each = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     v, bias = np.zeros(size), 0.0
     m, s, mb, sb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, spec.steps + 1):
-        z = np.bincount(row, weights=v.astype(np.float32)[idx] * val, minlength=len(y)) + bias
-        err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * each
-        g = np.bincount(idx, weights=err.astype(np.float32)[row] * val, minlength=size) + spec.l2 * v
-        gb = err.sum()
+        g, gb, w32 = spec.l2 * v, 0.0, v.astype(np.float32)
+        for b, idx, row, val in held:
+            n = len(y[b])
+            z = np.bincount(row, weights=w32[idx] * val, minlength=n) + bias
+            err = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[b]) * each[b]
+            g += np.bincount(idx, weights=err.astype(np.float32)[row] * val, minlength=size)
+            gb += err.sum()
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         mb, sb = 0.9 * mb + 0.1 * gb, 0.99 * sb + 0.01 * gb * gb
         rate = 0.02
         v -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-6)
         bias -= rate * (mb / (1 - 0.9 ** t)) / (np.sqrt(sb / (1 - 0.99 ** t)) + 1e-6)
-    return (v * r).astype(np.float32), float(bias)
+    w = np.zeros(len(r), np.float32)
+    w[used] = v * r[used]
+    return w, float(bias)
 
 
-def score(docs: DataFrame, model: tuple[bytes, float], spec: ToxicitySpec = ToxicitySpec()) -> DataFrame:
-    """The columns of ``docs`` and ``tox_score`` (0 to 1)."""
+def score(docs: DataFrame, model: tuple[bytes, float], spec: ToxicitySpec = ToxicitySpec(),
+          out: str = "tox_score") -> DataFrame:
+    """The columns of ``docs`` and ``out`` (0 to 1), which must not be among them."""
     names = docs.columns
     at = names.index("text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -187,10 +210,10 @@ def score(docs: DataFrame, model: tuple[bytes, float], spec: ToxicitySpec = Toxi
                     z[lo:hi] += density(total, chars, spec)
             p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
             p[np.isneginf(z)] = 0.0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*names, "tox_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*names, out])
 
-    from pyspark.sql.types import StructType
-    schema = StructType([*docs.schema.fields, *StructType.fromDDL("tox_score double").fields])
+    from pyspark.sql.types import DoubleType, StructField, StructType
+    schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -204,5 +227,5 @@ def classify(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySp
 
 def keep_clean(docs: DataFrame, labels: DataFrame, spec: ToxicitySpec = ToxicitySpec()) -> DataFrame:
     """The documents below the threshold, with their columns."""
-    return score(docs, train(docs, labels, spec), spec) \
-        .filter(F.col("tox_score") < spec.threshold).select(*docs.columns)
+    out = free_prefix(docs.columns, "tox_score")
+    return score(docs, train(docs, labels, spec), spec, out).filter(F.col(out) < spec.threshold).drop(out)
