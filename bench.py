@@ -24,7 +24,8 @@ HEADLINE = [
     "frequency_index",         # distributed frequency ranking
     "decode_json",             # envelope round trip over whole documents
     "csv_scan_cast",           # CSV write + all-text read + try_cast
-    "gbt_predict",             # categorical + impute + 10-round trees
+    "gbt_predict",             # 10-round trees on one category
+    "gbt_many_features",       # the house flow's trees: three categories, two numbers with gaps
 ]
 
 

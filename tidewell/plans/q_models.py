@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, features as feat, models
+from ..operators.rank_stage import RankLabel, Unrank
 from . import flows
 from ..session import scratch
 from ..sources.tables import table
@@ -277,6 +279,94 @@ def cross_validate_linear(spark, sf_dir):
                           F.round("avg_rmse", 3).alias("avg_rmse"))
 
 
+def _ridge_folds_sql(lam: float, outside: str = "outside", inside: str = "inside") -> str:
+    """Mean over three folds of the RMSE of ridge regression on two features: on
+    standardised columns the slopes solve (R + lambda / sd(label)) b = r, with R the
+    correlations of the features and r theirs with the label. ``outside``
+    and ``inside`` are tables (k, x1, x2, y) of the rows outside and inside the fold k."""
+    return f"""select cast({lam} as double) as reg_param, round(avg(rmse), 3) as avg_rmse from (
+  select f.k, sqrt(avg(power(my + b1 * (x1 - m1) + b2 * (x2 - m2) - y, 2))) as rmse
+  from (select *, sy / s1 * ((1 + l) * r1 - r12 * r2) / ((1 + l) * (1 + l) - r12 * r12) as b1,
+               sy / s2 * ((1 + l) * r2 - r12 * r1) / ((1 + l) * (1 + l) - r12 * r12) as b2
+        from (select k, avg(x1) as m1, avg(x2) as m2, avg(y) as my, stddev_pop(x1) as s1, stddev_pop(x2) as s2,
+                     stddev_pop(y) as sy, {lam} / stddev_pop(y) as l, corr(x1, x2) as r12, corr(x1, y) as r1,
+                     corr(x2, y) as r2 from {outside} group by 1)) f
+  join {inside} h on h.k = f.k group by 1)"""
+
+
+#: the grid of the original's cross-validation
+REG_GRID = [0.01, 0.1]
+
+_FOLDS_SQL = """li as (select l_orderkey % 3 as fold, l_quantity, l_extendedprice, l_discount from lineitem),
+outside as (select k, l_quantity as x1, l_discount as x2, l_extendedprice as y from li, range(3) r(k) where fold <> k),
+inside as (select fold as k, l_quantity as x1, l_discount as x2, l_extendedprice as y from li)"""
+
+
+def _grid_report(metrics):
+    return metrics.select(F.get_json_object("params", "$.regParam").cast("double").alias("reg_param"),
+                          F.round("avg_rmse", 3).alias("avg_rmse"))
+
+
+def _folded(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                                   "l_discount", F.pmod("l_orderkey", F.lit(3)).cast("int").alias("fold"))
+
+
+@query("cross_validate_two_features", ("M10", "M11"), sql="with " + _FOLDS_SQL + " " + " union all ".join(
+    _ridge_folds_sql(lam) for lam in REG_GRID))
+def cross_validate_two_features(spark, sf_dir):
+    li = _folded(spark, sf_dir).withColumn("label", F.col("l_extendedprice"))
+    est = models.linear(max_iter=10)
+    stages = [feat.assemble(["l_quantity", "l_discount"]), est]
+    _, metrics = models.cross_validate(li, stages, est, {"regParam": REG_GRID}, num_folds=3, fold_col="fold")
+    return _grid_report(metrics)
+
+
+_RANK_FOLDS_SQL = """li as (select l_orderkey % 3 as fold, cast(l_quantity as varchar) as value, l_extendedprice as x1,
+    l_discount as x2 from lineitem),
+idx as (select k, value, row_number() over (partition by k order by cnt desc, value) - 1 as rank
+  from (select k, value, count(*) as cnt from li, range(3) r(k) where fold <> k group by all)),
+outside as (select idx.k, x1, x2, cast(rank as double) as y from li join idx on idx.value = li.value and fold <> k),
+inside as (select fold as k, x1, x2, cast(coalesce(rank, (select count(*) from idx n where n.k = fold)) as double) as y
+  from li left join idx on idx.value = li.value and idx.k = fold)"""
+
+
+def _rank_stages():
+    est = models.linear(max_iter=10)
+    return [RankLabel(labelCol="l_quantity", outputCol="label"), feat.assemble(["l_extendedprice", "l_discount"]), est,
+            Unrank(labelCol="l_quantity", inputCol="prediction", outputCol="predicted")], est
+
+
+@query("cross_validate_rank", ("M05", "M08", "M10", "M11"), sql="with " + _RANK_FOLDS_SQL + " " + " union all ".join(
+    _ridge_folds_sql(lam) for lam in REG_GRID))
+def cross_validate_rank(spark, sf_dir):
+    """Cross-validation of the whole pipeline with the rank label in it: each fold's fit
+    ranks the target by its own rows."""
+    stages, est = _rank_stages()
+    _, metrics = models.cross_validate(_folded(spark, sf_dir), stages, est, {"regParam": REG_GRID}, num_folds=3,
+                                       fold_col="fold")
+    return _grid_report(metrics)
+
+
+@query("rank_pipeline_round_trip", ("M05", "M06", "M08", "M09", "S10", "S11"), sql=f"""
+with idx as {_QTY_INDEX},
+lab as (select l_orderkey, l_linenumber, l_extendedprice as u, l_discount as v, cast(idx.idx as double) as y
+        from lineitem join idx on idx.value = cast(l_quantity as varchar)),
+c as (select avg(y) as my, avg(u) as mu, avg(v) as mv, var_pop(u) as uu, var_pop(v) as vv, covar_pop(u, v) as uv,
+        covar_pop(y, u) as yu, covar_pop(y, v) as yv from lab),
+w as (select *, (yu * vv - yv * uv) / (uu * vv - uv * uv) as a, (yv * uu - yu * uv) / (uu * vv - uv * uv) as b from c),
+p as (select l_orderkey, l_linenumber, my + a * (u - mu) + b * (v - mv) as pred from lab cross join w)
+select l_orderkey, l_linenumber, idx.value as predicted from p join idx on idx.idx = cast(trunc(greatest(0.0,
+  least((select count(*) - 1 from idx)::double, pred))) as bigint)""")
+def rank_pipeline_round_trip(spark, sf_dir):
+    """Saved and loaded as one PipelineModel; serving rows lack the target."""
+    stages, _ = _rank_stages()
+    li = _folded(spark, sf_dir)
+    path = scratch(spark, "rank-pipeline")
+    models.fit(stages, li).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(li.drop("l_quantity")).select("l_orderkey", "l_linenumber", "predicted")
+
+
 @query("linear_two_features", ("M06", "M09", "C01"), sql="""
 with t as (select l_orderkey, l_linenumber, l_extendedprice as y, l_quantity as u,
                   case when l_linenumber = 3 then 0.0 else l_discount end as v from lineitem),

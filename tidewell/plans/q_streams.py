@@ -19,7 +19,8 @@ from . import flows
 from .bindings import (BATCH_FEATURES, HISTORY_FEATURES, HISTORY_ROWS_SQL, STREAM_ROWS_SQL,
                        history_rows, stream_rows)
 from .catalogue import query
-from .q_models import price_by_status
+from .q_models import BANDED_SQL, HOUSE_LIKE_CATS, HOUSE_SLOTS, banded_bundle, banded_houses
+from .split_sql import boosted
 
 #: Intake bound of the rate-limited streams: records per file, one file per trigger.
 INTAKE_ROWS = 4000
@@ -265,25 +266,28 @@ def relay_then_score(spark, sf_dir):
 HOUSE_OUT_SPEC = TableSpec(struct("id bigint, prediction double"), "id", "price_predictions")
 
 
-@query("score_stream_gbt", ("C02", "C05", "P01", "P07", "P14", "T09", "G14", "G15"), sql="""
-with g as (select o_orderstatus, avg(o_totalprice) as price from orders group by 1),
-     s as (select case when o.o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then 0 else o_orderkey end as id,
-             g.price from orders o join g on g.o_orderstatus = o.o_orderstatus)
-select id, round(max(price), 2) as prediction from s group by id""")
+@query("score_stream_gbt", ("C02", "C05", "M07", "P01", "P07", "P14", "T09", "G14", "G15"),
+       sql="with recursive " + boosted(BANDED_SQL, HOUSE_SLOTS, "o_totalprice", rounds=10, depth=5) + """,
+s as (select case when o_orderstatus = 'P' and o_orderpriority = '1-URGENT' then 0 else o_orderkey end as id, prediction
+      from orders join boosted on boosted.id = o_orderkey)
+select id, round(max(prediction), 2) as prediction from s group by id""")
 def score_stream_gbt(spark, sf_dir):
-    """Trees on a one-hot category and an imputed constant: their boosted sum is the
-    category's mean, which the oracle computes. Ids and the number arrive as text."""
-    train = price_by_status(spark, sf_dir)
-    bundle = flows.train_gbt(train, ["o_orderstatus"], ["lot"], "o_totalprice")
+    """The house flow on three categories and two numbers with gaps: trees of ten rounds
+    score a stream of CSV rows in which ids and numbers arrive as text."""
+    train = banded_houses(spark, sf_dir)
+    bundle = banded_bundle(spark, sf_dir)
     src = scratch(spark, "house-csv")
     no_id = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     arrive_in_files(train.select(
         F.when(no_id, F.lit(None)).otherwise(F.col("o_orderkey")).cast("string").alias("o_orderkey"),
-        "o_orderstatus", F.coalesce(F.col("lot").cast("string"), F.lit("NA")).alias("lot")), src, "csv", 8000)
-    schema = struct("o_orderkey string, o_orderstatus string, lot string")
+        *HOUSE_LIKE_CATS, F.coalesce(F.col("c_acctbal").cast("string"), F.lit("NA")).alias("c_acctbal"),
+        "c_nationkey"), src, "csv", 8000)
+    schema = struct("o_orderkey string, o_orderpriority string, o_orderstatus string, c_mktsegment string, "
+                    "c_acctbal string, c_nationkey string")
     stream = files.stream_files(spark, src, schema, fmt="csv", max_files_per_trigger=1)
     # the id is typed before its nulls are defaulted: text that is no number has no id
-    cleaned = flows.clean_stream(stream, {"o_orderkey": "bigint", "lot": "double"}, {}, key="o_orderkey")
+    cleaned = flows.clean_stream(stream, {"o_orderkey": "bigint", "c_acctbal": "double", "c_nationkey": "double"},
+                                 {}, key="o_orderkey")
     out_path = scratch(spark, "price-predictions")
     step = flows.ScoreOnly(bundle, "o_orderkey", out_path, HOUSE_OUT_SPEC,
                            output={"id": "o_orderkey", "prediction": "predicted"})
