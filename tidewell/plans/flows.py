@@ -116,7 +116,12 @@ class MergeScore:
     null_key: str = "quarantine"     # quarantine (kept aside) | default (-> 0) | drop
     # output writer (df, epoch); default: replay-safe upsert into ``table_path``
     writer: Callable[[DataFrame, int], None] | None = None
-    set_aside: int = field(default=0, init=False)
+    # rows set aside, by (run, epoch): a replayed epoch counts once
+    aside: dict[tuple[str, int], int] = field(default_factory=dict, init=False)
+
+    @property
+    def set_aside(self) -> int:
+        return sum(self.aside.values())
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
         spark = df.sparkSession
@@ -148,10 +153,11 @@ class MergeScore:
     def _set_aside(self, df: DataFrame, epoch: int) -> None:
         if not self.table_path:
             raise ValueError("rows without a key need a table_path beside which to set them aside")
-        where = f"{self.table_path.rstrip('/')}_quarantine/run={current_run_id(df.sparkSession)}/epoch={epoch}"
+        run = current_run_id(df.sparkSession)
+        where = f"{self.table_path.rstrip('/')}_quarantine/run={run}/epoch={epoch}"
         clean.null_key(df, self.key, "quarantine").write.mode("overwrite").parquet(where)
         n = df.sparkSession.read.parquet(where).count()
-        self.set_aside += n
+        self.aside[run, epoch] = n
         _LOG.warning("epoch %s: %s rows without %s set aside in %s", epoch, n, self.key, where)
 
 
@@ -163,10 +169,10 @@ def score_with_history(stream: DataFrame, step: MergeScore, checkpoint: str,
 
 def relay_to_log(stream: DataFrame, log_path: str, checkpoint: str, columns=None,
                  fmt: str = "json", trigger="available_now", format: str = "files",
-                 options=None) -> StreamingQuery:
+                 options=None, name: str | None = None) -> StreamingQuery:
     """First half of C03: publish a stream's rows to the log."""
     return log.publish(stream, log_path, checkpoint, columns=columns, fmt=fmt,
-                       trigger=trigger, format=format, options=options)
+                       trigger=trigger, format=format, options=options, name=name)
 
 
 def parse_log(spark: SparkSession, log_path: str, schema, fmt: str = "json",
@@ -198,6 +204,24 @@ class ScoreOnly:
                      run_id=current_run_id(df.sparkSession), dedupe_rule=self.dedupe_rule)
 
 
+@dataclass
+class RejectAside:
+    """A batch function with a second sink: rows whose ``column`` holds the raw text of a
+    malformed line go to ``path``, the others (without that column) to ``step``. Both sinks
+    are written by (run, epoch), so a replayed epoch leaves one copy in each."""
+
+    step: Callable[[DataFrame, int], None]
+    column: str
+    path: str
+
+    def __call__(self, df: DataFrame, epoch: int) -> None:
+        bad = F.col(f"`{self.column}`")
+        where = f"{self.path.rstrip('/')}/run={current_run_id(df.sparkSession)}/epoch={epoch}"
+        with batch_scope(df) as rows:   # two sinks, one parse
+            rows.where(bad.isNotNull()).select(bad.alias("raw")).write.mode("overwrite").parquet(where)
+            self.step(rows.where(bad.isNull()).drop(self.column), epoch)
+
+
 def clean_stream(stream: DataFrame, casts: Mapping[str, str], fills: Mapping[str, object],
                  key: str, key_mode: str = "default") -> DataFrame:
     """Stateless typing of a text-heavy stream (T09): try-casts, fills, null key."""
@@ -208,6 +232,6 @@ def clean_stream(stream: DataFrame, casts: Mapping[str, str], fills: Mapping[str
 
 
 def score_stream(stream: DataFrame, step: ScoreOnly, checkpoint: str,
-                 trigger="available_now") -> StreamingQuery:
+                 trigger="available_now", name: str | None = None) -> StreamingQuery:
     """CSV stream -> clean -> score -> upsert id + prediction."""
-    return run_batches(stream, step, checkpoint, trigger)
+    return run_batches(stream, step, checkpoint, trigger, name)

@@ -14,6 +14,8 @@ from ..sources import files, keyed
 from ..sources.folders import is_folder
 from ..sources.preview import stream_preview
 from ..sources.tables import table
+from ..streaming.progress import ProgressRows, finish
+from ..streaming.recovery import CrashAfterWrite, supervise
 from ..streaming.runner import await_done, current_run_id, run_batches, stop_queries
 from . import flows
 from .bindings import (BATCH_FEATURES, HISTORY_FEATURES, HISTORY_ROWS_SQL, STREAM_ROWS_SQL,
@@ -263,6 +265,122 @@ def relay_then_score(spark, sf_dir):
     return _rounded(keyed.read_table(spark, out_path, PREDICTION_SPEC))
 
 
+@query("stream_crash_replay", ("T04", "G21", "S08", "K02", "F01"), sql=_SCORED_SQL)
+def stream_crash_replay(spark, sf_dir):
+    """As ``score_with_history``, but every epoch dies after its write and before its
+    commit; started again on the checkpoint it is replayed from the offset log."""
+    bundle = train_tutor_like(spark, sf_dir)
+    hist_path, out_path = scratch(spark, "history"), scratch(spark, "predictions")
+    flows.seed_history(history_rows(spark, sf_dir), hist_path, HISTORY_SPEC)
+    step = CrashAfterWrite(flows.MergeScore(
+        history=keyed.KeyedHistory(hist_path, HISTORY_SPEC), bundle=bundle, key="id", batch_features=BATCH_FEATURES,
+        history_features=HISTORY_FEATURES, table_path=out_path, spec=PREDICTION_SPEC))
+    src, ck = scratch(spark, "arrivals"), scratch(spark, "ck")
+    failed = 0
+    for _ in _portions(spark, sf_dir, src):
+        failed += supervise(lambda: flows.score_with_history(
+            files.stream_files(spark, src, _ROWS_SCHEMA, fmt="parquet"), step, ck))
+    if failed != len(step.attempts) or set(step.attempts.values()) != {2}:
+        raise AssertionError(f"every epoch was to fail once and be replayed: {step.attempts}")
+    return _rounded(keyed.read_table(spark, out_path, PREDICTION_SPEC))
+
+
+ORDER_SPEC = TableSpec(struct("id bigint, totalprice double, prediction double"), "id", "order_scores")
+
+
+@query("live_relay_and_score", ("T01", "T02", "T06", "T07", "T08", "S05", "C03", "C05"), sql=f"""
+with t as (select o_orderkey as id, o_totalprice as totalprice from orders),
+f as (select regr_slope(o_totalprice, o_custkey) as b, regr_intercept(o_totalprice, o_custkey) as a from orders),
+s as (select id, round(a + b * o_custkey, 2) as prediction from t join orders on o_orderkey = id cross join f)
+select q.query, (select count(*) from orders) as n_rows, true as within_bound,
+  (select count(*) from orders) > {INTAKE_ROWS} as several_triggers,
+  (select count(*) from s) as n_scored, (select round(sum(prediction), 0) from s) as predictions
+from (values ('relay'), ('score')) q(query)""")
+def live_relay_and_score(spark, sf_dir):
+    """Relay and scorer live side by side on processing-time triggers, stopped when the last
+    offset is through; a listener's rows tell what each trigger took in."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("double")
+                                              .alias("custkey"), F.col("o_totalprice").alias("totalprice"))
+    bundle = flows.train_linear(o, ["custkey"], "totalprice")
+    src, log_path, out = scratch(spark, "arrivals"), scratch(spark, "log"), scratch(spark, "order-scores")
+    arrive_in_files(o, src)
+    step = flows.ScoreOnly(bundle, "id", out, ORDER_SPEC,
+                           output={"id": "id", "totalprice": "totalprice", "prediction": "predicted"})
+    names = [f"{n}-{scratch(spark, 'q')[-12:]}" for n in ("relay", "score")]
+    rows = ProgressRows(names)
+    spark.streams.addListener(rows)
+    try:
+        relay = flows.relay_to_log(files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1),
+                                   log_path, scratch(spark, "ck"), trigger="100 milliseconds", name=names[0])
+        scorer = flows.score_stream(flows.parse_log(spark, log_path, o.schema, max_per_trigger=1), step,
+                                    scratch(spark, "ck"), trigger="100 milliseconds", name=names[1])
+        finish([relay, scorer])
+        for q in (relay, scorer):
+            rows.wait_for(q)
+    finally:
+        spark.streams.removeListener(rows)
+    progress = rows.write(spark, scratch(spark, "progress")).where("n_rows > 0")
+    scored = keyed.read_table(spark, out, ORDER_SPEC).agg(
+        F.count("*").alias("n_scored"), F.round(F.sum(F.round("prediction", 2)), 0).alias("predictions"))
+    return progress.groupBy(F.element_at(F.split("query", "-"), 1).alias("query")).agg(
+        F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= INTAKE_ROWS).alias("within_bound"),
+        (F.count("*") > 1).alias("several_triggers")).join(scored, F.lit(True))
+
+
+@query("null_key_quarantine", ("P14", "G14", "T10"), sql="""
+select o_totalprice as totalprice, cast(year(o_orderdate) as double) as order_year from orders where o_orderkey % 13 = 0""")
+def null_key_quarantine(spark, sf_dir):
+    """Stream rows without a key, kept aside by the scorer as data."""
+    bundle = train_tutor_like(spark, sf_dir)
+    hist_path, out_path = scratch(spark, "history"), scratch(spark, "predictions")
+    flows.seed_history(history_rows(spark, sf_dir), hist_path, HISTORY_SPEC)
+    step = flows.MergeScore(history=keyed.KeyedHistory(hist_path, HISTORY_SPEC), bundle=bundle, key="id",
+                            batch_features=BATCH_FEATURES, history_features=HISTORY_FEATURES,
+                            table_path=out_path, spec=PREDICTION_SPEC)
+    src = scratch(spark, "arrivals")
+    rows = stream_rows(spark, sf_dir)
+    arrive_in_files(rows.select(F.when(F.col("o_orderkey") % 13 != 0, F.col("id")).alias("id"), "totalprice",
+                                "order_year"), src)
+    stream = files.stream_files(spark, src, _ROWS_SCHEMA, fmt="parquet", max_files_per_trigger=1)
+    await_done(flows.score_with_history(stream, step, scratch(spark, "ck")))
+    return spark.read.parquet(f"{out_path}_quarantine").select("totalprice", "order_year")
+
+
+_LINES = {
+    "csv": """o_orderkey || ',' || o_custkey || ',' || case when o_orderkey % 10 = 3 then 'n/a' else
+  cast(o_orderkey * 2 as {text}) end || case when o_orderkey % 10 = 7 then ',extra' else '' end""",
+    "json": """'{{"o_orderkey":' || o_orderkey || ',"o_custkey":' || case when o_orderkey % 10 = 3 then '"n/a"' else
+  cast(o_custkey as {text}) end || ',"amount":' || o_orderkey * 2 || case when o_orderkey % 10 = 7 then '' else '}}' end""",
+}
+
+
+@query("rejected_rows", ("S01", "S03", "P14", "G15", "T09"), sql=" union all ".join(f"""
+select '{fmt}' as format, case when o_orderkey % 10 in (3, 7) then null else o_orderkey end as o_orderkey,
+  case when o_orderkey % 10 in (3, 7) then null else o_custkey end as o_custkey,
+  case when o_orderkey % 10 in (3, 7) then null else o_orderkey * 2 end as amount,
+  case when o_orderkey % 10 in (3, 7) then {line.format(text="varchar")} end as raw from orders"""
+                                                                                for fmt, line in _LINES.items()))
+def rejected_rows(spark, sf_dir):
+    """CSV and JSON lines, some malformed: good rows and the raw text of the others, by two
+    sinks of one stream; together they are the input."""
+    schema = struct("o_orderkey bigint, o_custkey bigint, amount bigint")
+    parts = []
+    for fmt, line in _LINES.items():
+        src, good, bad = scratch(spark, f"lines-{fmt}"), scratch(spark, "good"), scratch(spark, "rejected")
+        table(spark, sf_dir, "orders").select(F.expr(line.format(text="string")).alias("value")) \
+            .write.option("maxRecordsPerFile", INTAKE_ROWS).text(src)
+        stream = files.stream_files(spark, src, schema, fmt=fmt, header=False, max_files_per_trigger=1, rejected="_bad")
+
+        def keep(df, epoch, good=good):
+            df.write.mode("overwrite").parquet(f"{good}/epoch={epoch}")
+
+        await_done(run_batches(stream, flows.RejectAside(keep, "_bad", bad), scratch(spark, "ck")))
+        rows = spark.read.parquet(good).select(*schema.names, F.lit(None).cast("string").alias("raw"))
+        parts.append(rows.unionByName(spark.read.parquet(bad).select("raw"), allowMissingColumns=True)
+                     .select(F.lit(fmt).alias("format"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
 HOUSE_OUT_SPEC = TableSpec(struct("id bigint, prediction double"), "id", "price_predictions")
 
 

@@ -12,27 +12,45 @@ from ..schemas import TableSpec
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
-             header: bool = True, options: Mapping[str, str] | None = None) -> DataFrame:
-    """Batch CSV scan (S01/S02). Without ``schema`` every column is text (type it
+             header: bool = True, options: Mapping[str, str] | None = None,
+             rejected: str | None = None) -> DataFrame:
+    """Batch CSV scan (S01/S02). ``rejected`` (with a schema) as in ``stream_files``. Without ``schema`` every column is text (type it
     with ``clean.cast_columns``); with one, a bad numeric field is null (the rest
     of the row is kept). Never infers: inference is an extra full pass."""
     reader = spark.read.options(header=str(header).lower(), sep=sep, **dict(options or {}))
+    if schema is not None and rejected:
+        schema = with_rejected(schema, rejected)
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=rejected)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def with_rejected(schema: T.StructType, column: str) -> T.StructType:
+    if column.lower() in {f.name.lower() for f in schema.fields}:
+        raise ValueError(f"{column!r} is a column of the data already")
+    return T.StructType([*schema.fields, T.StructField(column, T.StringType(), True)])
+
+
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv",
                  max_files_per_trigger: int | None = None, sep: str = ",", header: bool = True,
                  options: Mapping[str, str] | None = None,
-                 max_bytes_per_trigger: int | None = None) -> DataFrame:
+                 max_bytes_per_trigger: int | None = None, rejected: str | None = None) -> DataFrame:
     """Streaming scan of a directory of files.
 
+    ``rejected`` adds a text column that holds the raw line of a malformed CSV or JSON row
+    (a value that its type cannot hold, too many or too few fields, broken JSON) and
+    null for the others; ``flows.RejectAside`` parts the two.
+
     ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound each
     micro-batch by file count or by data volume (no default of 1: let a batch
     take what has arrived). ``options`` passes e.g. ``pathGlobFilter``.
     """
+    if rejected:
+        schema = with_rejected(schema, rejected)
     reader = spark.readStream.format(fmt).schema(schema)
+    if rejected:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=rejected)
     if fmt == "csv":
         reader = reader.options(sep=sep, header=str(header).lower())
     if max_files_per_trigger:

@@ -25,3 +25,25 @@ def ensure(spark: SparkSession, path: str) -> None:
 def is_folder(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return fs.getFileStatus(p).isDirectory()
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already. Of several callers one succeeds."""
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        return bool(fs.createNewFile(p))
+    except Exception as e:  # some file systems raise where the file is there
+        if fs.exists(p):
+            return False
+        raise e
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

@@ -1,18 +1,23 @@
 """Keyed table with replay-safe upserts.
 
-Layout: ``{path}/seq={n}/run={run}/epoch={epoch}/part-*.parquet``. Each micro-batch
-of a streaming query is one slice. A replayed (run, epoch) overwrites its own
-slice; a new one gets the next sequence number after all slices there are, so
-what counts as latest follows the order of the writes and no clock. A restart
-from the same checkpoint keeps the run id, a fresh checkpoint starts a new run.
-One writer per table.
-
-A slice names the columns it sets (``_set``, a bit per value column). The current
-value of a column is that of the last slice that set it, so an append of some
-columns leaves the others as they were. Reading is one aggregate of ``max_by`` per
-column, partial in every task, so a key updated in every batch is no hot spot.
-``lookup`` semi-joins the slices with the wanted keys *before* the aggregation
-(Catalyst does not push a semi join below it), so only matching rows are shuffled.
+Layout: ``{path}/seq={n}/run={run}/epoch={epoch}/bucket={b}/part-*.parquet``. Each
+micro-batch of a streaming query is one slice. A replayed (run, epoch) overwrites its own
+slice; a new one gets the next sequence number after all slices there are, so what
+counts as latest follows the order of the writes and no clock. A number is claimed by
+creating a file, which succeeds for one writer only, so writers at the same time never
+share one; a process lists the slices once a table, not at every write. A restart from
+the same checkpoint keeps the run id, a fresh checkpoint starts a new run.
+
+A slice names the columns it sets (``_set``, a character per value column). The current
+value of a column is that of the last slice that set it, so an append of some columns
+leaves the others as they were. Reading is one aggregate of ``max_by`` per column,
+partial in every task, so a key updated in every batch is no hot spot.
+
+Within a slice rows lie in ``BUCKETS`` folders by a hash of their key. ``lookup`` joins
+the slices with the buckets of the wanted keys (at most ``BUCKETS`` rows, broadcast),
+which Spark turns into dynamic partition pruning: folders without a wanted key are not
+read. What is read is semi-joined with the keys *before* the aggregation (Catalyst does
+not push a semi join below it), so only matching rows are shuffled.
 """
 
 from __future__ import annotations
@@ -25,9 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import TableSpec
-from .folders import matching
+from .folders import claim, matching
 
 SET_COL = "_set"
+BUCKET_COL = "bucket"
+BUCKETS = 16
+
+#: slices this process knows of, by table: last sequence number, and that of each (run, epoch)
+_KNOWN: dict[str, tuple[int, dict[tuple[str, int], int]]] = {}
 
 
 def _q(c: str):
@@ -47,15 +57,24 @@ def dedupe(df: DataFrame, spec: TableSpec, rule: str = "max") -> DataFrame:
 
 def _slice_path(spark: SparkSession, path: str, run: str, epoch: int) -> str:
     """The slice of (run, epoch): its own if it was written before, else the next."""
-    last = 0
-    for found in matching(spark, f"{path}/seq=*/run=*/epoch=*"):
-        m = re.search(r"/seq=(\d+)/run=([^/]*)/epoch=(\d+)$", found)
-        if not m:
-            continue
-        if m[2] == run and int(m[3]) == epoch:
-            return found
-        last = max(last, int(m[1]))
-    return f"{path}/seq={last + 1}/run={run}/epoch={epoch}"
+    if path not in _KNOWN:
+        found = [re.search(r"/seq=(\d+)/run=([^/]*)/epoch=(\d+)$", p)
+                 for p in matching(spark, f"{path}/seq=*/run=*/epoch=*")]
+        own = {(m[2], int(m[3])): int(m[1]) for m in found if m}
+        _KNOWN[path] = (max(own.values(), default=0), own)
+    last, own = _KNOWN[path]
+    seq = own.get((run, epoch))
+    if seq is None:
+        seq = last + 1
+        while not claim(spark, f"{path}/_claims/{seq}"):
+            seq += 1
+        own[run, epoch] = seq
+        _KNOWN[path] = (seq, own)
+    return f"{path}/seq={seq}/run={run}/epoch={epoch}"
+
+
+def _bucket(spec: TableSpec):
+    return F.pmod(F.xxhash64(_q(spec.key)), F.lit(BUCKETS)).cast("int")
 
 
 def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str,
@@ -70,12 +89,13 @@ def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str,
     if not run_id or not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"an upsert needs the id of its run, got {run_id!r}")
     given = {c.lower() for c in df.columns}
-    mask = sum(1 << i for i, c in enumerate(spec.value_columns) if c.lower() in given)
+    mask = "".join("1" if c.lower() in given else "0" for c in spec.value_columns)
     out = dedupe(spec.conform(df, strict=strict), spec, dedupe_rule)
-    out = out.withColumn(SET_COL, F.lit(mask).cast("long")) \
+    out = out.withColumn(SET_COL, F.lit(mask)).withColumn(BUCKET_COL, _bucket(spec)) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
     target = _slice_path(df.sparkSession, path.rstrip("/"), run_id, int(epoch))
-    out.write.mode("overwrite").parquet(target)
+    # a task holds few buckets, so a slice has about as many files as buckets and tasks
+    out.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target)
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -84,10 +104,11 @@ def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
     schema = T.StructType(spec.schema.fields + [
-        T.StructField(SET_COL, T.LongType(), True),
+        T.StructField(SET_COL, T.StringType(), True),
         T.StructField("seq", T.LongType(), True),
         T.StructField("run", T.StringType(), True),
-        T.StructField("epoch", T.LongType(), True)])
+        T.StructField("epoch", T.LongType(), True),
+        T.StructField(BUCKET_COL, T.IntegerType(), True)])
     try:
         return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as e:
@@ -98,7 +119,7 @@ def read_slices(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame |
 
 def _latest(slices: DataFrame, spec: TableSpec) -> DataFrame:
     def order(i: int):
-        return F.when(F.col(SET_COL).bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.col("seq"))
+        return F.when(F.substring(SET_COL, i + 1, 1) == "1", F.col("seq"))
 
     return slices.groupBy(spec.key).agg(
         *[F.max_by(_q(c), order(i)).alias(c) for i, c in enumerate(spec.value_columns)])
@@ -116,7 +137,10 @@ def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame) ->
     if slices is None:
         return _empty(spark, spec)
     k = keys.select(_q(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
-    return _latest(slices.join(k, on=spec.key, how="left_semi"), spec)
+    # at most BUCKETS rows; the condition, true for all, tells the planner that they prune
+    touched = k.select(_bucket(spec).alias(BUCKET_COL)).where(F.col(BUCKET_COL) >= 0).distinct()
+    near = slices.join(F.broadcast(touched), BUCKET_COL, "left_semi")
+    return _latest(near.join(k, on=spec.key, how="left_semi"), spec)
 
 
 class KeyedHistory:

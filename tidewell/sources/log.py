@@ -26,10 +26,13 @@ MESSAGE_SCHEMA = T.StructType([f for f in envelope.ENVELOPE_SCHEMA.fields if f.n
 
 def publish(stream: DataFrame, target: str, checkpoint: str, columns: Sequence[str] | None = None,
             fmt: str = "json", key: str | None = None, trigger="available_now",
-            format: str = "files", options: Mapping[str, str] | None = None) -> StreamingQuery:
+            format: str = "files", options: Mapping[str, str] | None = None,
+            name: str | None = None) -> StreamingQuery:
     """Encode each row of ``stream`` and publish it to the log."""
     w = envelope.encode(stream, columns, fmt=fmt, key=key).writeStream \
         .option("checkpointLocation", checkpoint).trigger(**trigger_args(trigger)).options(**dict(options or {}))
+    if name:
+        w = w.queryName(name)
     if format == "kafka":
         return w.format("kafka").option("topic", target).start()
     if format == "files":
