@@ -354,61 +354,37 @@ def test_a_link_among_texts_just_below_the_threshold_is_found(spark):
     assert got == {i: 171 if i == 333 else i for i in range(400)}
 
 
-def test_exact_pairs_hold_every_link(spark):
+@pytest.mark.parametrize("members", [1024, 7])       # one block, and many
+def test_crowded_buckets_lose_no_link(spark, monkeypatch, members):
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", members)
     r = np.random.default_rng(3)
-    base, rows = np.sort(r.integers(0, 2**64, 70, dtype=np.uint64)), []
-    for k in range(60):
-        h = np.union1d(r.choice(base, r.integers(50, 70), replace=False), r.integers(0, 2**64, r.integers(0, 9), dtype=np.uint64))
-        rows.append((k, h))
-    sets = spark.createDataFrame([(k, bytearray(h.tobytes())) for k, h in rows], "rep long, set binary")
-    placed = spark.createDataFrame([(1, k, len(h), k) for k, h in rows], "bucket long, rep long, n long, comp long")
-    want = {(i, j) for i, a in rows for j, b in rows
-            if i < j and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))}
-    got = {(x.u, x.v) for x in minhash.exact_pairs(placed, sets, 80).collect()}
-    assert want and want <= got
-    assert {(x.u, x.v) for x in minhash.confirm(minhash.exact_pairs(placed, sets, 80), sets, 80)
-            .selectExpr("least(u, v) as u", "greatest(u, v) as v").collect()} == want
-
-
-def test_bands_miss_few_pairs_at_the_threshold():
-    spec = minhash.MinHashSpec()
-    assert (1 - (spec.similarity_pct / 100) ** spec.rows) ** spec.bands < 1e-5
-
-
-def test_values_beside_other_numbers_are_found(spark):
-    card, iban, phone = "4111 1111 1111 1111", "BE68 5390 0754 7034", "555-123-4567"
-    at = "AT61 1904 3002 3457 3201"
-    rows = list(enumerate([card, card + " 12/27", card + " 123", "12 " + card, card + " 2027", iban, iban + " EUR",
-                           at, at + " ABC", phone, phone + " 2024", card + " USD", iban + " TOTAL", "555 123 4567 2024",
-                           "4111-1111-1111-1111-123", "1234 5678 9012 3456 123", phone + " 555-987-6543"]))
-    out = pii.pseudonymise(docs(spark, rows), count="n_replaced").collect()
-    got, n = {r.doc_id: r.text for r in out}, {r.doc_id: r.n_replaced for r in out}
-    assert got[0] != card and got[5] != iban and got[7] != at and got[9] != phone
-    assert got[1] == got[0] + " 12/27" and got[2] == got[0] + " 123" and got[3] == "12 " + got[0]
-    assert got[4] == got[0] + " 2027" and got[11] == got[0] + " USD"
-    assert got[6] == got[5] + " EUR" and got[12] == got[5] + " TOTAL" and got[8] == got[7] + " ABC"
-    assert got[10] == got[9] + " 2024" and got[13] == got[9].replace("-", " ") + " 2024"
-    assert got[14] == got[0].replace(" ", "-") + "-123" and got[15] == rows[15][1]
-    assert got[16].startswith(got[9] + " ") and "987-6543" not in got[16]
-    assert n == {i: 0 if i == 15 else 2 if i == 16 else 1 for i in range(len(rows))}
-
-
-# -- the pipeline's near-dedup stage ------------------------------------------------------
-
-def test_stage_drops_by_five_words(spark):
-    from tidewell.llm import stages
     rows = []
-    for g in range(4):
-        base = words(500 + g, 100).split()
-        for k in range(3):
-            w = list(base)
-            # one: near at five words; five, one in twenty: near at two words only
-            for j in ([], [50], range(5, 100, 20))[k]:
-                w[j] = f"zz{g}{k}"
-            rows.append((10 * g + k, " ".join(w)))
-    grams = {i: {tuple(t.split()[j:j + 5]) for j in range(96)} for i, t in rows}
-    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
-    want = [i for i, _ in rows if not any(j < i and near(grams[i], grams[j]) for j, _ in rows)]
-    assert want == [10 * g + k for g in range(4) for k in (0, 2)]
-    out = stages.one_of_each_group(spark, docs(spark, rows), "")
-    assert sorted(r.doc_id for r in out.collect()) == want
+    for group in range(3):
+        base = np.sort(r.integers(0, 2**64, 70, dtype=np.uint64))
+        for k in range(30 * group, 30 * group + 30):
+            h = np.union1d(r.choice(base, r.integers(50, 70), replace=False), r.integers(0, 2**64, r.integers(0, 9), dtype=np.uint64))
+            rows.append((k, h))
+    sets = spark.createDataFrame([(k, bytearray(h.tobytes())) for k, h in rows], "rep long, set binary")
+    # two buckets that overlap in a third of the members; one component of two to begin with
+    comp = lambda k: 4 if k == 5 else k
+    held = {1: range(0, 60), 2: range(40, 90)}
+    placed = spark.createDataFrame([(b, k, len(h), comp(k)) for k, h in rows for b in held if k in held[b]],
+                                   "bucket long, rep long, n long, comp long")
+    links = [(i, j) for i, a in rows for j, b in rows if i < j and any(i in m and j in m for m in held.values())
+             and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b))]
+    got = minhash.crowded_links(placed, sets, 80).collect()
+    assert links and {(x.u, x.v) for x in got} <= set(links)
+
+    def groups(pairs):
+        parent = {k: k for k, _ in rows}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+        for i, j in [(4, 5), *pairs]:
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+        return [find(k) for k, _ in rows]
+
+    assert groups((x.u, x.v) for x in got) == groups(links)
+    assert minhash.crowded_links(placed.limit(0), sets, 80).count() == 0

@@ -11,10 +11,9 @@
 4. Candidates in different components are confirmed on the full sets:
    100 * intersection >= 100 * threshold * union. Found links are contracted to
    components; buckets that still hold several get one more centre.
-5. What buckets with several components then hold is joined exactly: a pair that
-   reaches the similarity shares a word set's prefix (rarest shingles first), has
-   sizes within it and enough shingles left behind the first shared one. So no
-   pair that shares a bucket is lost, whatever centres it met.
+5. Buckets that then still hold several components are compared in full, by tasks that
+   take two blocks of members each and return forests of links. So no pair that
+   shares a bucket is lost, whatever centres it met.
 
 At similarity 0.8 a pair shares a bucket with probability 1 - (1 - 0.8^rows)^bands,
 0.999993 for 5 x 30. Links already implied by a component are not compared.
@@ -29,6 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +52,9 @@ class MinHashSpec:
 
 EMPTY = np.uint64(2**64 - 1)
 STAR_TURNS = 2
-CELL_BITS = 18
-BLOCK = 512
+#: what a block of a crowded bucket holds, about
+BLOCK_MEMBERS = 1024
+BLOCK_SHINGLES = 1 << 20
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, ph: tb.PolyHash,
@@ -207,72 +208,49 @@ def star_pairs(members: DataFrame, turn: int, similarity_pct: int) -> DataFrame:
         .select(F.col("c.rep").alias("u"), F.col("rep").alias("v"))
 
 
-def rarity(sets: DataFrame) -> np.ndarray:
-    """How many of the sets' shingles fall into each of ``2**CELL_BITS`` cells (a
-    sketch of fixed size; it orders shingles, and any order gives the same links)."""
-    def run(batches):
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                h = np.frombuffer(batch.column(0)[i].as_buffer(), np.uint64)
-                np.add.at(total, (h >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
-
-    got = sets.select("set").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(1 << CELL_BITS, np.int64)
-    total[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    return total
-
-
-def prefixes(sets: DataFrame, similarity_pct: int) -> DataFrame:
-    """token, rep, comp, n, i (its place in the set), low (whether it is one of those
-    that must meet a set of at least this size) for the prefix of every set."""
-    total, pct = rarity(sets), similarity_pct
-
-    def run(batches):
-        for batch in batches:
-            found = []
-            for i in range(batch.num_rows):
-                h = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint64)
-                n = len(h)
-                h = h[np.lexsort((h, total[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]))]
-                found.append((h[:n + 1 - -(-pct * n // 100)].view(np.int64), n, n + 1 - -(-2 * pct * n // (100 + pct))))
-            k = np.array([len(t) for t, _, _ in found], np.int64)
-            place = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            row = pa.array(np.repeat(np.arange(len(k)), k))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([t for t, _, _ in found]) if found else np.zeros(0, np.int64)),
-                 batch.column(0).take(row), batch.column(1).take(row),
-                 pa.array(np.repeat(np.array([n for _, n, _ in found], np.int64), k)), pa.array(place),
-                 pa.array(place < np.repeat(np.array([q for _, _, q in found], np.int64), k))],
-                names=["token", "rep", "comp", "n", "i", "low"])
-
-    return sets.select("rep", "comp", "set") \
-        .mapInArrow(run, "token long, rep long, comp long, n long, i long, low boolean")
-
-
-def exact_pairs(placed: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFrame:
-    """Candidates (u, v) among all members of buckets that hold several components:
-    every pair of different components that reaches the similarity is one."""
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .filter("lo != hi").select("bucket")
-    left = placed.join(mixed, "bucket", "left_semi").select("rep", "comp").distinct()
-    rows = cut(prefixes(cut(sets.join(left, "rep")), similarity_pct))
-    # a shingle's holders are dealt to blocks, so a common one is many keys
-    held = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k")) \
-        .filter("lo != hi").select("token", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(held, "token")
-    a = rows.filter("low").select("token", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"),
-                                  *[F.col(c).alias(f"{c}_a") for c in ("rep", "comp", "n", "i")])
-    b = rows.select("token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-                    *[F.col(c).alias(f"{c}_b") for c in ("rep", "comp", "n", "i")])
-    met = a.join(b, ["token", "block"]).filter("comp_a != comp_b") \
-        .filter("n_a < n_b or (n_a = n_b and rep_a < rep_b)") \
-        .filter(100 * F.col("n_a") >= similarity_pct * F.col("n_b")) \
-        .filter((100 + similarity_pct) * F.least(F.expr("n_a - i_a"), F.expr("n_b - i_b"))
-                >= similarity_pct * F.expr("n_a + n_b"))
-    return met.select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v")).distinct()
+def crowded_links(placed: DataFrame, sets: DataFrame, similarity_pct: int) -> DataFrame:
+    """Links (u, v) among all members of buckets that hold several components: every pair
+    of different components that shares a bucket is compared.
+
+    A bucket's members are dealt to blocks of a bounded number of members and shingles; a
+    task compares a pair of blocks on the full sets, unites what links and returns a
+    forest of links, so rows out stay below the members whatever a bucket holds."""
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"),
+                                         F.sum("n").alias("shingles")).filter("lo != hi") \
+        .select("bucket", F.greatest(F.ceil(F.col("k") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+                .cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    met = placed.join(mixed, "bucket").withColumn("own", own) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                "own", "rep", "comp")
+
+    def compare(pdf):
+        pdf = pdf.sort_values("rep")
+        rep, comp, own = (pdf[c].to_numpy() for c in ("rep", "comp", "own"))
+        held = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+        size = np.array([len(x) for x in held])
+        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+        shingle, local = np.unique(np.concatenate(held), return_inverse=True)
+        _, tree = np.unique(comp, return_inverse=True)
+        parent = np.arange(tree.max() + 1)
+        one_block = own.min() == own.max()
+        seen, found = np.zeros(len(shingle), bool), []
+        for x in np.flatnonzero(own == own.min()).tolist():
+            mine = local[begin[x]:begin[x] + size[x]]
+            seen[mine] = True
+            same = np.add.reduceat(seen[local], begin, dtype=np.int64)
+            seen[mine] = False
+            near = (100 * same >= similarity_pct * (size + size[x] - same)) & (parent[tree] != parent[tree[x]])
+            near[:x + 1] &= not one_block
+            for y in np.flatnonzero(near & ((own != own[x]) | one_block)).tolist():
+                a, b = parent[tree[x]], parent[tree[y]]
+                if a != b:
+                    parent[parent == max(a, b)] = min(a, b)
+                    found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return met.join(sets, "rep").groupBy("bucket", "i", "j").applyInPandas(compare, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataFrame:
@@ -300,21 +278,21 @@ def near_duplicates(docs: DataFrame, spec: MinHashSpec = MinHashSpec()) -> DataF
     for turn in range(STAR_TURNS + 1):
         placed = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left") \
             .withColumn("comp", F.coalesce("component", "rep")).select("bucket", "rep", "n", "comp")
+        forest = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
         if turn == STAR_TURNS:
-            pairs = exact_pairs(placed, sets, spec.similarity_pct)
-        else:
-            pairs = star_pairs(placed, turn, spec.similarity_pct)
+            links = cut(crowded_links(placed, sets, spec.similarity_pct))
+            comp = components(links.unionByName(forest), n_members)
+            break
+        pairs = star_pairs(placed, turn, spec.similarity_pct)
         if turn == 0:
             # most members join their group through one centre; the others' turn comes next
             pairs = pairs.groupBy("v").agg(F.min_by("u", F.xxhash64("u", F.lit(0))).alias("u"))
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        # only the stars bound how many there are
-        pairs = cut(pairs, n_members if turn < STAR_TURNS else None)
-        links = cut(confirm(pairs, sets, spec.similarity_pct), pairs.count(), 20_000)
+        pairs = cut(pairs, n_members)
+        links = cut(confirm(pairs, sets, spec.similarity_pct))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        forest = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
         comp = components(links.unionByName(forest), n_members)
 
     ids = classes.select("d1", "d2", "n_shingles", "rep") \
