@@ -4,11 +4,17 @@ A ``ModelBundle`` is a fitted Spark ML ``PipelineModel`` plus, for rank labels,
 the frequency-index table that maps ranks back to label values. Both are saved
 under one directory (pipeline directory + parquet table), so serving needs no
 driver-side label list.
+
+A save writes a new version, ``{path}/v={n}/``, and marks it as committed when all of it is
+there; loading takes the last committed one. So a save that dies at any step leaves the
+model before it in place, readers never see half of one, and a loaded model may be
+saved over its own folder.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,8 +25,11 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import folders
 from . import features as feat
 
+COMMITTED = "_COMMITTED"
+
 
 def linear(features: str = "features", label: str = "label", max_iter: int = 10,
            reg_param: float = 0.0, elastic_net: float = 0.0) -> LinearRegression:
@@ -51,7 +60,6 @@ class ModelBundle:
     index: DataFrame | None = None     # value, count, index (rank mode)
     n_labels: int | None = None
     prediction: str = "prediction"
-    source: str | None = None          # where a loaded bundle still reads its index from
 
     def score(self, df: DataFrame, out: str = "predicted") -> DataFrame:
         """Score and map the prediction back to label space as ``out`` (double)."""
@@ -62,31 +70,45 @@ class ModelBundle:
             return scored.withColumn(out, F.col("__label_text").try_cast("double")).drop("__label_text")
         return scored.withColumn(out, F.col(self.prediction))
 
-    def save(self, path: str) -> None:
-        """Persist the bundle (S10): overwrite semantics, like ``write().overwrite()``.
-        A loaded bundle does not go over its own folder, which it still reads."""
-        if self.source and self.source.rstrip("/") == path.rstrip("/"):
-            raise ValueError(f"{path} is where this bundle was loaded from; save it to another folder")
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        spark = self.pipeline_spark()
+    def save(self, path: str, keep: int | None = None) -> str:
+        """Persist the bundle as the next version of ``path`` (S10) and return its folder.
+        ``keep`` removes committed versions but the last so many; by default none, as
+        a loaded bundle still reads the index of the version it came from."""
+        spark, path = self.pipeline_spark(), path.rstrip("/")
+        n = max(_versions(spark, path, "v=*"), default=0) + 1
+        while not folders.claim(spark, f"{path}/_claims/{n}"):      # another save's
+            n += 1
+        target = f"{path}/v={n}"
+        self.pipeline.write().save(f"{target}/pipeline")
+        if self.index is not None:
+            self.index.write.parquet(f"{target}/index")
         meta = {"label": self.label, "label_mode": self.label_mode, "n_labels": self.n_labels,
                 "prediction": self.prediction}
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
-            .write.mode("overwrite").json(f"{path}/meta")
-        if self.index is not None:
-            self.index.write.mode("overwrite").parquet(f"{path}/index")
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.json(f"{target}/meta")
+        folders.claim(spark, f"{target}/{COMMITTED}")
+        for old in sorted(_versions(spark, path, f"v=*/{COMMITTED}"))[:-keep] if keep else ():
+            folders.remove(spark, f"{path}/v={old}")
+        return target
 
     def pipeline_spark(self) -> SparkSession:
         return SparkSession.getActiveSession()
 
 
+def _versions(spark: SparkSession, path: str, pattern: str) -> list[int]:
+    return [int(m[1]) for p in folders.matching(spark, f"{path}/{pattern}") if (m := re.search(r"/v=(\d+)(/|$)", p))]
+
+
 def load(spark: SparkSession, path: str) -> ModelBundle:
-    """Load a saved bundle."""
-    pipeline = PipelineModel.load(f"{path}/pipeline")
-    meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-    index = spark.read.parquet(f"{path}/index") if meta["label_mode"] == "rank" else None
-    return ModelBundle(pipeline, meta["label"], meta["label_mode"], index, meta["n_labels"],
-                       meta["prediction"], source=path)
+    """Load the last committed version of a saved bundle."""
+    path = path.rstrip("/")
+    committed = _versions(spark, path, f"v=*/{COMMITTED}")
+    if not committed:
+        raise FileNotFoundError(f"no committed model in {path}")
+    at = f"{path}/v={max(committed)}"
+    pipeline = PipelineModel.load(f"{at}/pipeline")
+    meta = json.loads(spark.read.json(f"{at}/meta").first()["meta"])
+    index = spark.read.parquet(f"{at}/index") if meta["label_mode"] == "rank" else None
+    return ModelBundle(pipeline, meta["label"], meta["label_mode"], index, meta["n_labels"], meta["prediction"])
 
 
 def label_frame(df: DataFrame, label: str, label_mode: str = "value",

@@ -7,7 +7,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, features as feat, models
+from ..operators.quantiles import QuantileFill
 from ..operators.rank_stage import RankLabel, Unrank
+from ..operators.wide_features import WideFeatures, vector_parts
 from . import flows
 from ..session import scratch
 from ..sources.tables import table
@@ -98,6 +100,36 @@ def impute_mean(spark, sf_dir):
     return out.select("c_custkey", F.round(outs[0], 6).alias("acctbal_imputed"))
 
 
+@query("impute_median", ("M04",), sql="""
+with t as (select l_orderkey, l_linenumber, case when l_linenumber <> 3 then l_quantity end as quantity,
+  case when l_linenumber <> 5 then l_extendedprice end as price from lineitem)
+select l_orderkey, l_linenumber, coalesce(quantity, (select quantile_disc(quantity, 0.5) from t)) as quantity,
+  coalesce(price, (select quantile_disc(price, 0.5) from t)) as price from t""")
+def impute_median(spark, sf_dir):
+    """The exact median as a stage: one column of many ties, one of nearly none."""
+    df = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("q"),
+        F.when(F.col("l_linenumber") != 5, F.col("l_extendedprice")).alias("p"))
+    stage = QuantileFill(inputCols=["q", "p"], outputCols=["quantity", "price"])
+    return models.fit([stage], df).transform(df).select("l_orderkey", "l_linenumber", "quantity", "price")
+
+
+@query("wide_categories", ("M01", "M02", "M03"), sql=f"""
+with t as (select * from customer where c_custkey % 3 <> 0),
+n as {_rank_sql('c_name', 't')}, s as {_rank_sql('c_mktsegment', 't')}, k as (select count(*) as n from n)
+select c.c_custkey, cast(coalesce(n.idx, k.n) as integer) as name_slot,
+  cast(k.n + 1 + coalesce(s.idx, (select count(*) from s)) as integer) as segment_slot, c.c_acctbal as number,
+  cast(k.n + 1 + (select count(*) from s) + 1 + 1 as integer) as width
+from customer c cross join k left join n on n.value = c.c_name left join s on s.value = c.c_mktsegment""")
+def wide_categories(spark, sf_dir):
+    """One-hot slots by index tables and joins; every third customer's name is unseen."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    model = WideFeatures(inputCols=["c_name", "c_mktsegment"], numericCols=["c_acctbal"]).fit(c.where("c_custkey % 3 != 0"))
+    v = vector_parts(F.col("features"))
+    return model.transform(c).select("c_custkey", v["indices"][0].alias("name_slot"), v["indices"][1].alias("segment_slot"),
+                                     v["values"][2].alias("number"), v["size"].alias("width"))
+
+
 @query("constant_fill_stage", ("M04", "G4"), sql="""
 select c_custkey, case when c_mktsegment = 'HOUSEHOLD' then 60.0 else c_acctbal end as acctbal_filled
 from customer""")
