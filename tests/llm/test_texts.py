@@ -267,6 +267,36 @@ def test_license_scan_matches_sql(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def test_wrapped_notices_and_variants_are_told_apart(spark):
+    filler = words(5, 90)
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided " \
+          "that the following\n# conditions are met:"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy"
+    texts = {bsd: "bsd", mpl: "mpl", f"{filler}\n{bsd}\n{filler}": "bsd", f"{filler} {mpl} {filler}": "mpl",
+             "GNU Lesser General Public License": "gpl", "with or without fee": "",
+             "Permission to use, copy, modify, and/or distribute this software for\nany purpose with or without fee is "
+             "hereby\ngranted": "isc",
+             "This library is free software; you can redistribute it and/or modify\nit under the terms of the GNU Lesser "
+             "General Public\nLicense as published by the Free Software Foundation": "gpl,lgpl",
+             "Licensed under CC BY 4.0 and parts licensed under CC BY-SA 4.0": "cc-by,cc-by-sa"}
+    for name in ("BY", "BY-NC", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        texts[f"{filler}\nLicensed under CC {name} 4.0."] = f"cc-{name.lower()}"
+    texts["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License."] = "cc-by-sa"
+    texts["This work is licensed under a Creative Commons Attribution 4.0 International License."] = "cc-by"
+    got = {r.doc_id: r.labels for r in licenses.scan(docs(spark, list(enumerate(texts)))).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
+@pytest.mark.parametrize("before", [0, 1, 20, 31, 32, 33, 50, 63, 64, 65, 95])
+def test_a_notice_lies_whole_in_some_window(spark, before):
+    """Wherever the longest notices begin, in the text or in its windows."""
+    notices = [max(n for _, n in lines) for lines in licenses.TEMPLATES.values()]
+    rows = [(i, f"{words(before + i, before)}\n{n}\n{words(i, 70)}") for i, n in enumerate(notices)]
+    got = {r.doc_id: r for r in licenses.scan(docs(spark, rows)).collect()}
+    for i, label in enumerate(licenses.TEMPLATES):
+        assert label in got[i].labels.split(",") and got[i].score == 1.0
+
+
 def test_containment_join_finds_every_match():
     v = licenses.Vocabulary(licenses.LicenseSpec())
     r = random.Random(2)

@@ -1,7 +1,10 @@
 """License scan: base phrases and an exact set-similarity join with templates.
 
-A text block is a line. A template is a set of words; a block matches when it
-holds at least ``containment_pct`` of them. Words are ordered by how often the
+A text block is a window of ``window`` consecutive words; windows start every half of
+that, across line ends, so a notice of up to half a window lies whole in one, however
+it is wrapped. A template is a notice: its set of words and a run of words that tells
+it from its relatives (``by nc 4`` from ``by 4``). A block matches when it holds at
+least ``containment_pct`` of the words, and the run. Words are ordered by how often the
 whole corpus has them, rarest first (one counting pass over all documents, for
 the template words only). With m words and a required overlap a:
 
@@ -10,14 +13,14 @@ the template words only). With m words and a required overlap a:
 * positional filter: from the first shared word on, at position i of the
   template and j of the block's v ordered words, min(m - i, v - j) >= a.
 
-Blocks passing all three are counted in full, so no match is lost and none below
+Blocks passing all three are counted in full and must hold the template's run, so no match is lost and none below
 the threshold is reported. The template side is a fixed list (its size is the
 bound of what tasks carry); each block is decided where it is read, without a
 shuffle of texts.
 
 Defined cases: null or empty text has no words, null positions, empty labels and
-score 0; rows with null or repeated doc_id are rows of their own; extra columns
-are ignored.
+score 0; very long texts are windows like others; rows with null or repeated doc_id
+are rows of their own; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,17 +41,62 @@ BASE_PHRASES = {
     "general public license": "gpl",
 }
 
-#: fixed values: label -> notice lines, as licensors ask to print them
+#: fixed values: label -> (run of words that tells the notice apart, notice), as licensors print them
 TEMPLATES = {
-    "apache": ("Licensed under the Apache License, Version 2.0",),
-    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted",),
-    "cc-by": ("Licensed under CC BY 4.0",),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0",),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0",),
-    "gpl": ("This work is licensed under the GNU General Public License, version 3",),
-    "mit": ("Released under the MIT License",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",),
+    "agpl": (
+        ("affero general public license", "This program is free software: you can redistribute it and/or modify it under "
+         "the terms of the GNU Affero General Public License as published by the Free Software Foundation"),),
+    "apache": (
+        ("apache license", "Licensed under the Apache License, Version 2.0"),
+        ("apache license", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
+         "except in compliance with the License"),),
+    "bsd": (
+        ("redistribution and use", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+        ("redistribution and use", "Redistribution and use in source and binary forms, with or without modification, are "
+         "permitted provided that the following conditions are met"),),
+    "cc-by": (
+        ("cc by 4", "Licensed under CC BY 4.0"),
+        ("creative commons attribution 4", "This work is licensed under a Creative Commons Attribution 4.0 International License"),),
+    "cc-by-nc": (
+        ("cc by nc 4", "Licensed under CC BY-NC 4.0"),
+        ("creative commons attribution noncommercial 4", "This work is licensed under a Creative Commons "
+         "Attribution-NonCommercial 4.0 International License"),),
+    "cc-by-nc-nd": (
+        ("cc by nc nd 4", "Licensed under CC BY-NC-ND 4.0"),
+        ("creative commons attribution noncommercial noderivatives 4", "This work is licensed under a Creative Commons "
+         "Attribution-NonCommercial-NoDerivatives 4.0 International License"),),
+    "cc-by-nc-sa": (
+        ("cc by nc sa 4", "Licensed under CC BY-NC-SA 4.0"),
+        ("creative commons attribution noncommercial sharealike 4", "This work is licensed under a Creative Commons "
+         "Attribution-NonCommercial-ShareAlike 4.0 International License"),),
+    "cc-by-nd": (
+        ("cc by nd 4", "Licensed under CC BY-ND 4.0"),
+        ("creative commons attribution noderivatives 4", "This work is licensed under a Creative Commons "
+         "Attribution-NoDerivatives 4.0 International License"),),
+    "cc-by-sa": (
+        ("cc by sa 4", "Licensed under CC BY-SA 4.0"),
+        ("creative commons attribution sharealike 4", "This work is licensed under a Creative Commons "
+         "Attribution-ShareAlike 4.0 International License"),),
+    "gpl": (
+        ("public license", "This work is licensed under the GNU General Public License, version 3"),
+        ("gnu general public license", "This program is free software: you can redistribute it and/or modify it under the "
+         "terms of the GNU General Public License as published by the Free Software Foundation"),),
+    "isc": (
+        ("for any purpose with or without fee", "Permission to use, copy, modify, and/or distribute this software for any "
+         "purpose with or without fee is hereby granted"),),
+    "lgpl": (
+        ("lesser general public license", "This library is free software; you can redistribute it and/or modify it under "
+         "the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),),
+    "mit": (
+        ("mit license", "Released under the MIT License"),
+        ("permission is hereby granted", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+         "this software"),
+        ("permission is hereby granted", "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+         "this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),),
+    "mpl": (
+        ("mozilla public license", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),),
+    "unlicense": (
+        ("unencumbered software", "This is free and unencumbered software released into the public domain"),),
 }
 
 
@@ -62,6 +110,7 @@ def words_of(text: str) -> list[bytes]:
 @dataclass(frozen=True)
 class LicenseSpec:
     containment_pct: int = 80
+    window: int = 64
     templates: dict = field(default_factory=lambda: TEMPLATES)
     phrases: dict = field(default_factory=lambda: BASE_PHRASES)
 
@@ -71,10 +120,15 @@ class Vocabulary:
 
     def __init__(self, spec: LicenseSpec) -> None:
         self.ph = tb.PolyHash(83)
-        self.templates = [(label, sorted(set(words_of(line))))
-                          for label, lines in sorted(spec.templates.items()) for line in lines]
+        notices = [(label, words_of(run), words_of(line))
+                   for label, lines in sorted(spec.templates.items()) for run, line in lines]
+        if any(len(line) > spec.window // 2 for _, _, line in notices):
+            raise ValueError(f"a notice is longer than half a window of {spec.window} words")
+        self.templates = [(label, sorted(set(line))) for label, _, line in notices]
+        self.runs = [run for _, run, _ in notices]
         self.phrases = [(label, words_of(p)) for p, label in spec.phrases.items()]
-        self.words = sorted({w for _, t in self.templates for w in t} | {w for _, t in self.phrases for w in t})
+        self.words = sorted({w for _, t in self.templates for w in t} | {w for _, t in self.phrases for w in t}
+                            | {w for run in self.runs for w in run})
         text = np.frombuffer(b" ".join(self.words), np.uint8)
         s, e, _ = tb.word_bounds(text, np.array([0, len(text)]), tb.ALNUM_WORD)
         h = self.ph.ranges(self.ph.prefix(text), s, e)
@@ -176,7 +230,7 @@ def scan(docs: DataFrame, spec: LicenseSpec = LicenseSpec()) -> DataFrame:
         for batch in batches:
             cols = [[] for _ in range(7)]
             for lo, hi, data, offs in tb.column_slices(batch, 1):
-                for out, got in zip(cols, _scan_slice(data, offs, v, join, index)):
+                for out, got in zip(cols, _scan_slice(data, offs, v, join, index, spec.window)):
                     out.extend(got)
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays(
@@ -186,26 +240,32 @@ def scan(docs: DataFrame, spec: LicenseSpec = LicenseSpec()) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def _scan_slice(data, offs, v: Vocabulary, join: Join, index: dict[bytes, int]):
+def _runs_of(found: np.ndarray, rows: np.ndarray, words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
+    """Where these words stand one behind the other in one row."""
+    m = len(words)
+    if len(found) < m:
+        return np.zeros(0, np.int64)
+    hit = rows[:len(rows) - m + 1] == rows[m - 1:]
+    for i, w in enumerate(words):
+        hit &= found[i:len(found) - m + 1 + i] == index[w]
+    return np.flatnonzero(hit)
+
+
+def _windows(at: np.ndarray, rows: np.ndarray, start: np.ndarray, begin: np.ndarray, half: int) -> np.ndarray:
+    """The window that starts at each word's half."""
+    return begin[rows[at]] + (at - start[rows[at]]) // half
+
+
+def _scan_slice(data, offs, v: Vocabulary, join: Join, index: dict[bytes, int], window: int):
     n = len(offs) - 1
     low = tb.lower_ascii(data)
     s, e, rows = tb.word_bounds(low, offs, tb.ALNUM_WORD)
     found = v.find(low, s, e)
     start = tb.runs(rows, n)
     n_words = np.diff(start)
-    places, labels_at = [], []
-    for k, (_, words) in enumerate(v.phrases):
-        m = len(words)
-        if len(found) < m:
-            continue
-        hit = rows[:len(rows) - m + 1] == rows[m - 1:]
-        for i, w in enumerate(words):
-            hit &= found[i:len(found) - m + 1 + i] == index[w]
-        p = np.flatnonzero(hit)
-        places.append(p)
-        labels_at.append(np.full(len(p), k))
+    places = [_runs_of(found, rows, words, index) for _, words in v.phrases]
     p = np.concatenate(places) if places else np.zeros(0, np.int64)
-    k = np.concatenate(labels_at) if labels_at else np.zeros(0, np.int64)
+    k = np.repeat(np.arange(len(places)), [len(x) for x in places])
     row = rows[p]
     word = p - start[row]
     n_base = np.bincount(row, minlength=n)
@@ -216,18 +276,29 @@ def _scan_slice(data, offs, v: Vocabulary, join: Join, index: dict[bytes, int]):
     for r, i in zip(row.tolist(), k.tolist()):
         base.setdefault(r, set()).add(v.phrases[i][0])
 
-    # blocks are lines: a new one starts after every line feed and at every document
-    feeds = np.flatnonzero(low == 0x0A)
-    line = np.searchsorted(feeds, s) + rows
-    known = found >= 0
-    blocks, t, overlap = join.matches(line[known], join.rank[found[known]])
+    # a word lies in the window that starts at its half and in the one before, if there is one
+    half = window // 2
+    begin = np.concatenate([[0], np.cumsum(-(-n_words // half))])
+    known = np.flatnonzero(found >= 0)
+    blocks, ranks = _windows(known, rows, start, begin, half), join.rank[found[known]]
+    earlier = blocks > begin[rows[known]]
+    blocks, t, overlap = join.matches(np.concatenate([blocks, blocks[earlier] - 1]), np.concatenate([ranks, ranks[earlier]]))
+    if len(blocks):
+        holds = []
+        for i in np.unique(t).tolist():
+            at = _runs_of(found, rows, v.runs[i], index)
+            own = _windows(at, rows, start, begin, half)
+            # in the window before, the run must end before that window does
+            ends = (at - start[rows[at]]) % half + len(v.runs[i]) <= half
+            also = own[ends & (own > begin[rows[at]])] - 1
+            holds.append(np.concatenate([own, also]) * len(v.runs) + i)
+        good = np.isin(blocks * len(v.runs) + t, np.concatenate(holds))
+        blocks, t, overlap = blocks[good], t[good], overlap[good]
     extra: dict[int, set] = {}
     score = np.zeros(n)
-    if len(blocks):
-        firsts = np.searchsorted(line, blocks)  # lines ascend with words
-        for r, i, c in zip(rows[firsts].tolist(), t.tolist(), overlap.tolist()):
-            extra.setdefault(r, set()).add(v.templates[i][0])
-            score[r] = max(score[r], c / join.size[i])
+    for r, i, c in zip((np.searchsorted(begin, blocks, side="right") - 1).tolist(), t.tolist(), overlap.tolist()):
+        extra.setdefault(r, set()).add(v.templates[i][0])
+        score[r] = max(score[r], c / join.size[i])
     score[n_base > 0] = 1.0
     has = n_base > 0
     return (n_words.tolist(), n_base.tolist(),
@@ -239,12 +310,12 @@ def _scan_slice(data, offs, v: Vocabulary, join: Join, index: dict[bytes, int]):
 
 
 def oracle_sql(spec: LicenseSpec = LicenseSpec()) -> str:
-    """The scan in DuckDB SQL: plain containment of every line, without filters."""
+    """The scan in DuckDB SQL: plain containment in every window, without filters."""
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     v = Vocabulary(spec)
-    rows = ", ".join("('{}', [{}])".format(label, ", ".join(f"'{w.decode()}'" for w in words))
-                     for label, words in v.templates)
+    listed = lambda words: "[{}]".format(", ".join(f"'{w.decode()}'" for w in words))
+    rows = ", ".join(f"('{label}', {listed(words)}, {listed(run)})" for (label, words), run in zip(v.templates, v.runs))
     phrases = ", ".join("('{}', [{}])".format(label, ", ".join(f"'{w.decode()}'" for w in words))
                         for label, words in v.phrases)
     return f"""
@@ -256,11 +327,12 @@ places as (select rid, label, unnest(list_filter(range(1, len(w) - len(p) + 2),
            where len(w) >= len(p)),
 base as (select rid, count(*) as n, min(place) as lo, max(place) as hi,
            string_agg(distinct label, ',' order by label) as l from places group by rid),
-templates(label, p) as (values {rows}),
-lines as (select rid, list_distinct(regexp_extract_all(l, '{word}')) as w
-          from (select rid, unnest(string_split(t, chr(10))) as l from d)),
-hits as (select rid, label, len(list_intersect(w, p)) as c, len(p) as m from lines, templates
-         where len(w) > 0 and 100 * len(list_intersect(w, p)) >= {spec.containment_pct} * len(p)),
+templates(label, p, run) as (values {rows}),
+windows as (select rid, w[i + 1:i + {spec.window}] as w
+            from (select rid, w, unnest(range(0, len(w), {spec.window // 2})) as i from words)),
+hits as (select rid, label, len(list_intersect(list_distinct(w), p)) as c, len(p) as m from windows, templates
+         where 100 * len(list_intersect(list_distinct(w), p)) >= {spec.containment_pct} * len(p)
+           and len(list_filter(range(1, len(w) - len(run) + 2), lambda i: w[i:i + len(run) - 1] = run)) > 0),
 best as (select rid, max(c / m) as score from hits group by rid),
 every as (select rid, string_agg(distinct label, ',' order by label) as l
           from (select rid, label from hits union all select rid, label from places) group by rid)
