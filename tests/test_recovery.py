@@ -112,6 +112,18 @@ def test_rows_set_aside_count_once_however_often_replayed(spark, tmp):
     assert step.set_aside == 2 and spark.read.parquet(f"{out}_quarantine").count() == 2
 
 
+def test_paths_take_the_scheme_of_the_default_file_system(spark, tmp):
+    assert folders.qualified(spark, "/a/b") == "file:/a/b"
+    assert folders.qualified(spark, "file:/x") == "file:/x"
+    mounted = "fs.viewfs.mounttable.shared.link./data"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(mounted, "file:/tmp")
+    try:
+        assert folders.qualified(spark, "viewfs://shared/data/x") == "viewfs://shared/data/x"
+    finally:
+        conf.unset(mounted)
+
+
 # -- keyed table ---------------------------------------------------------------------
 
 def test_a_table_of_eighty_columns_takes_partial_appends(spark, tmp):

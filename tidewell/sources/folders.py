@@ -47,3 +47,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system Spark resolves it against."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString()
