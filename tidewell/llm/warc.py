@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
+from ..sources.folders import qualified
 from .cut import cut
 from .zipstore import file_system, members, read_range
 
@@ -216,7 +217,8 @@ def read_records(runs: DataFrame, root: str = "") -> DataFrame:
 
 def round_trip(spark: SparkSession, pages: DataFrame, spec: WarcSpec = WarcSpec()) -> DataFrame:
     """Writes a record per page, reads the archives back: one row per page."""
-    folder = scratch(spark, "warc")
+    # a path without a scheme is Spark's default file system's, not each executor's own
+    folder = qualified(spark, scratch(spark, "warc"))
     root = ""
     if "://" in folder and not folder.startswith("file:"):
         scheme, _, rest = folder.partition("://")
