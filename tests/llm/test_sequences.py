@@ -105,6 +105,50 @@ def test_all_segmentations_of_a_short_text_come_out():
     assert all(o[3] == 1.0 for o in own) and len({o[0].tobytes() for o in own}) == len(own)
 
 
+def test_chances_equal_those_of_enumerated_segmentations():
+    """A second implementation: every way to cut a text into pieces, and its weight's share."""
+    import itertools
+    import math
+    spec = seg.SegmentSpec(k=3)
+    pieces = seg.load_pieces(spec.model)
+    weight = {p: -spec.temperature * math.log(r + spec.rank_shift + 1) for p, (_, r) in pieces.rank.items()}
+
+    def ways(unit):
+        if not unit:
+            return [()]
+        return [(unit[:n], *rest) for n in range(1, len(unit) + 1) if unit[:n] in weight for rest in ways(unit[n:])]
+
+    for text in ("the cat", "of", "tide well"):
+        units = [ways("▁" + w) for w in text.split()]
+        mass = {tuple(pieces.rank[p][0] for p in itertools.chain(*cut)): sum(weight[p] for p in itertools.chain(*cut))
+                for cut in itertools.product(*units)}
+        total = math.log(sum(math.exp(w) for w in mass.values()))
+        lattice = seg.Lattices(pieces, spec)
+        for key in range(40):
+            own = seg.sample_texts([text.encode()], np.array([key], np.uint64), lattice)[0]
+            cuts = [tuple(int(i) for i in x[0]) for x in own]
+            assert len(set(cuts)) == len(cuts) == min(spec.k, len(mass))
+            for ids, log_prob, gumbel, inclusion in own:
+                assert abs(log_prob - (mass[tuple(int(i) for i in ids)] - total)) < 1e-4
+                assert 0 < inclusion <= 1
+            assert [x[2] for x in own] == sorted((x[2] for x in own), reverse=True)
+
+
+def test_lattices_do_not_depend_on_how_they_are_built():
+    """Small runs, small slices and a cache that is emptied all the time give the same samples."""
+    texts = [words(i, 40).encode() for i in range(12)] + ["Ünïcode 漢字 \U0001f600".encode(), b""]
+    keys = np.arange(len(texts), dtype=np.uint64)
+
+    def drawn(spec, step):
+        lattice, out = seg.Lattices(seg.load_pieces(spec.model), spec), []
+        for at in range(0, len(texts), step):
+            out += seg.sample_texts(texts[at:at + step], keys[at:at + step], lattice)
+            assert lattice.held_bytes() > 0
+        return [[(x[0].tolist(), x[1], x[2], x[3]) for x in own] for own in out]
+
+    assert drawn(seg.SegmentSpec(), 14) == drawn(seg.SegmentSpec(build_chars=7, cached_bytes=0), 3)
+
+
 def test_segmentations_of_awkward_rows(spark):
     frame = docs(spark, edge_rows())
     got = seg.sample(frame)

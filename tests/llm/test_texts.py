@@ -240,6 +240,44 @@ def test_toxicity_without_labels_or_texts(spark):
     assert toxicity.classify(docs(spark, []), none).count() == 0
 
 
+def test_scores_equal_a_plain_version(spark):
+    """Grams hashed and counted one by one, in Python's integers."""
+    import math
+    spec = toxicity.ToxicitySpec(bits=10)
+    w = np.random.default_rng(4).normal(0, 0.02, 1 << spec.bits).astype(np.float32)
+    bias, mask = -0.3, 2**64 - 1
+
+    def plain(text):
+        chars = [ord(c) for c in re.sub("[\t-\r]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
+        z = bias
+        for n in spec.grams:
+            total = 0.0
+            for i in range(len(chars) - n + 1):
+                h = chars[i] * 0xBF58476D1CE4E5B9 & mask
+                for c in chars[i + 1:i + n]:
+                    h = ((h ^ (h >> 29)) * 0x94D049BB133111EB + c) & mask
+                total += float(w[((h ^ (h >> 32)) * 0x9E3779B97F4A7C15 & mask) >> (64 - spec.bits)])
+            z += 1000 * total / (len(chars) + spec.extra_chars)
+        return 1 / (1 + math.exp(-z))
+
+    rows = [(i, t) for i, t in enumerate(["", None, "ab", "abc", "Vile\tVILE vile\n", words(3, 200), "Ünïcode 漢字 \U0001f600 é" * 9])]
+    got = {r.doc_id: r.tox_score for r in toxicity.score(docs(spark, rows), (w.tobytes(), bias), spec).collect()}
+    for i, t in rows:
+        assert abs(got[i] - plain(t)) < 1e-6
+
+
+def test_fit_does_not_depend_on_its_blocks(monkeypatch):
+    r = np.random.default_rng(8)
+    spec = toxicity.ToxicitySpec(bits=8, steps=40, min_texts=1)
+    y = (np.arange(60) % 3 == 0).astype(float)
+    rows = [np.unique(r.integers(0, 256, 30)).astype(np.int32) for _ in y]
+    x = [(r.random(len(k)) + t).astype(np.float32) for k, t in zip(rows, y)]
+    whole = toxicity.fit_ratios(y, list(rows), list(x), spec)
+    monkeypatch.setattr(toxicity, "FIT_TEXTS", 7)
+    parts = toxicity.fit_ratios(y, list(rows), list(x), spec)
+    assert np.allclose(whole[0], parts[0], atol=1e-4) and abs(whole[1] - parts[1]) < 1e-4 and np.abs(whole[0]).max() > 0
+
+
 # -- licenses -----------------------------------------------------------------------
 
 def _license_rows():
