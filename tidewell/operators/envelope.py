@@ -66,7 +66,9 @@ def decode(df: DataFrame, schema: T.StructType, fmt: str = "json", value: str =
     """``value`` text -> typed columns of ``schema``, plus the ``keep`` columns
     (the message position by default) (P12 P13).
 
-    Malformed input never fails the job: a missing or non-numeric field is null.
+    Malformed input never fails the job: a missing or non-numeric field is null. The text
+    form writes a null as ``null`` without quoting, so a text field of that very word comes
+    back as null there; the JSON form tells the two apart.
     """
     keep = [c for c in keep if c in df.columns]
     v = _q(value).cast("string")
