@@ -90,6 +90,7 @@ def count_words(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for langs, words, count, _, _ in _words(batch):
                 yield pa.RecordBatch.from_arrays([langs, words, pa.array(count)], names=["lang", "word", "n"])
+        tb.give_back()
 
     return texts.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -133,6 +134,7 @@ def word_occurrences(texts: DataFrame, frequent: DataFrame, sent_groups: int) ->
                     group = pc.fill_null(group, -1).to_numpy(zero_copy_only=False)[pair]
                     at = group >= 0
                     yield _packed(next(ids), places[at], group[at])
+            tb.give_back()
 
         return texts.mapInArrow(run, _BLOCKS)
 
@@ -170,6 +172,7 @@ def count_neighbours(occurrences: DataFrame, n_groups: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(names[key // max(1, len(names))]), pa.array(names[key % max(1, len(names))]), pa.array(n)],
                     names=["g", "h", "n"])
+        tb.give_back()
 
     counted = occurrences.mapInArrow(run, "g long, h long, n long")
     if n_groups ** 2 >= 1 << 63:
@@ -199,6 +202,7 @@ def extend(occurrences: DataFrame, frequent: DataFrame, sent_groups: int) -> Dat
                     at = np.searchsorted(known, key)
                     hit = known[np.minimum(at, max(0, len(known) - 1))] == key if len(known) else np.zeros(len(key), bool)
                     yield _packed(block, places[hit], at[hit])
+            tb.give_back()
 
         return occurrences.mapInArrow(run, _BLOCKS)
 
