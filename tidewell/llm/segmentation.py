@@ -50,9 +50,10 @@ class SegmentSpec:
     rank_shift: float = 50.0
     byte_rank: float = 1e6
     seed: int = 11
-    cached_bytes: int = 64 << 20     # lattices a task keeps between slices of text
-    slice_bytes: int = 512 << 10
-    build_chars: int = 1 << 16       # characters whose lattices are built at once
+    # what a task holds; the samples do not depend on it
+    cached_bytes: int = 256 << 20    # lattices kept between slices of text
+    slice_bytes: int = 1 << 20
+    build_chars: int = 1 << 20       # characters whose lattices are built at once
 
 
 @dataclass(frozen=True)

@@ -37,6 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of every document."""
+    """Sampled segmentations of every document. The executors still hold what the stages
+    before have grown to, so a task keeps fewer lattices here than it does alone (more
+    CPU, the same samples)."""
     from . import segmentation
-    return segmentation.sample(docs)
+    return segmentation.sample(docs, segmentation.SegmentSpec(
+        cached_bytes=64 << 20, slice_bytes=512 << 10, build_chars=1 << 16))
