@@ -152,7 +152,8 @@ class Lattices:
         h, at, inverse = np.unique(self.ph.ranges(self.ph.prefix(data), begin, end),
                                    return_index=True, return_inverse=True)
         keys = h.tolist()
-        new = [k for k, x in enumerate(keys) if x not in self.unit]
+        first = list(map(self.unit.get, keys))
+        new = [k for k, x in enumerate(first) if x is None]
         if new:
             raw = data.tobytes()
             units = [raw[begin[i]:end[i]].decode().replace(" ", "▁") for i in at[new]]
@@ -160,7 +161,9 @@ class Lattices:
             cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(units)]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 self._build(units[lo:hi], [keys[k] for k in new[lo:hi]])
-        return np.fromiter(map(self.unit.__getitem__, keys), np.int64, len(keys))[inverse]
+            for k in new:
+                first[k] = self.unit[keys[k]]
+        return np.array(first, np.int64)[inverse]
 
     def _build(self, units: list[str], names: list[int]) -> None:
         text = "".join(units)
@@ -401,14 +404,25 @@ def sample_texts(texts: list[bytes], keys: np.ndarray, lattices: Lattices):
     return out
 
 
-def decode_ids(ids: np.ndarray, pieces: Pieces) -> bytes:
-    """Text of a segmentation: pieces joined, blanks restored, the leading one dropped."""
+def decode_all(samples: list[np.ndarray], pieces: Pieces):
+    """Texts of segmentations, one after the other: pieces joined, blanks restored, the
+    leading one dropped."""
+    if not samples:
+        return
+    ids = np.concatenate(samples)
     size = pieces.sizes[ids]
     stop = np.cumsum(size)
     total = int(stop[-1]) if len(stop) else 0
     at = np.arange(total) + np.repeat(pieces.places[ids] - (stop - size), size)
     raw = pieces.bytes[at].tobytes()
-    return raw[1:] if raw[:1] == b" " else raw
+    bounds = np.concatenate([[0], stop])[np.cumsum([0] + [len(x) for x in samples])].tolist()
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        yield raw[lo + 1:hi] if raw[lo:lo + 1] == b" " and hi > lo else raw[lo:hi]
+
+
+def decode_ids(ids: np.ndarray, pieces: Pieces) -> bytes:
+    """Text of one segmentation."""
+    return next(decode_all([ids], pieces))
 
 
 _SCHEMA = "doc_id long, sample int, n_pieces long, log_prob double, gumbel double, inclusion double, " \
@@ -433,12 +447,13 @@ def sample(docs: DataFrame, spec: SegmentSpec = SegmentSpec(), ids: bool = True)
                 raw = data.tobytes()
                 parts = [raw[a:b].replace(_MARK, b" ") for a, b in zip(offs[:-1], offs[1:])]
                 found = sample_texts(parts, keys[lo:hi], lattices)
+                decoded = decode_all([x[0] for own in found for x in own], sent.value)
                 rows = [[] for _ in range(9)]
                 for i, (plain, own) in enumerate(zip(parts, found)):
                     for k, (piece, log_prob, gumbel, inclusion) in enumerate(own):
                         packed = piece.astype("<u2").tobytes()
                         row = (i, k + 1, len(piece), log_prob, gumbel, inclusion,
-                               hashlib.sha256(packed).hexdigest(), decode_ids(piece, sent.value) == plain, packed)
+                               hashlib.sha256(packed).hexdigest(), next(decoded) == plain, packed)
                         for c, x in zip(rows, row):
                             c.append(x)
                 columns = [doc_ids.take(pa.array(np.array(rows[0]) + lo)), pa.array(rows[1], pa.int32()),
