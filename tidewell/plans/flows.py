@@ -193,6 +193,7 @@ class ScoreOnly:
     output: Mapping[str, str]        # table column -> frame column
     dedupe_rule: str = "max"
     writer: Callable[[DataFrame, int], None] | None = None
+    small: bool = False              # the intake bounds a batch's rows: a slice is one file
 
     def __call__(self, df: DataFrame, epoch: int) -> None:
         scored = self.bundle.score(df)
@@ -201,7 +202,7 @@ class ScoreOnly:
             self.writer(keyed.dedupe(self.spec.conform(out), self.spec, self.dedupe_rule), epoch)
             return
         keyed.upsert(out, self.table_path, self.spec, epoch,
-                     run_id=current_run_id(df.sparkSession), dedupe_rule=self.dedupe_rule)
+                     run_id=current_run_id(df.sparkSession), dedupe_rule=self.dedupe_rule, small=self.small)
 
 
 @dataclass

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..schemas import TableSpec, struct
-from ..session import scratch
+from ..session import parallelism, scratch
 from ..sources import files, keyed
-from ..sources.folders import is_folder
+from ..sources.folders import is_folder, matching
 from ..sources.preview import stream_preview
 from ..sources.tables import table
 from ..streaming.progress import ProgressRows, finish
@@ -27,6 +27,10 @@ from .split_sql import boosted
 #: Intake bound of the rate-limited streams: records per file, one file per trigger.
 INTAKE_ROWS = 4000
 
+#: A rate-limited intake is dealt over lanes, streams side by side that each keep the bound:
+#: one a core, and no more than a driver plans for at a time.
+MOST_LANES = 16
+
 
 def table_stream(spark, sf_dir, name):
     """A driver table as a file stream, be it one file or a directory of part files."""
@@ -43,6 +47,20 @@ def arrive_in_files(df, path, fmt="parquet", rows=INTAKE_ROWS):
     df.write.option("header", True).option("maxRecordsPerFile", rows).format(fmt).save(path)
 
 
+def arrive_in_lanes(df, path, rows=INTAKE_ROWS):
+    """As ``arrive_in_files``, the files dealt over folders ``lane=k``: a task's runs of
+    ``rows`` records go to the lanes in turn. Returns the folders that got files."""
+    spark = df.sparkSession
+    run = F.floor(F.monotonically_increasing_id() % F.lit(1 << 33) / rows)
+    lane = F.pmod(F.spark_partition_id() + run, F.lit(min(MOST_LANES, parallelism(spark))))
+    df.withColumn("lane", lane).write.option("maxRecordsPerFile", rows).partitionBy("lane").parquet(path)
+    found = sorted(matching(spark, f"{path}/lane=*"))
+    if not found:   # no rows: a lane with the empty file
+        found = [f"{path}/lane=0"]
+        arrive_in_files(df, found[0])
+    return found
+
+
 @query("stream_scan", ("S03", "T09"), sql="""
 select event_id, user_id, upper(event_type) as event_type, coalesce(value, 0.0) * 2 as value2
 from events""")
@@ -297,27 +315,31 @@ select q.query, (select count(*) from orders) as n_rows, true as within_bound,
   (select count(*) from s) as n_scored, (select round(sum(prediction), 0) from s) as predictions
 from (values ('relay'), ('score')) q(query)""")
 def live_relay_and_score(spark, sf_dir):
-    """Relay and scorer live side by side on processing-time triggers, stopped when the last
-    offset is through; a listener's rows tell what each trigger took in."""
+    """Relays and scorers, a pair per lane, live side by side on processing-time triggers, stopped
+    when the last offset is through; a listener's rows tell what each trigger took in."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("double")
                                               .alias("custkey"), F.col("o_totalprice").alias("totalprice"))
     bundle = flows.train_linear(o, ["custkey"], "totalprice")
     src, log_path, out = scratch(spark, "arrivals"), scratch(spark, "log"), scratch(spark, "order-scores")
-    arrive_in_files(o, src)
+    logs = {f"{log_path}/{k}": lane for k, lane in enumerate(arrive_in_lanes(o, src))}
     step = flows.ScoreOnly(bundle, "id", out, ORDER_SPEC,
-                           output={"id": "id", "totalprice": "totalprice", "prediction": "predicted"})
-    names = [f"{n}-{scratch(spark, 'q')[-12:]}" for n in ("relay", "score")]
-    rows = ProgressRows(names)
+                           output={"id": "id", "totalprice": "totalprice", "prediction": "predicted"}, small=True)
+    names = {log: [f"{n}-{scratch(spark, 'q')[-12:]}" for n in ("relay", "score")] for log in logs}
+    rows = ProgressRows(n for pair in names.values() for n in pair)
+    relays, scorers = [], []
     spark.streams.addListener(rows)
     try:
-        relay = flows.relay_to_log(files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1),
-                                   log_path, scratch(spark, "ck"), trigger="100 milliseconds", name=names[0])
-        scorer = flows.score_stream(flows.parse_log(spark, log_path, o.schema, max_per_trigger=1), step,
-                                    scratch(spark, "ck"), trigger="100 milliseconds", name=names[1])
-        finish([relay, scorer])
-        for q in (relay, scorer):
+        for log, lane in logs.items():
+            relays.append(flows.relay_to_log(
+                files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
+                log, scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][0]))
+            scorers.append(flows.score_stream(flows.parse_log(spark, log, o.schema, max_per_trigger=1), step,
+                                              scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][1]))
+        finish([*relays, *scorers])
+        for q in (*relays, *scorers):
             rows.wait_for(q)
     finally:
+        stop_queries([*relays, *scorers])
         spark.streams.removeListener(rows)
     progress = rows.write(spark, scratch(spark, "progress")).where("n_rows > 0")
     scored = keyed.read_table(spark, out, ORDER_SPEC).agg(
@@ -369,7 +391,8 @@ def rejected_rows(spark, sf_dir):
         src, good, bad = scratch(spark, f"lines-{fmt}"), scratch(spark, "good"), scratch(spark, "rejected")
         table(spark, sf_dir, "orders").select(F.expr(line.format(text="string")).alias("value")) \
             .write.option("maxRecordsPerFile", INTAKE_ROWS).text(src)
-        stream = files.stream_files(spark, src, schema, fmt=fmt, header=False, max_files_per_trigger=1, rejected="_bad")
+        stream = files.stream_files(spark, src, schema, fmt=fmt, header=False,
+                                    max_files_per_trigger=1, rejected="_bad")
 
         def keep(df, epoch, good=good):
             df.write.mode("overwrite").parquet(f"{good}/epoch={epoch}")

@@ -17,12 +17,14 @@ Within a slice rows lie in ``BUCKETS`` folders by a hash of their key. ``lookup`
 the slices with the buckets of the wanted keys (at most ``BUCKETS`` rows, broadcast),
 which Spark turns into dynamic partition pruning: folders without a wanted key are not
 read. What is read is semi-joined with the keys *before* the aggregation (Catalyst does
-not push a semi join below it), so only matching rows are shuffled.
+not push a semi join below it), so only matching rows are shuffled. A slice that its writer
+knows to be small is one file in the folder of bucket ``WHOLE``, which every lookup reads.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +37,11 @@ from .folders import claim, matching
 SET_COL = "_set"
 BUCKET_COL = "bucket"
 BUCKETS = 16
+WHOLE = -1
 
 #: slices this process knows of, by table: last sequence number, and that of each (run, epoch)
 _KNOWN: dict[str, tuple[int, dict[tuple[str, int], int]]] = {}
+_KNOWN_LOCK = threading.Lock()
 
 
 def _q(c: str):
@@ -57,19 +61,20 @@ def dedupe(df: DataFrame, spec: TableSpec, rule: str = "max") -> DataFrame:
 
 def _slice_path(spark: SparkSession, path: str, run: str, epoch: int) -> str:
     """The slice of (run, epoch): its own if it was written before, else the next."""
-    if path not in _KNOWN:
-        found = [re.search(r"/seq=(\d+)/run=([^/]*)/epoch=(\d+)$", p)
-                 for p in matching(spark, f"{path}/seq=*/run=*/epoch=*")]
-        own = {(m[2], int(m[3])): int(m[1]) for m in found if m}
-        _KNOWN[path] = (max(own.values(), default=0), own)
-    last, own = _KNOWN[path]
-    seq = own.get((run, epoch))
-    if seq is None:
-        seq = last + 1
-        while not claim(spark, f"{path}/_claims/{seq}"):
-            seq += 1
-        own[run, epoch] = seq
-        _KNOWN[path] = (seq, own)
+    with _KNOWN_LOCK:   # streams of one process write side by side
+        if path not in _KNOWN:
+            found = [re.search(r"/seq=(\d+)/run=([^/]*)/epoch=(\d+)$", p)
+                     for p in matching(spark, f"{path}/seq=*/run=*/epoch=*")]
+            own = {(m[2], int(m[3])): int(m[1]) for m in found if m}
+            _KNOWN[path] = (max(own.values(), default=0), own)
+        last, own = _KNOWN[path]
+        seq = own.get((run, epoch))
+        if seq is None:
+            seq = last + 1
+            while not claim(spark, f"{path}/_claims/{seq}"):
+                seq += 1
+            own[run, epoch] = seq
+            _KNOWN[path] = (seq, own)
     return f"{path}/seq={seq}/run={run}/epoch={epoch}"
 
 
@@ -78,24 +83,26 @@ def _bucket(spec: TableSpec):
 
 
 def upsert(df: DataFrame, path: str, spec: TableSpec, epoch: int, run_id: str,
-           dedupe_rule: str = "none", strict: bool = True) -> None:
+           dedupe_rule: str = "none", strict: bool = True, small: bool = False) -> None:
     """Write one batch as the (run, epoch) slice of the table.
 
     Rows are conformed to ``spec`` (names, order, types); a null key fails the
     write, as a store with a primary key would — default it or set it aside first
     (``clean.null_key``). ``strict=False`` allows absent columns, which the slice
-    then does not set.
+    then does not set. ``small`` is for batches of a bounded number of rows: one task
+    writes one file, not one a bucket.
     """
     if not run_id or not re.fullmatch(r"[\w.-]+", run_id):
         raise ValueError(f"an upsert needs the id of its run, got {run_id!r}")
     given = {c.lower() for c in df.columns}
     mask = "".join("1" if c.lower() in given else "0" for c in spec.value_columns)
     out = dedupe(spec.conform(df, strict=strict), spec, dedupe_rule)
-    out = out.withColumn(SET_COL, F.lit(mask)).withColumn(BUCKET_COL, _bucket(spec)) \
+    out = out.withColumn(SET_COL, F.lit(mask)).withColumn(BUCKET_COL, F.lit(WHOLE) if small else _bucket(spec)) \
              .where(F.assert_true(_q(spec.key).isNotNull(), f"null key in {spec.name}").isNull())
     target = _slice_path(df.sparkSession, path.rstrip("/"), run_id, int(epoch))
     # a task holds few buckets, so a slice has about as many files as buckets and tasks
-    out.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target)
+    out = out.coalesce(1) if small else out.repartition(BUCKET_COL)
+    out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target)
 
 
 def _empty(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -137,8 +144,9 @@ def lookup(spark: SparkSession, path: str, spec: TableSpec, keys: DataFrame) ->
     if slices is None:
         return _empty(spark, spec)
     k = keys.select(_q(spec.key).cast(spec.schema[spec.key].dataType).alias(spec.key))
-    # at most BUCKETS rows; the condition, true for all, tells the planner that they prune
-    touched = k.select(_bucket(spec).alias(BUCKET_COL)).where(F.col(BUCKET_COL) >= 0).distinct()
+    # at most BUCKETS + 1 rows; the condition, true for all, tells the planner that they prune
+    touched = k.select(F.explode(F.array(_bucket(spec), F.lit(WHOLE))).alias(BUCKET_COL)) \
+        .where(F.col(BUCKET_COL) >= WHOLE).distinct()
     near = slices.join(F.broadcast(touched), BUCKET_COL, "left_semi")
     return _latest(near.join(k, on=spec.key, how="left_semi"), spec)
 

@@ -59,9 +59,7 @@ class ProgressRows(StreamingQueryListener):
 
 def finish(queries: Iterable[StreamingQuery]) -> None:
     """Stops live queries once all there is has passed through them, in the order given
-    (each one's output is the next one's input)."""
-    queries = list(queries)
-    for q in queries:
+    (each one's output is a later one's input): one that is through polls no longer."""
+    for q in list(queries):
         q.processAllAvailable()
-    for q in queries:
         q.stop()
