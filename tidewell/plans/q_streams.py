@@ -16,7 +16,7 @@ from ..sources.preview import stream_preview
 from ..sources.tables import table
 from ..streaming.progress import ProgressRows, finish
 from ..streaming.recovery import CrashAfterWrite, supervise
-from ..streaming.runner import await_done, current_run_id, run_batches, stop_queries
+from ..streaming.runner import await_all, await_done, current_run_id, run_batches, stop_queries
 from . import flows
 from .bindings import (BATCH_FEATURES, HISTORY_FEATURES, HISTORY_ROWS_SQL, STREAM_ROWS_SQL,
                        history_rows, stream_rows)
@@ -80,16 +80,18 @@ select count(*) as n_rows, count(distinct o_orderkey) as n_orders, sum(o_custkey
   true as within_bound, count(*) > {INTAKE_ROWS} as several_batches from orders"""
 
 
-def _intake(spark, stream):
-    """Runs the stream and reports what its batches took in."""
+def _intake(spark, streams):
+    """Runs the streams side by side and reports what their batches took in."""
     out = scratch(spark, "rate-out")
 
-    def write(df, epoch):
-        df.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+    def lane(k):
+        def write(df, epoch):
+            df.write.mode("overwrite").parquet(f"{out}/lane={k}/epoch={epoch}")
+        return write
 
-    await_done(run_batches(stream, write, scratch(spark, "ck")))
+    await_all([run_batches(s, lane(k), scratch(spark, "ck")) for k, s in enumerate(streams)])
     got = spark.read.parquet(out)
-    sizes = got.groupBy("epoch").count().agg(F.max("count").alias("most"), F.count("*").alias("batches"))
+    sizes = got.groupBy("lane", "epoch").count().agg(F.max("count").alias("most"), F.count("*").alias("batches"))
     facts = got.agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"),
                     F.sum("o_custkey").alias("custkeys"))
     return facts.join(sizes, F.lit(True)).select(
@@ -103,22 +105,20 @@ def stream_rate_limit(spark, sf_dir):
     src = scratch(spark, "orders-files")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     arrive_in_files(o, src)
-    return _intake(spark, files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1))
+    return _intake(spark, [files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1)])
 
 
 @query("log_rate_limit", ("S05", "T02", "P13"), sql=_INTAKE_SQL)
 def log_rate_limit(spark, sf_dir):
-    """The same files relayed as messages, a file per trigger on both sides: every
-    relay batch writes what it took in, so the reader's batches keep the bound."""
+    """The same files relayed as messages, a log per lane, a file per trigger on both sides:
+    every relay batch writes what it took in, so the reader's batches keep the bound."""
     src, log_path = scratch(spark, "orders-files"), scratch(spark, "log")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    arrive_in_files(o, src)
-    stream = files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1)
-    await_done(flows.relay_to_log(stream, log_path, scratch(spark, "ck")))
-    parsed = flows.parse_log(spark, log_path,
-                             struct("o_orderkey bigint, o_custkey bigint, o_totalprice double"),
-                             max_per_trigger=1)
-    return _intake(spark, parsed)
+    logs = {f"{log_path}/{k}": lane for k, lane in enumerate(arrive_in_lanes(o, src))}
+    await_all([flows.relay_to_log(files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
+                                  log, scratch(spark, "ck")) for log, lane in logs.items()])
+    schema = struct("o_orderkey bigint, o_custkey bigint, o_totalprice double")
+    return _intake(spark, [flows.parse_log(spark, log, schema, max_per_trigger=1) for log in logs])
 
 
 @query("stream_preview", ("S06", "T07", "T08"), sql="""

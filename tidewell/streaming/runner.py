@@ -64,6 +64,15 @@ def await_done(query: StreamingQuery, timeout: float | None = None) -> Streaming
     return query
 
 
+def await_all(queries: Iterable[StreamingQuery]) -> list[StreamingQuery]:
+    """Wait for finite queries that run side by side; the first failure stops the others."""
+    queries = list(queries)
+    try:
+        return [await_done(q) for q in queries]
+    finally:
+        stop_queries(queries)
+
+
 @contextmanager
 def batch_scope(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Persist a micro-batch that several actions read; always unpersist."""
