@@ -101,11 +101,11 @@ def _intake(spark, streams):
 
 @query("stream_rate_limit", ("T02",), sql=_INTAKE_SQL)
 def stream_rate_limit(spark, sf_dir):
-    """Files of a fixed size, one per trigger: no batch takes more than the bound."""
+    """Files of a fixed size, one per trigger of a lane: no batch takes more than the bound."""
     src = scratch(spark, "orders-files")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    arrive_in_files(o, src)
-    return _intake(spark, [files.stream_files(spark, src, o.schema, fmt="parquet", max_files_per_trigger=1)])
+    return _intake(spark, [files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1)
+                           for lane in arrive_in_lanes(o, src)])
 
 
 @query("log_rate_limit", ("S05", "T02", "P13"), sql=_INTAKE_SQL)
