@@ -31,6 +31,9 @@ INTAKE_ROWS = 4000
 #: one a core, and no more than a driver plans for at a time.
 MOST_LANES = 16
 
+#: Small files that a scan packs into one task (``maxPartitionBytes`` / ``openCostInBytes``).
+FILES_PER_TASK = 32
+
 
 def table_stream(spark, sf_dir, name):
     """A driver table as a file stream, be it one file or a directory of part files."""
@@ -61,6 +64,12 @@ def arrive_in_lanes(df, path, rows=INTAKE_ROWS):
     return found
 
 
+def full_trigger(spark):
+    """Files that keep every core busy for one wave of tasks: what a trigger without a rate
+    limit of its own takes, so that triggers grow in number with the input by waves, not files."""
+    return FILES_PER_TASK * parallelism(spark)
+
+
 @query("stream_scan", ("S03", "T09"), sql="""
 select event_id, user_id, upper(event_type) as event_type, coalesce(value, 0.0) * 2 as value2
 from events""")
@@ -392,7 +401,7 @@ def rejected_rows(spark, sf_dir):
         table(spark, sf_dir, "orders").select(F.expr(line.format(text="string")).alias("value")) \
             .write.option("maxRecordsPerFile", INTAKE_ROWS).text(src)
         stream = files.stream_files(spark, src, schema, fmt=fmt, header=False,
-                                    max_files_per_trigger=1, rejected="_bad")
+                                    max_files_per_trigger=full_trigger(spark), rejected="_bad")
 
         def keep(df, epoch, good=good):
             df.write.mode("overwrite").parquet(f"{good}/epoch={epoch}")
