@@ -434,7 +434,7 @@ def score_stream_gbt(spark, sf_dir):
         "c_nationkey"), src, "csv", 8000)
     schema = struct("o_orderkey string, o_orderpriority string, o_orderstatus string, c_mktsegment string, "
                     "c_acctbal string, c_nationkey string")
-    stream = files.stream_files(spark, src, schema, fmt="csv", max_files_per_trigger=1)
+    stream = files.stream_files(spark, src, schema, fmt="csv", max_files_per_trigger=full_trigger(spark))
     # the id is typed before its nulls are defaulted: text that is no number has no id
     cleaned = flows.clean_stream(stream, {"o_orderkey": "bigint", "c_acctbal": "double", "c_nationkey": "double"},
                                  {}, key="o_orderkey")
