@@ -372,7 +372,7 @@ def null_key_quarantine(spark, sf_dir):
     rows = stream_rows(spark, sf_dir)
     arrive_in_files(rows.select(F.when(F.col("o_orderkey") % 13 != 0, F.col("id")).alias("id"), "totalprice",
                                 "order_year"), src)
-    stream = files.stream_files(spark, src, _ROWS_SCHEMA, fmt="parquet", max_files_per_trigger=1)
+    stream = files.stream_files(spark, src, _ROWS_SCHEMA, fmt="parquet", max_files_per_trigger=full_trigger(spark))
     await_done(flows.score_with_history(stream, step, scratch(spark, "ck")))
     return spark.read.parquet(f"{out_path}_quarantine").select("totalprice", "order_year")
 
