@@ -14,6 +14,7 @@ saved over its own folder.
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -30,6 +31,9 @@ from . import features as feat
 
 COMMITTED = "_COMMITTED"
 
+#: Training rows of a partition of an iterative fit, which a task reads from the cache in each pass.
+PARTITION_ROWS = 250_000
+
 
 def linear(features: str = "features", label: str = "label", max_iter: int = 10,
            reg_param: float = 0.0, elastic_net: float = 0.0) -> LinearRegression:
@@ -128,7 +132,7 @@ def train(df: DataFrame, stages: Sequence, label: str, label_mode: str = "value"
     """Fit ``stages`` on ``df`` with the label prepared per ``label_mode``.
 
     ``partitions`` spreads the training rows round-robin over that many
-    partitions if they arrive in fewer: worth one shuffle for iterative fits
+    partitions, and one for every ``PARTITION_ROWS`` rows, if they arrive in fewer: worth one shuffle for iterative fits
     (trees make dozens of passes over the cached data); round-robin ignores keys,
     so a hot key cannot skew it. An input with more partitions stays as it is."""
     labelled, index, n = label_frame(df, label, label_mode)
@@ -137,8 +141,9 @@ def train(df: DataFrame, stages: Sequence, label: str, label_mode: str = "value"
     labelled = labelled.persist()  # counted and then read by the fit's passes
     try:
         spread = labelled
+        partitions = max(int(partitions), math.ceil(labelled.count() / PARTITION_ROWS))
         if labelled.rdd.getNumPartitions() < partitions:
-            spread = labelled.repartition(int(partitions))
+            spread = labelled.repartition(partitions)
         return ModelBundle(fit(stages, spread), label, label_mode, index, n)
     finally:
         labelled.unpersist()
