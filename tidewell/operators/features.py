@@ -25,6 +25,9 @@ from .ranking import global_row_number
 
 EMPTY_MARKER = "__empty__"
 
+#: An index of at most so many labels is broadcast to its joins, whose rows crowd on few labels.
+BROADCAST_LABELS = 100_000
+
 
 def _q(c: str):
     return F.col(f"`{c}`")
@@ -39,18 +42,22 @@ def frequency_index(df: DataFrame, column: str) -> DataFrame:
     return global_row_number(counts, [F.col("count").desc(), F.col("value").asc()], "index")
 
 
+def _joinable(index: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(index) if n <= BROADCAST_LABELS else index
+
+
 def rank_label(df: DataFrame, column: str, index: DataFrame, out: str = "label",
                keep_unseen: bool = True, n_labels: int | None = None) -> DataFrame:
     """Numeric or text target -> its frequency rank as a double label.
 
     ``keep_unseen`` maps values missing from ``index`` (and nulls) to the extra
-    rank ``n`` like ``handleInvalid="keep"``; otherwise they are dropped. The
-    planner and adaptive execution broadcast an index whose bytes are small, so
-    the labelled rows stay put; a larger one is a join whose hot labels are split.
+    rank ``n`` like ``handleInvalid="keep"``; otherwise they are dropped. An index of
+    few labels is broadcast, so the labelled rows stay put; a larger one is a join
+    whose hot labels adaptive execution splits.
     """
     n = n_labels if n_labels is not None else index.count()
     idx = index.select(F.col("value").alias("__value"), F.col("index").alias("__index"))
-    joined = df.join(idx, _q(column).cast("string") == F.col("__value"),
+    joined = df.join(_joinable(idx, n), _q(column).cast("string") == F.col("__value"),
                      "left" if keep_unseen else "inner")
     lab = F.coalesce(F.col("__index"), F.lit(n)).cast("double")
     return joined.withColumn(out, lab).drop("__value", "__index")
@@ -62,12 +69,13 @@ def unrank(df: DataFrame, prediction: str, index: DataFrame, out: str,
 
     Guarded: NaN/null -> null; below 0 -> first label; beyond the last rank ->
     last label; otherwise the truncated rank. A join with the index table (no
-    label list on the driver).
+    label list on the driver); one of few labels is broadcast, as predictions crowd on
+    a rank and would all be read by its task.
     """
     n = n_labels if n_labels is not None else index.count()
     idx = index.select(F.col("index").cast("int").alias("__i"), F.col("value").alias(out))
     with_i = df.withColumn("__i", clamp_index(prediction, n))
-    return with_i.join(idx, "__i", "left").drop("__i")
+    return with_i.join(_joinable(idx, n), "__i", "left").drop("__i")
 
 
 def blank_categories(columns: Sequence[str], marker: str = EMPTY_MARKER,
