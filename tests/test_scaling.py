@@ -1,11 +1,19 @@
 """Work per trigger and per task: what must not grow with the input, on rows built here."""
+import threading
+import time
+import uuid
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import listener
 
 from tidewell.operators import features as feat, models
 from tidewell.plans import q_streams
 from tidewell.schemas import TableSpec, struct
-from tidewell.sources import keyed
+from tidewell.sources import files, keyed
+from tidewell.streaming import runner
+from tidewell.streaming.progress import ProgressRows, finish
 
 SPEC = TableSpec(struct("id bigint, v double"), "id")
 
@@ -66,6 +74,80 @@ def test_live_relay_and_score_runs_in_lanes(spark, sf, monkeypatch):
     assert all(r.n_rows == 9000 and r.within_bound and r.several_triggers and r.n_scored == 9000 for r in got.values())
 
 
+def _report(batch, n_rows=10):
+    return {"name": "q", "runId": uuid.UUID(int=1), "batchId": batch, "numInputRows": n_rows, "durationMs": {"triggerExecution": 5}}
+
+
+def _reported(rows, batch):
+    rows.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(**_report(batch))))
+
+
+def test_reports_that_come_late_are_waited_for(spark, tmp):
+    rows = ProgressRows(["q"])
+    late = threading.Thread(target=lambda: [(time.sleep(0.2), _reported(rows, b)) for b in range(8)])
+    late.start()
+    rows.wait_for(SimpleNamespace(name="q", runId=str(uuid.UUID(int=1)), recentProgress=[_report(7)]), seconds=0.7)   # 1.6 s in all
+    late.join()
+    assert sorted(r.batch for r in rows.write(spark, tmp("progress")).collect()) == [*range(8)]
+
+
+def test_reports_that_were_dropped_are_taken_from_the_query(spark, tmp):
+    rows, query = ProgressRows(["q"]), SimpleNamespace(name="q", runId=str(uuid.UUID(int=1)), recentProgress=[_report(b) for b in range(2, 6)])
+    for b in (0, 1, 2, 4, 4):
+        _reported(rows, b)
+    rows.wait_for(query, seconds=0.1)
+    assert sorted(r.batch for r in rows.write(spark, tmp("progress")).collect()) == [*range(6)]
+    lost = ProgressRows(["q"])
+    for b in (0, 2, 5):
+        _reported(lost, b)
+    with pytest.raises(TimeoutError, match="missing .1"):   # batch 1 is in neither
+        lost.wait_for(query, seconds=0.1)
+
+
+def test_a_report_builds_no_event_objects(spark, sf, tmp, monkeypatch):
+    """One costs some seventy calls to the JVM: reports then fall behind the triggers."""
+    def built(*a):
+        raise AssertionError("an event object")
+    monkeypatch.setattr(listener.QueryProgressEvent, "fromJObject", built)
+    lane = q_streams.arrive_in_lanes(spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey"), tmp("lanes"))[0]
+    rows = ProgressRows(["light"])
+    spark.streams.addListener(rows)
+    try:
+        q = runner.run_batches(files.stream_files(spark, lane, struct("o_orderkey bigint"), fmt="parquet", max_files_per_trigger=1),
+                               lambda df, epoch: df.count(), tmp("ck"), "100 milliseconds", "light")
+        finish([q])
+        rows.wait_for(q, seconds=10)
+    finally:
+        spark.streams.removeListener(rows)
+    assert [(r.query, r.n_rows) for r in rows.write(spark, tmp("progress")).collect()] == [("light", 4000)]
+
+
+def test_checkpoints_on_a_local_disk_start_no_process_per_rename(spark, tmp):
+    def manager():
+        return spark.conf.get(runner._MANAGER, None)
+    with runner.light_checkpoints(spark, tmp("ck")):
+        with runner.light_checkpoints(spark, tmp("ck")):
+            pass
+        assert manager().endswith("FileSystemBasedCheckpointFileManager")
+    assert manager() is None
+    spark.conf.set(runner._MANAGER, "theirs")
+    try:
+        with runner.light_checkpoints(spark, tmp("ck")):
+            assert manager() == "theirs"
+        assert manager() == "theirs"
+    finally:
+        spark.conf.unset(runner._MANAGER)
+
+
+@pytest.mark.parametrize("name", ["live_relay_and_score"])
+def test_streams_of_small_triggers_have_light_checkpoints(spark, sf, monkeypatch, name):
+    seen, publish = [], q_streams.flows.relay_to_log
+    monkeypatch.setattr(q_streams.flows, "relay_to_log",
+                        lambda *a, **k: seen.append(spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", None)) or publish(*a, **k))
+    getattr(q_streams, name)(spark, sf).collect()
+    assert len(seen) == 3 and all("FileSystemBased" in (s or "") for s in seen)
+
+
 @pytest.mark.parametrize("name, rows", [("rejected_rows", 18000), ("null_key_quarantine", 693), ("score_stream_gbt", None)])
 def test_a_trigger_takes_many_files(spark, sf, started, name, rows):
     """No rate limit is the point of these: files that have arrived share a trigger."""

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..schemas import TableSpec, struct
-from ..session import parallelism, scratch
+from ..session import parallelism, scratch, workspace
 from ..sources import files, keyed
 from ..sources.folders import is_folder, matching
 from ..sources.preview import stream_preview
 from ..sources.tables import table
 from ..streaming.progress import ProgressRows, finish
 from ..streaming.recovery import CrashAfterWrite, supervise
-from ..streaming.runner import await_all, await_done, current_run_id, run_batches, stop_queries
+from ..streaming.runner import (await_all, await_done, current_run_id, light_checkpoints, run_batches,
+                                stop_queries)
 from . import flows
 from .bindings import (BATCH_FEATURES, HISTORY_FEATURES, HISTORY_ROWS_SQL, STREAM_ROWS_SQL,
                        history_rows, stream_rows)
@@ -338,13 +339,14 @@ def live_relay_and_score(spark, sf_dir):
     relays, scorers = [], []
     spark.streams.addListener(rows)
     try:
-        for log, lane in logs.items():
-            relays.append(flows.relay_to_log(
-                files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
-                log, scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][0]))
-            scorers.append(flows.score_stream(flows.parse_log(spark, log, o.schema, max_per_trigger=1), step,
-                                              scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][1]))
-        finish([*relays, *scorers])
+        with light_checkpoints(spark, workspace(spark)):
+            for log, lane in logs.items():
+                relays.append(flows.relay_to_log(
+                    files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
+                    log, scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][0]))
+                scorers.append(flows.score_stream(flows.parse_log(spark, log, o.schema, max_per_trigger=1), step,
+                                                  scratch(spark, "ck"), trigger="100 milliseconds", name=names[log][1]))
+            finish([*relays, *scorers])
         for q in (*relays, *scorers):
             rows.wait_for(q)
     finally:

@@ -8,13 +8,17 @@ Exactly-once output comes from the sink: writers key their output by
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from ..sources.folders import qualified
+
 
 def trigger_args(trigger) -> dict:
     """``"available_now"`` | ``"once"`` | ``"30 seconds"`` | dict -> ``trigger(**kw)``."""
@@ -83,6 +87,49 @@ def batch_scope(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DIS
         df.unpersist()
 
 
+_MANAGER = "spark.sql.streaming.checkpointFileManagerClass"
+_MANAGERS = tuple(f"org.apache.spark.sql.execution.streaming.{p}FileSystemBasedCheckpointFileManager"
+                  for p in ("checkpointing.", ""))   # Spark 4.1 and before
+_MANAGER_LOCK = threading.Lock()
+_manager_users: dict[SparkSession, int] = {}
+
+
+@contextmanager
+def light_checkpoints(spark: SparkSession, checkpoint: str):
+    """For streams of many small triggers: while it is open, checkpoint files on a local
+    disk are renamed by Hadoop's FileSystem. Spark's choice, its FileContext, starts a
+    process (chmod, readlink) several times a file where Hadoop has no native library.
+    Both write aside and rename; other stores keep Spark's choice, as does a session that
+    names a manager."""
+    with _MANAGER_LOCK:
+        n = _manager_users.get(spark, 0)
+        name = _local_manager(spark, checkpoint) if n or spark.conf.get(_MANAGER, None) is None else None
+        if name:
+            _manager_users[spark] = n + 1
+            spark.conf.set(_MANAGER, name)
+    try:
+        yield
+    finally:
+        if name:
+            with _MANAGER_LOCK:
+                _manager_users[spark] -= 1
+                if not _manager_users[spark]:
+                    del _manager_users[spark]
+                    spark.conf.unset(_MANAGER)
+
+
+def _local_manager(spark: SparkSession, checkpoint: str) -> str | None:
+    if not qualified(spark, checkpoint).startswith("file:"):
+        return None
+    for name in _MANAGERS:
+        try:
+            spark.sparkContext._jvm.java.lang.Class.forName(name)
+            return name
+        except Py4JJavaError:   # not of this version of Spark
+            pass
+    return None
+
+
 def stop_queries(queries: Iterable[StreamingQuery]) -> int:
     """Stop the given queries that are still active (T08); returns how many were.
     Other queries of the session go on."""
