@@ -139,7 +139,15 @@ def test_checkpoints_on_a_local_disk_start_no_process_per_rename(spark, tmp):
         spark.conf.unset(runner._MANAGER)
 
 
-@pytest.mark.parametrize("name", ["live_relay_and_score"])
+def test_log_rate_limit_has_two_lanes_a_core(spark, sf, monkeypatch):
+    started, run = [], q_streams.run_batches
+    monkeypatch.setattr(q_streams, "parallelism", lambda spark: 1)
+    monkeypatch.setattr(q_streams, "run_batches", lambda *a, **k: started.append(1) or run(*a, **k))
+    got = q_streams.log_rate_limit(spark, sf).first()
+    assert len(started) == 2 and got.n_rows == got.n_orders == 9000 and got.within_bound and got.several_batches
+
+
+@pytest.mark.parametrize("name", ["live_relay_and_score", "log_rate_limit"])
 def test_streams_of_small_triggers_have_light_checkpoints(spark, sf, monkeypatch, name):
     seen, publish = [], q_streams.flows.relay_to_log
     monkeypatch.setattr(q_streams.flows, "relay_to_log",

@@ -29,7 +29,8 @@ from .split_sql import boosted
 INTAKE_ROWS = 4000
 
 #: A rate-limited intake is dealt over lanes, streams side by side that each keep the bound:
-#: one a core, and no more than a driver plans for at a time.
+#: one a core (two where a lane is a single stream at a time: a trigger's core waits while the
+#: driver plans and commits), and no more than a driver plans for at a time.
 MOST_LANES = 16
 
 #: Small files that a scan packs into one task (``maxPartitionBytes`` / ``openCostInBytes``).
@@ -51,12 +52,12 @@ def arrive_in_files(df, path, fmt="parquet", rows=INTAKE_ROWS):
     df.write.option("header", True).option("maxRecordsPerFile", rows).format(fmt).save(path)
 
 
-def arrive_in_lanes(df, path, rows=INTAKE_ROWS):
+def arrive_in_lanes(df, path, rows=INTAKE_ROWS, per_core=1):
     """As ``arrive_in_files``, the files dealt over folders ``lane=k``: a task's runs of
     ``rows`` records go to the lanes in turn. Returns the folders that got files."""
     spark = df.sparkSession
     run = F.floor(F.monotonically_increasing_id() % F.lit(1 << 33) / rows)
-    lane = F.pmod(F.spark_partition_id() + run, F.lit(min(MOST_LANES, parallelism(spark))))
+    lane = F.pmod(F.spark_partition_id() + run, F.lit(min(MOST_LANES, per_core * parallelism(spark))))
     df.withColumn("lane", lane).write.option("maxRecordsPerFile", rows).partitionBy("lane").parquet(path)
     found = sorted(matching(spark, f"{path}/lane=*"))
     if not found:   # no rows: a lane with the empty file
@@ -99,7 +100,8 @@ def _intake(spark, streams):
             df.write.mode("overwrite").parquet(f"{out}/lane={k}/epoch={epoch}")
         return write
 
-    await_all([run_batches(s, lane(k), scratch(spark, "ck")) for k, s in enumerate(streams)])
+    with light_checkpoints(spark, workspace(spark)):
+        await_all([run_batches(s, lane(k), scratch(spark, "ck")) for k, s in enumerate(streams)])
     got = spark.read.parquet(out)
     sizes = got.groupBy("lane", "epoch").count().agg(F.max("count").alias("most"), F.count("*").alias("batches"))
     facts = got.agg(F.count("*").alias("n_rows"), F.count_distinct("o_orderkey").alias("n_orders"),
@@ -124,9 +126,10 @@ def log_rate_limit(spark, sf_dir):
     every relay batch writes what it took in, so the reader's batches keep the bound."""
     src, log_path = scratch(spark, "orders-files"), scratch(spark, "log")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    logs = {f"{log_path}/{k}": lane for k, lane in enumerate(arrive_in_lanes(o, src))}
-    await_all([flows.relay_to_log(files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
-                                  log, scratch(spark, "ck")) for log, lane in logs.items()])
+    logs = {f"{log_path}/{k}": lane for k, lane in enumerate(arrive_in_lanes(o, src, per_core=2))}
+    with light_checkpoints(spark, workspace(spark)):
+        await_all([flows.relay_to_log(files.stream_files(spark, lane, o.schema, fmt="parquet", max_files_per_trigger=1),
+                                      log, scratch(spark, "ck")) for log, lane in logs.items()])
     schema = struct("o_orderkey bigint, o_custkey bigint, o_totalprice double")
     return _intake(spark, [flows.parse_log(spark, log, schema, max_per_trigger=1) for log in logs])
 
