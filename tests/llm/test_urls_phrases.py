@@ -230,6 +230,39 @@ def _phrase_rows():
                    ("de", "z" * 70_000 + " tide well")] + rows[:20]
 
 
+def test_blocks_of_occurrences_are_few_at_a_time(spark, monkeypatch):
+    """A block's row takes some MB: a batch is bounded by bytes, a file by blocks."""
+    key, seen, stored = "spark.sql.execution.arrow.maxBytesPerBatch", {}, collocations.stored
+
+    def watched(df, name, *rows):
+        out = stored(df, name, *rows)
+        files = out.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        seen[name] = spark.conf.get(key, None), files
+        return out
+
+    monkeypatch.setattr(collocations, "stored", watched)
+    frame = spark.createDataFrame([("en", "so it goes " * 200_000)] * 10, "lang string, text string").coalesce(1)
+    before = spark.conf.get(key, None)
+    got = collocations.collocations(frame, collocations.PhraseSpec(longest=3, least=5)).collect()
+    assert spark.conf.get(key, None) == before
+    assert {x.phrase: x.a for x in got}["so it goes"] == 2_000_000
+    assert {int(b) for b, _ in seen.values()} == {16 << 20}
+    assert 1 <= seen["occurrences-1"][1] <= 8 and 1 <= seen["occurrences-2"][1] <= 8
+
+
+def test_occurrences_are_put_in_order_without_collecting(spark):
+    rows = spark.range(0, 50_000, 1, 4).select(
+        (F.col("id") % 3).alias("block"), ((F.col("id") * 7919) % 50_000).cast("int").alias("place"), F.col("id").alias("group"))
+    blocks = collocations._sorted_blocks(rows)
+    assert "collect_list" not in blocks._jdf.queryExecution().toString()
+    got = {r.block: (np.cumsum(np.frombuffer(r.places, "<i4")), np.frombuffer(r.groups, "<i8")) for r in blocks.collect()}
+    assert set(got) == {0, 1, 2}
+    for block, (places, groups) in got.items():
+        want = sorted(((i * 7919) % 50_000, i) for i in range(block, 50_000, 3))
+        assert [*zip(places.tolist(), groups.tolist())] == want
+    assert collocations._sorted_blocks(rows.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("sent", [2_000_000, 0])     # sent groups, and groups joined
 def test_collocations_match_brute_force(spark, sent):
     rows = _phrase_rows()

@@ -31,13 +31,14 @@ phrase (UTF-8 order). Extra columns are ignored.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import global_row_number
@@ -49,6 +50,12 @@ BREAK = tb.lut(b".,;:!?\x0a\x0b\x0c\x0d")
 WORD = ~(BREAK | tb.lut(b"\x20\x09"))
 BLOCK_BYTES = 2 << 20
 
+#: A block's row takes some 5 MB: what of them is in memory at once is bounded by bytes a
+#: batch on the way to Python, and by blocks a file where Parquet is read and written.
+BATCH_BYTES = 16 << 20
+FILE_BLOCKS = 8
+_BATCH_BYTES_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _BLOCKS = "block long, places binary, groups binary"
 
 
@@ -61,6 +68,20 @@ class PhraseSpec:
     sent_groups: int = 2_000_000
 
 
+@contextmanager
+def _bounded_batches(spark: SparkSession):
+    """Batches of about ``BATCH_BYTES`` at most for what is computed meanwhile (a session that
+    sets its own bound keeps it): by rows alone a batch holds all blocks of a task."""
+    ours = spark.conf.get(_BATCH_BYTES_CONF, None) is None
+    if ours:
+        spark.conf.set(_BATCH_BYTES_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(_BATCH_BYTES_CONF)
+
+
 def _words(batch: pa.RecordBatch):
     """Per block of a batch (lang, text): the distinct (lang, word) pairs met, and per
     word its pair and place."""
@@ -102,14 +123,24 @@ def _packed(block: int, places: np.ndarray, groups: np.ndarray) -> pa.RecordBatc
 
 
 def _sorted_blocks(rows: DataFrame) -> DataFrame:
-    """Occurrences (block, place, group) as sorted arrays by block."""
+    """Occurrences (block, place, group) as sorted arrays by block: Spark sorts them, on disk if
+    need be, and a task holds the block that passes by."""
     def run(batches):
+        block, held = None, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                flat = batch.column(1).slice(i, 1).flatten()
-                yield _packed(batch.column(0)[i].as_py(), flat.field(0).to_numpy(), flat.field(1).to_numpy())
+            blocks, places, groups = (batch.column(i).to_numpy() for i in range(3))
+            cuts = np.flatnonzero(np.diff(blocks, prepend=blocks[:1] - 1)).tolist()
+            for lo, hi in zip(cuts, [*cuts[1:], len(blocks)]):
+                if held and blocks[lo] != block:
+                    yield _packed(block, *map(np.concatenate, zip(*held)))
+                    held = []
+                block = int(blocks[lo])
+                held.append((places[lo:hi], groups[lo:hi]))
+        if held:
+            yield _packed(block, *map(np.concatenate, zip(*held)))
+        tb.give_back()
 
-    return rows.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "group"))).alias("held")) \
+    return rows.select("block", "place", "group").repartition("block").sortWithinPartitions("block", "place") \
         .mapInArrow(run, _BLOCKS)
 
 
@@ -146,6 +177,7 @@ def word_occurrences(texts: DataFrame, frequent: DataFrame, sent_groups: int) ->
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pair), next(ids))), langs.take(at), words.take(at),
                      pa.array(places.astype(np.int32))], names=["block", "lang", "word", "place"])
+        tb.give_back()
 
     rows = texts.mapInArrow(spell, "block long, lang string, word string, place int")
     return _sorted_blocks(rows.join(frequent.select("lang", "word", "group"), ["lang", "word"]))
@@ -211,6 +243,7 @@ def extend(occurrences: DataFrame, frequent: DataFrame, sent_groups: int) -> Dat
             for block, places, g, h in _neighbours(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(g), block, np.int64)), pa.array(places),
                                                   pa.array(g), pa.array(h)], names=["block", "place", "g", "h"])
+        tb.give_back()
 
     rows = occurrences.mapInArrow(spell, "block long, place int, g long, h long")
     return _sorted_blocks(rows.join(frequent.select("g", "h", "group"), ["g", "h"]))
@@ -226,16 +259,14 @@ def _phrases(frequent: DataFrame, parts: DataFrame) -> DataFrame:
         F.concat("begins", F.array("n")).alias("begins"), F.concat("ends", F.array("n")).alias("ends"))
 
 
-def collocations(docs: DataFrame, spec: PhraseSpec = PhraseSpec()) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score of each language's best phrases.
-
-    ``docs``: lang, text."""
+def _counted(docs: DataFrame, spec: PhraseSpec) -> tuple[DataFrame, list[DataFrame]]:
+    """Words a language (lang, total), and the rows of the groups that stay, a frame per length."""
     texts = docs.select(F.col("lang").cast("string"), F.col("text").cast("string"))
     words = stored(count_words(texts), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     frequent = stored(global_row_number(words.filter(F.col("n") >= spec.least),
                                         [F.col("lang"), F.col("word")], "group"), "frequent-words")
-    occurrences = stored(word_occurrences(texts, frequent, spec.sent_groups), "occurrences-1")
+    occurrences = stored(word_occurrences(texts, frequent, spec.sent_groups), "occurrences-1", FILE_BLOCKS)
     parts = stored(frequent.select("group", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
                                    F.col("n").alias("a"), F.array("n").alias("begins"), F.array("n").alias("ends")),
                    "phrases-1")
@@ -250,9 +281,17 @@ def collocations(docs: DataFrame, spec: PhraseSpec = PhraseSpec()) -> DataFrame:
                         .filter(F.col("over").isNull() | (100 * F.col("over") < spec.inside_pct * F.col("a"))).drop("over"))
         parts = longer
         if k < spec.longest:
-            occurrences = stored(extend(occurrences, frequent, spec.sent_groups), f"occurrences-{k}")
+            occurrences = stored(extend(occurrences, frequent, spec.sent_groups), f"occurrences-{k}", FILE_BLOCKS)
     kept.append(parts)
+    return totals, kept
 
+
+def collocations(docs: DataFrame, spec: PhraseSpec = PhraseSpec()) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score of each language's best phrases.
+
+    ``docs``: lang, text."""
+    with _bounded_batches(docs.sparkSession):
+        totals, kept = _counted(docs, spec)
     found = kept[0]
     for part in kept[1:]:
         found = found.unionByName(part)

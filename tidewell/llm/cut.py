@@ -31,9 +31,10 @@ def merged(df: DataFrame, most_rows: int | None, rows_per_task: int = 200_000) -
     return df.coalesce(max(1, -(-most_rows // rows_per_task)))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
     """``df`` as a table in the shared folder, read back: its size is then known to the
-    planner, which sends a small one to all tasks and shuffles a large one."""
+    planner, which sends a small one to all tasks and shuffles a large one.
+    ``rows_per_file`` is for rows of some MB: a file's rows are in memory together."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.parquet(path)
